@@ -150,3 +150,154 @@ def q_corpus_peek(spark, sf):
     n_rows = docs.select(F.count(F.lit(1))).scalar()   # scalar subquery, one value
     head = score_texts(docs.select("doc_id", "text").orderBy("doc_id").limit(8), "text")
     return head.select("doc_id", "text", "puhe", "kirja", "score", n_rows.alias("n_rows"))
+
+
+# --- seed files, titles, flavor corpus ------------------------------------------------
+
+from colloquia.sources import seed as seed_src  # noqa: E402
+from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl  # noqa: E402
+from colloquia.sources.pairs import pairs_scan_flat, pairs_scan_nested, to_nested  # noqa: E402
+from colloquia.session import scratch_path  # noqa: E402
+
+
+def write_seed_fixture(spark, sf) -> str:
+    """Write the documents' seed view as one ``artist_<source>.txt`` per source."""
+    path = scratch_path(spark, "seed")
+    view = fx.seed_view(fx.documents(spark, sf))
+    written = seed_src.write_named_text_files(
+        view.withColumn("name", F.regexp_replace("file", "\\.txt$", "")),
+        path, "name", "line", ["chunk", "pos"])
+    written.collect()   # one row per written file
+    return path
+
+
+def _flavor_from_files(spark, sf) -> DataFrame:
+    path = write_seed_fixture(spark, sf)
+    lines = seed_src.read_seed_lines(spark, path)
+    return clean.flavor_corpus(lines, chunk_bound=seed_src.seed_chunk_bound(spark, path))
+
+
+def flavor_from_documents(spark, sf) -> DataFrame:
+    """The flavor corpus of the documents' seed view, without writing files."""
+    docs = fx.documents(spark, sf)
+    return clean.flavor_corpus(fx.seed_view(docs))
+
+
+def _flat_flavor(df: DataFrame) -> DataFrame:
+    return df.select("id", "fi", "source", "register", F.col("meta.artist").alias("artist"),
+                     F.col("meta.title").alias("title"))
+
+
+FLAVOR_SQL = O.sql("SELECT id, fi, source, register, artist, title FROM flavor", "flavor")
+
+
+@query("seed_text_scan", O.sql("""
+SELECT file, artist,
+       CAST(row_number() OVER (PARTITION BY file ORDER BY chunk, pos) - 1 AS BIGINT) AS line_no,
+       line
+FROM seed""", "seed"))
+def q_seed_text_scan(spark, sf):
+    return seed_src.seed_text_scan(spark, write_seed_fixture(spark, sf))
+
+
+@query("song_title_tag", O.sql("""
+SELECT file, artist, chunk, pos, title, s AS line FROM seed_titled WHERE NOT is_title""",
+                               "seed_titled"))
+def q_song_title_tag(spark, sf):
+    titled = clean.tag_titles(fx.seed_view(fx.documents(spark, sf)), ["file"], "chunk", "pos")
+    return titled.where(~F.col("is_title")).select(
+        "file", "artist", "chunk", "pos", "title", F.col("s").alias("line"))
+
+
+@query("flavor_corpus", FLAVOR_SQL)
+def q_flavor_corpus(spark, sf):
+    return _flat_flavor(_flavor_from_files(spark, sf))
+
+
+# --- parallel pairs ------------------------------------------------------------------------
+
+def _pair_sql(src: str, table_name: str = "lp") -> str:
+    en, fi = O.strip("english"), O.strip("non_english")
+    return f"""
+SELECT '{src}' AS source, '{src}-' || CAST(pos AS VARCHAR) AS id,
+       {O.collapse(en)} AS en, {O.collapse(fi)} AS fi, 'mixed' AS register, pos
+FROM {table_name}
+WHERE english IS NOT NULL AND non_english IS NOT NULL
+  AND length({en}) BETWEEN 2 AND 200 AND length({fi}) BETWEEN 2 AND 200"""
+
+
+O.cte("pairs_opus", _pair_sql("opus_100"), ("lp",))
+O.cte("pairs_subs", _pair_sql("opensubtitles_enfi"), ("lp",))
+
+PAIR_CAP_DEMO = 1_000        # cap used by the registered pair_cap query
+DRIVER_PAIR_CAP = 50_000     # fixed value: the reference driver's cap per corpus
+DEFAULT_PAIR_CAP = 200_000   # fixed value: the reference's default cap
+
+
+def _write_lp(spark, sf, nested: bool = False) -> str:
+    path = scratch_path(spark, "lp-nested" if nested else "lp-flat")
+    lp = fx.line_pairs(fx.documents(spark, sf))
+    (to_nested(lp) if nested else lp).write.mode("overwrite").parquet(path)
+    return path
+
+
+@query("pairs_scan_flat", O.sql("SELECT pos, english, non_english FROM lp", "lp"))
+def q_pairs_scan_flat(spark, sf):
+    return pairs_scan_flat(spark, _write_lp(spark, sf))
+
+
+@query("pairs_scan_nested", O.sql("SELECT pos, english, non_english FROM lp", "lp"))
+def q_pairs_scan_nested(spark, sf):
+    return pairs_scan_nested(spark, _write_lp(spark, sf, nested=True))
+
+
+@query("pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
+def q_pair_clean(spark, sf):
+    return clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+
+
+@query("pair_cap", O.sql(f"SELECT * FROM pairs_opus ORDER BY pos LIMIT {PAIR_CAP_DEMO}",
+                         "pairs_opus"))
+def q_pair_cap(spark, sf):
+    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    return clean.pair_cap(pairs, PAIR_CAP_DEMO)
+
+
+def pair_corpus(spark, path: str, source: str, nested: bool, out: str,
+                max_pairs: int = DEFAULT_PAIR_CAP) -> int:
+    """Scan -> clean -> cap -> JSONL, one corpus; returns the rows written."""
+    raw = pairs_scan_nested(spark, path) if nested else pairs_scan_flat(spark, path)
+    capped = clean.pair_cap(clean.pair_clean(raw, source), max_pairs)
+    return write_jsonl(capped.select("source", "id", "en", "fi", "register"), out)
+
+
+@query("pair_corpus", O.sql("""
+SELECT source, id, en, fi, register FROM pairs_subs
+UNION ALL SELECT source, id, en, fi, register FROM pairs_opus""", "pairs_subs", "pairs_opus"))
+def q_pair_corpus(spark, sf):
+    out_subs, out_opus = scratch_path(spark, "subs-jsonl"), scratch_path(spark, "opus-jsonl")
+    pair_corpus(spark, _write_lp(spark, sf), "opensubtitles_enfi", False, out_subs)
+    pair_corpus(spark, _write_lp(spark, sf, nested=True), "opus_100", True, out_opus)
+    return read_jsonl(spark, out_subs, PAIR_SCHEMA).unionByName(
+        read_jsonl(spark, out_opus, PAIR_SCHEMA))
+
+
+# --- JSON Lines ---------------------------------------------------------------------------
+
+@query("jsonl_scan", FLAVOR_SQL)
+def q_jsonl_scan(spark, sf):
+    path = scratch_path(spark, "flavor-jsonl")
+    write_jsonl(flavor_from_documents(spark, sf).drop("idx"), path)
+    return _flat_flavor(read_jsonl(spark, path, FLAVOR_SCHEMA))
+
+
+@query("jsonl_sink", O.sql("SELECT id, en, fi, source, register FROM pairs_opus", "pairs_opus"))
+def q_jsonl_sink(spark, sf):
+    path = scratch_path(spark, "pairs-jsonl")
+    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    n = write_jsonl(pairs.select("source", "id", "en", "fi", "register"), path)
+    text = spark.read.text(path)
+    got = text.select(*[F.get_json_object("value", f"$.{c}").alias(c)
+                        for c in ("id", "en", "fi", "source", "register")])
+    # the written line count must equal the observed count of the write job
+    return got.where(F.lit(n) == text.select(F.count(F.lit(1))).scalar())

@@ -56,5 +56,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "colloquia", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def local_path(path: str) -> str:
+    """Strip a ``file:`` scheme so Python-side writers see a plain path."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

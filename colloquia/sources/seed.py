@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions.text import LB
 from colloquia.operators.order import chunked_scan
+from colloquia.session import local_path
 
 # File stems (case-insensitive) that are never seed text.
 SKIP_STEMS = ("readme", "_readme", "example")
@@ -71,8 +72,10 @@ def write_named_text_files(df: DataFrame, out_dir: str, name_col: str, line_col:
         import pandas as pd
         from pyspark import TaskContext
 
-        fs, base = pafs.FileSystem.from_uri(out_dir) if "://" in out_dir else (
-            pafs.LocalFileSystem(), out_dir)
+        if out_dir.startswith("file:") or "://" not in out_dir:
+            fs, base = pafs.LocalFileSystem(), local_path(out_dir)
+        else:
+            fs, base = pafs.FileSystem.from_uri(out_dir)
         fs.create_dir(base, recursive=True)
         attempt = TaskContext.get().attemptNumber() if TaskContext.get() else 0
         current, stream, tmp, count = None, None, None, 0
