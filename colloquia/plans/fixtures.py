@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from colloquia.functions import text as T
 from colloquia.operators.clean import explode_lines
 from colloquia.operators.order import dense_index
-from colloquia.session import table
+from colloquia.session import table  # noqa: F401  (re-exported)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

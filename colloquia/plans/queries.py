@@ -301,3 +301,92 @@ def q_jsonl_sink(spark, sf):
                         for c in ("id", "en", "fi", "source", "register")])
     # the written line count must equal the observed count of the write job
     return got.where(F.lit(n) == text.select(F.count(F.lit(1))).scalar())
+
+
+# --- 2.4 vocabularies ------------------------------------------------------------------------
+
+from colloquia.operators import vocab as V  # noqa: E402
+
+O.cte("words", f"""
+SELECT doc_id, CAST(unnest(generate_series(0, len(ts) - 1)) AS BIGINT) AS tok_pos,
+       unnest(ts) AS word
+FROM (SELECT doc_id, {O.ws_split('lower(text)')} AS ts FROM documents)""")
+O.cte("wcounts", """
+SELECT word, CAST(count(*) AS BIGINT) AS cnt, min(doc_id * 100000000 + tok_pos) AS first
+FROM words GROUP BY word""", ("words",))
+O.cte("lorder", f"""
+SELECT CAST(row_number() OVER (ORDER BY level DESC, first) - 1 AS BIGINT) AS rank, word,
+       CAST(level AS BIGINT) AS level
+FROM (SELECT word, first, unnest(generate_series(1, cnt)) AS level FROM wcounts)
+ORDER BY level DESC, first LIMIT {V.WORD_VOCAB_SIZE}""", ("wcounts",))
+_SPECIALS_SQL = ", ".join(f"({i}, '{t}')" for i, t in enumerate(V.REFERENCE_SPECIALS))
+O.cte("vfinal", f"""
+SELECT token_id, token FROM (
+  SELECT CAST(row_number() OVER (ORDER BY word) - 1 AS BIGINT) AS token_id, word AS token
+  FROM lorder
+  UNION ALL
+  SELECT CAST((SELECT count(*) FROM lorder) + k AS BIGINT), t FROM (VALUES {_SPECIALS_SQL}) s(k, t))
+WHERE token_id < {V.WORD_VOCAB_SIZE}""", ("lorder",))
+O.cte("ws_tokens", f"""
+SELECT d.doc_id, coalesce(x.line, '') AS line FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(CASE WHEN v.token IS NOT NULL THEN t ELSE '<UNK>' END, ' '
+                            ORDER BY p) AS line
+  FROM (SELECT doc_id, unnest(ts) AS t, unnest(generate_series(1, len(ts))) AS p
+        FROM (SELECT doc_id, {O.ws_split('text')} AS ts FROM documents)) w
+  LEFT JOIN (SELECT DISTINCT token FROM vfinal) v ON lower(w.t) = v.token
+  GROUP BY doc_id) x ON x.doc_id = d.doc_id""", ("vfinal",))
+
+
+def _doc_word_counts(spark, sf):
+    return V.word_counts(fx.documents(spark, sf), "text", ["doc_id"])
+
+
+def reference_word_vocab(spark, sf) -> DataFrame:
+    counts = _doc_word_counts(spark, sf)
+    return V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE), V.WORD_VOCAB_SIZE)
+
+
+@query("word_counts", O.sql("SELECT word, cnt FROM wcounts", "wcounts"))
+def q_word_counts(spark, sf):
+    return V.word_counts(fx.documents(spark, sf), "text")
+
+
+@query("vocab_level_order", O.sql("SELECT rank, word, level FROM lorder", "lorder"))
+def q_vocab_level_order(spark, sf):
+    return V.vocab_level_order(_doc_word_counts(spark, sf), V.WORD_VOCAB_SIZE)
+
+
+@query("vocab_final", O.sql("SELECT token_id, token FROM vfinal", "vfinal"))
+def q_vocab_final(spark, sf):
+    return reference_word_vocab(spark, sf)
+
+
+@query("vocab_topk", O.sql(f"""
+SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 AS BIGINT) AS token_id, word, cnt
+FROM wcounts ORDER BY cnt DESC, word LIMIT {V.WORD_VOCAB_SIZE}""", "wcounts"))
+def q_vocab_topk(spark, sf):
+    return V.vocab_topk(V.word_counts(fx.documents(spark, sf), "text"), V.WORD_VOCAB_SIZE)
+
+
+@query("keyword_coverage", O.sql(f"""
+SELECT k.keyword, v.token IS NOT NULL AS found
+FROM (SELECT DISTINCT unnest({O.ws_split('lower(text)')}) AS keyword FROM benchmark) k
+LEFT JOIN (SELECT DISTINCT token FROM vfinal) v ON v.token = k.keyword""", "vfinal"))
+def q_keyword_coverage(spark, sf):
+    """Which words of the benchmark passages the documents' vocabulary covers."""
+    bench = fx.table(spark, sf, "benchmark")
+    keywords = bench.select(F.explode(V.ws_split(F.lower("text"))).alias("keyword")).distinct()
+    return V.keyword_coverage(reference_word_vocab(spark, sf), keywords)
+
+
+@query("whitespace_tokenize", O.sql("SELECT doc_id, line FROM ws_tokens", "ws_tokens"))
+def q_whitespace_tokenize(spark, sf):
+    toks = V.whitespace_tokenize(fx.documents(spark, sf), "text", ["doc_id"],
+                                 reference_word_vocab(spark, sf))
+    return toks.select("doc_id", F.concat_ws(" ", "tokens").alias("line"))
+
+
+@query("raw_token_count", O.sql(f"""
+SELECT CAST(coalesce(sum(len({O.ws_split('text')})), 0) AS BIGINT) AS n_tokens FROM documents"""))
+def q_raw_token_count(spark, sf):
+    return V.raw_token_count(fx.documents(spark, sf), "text")
