@@ -153,3 +153,58 @@ def sql(body: str, *names: str) -> str:
 
 LEX = DEFAULT_LEXICON
 STANDIN = STANDIN_LEXICON
+
+
+def tidy(x: str) -> str:
+    t = strip(f"regexp_replace({strip(x)}, '(?s)<think>.*?</think>', '', 'g')")
+    inner = strip(f"substr({t}, 2, length({t}) - 2)")
+    return (f"(CASE WHEN length({t}) >= 2 AND substr({t}, 1, 1) IN ('\"', '''', '“', '‘') "
+            f"AND right({t}, 1) IN ('\"', '''', '”', '’') THEN {inner} ELSE {t} END)")
+
+
+def hash_key(x: str) -> str:
+    return f"md5(CAST({x} AS VARCHAR) || ':42')"
+
+
+def bucket(x: str) -> str:
+    return f"(CAST(('0x' || substr({hash_key(x)}, 1, 8)) AS BIGINT) % 10)"
+
+
+def exact_split(id_col: str, table_name: str) -> str:
+    return (f"(CASE WHEN row_number() OVER (ORDER BY {hash_key(id_col)}, {id_col}) - 1 < "
+            f"floor(CAST(0.9 AS DOUBLE) * (SELECT count(*) FROM {table_name})) "
+            f"THEN 'train' ELSE 'valid' END)")
+
+
+cte("stub", """
+SELECT id, idx, fi,
+       CASE WHEN regexp_matches(fi, '[0-9]') THEN NULL
+            WHEN contains(fi, '?') THEN '""'
+            ELSE '<think>fi-en</think>' || chr(10) || '"'
+                 || array_to_string(list_reverse(string_split(fi, ' ')), ' ') || '"' END AS en_raw,
+       CASE WHEN regexp_matches(fi, '[0-9]') THEN 'ValueError: digits in input' END AS error
+FROM flavor""", ("flavor",))
+
+
+def _synth_rows(src: str) -> str:
+    return (f"SELECT 'rap_synthetic' AS source, 'synth-' || id AS id, {tidy('en_raw')} AS en, fi, "
+            f"'puhekieli' AS register FROM {src} WHERE error IS NULL AND en_raw IS NOT NULL "
+            f"AND length({tidy('en_raw')}) >= 2")
+
+
+cte("run1", _synth_rows("(SELECT * FROM stub WHERE idx < 500)"), ("stub",))
+cte("run2_todo", """
+SELECT * FROM stub WHERE idx < 6000 AND 'synth-' || id NOT IN (SELECT id FROM run1)""",
+    ("stub", "run1"))
+cte("synth", f"SELECT * FROM run1 UNION ALL {_synth_rows('run2_todo')}", ("run1", "run2_todo"))
+cte("synth_split", f"SELECT id, fi, {exact_split('id', 'synth')} AS split FROM synth", ("synth",))
+cte("composed", """
+SELECT id, fi, 'flavor' AS role, 'train' AS split FROM flavor
+UNION ALL SELECT id, fi, 'synth' AS role, split FROM synth_split""", ("flavor", "synth_split"))
+cte("conv_raw", """
+SELECT conv_id, turn, role, text,
+       CASE WHEN role = 'assistant' THEN '<think>' || role || chr(10) || CAST(turn AS VARCHAR)
+                 || '</think>' || chr(10) || '"' || text || '" '
+            WHEN role = 'user' THEN '  ‘' || text || '’'
+            ELSE text END AS raw
+FROM conversations""")

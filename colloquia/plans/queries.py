@@ -177,10 +177,20 @@ def _flavor_from_files(spark, sf) -> DataFrame:
     return clean.flavor_corpus(lines, chunk_bound=seed_src.seed_chunk_bound(spark, path))
 
 
+_FLAVOR_MEMO: dict[tuple[int, str], DataFrame] = {}
+
+
 def flavor_from_documents(spark, sf) -> DataFrame:
-    """The flavor corpus of the documents' seed view, without writing files."""
-    docs = fx.documents(spark, sf)
-    return clean.flavor_corpus(fx.seed_view(docs))
+    """The flavor corpus of the documents' seed view, without writing files.
+
+    Its numbering is checkpointed (reliable, shared folder), so queries of one
+    session that build on it reuse the written rows instead of recomputing.
+    """
+    key = (id(spark), sf)
+    if key not in _FLAVOR_MEMO:
+        docs = fx.documents(spark, sf)
+        _FLAVOR_MEMO[key] = clean.flavor_corpus(fx.seed_view(docs))
+    return _FLAVOR_MEMO[key]
 
 
 def _flat_flavor(df: DataFrame) -> DataFrame:
@@ -390,3 +400,262 @@ def q_whitespace_tokenize(spark, sf):
 SELECT CAST(coalesce(sum(len({O.ws_split('text')})), 0) AS BIGINT) AS n_tokens FROM documents"""))
 def q_raw_token_count(spark, sf):
     return V.raw_token_count(fx.documents(spark, sf), "text")
+
+
+# --- 2.4 synthesis ------------------------------------------------------------------------
+
+from colloquia.operators import synth as S  # noqa: E402
+
+SYNTH_MODEL = "stand-in-mirror"
+RUN1_LIMIT = 500   # an earlier, smaller run whose output the next run resumes from
+
+
+def _synth_source(spark, sf) -> DataFrame:
+    return flavor_from_documents(spark, sf).select("id", "fi", "idx")
+
+
+def _run1(spark, sf) -> DataFrame:
+    src = _synth_source(spark, sf)
+    pairs, _ = S.synthesize(src, None, S.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT)
+    return pairs
+
+
+@query("backtranslate_batch", O.sql("SELECT id, fi, en_raw, error FROM stub", "stub"))
+def q_backtranslate_batch(spark, sf):
+    return S.backtranslate(_synth_source(spark, sf), S.mirror_translator_factory, SYNTH_MODEL)
+
+
+@query("resume_filter", O.sql("""
+SELECT id, fi FROM flavor WHERE 'synth-' || id NOT IN (SELECT id FROM run1)""", "flavor", "run1"))
+def q_resume_filter(spark, sf):
+    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), None).select("id", "fi")
+
+
+@query("batch_limit", O.sql("SELECT id, fi FROM run2_todo", "run2_todo"))
+def q_batch_limit(spark, sf):
+    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), S.DRIVER_LIMIT).select(
+        "id", "fi")
+
+
+@query("synth_pairs", O.sql("SELECT source, id, en, fi, register FROM synth", "synth"))
+def q_synth_pairs(spark, sf):
+    """Two resumable runs into one JSONL folder: 500 lines, then the driver's 6,000."""
+    out = scratch_path(spark, "synth-jsonl")
+    src = _synth_source(spark, sf)
+    S.run_synthesis(spark, src, out, S.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT)
+    S.run_synthesis(spark, src, out, S.mirror_translator_factory, SYNTH_MODEL, S.DRIVER_LIMIT)
+    return read_jsonl(spark, out, PAIR_SCHEMA)
+
+
+@query("synth_progress", O.sql(f"""
+SELECT status, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN error IS NOT NULL THEN 'failed'
+              WHEN en_raw IS NULL OR length({O.tidy('en_raw')}) < 2 THEN 'dropped'
+              ELSE 'added' END AS status FROM run2_todo)
+GROUP BY status
+UNION ALL
+SELECT 'skipped', CAST((SELECT count(*) FROM stub WHERE idx < 6000)
+                       - (SELECT count(*) FROM run2_todo) AS BIGINT)""", "stub", "run2_todo"))
+def q_synth_progress(spark, sf):
+    src = _synth_source(spark, sf)
+    existing = _run1(spark, sf)
+    todo = S.plan_batch(src, existing, S.DRIVER_LIMIT)
+    raw = S.backtranslate(todo, S.mirror_translator_factory, SYNTH_MODEL)
+    return S.synth_progress(src, existing, raw, S.DRIVER_LIMIT)
+
+
+def _conv_raw(spark, sf) -> DataFrame:
+    cv = fx.conversations(spark, sf)
+    raw = (F.when(F.col("role") == "assistant", F.concat(
+        F.lit("<think>"), F.col("role"), F.lit("\n"), F.col("turn").cast("string"),
+        F.lit("</think>\n\""), F.col("text"), F.lit("\" ")))
+        .when(F.col("role") == "user", F.concat(F.lit("  ‘"), F.col("text"), F.lit("’")))
+        .otherwise(F.col("text")))
+    return cv.withColumn("raw", raw)
+
+
+@query("model_output_tidy", O.sql(f"""
+SELECT conv_id, turn, {O.tidy('raw')} AS tidy FROM conv_raw""", "conv_raw"))
+def q_model_output_tidy(spark, sf):
+    return _conv_raw(spark, sf).select("conv_id", "turn", S.tidy_output(F.col("raw")).alias("tidy"))
+
+
+@query("prompt_normalise", O.sql("""
+SELECT conv_id, turn,
+       CASE WHEN starts_with(lower(text), 'translate to finnish') THEN text
+            ELSE 'Translate to Finnish: ' || text END AS prompt
+FROM conversations WHERE role = 'user'"""))
+def q_prompt_normalise(spark, sf):
+    cv = fx.conversations(spark, sf).where(F.col("role") == "user")
+    return cv.select("conv_id", "turn", S.prompt_normalise(F.col("text")).alias("prompt"))
+
+
+@query("reply_tidy", O.sql(f"""
+SELECT conv_id, turn,
+       {O.strip("CASE WHEN contains(raw, '</think>') THEN substr(raw, strpos(raw, '</think>') + 8) ELSE raw END")} AS reply
+FROM (SELECT conv_id, turn, role || '</think> ' || text || ' </think> end' AS raw
+      FROM conversations WHERE role = 'assistant')"""))
+def q_reply_tidy(spark, sf):
+    cv = fx.conversations(spark, sf).where(F.col("role") == "assistant")
+    raw = F.concat(F.col("role"), F.lit("</think> "), F.col("text"), F.lit(" </think> end"))
+    return cv.select("conv_id", "turn", S.reply_tidy(raw).alias("reply"))
+
+
+# --- 2.4 splits, composition, chat rows -----------------------------------------------------
+
+from colloquia.operators import chat as C  # noqa: E402
+from colloquia.operators import split as SP  # noqa: E402
+
+
+def _synth_pairs_lazy(spark, sf) -> DataFrame:
+    src = _synth_source(spark, sf)
+    run1 = _run1(spark, sf)
+    pairs, _ = S.synthesize(src, run1, S.mirror_translator_factory, SYNTH_MODEL, S.DRIVER_LIMIT)
+    return pairs
+
+
+def _composed(spark, sf) -> DataFrame:
+    flavor = flavor_from_documents(spark, sf)
+    synth = SP.split_exact(_synth_pairs_lazy(spark, sf), "id")
+    return C.compose_train(flavor, synth)
+
+
+@query("split_exact", O.sql(f"SELECT doc_id, {O.exact_split('doc_id', 'documents')} AS split "
+                            "FROM documents"))
+def q_split_exact(spark, sf):
+    return SP.split_exact(fx.documents(spark, sf).select("doc_id"), "doc_id")
+
+
+@query("split_random", O.sql(f"""
+SELECT doc_id, CASE WHEN {O.bucket('doc_id')} < 9 THEN 'train' ELSE 'valid' END AS split
+FROM documents"""))
+def q_split_random(spark, sf):
+    return SP.split_random(fx.documents(spark, sf).select("doc_id"), "doc_id")
+
+
+@query("compose_train", O.sql("SELECT id, fi, role, split FROM composed", "composed"))
+def q_compose_train(spark, sf):
+    return _composed(spark, sf)
+
+
+@query("composition_summary", O.sql("""
+SELECT split, role, CAST(count(*) AS BIGINT) AS n FROM composed GROUP BY ROLLUP (split, role)""",
+                                    "composed"))
+def q_composition_summary(spark, sf):
+    return C.composition_summary(_composed(spark, sf))
+
+
+@query("step_plan", O.sql("""
+SELECT n_train, n_valid, steps_per_epoch, total_steps,
+       CAST(least(250, greatest(1, total_steps // 10)) AS BIGINT) AS warmup_steps
+FROM (SELECT n_train, n_valid, CAST(ceil(n_train / 4.0) AS BIGINT) AS steps_per_epoch,
+             CAST(ceil(n_train / 4.0) * 2 AS BIGINT) AS total_steps
+      FROM (SELECT CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+                   CAST(sum(CASE WHEN split = 'valid' THEN 1 ELSE 0 END) AS BIGINT) AS n_valid
+            FROM composed))""", "composed"))
+def q_step_plan(spark, sf):
+    return C.step_plan(_composed(spark, sf))
+
+
+@query("split_leakage", O.sql("""
+SELECT id, fi FROM composed
+WHERE split = 'valid' AND lower(fi) IN (SELECT lower(fi) FROM composed WHERE split = 'train')""",
+                              "composed"))
+def q_split_leakage(spark, sf):
+    comp = _composed(spark, sf)
+    valid = comp.where(F.col("split") == "valid")
+    train = comp.where(F.col("split") == "train")
+    return SP.split_leakage(valid, train).select("id", "fi")
+
+
+@query("split_leak_safe", O.sql(f"""
+SELECT id, role, CASE WHEN {O.bucket('lower(fi)')} < 9 THEN 'train' ELSE 'valid' END AS split
+FROM composed""", "composed"))
+def q_split_leak_safe(spark, sf):
+    comp = _composed(spark, sf).drop("split")
+    return SP.split_leak_safe(comp, "fi").select("id", "role", "split")
+
+
+@query("epoch_shards", O.sql(f"""
+SELECT id, CAST(row_number() OVER (ORDER BY {O.hash_key('id')}, id) - 1 AS BIGINT) AS position,
+       CAST((row_number() OVER (ORDER BY {O.hash_key('id')}, id) - 1) // 4 AS BIGINT) AS batch_id
+FROM composed WHERE split = 'train'""", "composed"))
+def q_epoch_shards(spark, sf):
+    train = _composed(spark, sf).where(F.col("split") == "train").select("id")
+    return SP.epoch_shards(train, "id", C.BATCH_SIZE).select("id", "position", "batch_id")
+
+
+@query("chat_rows_pairs", O.sql("""
+SELECT id, 'Translate to Finnish: ' || coalesce(en, '') AS user_content,
+       coalesce(fi, '') AS assistant_content FROM pairs_opus""", "pairs_opus"))
+def q_chat_rows_pairs(spark, sf):
+    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    rows = C.chat_rows_pairs(pairs)
+    return rows.select("id", F.col("messages")[0]["content"].alias("user_content"),
+                       F.col("messages")[1]["content"].alias("assistant_content"))
+
+
+def _json_field(name: str, x: str) -> str:
+    return f"'\"{name}\": ' || CAST(to_json({x}) AS VARCHAR)"
+
+
+@query("chat_rows_flavor", O.sql(f"""
+SELECT id, 'Generate Finnish text:' AS user_content,
+       '{{' || {_json_field('source', 'source')} || ', ' || {_json_field('id', 'id')} || ', '
+       || {_json_field('fi', 'fi')} || ', ' || {_json_field('register', 'register')}
+       || ', "meta": {{' || {_json_field('artist', 'artist')} || ', '
+       || {_json_field('title', 'title')} || '}}}}' AS assistant_content
+FROM flavor""", "flavor"))
+def q_chat_rows_flavor(spark, sf):
+    rows = C.chat_rows_flavor(flavor_from_documents(spark, sf), mode="reference")
+    return rows.select("id", F.col("messages")[0]["content"].alias("user_content"),
+                       F.col("messages")[1]["content"].alias("assistant_content"))
+
+
+@query("formatted_example", O.sql("""
+SELECT id, 'user: Translate to Finnish: ' || en || chr(10) || 'assistant: ' || fi AS text
+FROM pairs_opus ORDER BY pos LIMIT 1""", "pairs_opus"))
+def q_formatted_example(spark, sf):
+    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    first = C.chat_rows_pairs(pairs.orderBy("pos").limit(1))
+    return first.select("id", C.formatted_text(F.col("messages")).alias("text"))
+
+
+O.cte("vdistinct", f"""
+SELECT k AS token_id, t AS token
+FROM (VALUES {", ".join(f"({i}, '{t}')" for i, t in enumerate(V.SPECIALS))}) s(k, t)
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 + {len(V.SPECIALS)} AS BIGINT), word
+FROM (SELECT word, cnt FROM wcounts ORDER BY cnt DESC, word
+      LIMIT {V.WORD_VOCAB_SIZE - len(V.SPECIALS)})""", ("wcounts",))
+_EOS, _UNK = V.SPECIALS.index("<EOS>"), V.SPECIALS.index("<UNK>")
+
+
+@query("fixed_length_rows", O.sql(f"""
+SELECT d.doc_id,
+       array_to_string(list_resize(list_concat(coalesce(x.ids, []), [{_EOS}])[1:{C.MAX_LEN}],
+                                   {C.MAX_LEN}, {_EOS}), ' ') AS input_ids,
+       array_to_string(list_resize(list_transform(
+           list_concat(coalesce(x.ids, []), [{_EOS}])[1:{C.MAX_LEN}], lambda i: 1),
+           {C.MAX_LEN}, 0), ' ') AS attention_mask,
+       array_to_string(list_transform(list_resize(
+           list_concat(coalesce(x.ids, []), [{_EOS}])[1:{C.MAX_LEN}], {C.MAX_LEN}, {_EOS}),
+           lambda i: CASE WHEN i = {_EOS} THEN {C.IGNORE_LABEL} ELSE i END), ' ') AS labels
+FROM documents d LEFT JOIN (
+  SELECT doc_id, list(coalesce(v.token_id, {_UNK}) ORDER BY p) AS ids
+  FROM (SELECT doc_id, unnest(ts) AS t, unnest(generate_series(1, len(ts))) AS p
+        FROM (SELECT doc_id, {O.ws_split('text')} AS ts FROM documents)) w
+  LEFT JOIN (SELECT token, min(token_id) AS token_id FROM vdistinct GROUP BY token) v
+    ON lower(w.t) = v.token
+  GROUP BY doc_id) x ON x.doc_id = d.doc_id""", "vdistinct"))
+def q_fixed_length_rows(spark, sf):
+    docs = fx.documents(spark, sf)
+    counts = V.word_counts(docs, "text")
+    vocab = V.vocab_final(counts, V.WORD_VOCAB_SIZE, mode="distinct", counts=counts)
+    ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK, V.WORD_VOCAB_SIZE)
+    rows = ids.select("doc_id", C.fixed_length_rows(F.col("ids"), _EOS).alias("r"))
+
+    def s(c):
+        return F.concat_ws(" ", F.transform(F.col(f"r.{c}"), lambda x: x.cast("string")))
+    return rows.select("doc_id", s("input_ids").alias("input_ids"),
+                       s("attention_mask").alias("attention_mask"), s("labels").alias("labels"))
