@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquia.session import checkpoint_root
+from colloquia.session import reliable_checkpoint
 
 # Above this many rows a summary table is left to AQE's runtime join choice.
 BROADCAST_ROW_BOUND = 200_000
@@ -41,17 +41,15 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str
     spark = df.sparkSession
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = _cols(order_by)
-    checkpoint_root(spark)
     # The counts pass and the numbering pass must see the very same partitions.
     # Range bounds come from a sample seeded by RDD id, and column pruning keeps
     # the two passes from sharing one exchange, so materialise the partitioned,
     # sorted rows once (reliable checkpoint in the shared folder: it also cuts
     # lineage, so a lost executor re-reads instead of re-sampling).
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_ix_p", F.spark_partition_id())
-              .withColumn("_ix_m", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    ranged = reliable_checkpoint(df.repartitionByRange(n, *keys)
+                                 .sortWithinPartitions(*keys)
+                                 .withColumn("_ix_p", F.spark_partition_id())
+                                 .withColumn("_ix_m", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_ix_p").agg(F.count(F.lit(1)).alias("_ix_n"),
                                          F.min("_ix_m").alias("_ix_m0"))
     before = Window.orderBy("_ix_p").rowsBetween(Window.unboundedPreceding, -1)

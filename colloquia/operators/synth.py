@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
+from colloquia.session import reliable_checkpoint
 
 # The reference's back-translation request settings.
 SYSTEM_PROMPT = (
@@ -175,7 +176,7 @@ def run_synthesis(spark: SparkSession, source: DataFrame, out_path: str,
         existing = None
     todo = plan_batch(source, existing, limit)
     new = pairs_from_translations(backtranslate(todo, factory, model))
-    new = new.checkpoint(eager=True)   # call the translator once, then write
+    new = reliable_checkpoint(new)   # call the translator once, then write
     n = new.count()
     new.write.mode("append").option("ignoreNullFields", "false").json(out_path)
     return n

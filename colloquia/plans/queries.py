@@ -659,3 +659,63 @@ def q_fixed_length_rows(spark, sf):
         return F.concat_ws(" ", F.transform(F.col(f"r.{c}"), lambda x: x.cast("string")))
     return rows.select("doc_id", s("input_ids").alias("input_ids"),
                        s("attention_mask").alias("attention_mask"), s("labels").alias("labels"))
+
+
+# --- 2.4 pre-tokeniser, BPE, segmentation --------------------------------------------------
+
+from colloquia.operators import bpe as B  # noqa: E402
+
+BPE_DEMO_MERGES = 50   # merges learned by the registered query (one Spark job each)
+_PRE_W = "[\\p{L}\\p{Nl}\\p{M}\\p{Nd}\\p{Pc}\\x{200c}\\x{200d}]"
+_PRE_S = ("\\t-\\r\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
+          "\\x{202f}\\x{205f}\\x{3000}")
+_PRE_SQL = f"{_PRE_W}+|[^\\p{{L}}\\p{{Nl}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}\\x{{200c}}\\x{{200d}}{_PRE_S}]+"
+
+
+@query("pretokenize", O.sql(f"""
+SELECT doc_id, CAST(len(ps) AS INTEGER) AS n_pieces, array_to_string(ps, ' ') AS pieces
+FROM (SELECT doc_id, regexp_extract_all(text, '{_PRE_SQL}') AS ps FROM documents)"""))
+def q_pretokenize(spark, sf):
+    docs = fx.documents(spark, sf)
+    ps = B.pretokenize(F.col("text"))
+    return docs.select("doc_id", F.size(ps).alias("n_pieces"),
+                       F.concat_ws(" ", ps).alias("pieces"))
+
+
+_BPE_MEMO: dict[tuple[int, str], B.BpeModel] = {}
+
+
+def bpe_model(spark, sf) -> B.BpeModel:
+    key = (id(spark), sf)
+    if key not in _BPE_MEMO:
+        _BPE_MEMO[key] = B.bpe_train(fx.documents(spark, sf), "text",
+                                     max_merges=BPE_DEMO_MERGES)
+    return _BPE_MEMO[key]
+
+
+@query("bpe_train")
+def q_bpe_train(spark, sf):
+    return bpe_model(spark, sf).vocab
+
+
+@query("bpe_vocab_filter")
+def q_bpe_vocab_filter(spark, sf):
+    return B.bpe_vocab_filter(bpe_model(spark, sf).vocab)
+
+
+@query("vocab_segment")
+def q_vocab_segment(spark, sf):
+    """Segment every document with the filtered BPE vocabulary read back from a
+    vocabulary file (+ the special tokens), leftmost-longest."""
+    from colloquia.sources.textfile import vocab_scan, write_vocab
+
+    path = scratch_path(spark, "bpe-vocab")
+    filtered = B.bpe_vocab_filter(bpe_model(spark, sf).vocab)
+    write_vocab(filtered.withColumn("token_id", F.monotonically_increasing_id()), path,
+                order_col="token")
+    vocab = [r["token"] for r in vocab_scan(spark, path).collect()]  # capped at 20,000 entries
+    seg = B.segment_udf(vocab + list(B.BPE_SPECIALS))
+    docs = fx.documents(spark, sf)
+    toks = docs.select("doc_id", seg(F.col("text")).alias("tokens"))
+    return toks.select("doc_id", F.size("tokens").alias("n_tokens"),
+                       F.size(F.filter("tokens", lambda t: t == "<UNK>")).alias("n_unk"))

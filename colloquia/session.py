@@ -50,6 +50,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def reliable_checkpoint(df):
+    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
+
+    Persisting first lets the eager count and the checkpoint write share one
+    computation (a bare reliable checkpoint computes its input twice).
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_root(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared checkpoint folder."""
     root = checkpoint_root(spark)
