@@ -7,10 +7,12 @@ the DuckDB oracle in ``ORACLE``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquia.functions.register import STANDIN_LEXICON
 from colloquia.operators import clean
@@ -719,3 +721,154 @@ def q_vocab_segment(spark, sf):
     toks = docs.select("doc_id", seg(F.col("text")).alias("tokens"))
     return toks.select("doc_id", F.size("tokens").alias("n_tokens"),
                        F.size(F.filter("tokens", lambda t: t == "<UNK>")).alias("n_unk"))
+
+
+# --- 2.1 remaining scans and sinks ---------------------------------------------------------
+
+from colloquia.sources import registry as R  # noqa: E402
+from colloquia.sources.songs import MAX_PAGES, MAX_SONGS, song_listing  # noqa: E402
+from colloquia.sources.textfile import vocab_scan, write_token_lines, write_vocab  # noqa: E402
+
+SONG_PAGE_DOCS = 50   # documents per search-reply page in the derived replies
+
+
+def search_replies(docs: DataFrame) -> DataFrame:
+    """``artist, page, payload``: one search reply per (source, page) of documents.
+
+    A document is a hit of its source; English and French ones name the source
+    (upper case) as primary artist, the others a different artist.  Pages hold
+    ``SONG_PAGE_DOCS`` consecutive document ids, so some sources miss pages.
+    """
+    hit = F.struct(F.struct(
+        F.try_element_at(fx.T.split_lines("text"), F.lit(1)).alias("title"),
+        F.concat(F.lit("https://songs.invalid/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("doc_id").alias("id"),
+        F.struct(F.when(F.col("lang").isin("en", "fr"), F.upper("source"))
+                 .otherwise(F.lit("Various Artists")).alias("name")).alias("primary_artist"))
+        .alias("result"))
+    paged = docs.select(F.col("source").alias("artist"),
+                        (F.floor(F.col("doc_id") / SONG_PAGE_DOCS) + 1).cast("int").alias("page"),
+                        "doc_id", hit.alias("hit"))
+    # at most SONG_PAGE_DOCS hits per (artist, page) group
+    pages = paged.groupBy("artist", "page").agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "hit"))).alias("hs"))
+    payload = F.to_json(F.struct(F.struct(F.col("hs.hit").alias("hits")).alias("response")))
+    return pages.select("artist", "page", payload.alias("payload"))
+
+
+O.cte("song_hits", f"""
+SELECT source AS artist, CAST(doc_id // {SONG_PAGE_DOCS} + 1 AS INTEGER) AS page, doc_id,
+       {O.split_lines('text')}[1] AS title, 'https://songs.invalid/' || CAST(doc_id AS VARCHAR) AS url,
+       CASE WHEN lang IN ('en', 'fr') THEN upper(source) ELSE 'Various Artists' END AS name
+FROM documents""")
+
+
+@query("song_listing", O.sql(f"""
+SELECT artist, song_no, title, url, id FROM (
+  SELECT h.artist, h.title, h.url, h.doc_id AS id,
+         CAST(row_number() OVER (PARTITION BY h.artist ORDER BY h.page, h.doc_id) - 1 AS BIGINT)
+             AS song_no
+  FROM song_hits h
+  JOIN (SELECT artist, page FROM (
+          SELECT artist, page, row_number() OVER (PARTITION BY artist ORDER BY page) AS k
+          FROM (SELECT DISTINCT artist, page FROM song_hits WHERE page BETWEEN 1 AND {MAX_PAGES}))
+        WHERE k = page) ok ON ok.artist = h.artist AND ok.page = h.page
+  WHERE lower(h.name) = lower(h.artist))
+WHERE song_no < {MAX_SONGS}""", "song_hits"))
+def q_song_listing(spark, sf):
+    return song_listing(search_replies(fx.documents(spark, sf)))
+
+
+@query("vocab_scan", O.sql("SELECT token_id, token FROM vfinal", "vfinal"))
+def q_vocab_scan(spark, sf):
+    path = scratch_path(spark, "vocab-txt")
+    write_vocab(reference_word_vocab(spark, sf), path)
+    return vocab_scan(spark, path)
+
+
+@query("token_lines_sink", O.sql("SELECT line FROM ws_tokens", "ws_tokens"))
+def q_token_lines_sink(spark, sf):
+    path = scratch_path(spark, "token-lines")
+    toks = V.whitespace_tokenize(fx.documents(spark, sf), "text", ["doc_id"],
+                                 reference_word_vocab(spark, sf))
+    write_token_lines(toks, "tokens", path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("source_registry", O.sql(f"""
+SELECT r.name, r.role, r.register, r.status, CAST(coalesce(c.n, 0) AS BIGINT) AS n_records
+FROM (VALUES {", ".join(f"('{n}', '{g}', '{o}', '{s}')" for n, g, o, s, _ in R.SOURCES)})
+     AS r(name, register, role, status)
+LEFT JOIN (SELECT source, count(*) AS n FROM (
+             SELECT source FROM flavor UNION ALL SELECT source FROM pairs_subs
+             UNION ALL SELECT source FROM pairs_opus UNION ALL SELECT source FROM synth)
+           GROUP BY source) c ON c.source = r.name
+WHERE r.status = 'active'""", "flavor", "pairs_subs", "pairs_opus", "synth"))
+def q_source_registry(spark, sf):
+    lp = fx.line_pairs(fx.documents(spark, sf))
+    corpus = (flavor_from_documents(spark, sf).select("source")
+              .unionByName(clean.pair_cap(clean.pair_clean(lp, "opensubtitles_enfi"),
+                                          DEFAULT_PAIR_CAP).select("source"))
+              .unionByName(clean.pair_cap(clean.pair_clean(lp, "opus_100"),
+                                          DEFAULT_PAIR_CAP).select("source"))
+              .unionByName(_synth_pairs_lazy(spark, sf).select("source")))
+    counts = corpus.groupBy("source").agg(F.count(F.lit(1)).alias("n_records"))
+    reg = R.active_sources(R.source_registry(spark))
+    # the registry is a handful of hand-written rows: broadcast it
+    out = F.broadcast(reg).join(counts, reg["name"] == counts["source"], "left")
+    return out.select("name", "role", "register", "status",
+                      F.coalesce(F.col("n_records"), F.lit(0)).cast("long").alias("n_records"))
+
+
+@query("fi_text_union", O.sql("SELECT id, fi FROM flavor UNION ALL SELECT id, fi FROM synth",
+                              "flavor", "synth"))
+def q_fi_text_union(spark, sf):
+    return flavor_from_documents(spark, sf).select("id", "fi").unionByName(
+        _synth_pairs_lazy(spark, sf).select("id", "fi"))
+
+
+# --- 2.4b streaming -------------------------------------------------------------------------
+
+from colloquia.sources.pairs import FLAT_SCHEMA  # noqa: E402
+from colloquia.streaming import pipelines as ST  # noqa: E402
+
+
+@query("stream_pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
+def q_stream_pair_clean(spark, sf):
+    src = scratch_path(spark, "stream-pairs-in")
+    fx.line_pairs(fx.documents(spark, sf)).repartition(4).write.parquet(src)
+    return ST.stream_pair_clean(spark, src, FLAT_SCHEMA, scratch_path(spark, "stream-pairs-out"),
+                                scratch_path(spark, "stream-pairs-ckpt"), "opus_100",
+                                max_files=1).select("source", "id", "en", "fi", "register", "pos")
+
+
+@query("stream_synth_resume", O.sql(f"""
+SELECT * FROM run1 UNION ALL
+{O._synth_rows("(SELECT * FROM stub WHERE 'synth-' || id NOT IN (SELECT id FROM run1))")}""",
+                                    "stub", "run1"))
+def q_stream_synth_resume(spark, sf):
+    """Earlier output (run of 500 lines) exists; the stream covers every line."""
+    out = scratch_path(spark, "stream-synth-out")
+    _run1(spark, sf).write.option("ignoreNullFields", "false").json(
+        os.path.join(out, "batch=-1"))
+    src = scratch_path(spark, "stream-synth-in")
+    _synth_source(spark, sf).repartition(4).write.json(src)
+    schema = T.StructType([T.StructField("id", T.StringType()),
+                           T.StructField("fi", T.StringType()),
+                           T.StructField("idx", T.LongType())])
+    return ST.stream_synth_resume(spark, src, schema, out, scratch_path(spark, "stream-synth-ckpt"),
+                                  S.mirror_translator_factory, SYNTH_MODEL, max_files=1)
+
+
+@query("stream_dedup", O.sql("SELECT DISTINCT lower(line) AS key FROM dl", "dl"))
+def q_stream_dedup(spark, sf):
+    src = scratch_path(spark, "stream-lines-in")
+    fx.doc_lines(fx.documents(spark, sf)).repartition(4).write.parquet(src)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()),
+                           T.StructField("source", T.StringType()),
+                           T.StructField("lang", T.StringType()),
+                           T.StructField("line_no", T.IntegerType()),
+                           T.StructField("line", T.StringType())])
+    out = ST.stream_dedup(spark, src, schema, "line", scratch_path(spark, "stream-dedup-out"),
+                          scratch_path(spark, "stream-dedup-ckpt"), max_files=1)
+    return out.select("key")
