@@ -29,7 +29,8 @@ def register_rate(scored: DataFrame, group_cols: Sequence[str] = (),
     Partial aggregation: two counters per group cross the shuffle.
     """
     agg = [F.count(F.lit(1)).alias("n_texts"),
-           F.sum(F.when(F.col(score_col) > 0, 1).otherwise(0)).cast("long").alias("n_spoken")]
+           F.coalesce(F.sum(F.when(F.col(score_col) > 0, 1).otherwise(0)), F.lit(0))
+           .cast("long").alias("n_spoken")]
     out = scored.groupBy(*group_cols).agg(*agg)
     return out.withColumn("rate", F.when(F.col("n_texts") == 0, F.lit(0.0)).otherwise(
         F.col("n_spoken").cast("double") / F.col("n_texts")))
