@@ -43,11 +43,14 @@ def split_lines(c: Column | str) -> Column:
     """Python ``str.splitlines()``: split on line boundaries, no trailing piece.
 
     ``split`` leaves one trailing empty piece after a final line break (and
-    returns ``['']`` for an empty string); Python does not, so drop it.
+    returns ``['']`` for an empty string); Python does not.  Removing one
+    final break first (``\\z``: the very end, unlike ``$``) keeps it to a
+    single split.
     """
-    parts = F.split(_c(c), LB, -1)
-    n = F.size(parts)
-    return F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, n - 1)).otherwise(parts)
+    text = _c(c)
+    body = F.regexp_replace(text, f"(?:{LB})\\z", "")   # drop one final line break
+    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(body, LB, -1))
 
 
 def word_tokens(c: Column | str) -> Column:

@@ -26,10 +26,14 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (
 
 
 def clean_line(c: Column) -> Column:
-    """One raw line through the lyric cleaner; null when the line is dropped."""
-    s = T.strip(F.regexp_replace(c, CRUFT, ""))
-    keep = (F.length(s) > 0) & ~s.rlike(BRACKET_TAG)
-    return F.when(keep, T.collapse_ws(s))
+    """One raw line through the lyric cleaner; null when the line is dropped.
+
+    The emptiness and bracket tests are made after collapsing: collapsing a
+    stripped line keeps its first and last character, so the outcome is the
+    same and one chain of regexes serves all three uses.
+    """
+    t = T.collapse_ws(T.strip(F.regexp_replace(c, CRUFT, "")))
+    return F.when((F.length(t) > 0) & ~t.rlike(BRACKET_TAG), t)
 
 
 def lyric_line_clean(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (),
@@ -41,17 +45,17 @@ def lyric_line_clean(df: DataFrame, text_col: str = "text", keep: Sequence[str]
 
 
 def dedup_first(df: DataFrame, text_col: str, order_by: Sequence[str]) -> DataFrame:
-    """Keep the first row (in ``order_by``) of every case-insensitive text.
+    """Keep the first row (in ``order_by``, unique) of every case-insensitive text.
 
-    ``min_by`` over a struct key aggregates partially on the map side, so a
-    chorus repeated in a third of all rows collapses before the shuffle.
+    ``min`` over a struct led by the order keys picks that row in an object
+    hash aggregate with a map-side partial step, so a chorus repeated in a
+    third of all rows collapses before the shuffle.
     """
-    cols = df.columns
-    rec = F.struct(*[F.col(c) for c in cols])
-    key = F.struct(*[F.col(c) for c in order_by])
+    rest = [c for c in df.columns if c not in order_by]
+    rec = F.struct(*[F.col(c) for c in [*order_by, *rest]])
     return (df.groupBy(F.lower(F.col(text_col)).alias("_dedup_key"))
-            .agg(F.min_by(rec, key).alias("_rec"))
-            .select("_rec.*"))
+            .agg(F.min(rec).alias("_rec"))
+            .select(*[F.col(f"_rec.{c}").alias(c) for c in df.columns]))
 
 
 def tag_titles(lines: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_col: str,

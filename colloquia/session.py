@@ -80,5 +80,19 @@ def local_path(path: str) -> str:
     return path
 
 
+def spread(df):
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A small table stored as one file with one row group is read by a single
+    task; everything downstream would then run on one core.  Large inputs
+    already have at least that many splits and pass through untouched (the
+    partition count is known from planning, no job runs).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
