@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquia.session import checkpoint_root, reliable_checkpoint
+from colloquia.session import checkpoint_root, reliable_checkpoint, ship_package
 
 # The reference's BPE training settings.
 BPE_SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>")
@@ -219,6 +219,7 @@ def segment_udf(vocab_tokens: list[str], unk: str = "<UNK>"):
     whose size is bounded by the vocabulary file cap.
     """
     spark = SparkSession.getActiveSession()
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(sorted(set(vocab_tokens)))
     state: dict = {}
 

@@ -131,6 +131,10 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
         return df.limit(0)
     if n <= TOPK_LIMIT:
         return df.orderBy(*order_by).limit(n)
+    # a cap above the row count keeps everything: one counting job instead
+    # of a range shuffle (the common case for large default caps)
+    if df.count() <= n:
+        return df
     return dense_index(df, order_by, "_cap_idx").where(F.col("_cap_idx") < n).drop("_cap_idx")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
-from colloquia.session import reliable_checkpoint
+from colloquia.session import reliable_checkpoint, ship_package
 
 # The reference's back-translation request settings.
 SYSTEM_PROMPT = (
@@ -78,6 +78,7 @@ def backtranslate(df: DataFrame, factory: TranslatorFactory, model: str,
                   text_col: str = "fi", id_col: str = "id",
                   num_partitions: int | None = None) -> DataFrame:
     """``id, fi, en_raw, error`` for every input row (one call per row or batch)."""
+    ship_package(df.sparkSession)
     system = system_prompt(model)
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("fi"))
     if num_partitions:

@@ -248,7 +248,7 @@ DEFAULT_PAIR_CAP = 200_000   # fixed value: the reference's default cap
 
 def _write_lp(spark, sf, nested: bool = False) -> str:
     path = scratch_path(spark, "lp-nested" if nested else "lp-flat")
-    lp = fx.line_pairs(fx.documents(spark, sf))
+    lp = fx.line_pairs_of(spark, sf)
     (to_nested(lp) if nested else lp).write.mode("overwrite").parquet(path)
     return path
 
@@ -265,13 +265,13 @@ def q_pairs_scan_nested(spark, sf):
 
 @query("pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
 def q_pair_clean(spark, sf):
-    return clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    return clean.pair_clean(fx.line_pairs_of(spark, sf), "opus_100")
 
 
 @query("pair_cap", O.sql(f"SELECT * FROM pairs_opus ORDER BY pos LIMIT {PAIR_CAP_DEMO}",
                          "pairs_opus"))
 def q_pair_cap(spark, sf):
-    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    pairs = clean.pair_clean(fx.line_pairs_of(spark, sf), "opus_100")
     return clean.pair_cap(pairs, PAIR_CAP_DEMO)
 
 
@@ -306,7 +306,7 @@ def q_jsonl_scan(spark, sf):
 @query("jsonl_sink", O.sql("SELECT id, en, fi, source, register FROM pairs_opus", "pairs_opus"))
 def q_jsonl_sink(spark, sf):
     path = scratch_path(spark, "pairs-jsonl")
-    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    pairs = clean.pair_clean(fx.line_pairs_of(spark, sf), "opus_100")
     n = write_jsonl(pairs.select("source", "id", "en", "fi", "register"), path)
     text = spark.read.text(path)
     got = text.select(*[F.get_json_object("value", f"$.{c}").alias(c)
@@ -591,7 +591,7 @@ def q_epoch_shards(spark, sf):
 SELECT id, 'Translate to Finnish: ' || coalesce(en, '') AS user_content,
        coalesce(fi, '') AS assistant_content FROM pairs_opus""", "pairs_opus"))
 def q_chat_rows_pairs(spark, sf):
-    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    pairs = clean.pair_clean(fx.line_pairs_of(spark, sf), "opus_100")
     rows = C.chat_rows_pairs(pairs)
     return rows.select("id", F.col("messages")[0]["content"].alias("user_content"),
                        F.col("messages")[1]["content"].alias("assistant_content"))
@@ -618,7 +618,7 @@ def q_chat_rows_flavor(spark, sf):
 SELECT id, 'user: Translate to Finnish: ' || en || chr(10) || 'assistant: ' || fi AS text
 FROM pairs_opus ORDER BY pos LIMIT 1""", "pairs_opus"))
 def q_formatted_example(spark, sf):
-    pairs = clean.pair_clean(fx.line_pairs(fx.documents(spark, sf)), "opus_100")
+    pairs = clean.pair_clean(fx.line_pairs_of(spark, sf), "opus_100")
     first = C.chat_rows_pairs(pairs.orderBy("pos").limit(1))
     return first.select("id", C.formatted_text(F.col("messages")).alias("text"))
 
@@ -805,7 +805,7 @@ LEFT JOIN (SELECT source, count(*) AS n FROM (
            GROUP BY source) c ON c.source = r.name
 WHERE r.status = 'active'""", "flavor", "pairs_subs", "pairs_opus", "synth"))
 def q_source_registry(spark, sf):
-    lp = fx.line_pairs(fx.documents(spark, sf))
+    lp = fx.line_pairs_of(spark, sf)
     corpus = (flavor_from_documents(spark, sf).select("source")
               .unionByName(clean.pair_cap(clean.pair_clean(lp, "opensubtitles_enfi"),
                                           DEFAULT_PAIR_CAP).select("source"))
@@ -836,7 +836,7 @@ from colloquia.streaming import pipelines as ST  # noqa: E402
 @query("stream_pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
 def q_stream_pair_clean(spark, sf):
     src = scratch_path(spark, "stream-pairs-in")
-    fx.line_pairs(fx.documents(spark, sf)).repartition(4).write.parquet(src)
+    fx.line_pairs_of(spark, sf).repartition(2).write.parquet(src)
     return ST.stream_pair_clean(spark, src, FLAT_SCHEMA, scratch_path(spark, "stream-pairs-out"),
                                 scratch_path(spark, "stream-pairs-ckpt"), "opus_100",
                                 max_files=1).select("source", "id", "en", "fi", "register", "pos")
@@ -852,7 +852,7 @@ def q_stream_synth_resume(spark, sf):
     _run1(spark, sf).write.option("ignoreNullFields", "false").json(
         os.path.join(out, "batch=-1"))
     src = scratch_path(spark, "stream-synth-in")
-    _synth_source(spark, sf).repartition(4).write.json(src)
+    _synth_source(spark, sf).repartition(2).write.json(src)
     schema = T.StructType([T.StructField("id", T.StringType()),
                            T.StructField("fi", T.StringType()),
                            T.StructField("idx", T.LongType())])
@@ -863,7 +863,7 @@ def q_stream_synth_resume(spark, sf):
 @query("stream_dedup", O.sql("SELECT DISTINCT lower(line) AS key FROM dl", "dl"))
 def q_stream_dedup(spark, sf):
     src = scratch_path(spark, "stream-lines-in")
-    fx.doc_lines(fx.documents(spark, sf)).repartition(4).write.parquet(src)
+    fx.doc_lines(fx.documents(spark, sf)).repartition(2).write.parquet(src)
     schema = T.StructType([T.StructField("doc_id", T.LongType()),
                            T.StructField("source", T.StringType()),
                            T.StructField("lang", T.StringType()),

@@ -94,5 +94,41 @@ def spread(df):
     return df
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``colloquia`` importable in Python workers (``addPyFile`` of a zip).
+
+    Arrow functions pickle references to this package; executors (and local
+    workers started outside the repository) need the package on their path.
+    Done once per SparkContext; the zip lands in the shared checkpoint folder
+    when that is a plain path, else in the driver's temp folder, and Spark's
+    file server hands it to every executor.
+    """
+    import zipfile
+
+    import colloquia
+
+    sc = spark.sparkContext
+    key = id(sc._jsc) if hasattr(sc, "_jsc") else id(sc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(colloquia.__file__))
+    root = checkpoint_root(spark)
+    folder = local_path(root) if (root.startswith("file:") or "://" not in root) \
+        else tempfile.gettempdir()
+    os.makedirs(folder, exist_ok=True)
+    zpath = os.path.join(folder, f"colloquia-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))

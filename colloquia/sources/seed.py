@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions.text import LB
 from colloquia.operators.order import chunked_scan
-from colloquia.session import local_path
+from colloquia.session import local_path, ship_package
 
 # File stems (case-insensitive) that are never seed text.
 SKIP_STEMS = ("readme", "_readme", "example")
@@ -61,6 +61,7 @@ def write_named_text_files(df: DataFrame, out_dir: str, name_col: str, line_col:
     """
     import pyarrow.fs as pafs
 
+    ship_package(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.select(F.col(name_col).alias("name"), F.col(line_col).alias("line"),
                          *order_by)
