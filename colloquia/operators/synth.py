@@ -119,11 +119,22 @@ def pairs_from_translations(raw: DataFrame) -> DataFrame:
         "en", "fi", F.lit(SYNTH_REGISTER).alias("register"))
 
 
+def first_rows(source: DataFrame, limit: int | None, order_col: str = "idx",
+               dense: bool = True) -> DataFrame:
+    """The first ``limit`` rows (0/None = all).  When ``order_col`` is a dense
+    0-based index (the flavor corpus' ``idx``) that is a plain filter."""
+    if not limit:
+        return source
+    if dense:
+        return source.where(F.col(order_col) < limit)
+    return first_n(source, limit, [order_col])
+
+
 def plan_batch(source: DataFrame, existing: DataFrame | None, limit: int | None,
-               order_col: str = "idx") -> DataFrame:
+               order_col: str = "idx", dense: bool = True) -> DataFrame:
     """Rows of this run: the first ``limit`` source rows (0/None = all), minus
     those whose ``synth-<id>`` is already written (anti join on id)."""
-    batch = first_n(source, limit, [order_col]) if limit else source
+    batch = first_rows(source, limit, order_col, dense)
     if existing is None:
         return batch
     done = existing.select(F.col("id").alias("_done_id"))
@@ -144,9 +155,9 @@ def synthesize(source: DataFrame, existing: DataFrame | None, factory: Translato
 
 
 def synth_progress(source: DataFrame, existing: DataFrame | None, raw: DataFrame,
-                   limit: int | None, order_col: str = "idx") -> DataFrame:
+                   limit: int | None, order_col: str = "idx", dense: bool = True) -> DataFrame:
     """``status, n``: skipped (already done), failed, dropped (empty/short), added."""
-    batch = first_n(source, limit, [order_col]) if limit else source
+    batch = first_rows(source, limit, order_col, dense)
     n_batch = batch.select(F.count(F.lit(1))).scalar()
     en = tidy_output(F.col("en_raw"))
     status = (F.when(F.col("error").isNotNull(), F.lit("failed"))

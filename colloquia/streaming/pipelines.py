@@ -63,7 +63,7 @@ def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
             return None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        todo = S.plan_batch(batch, done_ids(batch_id), None)
+        todo = S.plan_batch(batch, done_ids(batch_id), None)   # no limit: every arriving row
         new = S.pairs_from_translations(S.backtranslate(todo, factory, model))
         (new.write.mode("overwrite").option("ignoreNullFields", "false")
          .json(os.path.join(out_path, f"batch={batch_id}")))
