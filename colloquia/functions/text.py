@@ -58,6 +58,19 @@ def word_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_c(c)), F.lit(WORD), 0)
 
 
+def compute_once(df, keep, **exprs):
+    """Select ``keep`` plus ``exprs`` evaluated exactly once per row.
+
+    A later filter on a projected expression is pushed below the projection
+    with the expression substituted, so an expensive regex chain would run in
+    the filter and again in the projection.  Generated columns are a barrier
+    to that push-down: the expressions go through ``inline`` of a one-element
+    array.
+    """
+    packed = F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))
+    return df.select(*keep, F.inline(packed))
+
+
 def json_string(c: Column | str) -> Column:
     """A JSON string literal of ``c`` (quotes and escapes), UTF-8 unescaped."""
     arr = F.to_json(F.array(_c(c)))

@@ -90,18 +90,16 @@ def token_ids(df: DataFrame, text_col: str, key_cols: Sequence[str], vocab: Data
               unk_id: int, vocab_bound: int | None = None) -> DataFrame:
     """``key_cols..., ids``: vocabulary id of every whitespace token (lower-cased
     lookup), ``unk_id`` when missing, in token order."""
-    toks = df.select(*key_cols, F.posexplode(ws_split(F.col(text_col))).alias("p", "t"))
+    toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
     voc = vocab.groupBy(F.col("token").alias("_vt")).agg(F.min("token_id").alias("_vid"))
     if vocab_bound is not None and vocab_bound <= MAX_TOPK_ROWS:
         voc = F.broadcast(voc)
     joined = toks.join(voc, F.lower(F.col("t")) == F.col("_vt"), "left")
     ided = joined.select(*key_cols, "p", F.coalesce(F.col("_vid"), F.lit(unk_id))
                          .cast("int").alias("i"))
-    out = ided.groupBy(*key_cols).agg(F.sort_array(F.collect_list(F.struct("p", "i")))
-                                      .alias("pi")).select(*key_cols, F.col("pi.i").alias("ids"))
-    empty = df.where(F.size(ws_split(F.col(text_col))) == 0).select(
-        *key_cols, F.array().cast("array<int>").alias("ids"))
-    return out.unionByName(empty)
+    item = F.when(F.col("p").isNotNull(), F.struct("p", "i"))   # rows without tokens: []
+    return ided.groupBy(*key_cols).agg(F.sort_array(F.collect_list(item)).alias("pi")) \
+        .select(*key_cols, F.col("pi.i").alias("ids"))
 
 
 def fixed_length_rows(ids: Column, eos_id: int, max_len: int = MAX_LEN) -> Column:

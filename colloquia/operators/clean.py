@@ -25,23 +25,36 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (
     return df.select(*keep, F.posexplode(T.split_lines(text_col)).alias(pos_col, line_col))
 
 
-def clean_line(c: Column) -> Column:
-    """One raw line through the lyric cleaner; null when the line is dropped.
+def clean_chain(c: Column) -> Column:
+    """Cruft removed, stripped, whitespace collapsed (before the keep test).
 
-    The emptiness and bracket tests are made after collapsing: collapsing a
-    stripped line keeps its first and last character, so the outcome is the
-    same and one chain of regexes serves all three uses.
+    Collapsing a stripped line keeps its first and last character, so the
+    emptiness and bracket tests may run on the collapsed text.
     """
-    t = T.collapse_ws(T.strip(F.regexp_replace(c, CRUFT, "")))
-    return F.when((F.length(t) > 0) & ~t.rlike(BRACKET_TAG), t)
+    return T.collapse_ws(T.strip(F.regexp_replace(c, CRUFT, "")))
+
+
+def kept_line(t: Column) -> Column:
+    """Keep test on a ``clean_chain`` result: non-empty, not a bracket tag."""
+    return (F.length(t) > 0) & ~t.rlike(BRACKET_TAG)
+
+
+def clean_line(c: Column) -> Column:
+    """One raw line through the lyric cleaner; null when the line is dropped."""
+    t = clean_chain(c)
+    return F.when(kept_line(t), t)
 
 
 def lyric_line_clean(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (),
                      line_col: str = "line", pos_col: str = "line_no") -> DataFrame:
-    """``clean_lyric_lines``: split raw text, drop cruft, tags and blanks."""
-    lines = explode_lines(df, text_col, keep, "_raw", pos_col)
-    return (lines.select(*keep, pos_col, clean_line(F.col("_raw")).alias(line_col))
-            .where(F.col(line_col).isNotNull()))
+    """``clean_lyric_lines``: split raw text, drop cruft, tags and blanks.
+
+    Lines are cleaned inside the generator (one pass of the regex chain per
+    line); the keep test then filters generated rows.
+    """
+    pieces = df.select(*keep, F.posexplode(F.transform(T.split_lines(text_col), clean_chain))
+                       .alias(pos_col, line_col))
+    return pieces.where(kept_line(F.col(line_col)))
 
 
 def dedup_first(df: DataFrame, text_col: str, order_by: Sequence[str]) -> DataFrame:
@@ -65,9 +78,8 @@ def tag_titles(lines: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_
     Input ``line`` is raw; output adds ``s`` (stripped line), ``is_title`` and
     ``title`` (``''`` before the first ``#`` line of a file and after a bare ``#``).
     """
-    s = T.strip(F.col("line"))
-    marked = (lines.withColumn("s", s)
-              .where(F.length("s") > 0)
+    stripped = T.compute_once(lines, lines.columns, s=T.strip(F.col("line")))
+    marked = (stripped.where(F.length("s") > 0)
               .withColumn("is_title", F.col("s").startswith("#"))
               .withColumn("_title_set", F.when(
                   F.col("is_title"), T.strip(F.regexp_replace("s", "^#+", "")))))
@@ -84,10 +96,9 @@ def flavor_corpus(seed_lines: DataFrame, source: str = "genius_rap",
     is the reading order and files are taken in name order.
     """
     titled = tag_titles(seed_lines, ["file"], "chunk", "pos", chunk_bound)
-    body = (titled.where(~F.col("is_title"))
-            .withColumn("fi", clean_line(F.col("s")))
-            .where(F.col("fi").isNotNull() & (F.length("fi") >= MIN_FLAVOR_LEN))
-            .select("file", "chunk", "pos", "artist", "title", "fi"))
+    body = (T.compute_once(titled.where(~F.col("is_title")),
+                           ["file", "chunk", "pos", "artist", "title"], fi=clean_chain(F.col("s")))
+            .where(kept_line(F.col("fi")) & (F.length("fi") >= MIN_FLAVOR_LEN)))
     first = dedup_first(body, "fi", ["file", "chunk", "pos"])
     numbered = dense_index(first, ["file", "chunk", "pos"], "idx")
     return numbered.select(
@@ -106,12 +117,12 @@ def pair_clean(df: DataFrame, source: str, pos_col: str = "pos", en_col: str = "
 
     Rows with a null side are dropped (the reference would raise).
     """
-    en, fi = T.strip(F.col(en_col)), T.strip(F.col(fi_col))
-    ok = (F.length(en).between(PAIR_MIN_LEN, PAIR_MAX_LEN)
-          & F.length(fi).between(PAIR_MIN_LEN, PAIR_MAX_LEN))
-    return (df.where(F.col(en_col).isNotNull() & F.col(fi_col).isNotNull())
-            .select(F.col(pos_col).alias("pos"), en.alias("_en"), fi.alias("_fi"))
-            .where(ok)
+    present = df.where(F.col(en_col).isNotNull() & F.col(fi_col).isNotNull())
+    stripped = T.compute_once(present, [F.col(pos_col).alias("pos")],
+                              _en=T.strip(F.col(en_col)), _fi=T.strip(F.col(fi_col)))
+    ok = (F.length("_en").between(PAIR_MIN_LEN, PAIR_MAX_LEN)
+          & F.length("_fi").between(PAIR_MIN_LEN, PAIR_MAX_LEN))
+    return (stripped.where(ok)
             .select(
                 F.lit(source).alias("source"),
                 F.concat(F.lit(f"{source}-"), F.col("pos").cast("string")).alias("id"),

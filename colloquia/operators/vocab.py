@@ -134,18 +134,15 @@ def whitespace_tokenize(df: DataFrame, text_col: str, key_cols: Sequence[str],
     Tokens are exploded with their position, joined to the vocabulary (a
     broadcast when its size is bounded) and gathered back per row in order.
     """
-    toks = df.select(*key_cols, F.posexplode(ws_split(F.col(text_col))).alias("p", "t"))
+    # explode_outer keeps rows without tokens (as one null token) in one pass
+    toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
     joined = toks.join(_vocab_side(vocab, token_col, vocab_bound),
                        F.lower(F.col("t")) == F.col("_vtok"), "left")
     mapped = joined.select(*key_cols, "p", F.when(F.col("_vtok").isNotNull(), F.col("t"))
                            .otherwise(F.lit(UNK)).alias("t"))
-    gathered = mapped.groupBy(*key_cols).agg(F.sort_array(F.collect_list(F.struct("p", "t")))
-                                             .alias("pt"))
-    out = gathered.select(*key_cols, F.col("pt.t").alias("tokens"))
-    # rows without any token keep an empty token list
-    empty = df.where(F.size(ws_split(F.col(text_col))) == 0).select(
-        *key_cols, F.array().cast("array<string>").alias("tokens"))
-    return out.unionByName(empty)
+    item = F.when(F.col("p").isNotNull(), F.struct("p", "t"))   # collect_list skips nulls
+    gathered = mapped.groupBy(*key_cols).agg(F.sort_array(F.collect_list(item)).alias("pt"))
+    return gathered.select(*key_cols, F.col("pt.t").alias("tokens"))
 
 
 def raw_token_count(df: DataFrame, text_col: str) -> DataFrame:
