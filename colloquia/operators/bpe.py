@@ -36,7 +36,7 @@ BPE_VOCAB_SIZE = 20_000
 MIN_FREQUENCY = 2
 # Pre-tokeniser: runs of word characters, or runs of other non-space characters.
 PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
-CHECKPOINT_EVERY = 5
+CHECKPOINT_EVERY = 10
 _DEBUG = False
 CANDIDATES = 1_000   # pairs returned per round; exactness never depends on it
 
@@ -139,7 +139,7 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
              .groupBy("word", "cnt")
              .agg(F.sort_array(F.collect_list(F.struct("i", "id"))).alias("s"))
              .select("word", "cnt", F.col("s.id").alias("syms")))
-    table = reliable_checkpoint(table)
+    table = reliable_checkpoint(table.where(F.size("syms") >= 2))
 
     n_alpha = alpha.count()
     tokens: dict[int, str] = {}
@@ -165,10 +165,15 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
     limit = vocab_size - next_id
     if max_merges is not None:
         limit = min(limit, max_merges)
+    parent = None
     while len(merges) < limit:
-        # one job: pair counts, the best candidates come back to the driver
+        # one job: pair counts, the best candidates come back to the driver;
+        # it also materialises ``current`` from its still-cached parent
         top_rows = (_pair_counts(current).orderBy(F.col("n").desc(), "l", "r")
                     .limit(CANDIDATES + 1).collect())
+        if parent is not None:
+            parent.unpersist()
+            parent = None
         complete = len(top_rows) <= CANDIDATES
         top = [(int(r["n"]), int(r["l"]), int(r["r"])) for r in top_rows[:CANDIDATES]]
         chosen = choose_merges(top, complete, min_frequency, limit - len(merges))
@@ -180,7 +185,9 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
             merges.append((len(merges), tok(a), tok(b)))
             batch.append((a, b, next_id))
             next_id += 1
-        nxt = current.select("word", "cnt", _apply_merges(F.col("syms"), batch).alias("syms"))
+        # a word reduced to one symbol can never form a pair again: drop it
+        nxt = (current.select("word", "cnt", _apply_merges(F.col("syms"), batch).alias("syms"))
+               .where(F.size("syms") >= 2))
         rounds += 1
         if _DEBUG:
             import time as _t
@@ -188,9 +195,10 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
         if rounds % CHECKPOINT_EVERY == 0:
             nxt = reliable_checkpoint(nxt)
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        current.unpersist()
-        current = nxt
-    current.unpersist()
+        parent, current = current, nxt
+    for held in (parent, current):
+        if held is not None:
+            held.unpersist()
     spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
 
     sp = spark.createDataFrame([(i, t) for i, t in enumerate(specials)],
