@@ -61,3 +61,12 @@ def epoch_shards(df: DataFrame, id_col: str, batch_size: int = 4,
     ranked = dense_index(keyed, ["_ep_key", id_col], "position")
     return ranked.withColumn("batch_id", F.floor(F.col("position") / batch_size).cast("long")) \
         .drop("_ep_key")
+
+
+def write_shards(shards: DataFrame, path: str, rows_per_file: int,
+                 order_col: str = "position") -> None:
+    """Export shuffled batches in order: range-partitioned on the position,
+    sorted within partitions, at most ``rows_per_file`` rows per file."""
+    n = max(1, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    (shards.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path))

@@ -110,6 +110,11 @@ def vocab_topk(counts: DataFrame, n: int) -> DataFrame:
     return top.select((F.row_number().over(w) - 1).cast("long").alias("token_id"), "word", "cnt")
 
 
+def keyword_table(spark, words=KEYWORD_TARGETS) -> DataFrame:
+    """``keyword``: the words to look for (the reference's list by default)."""
+    return spark.createDataFrame([(w,) for w in words], "keyword string")
+
+
 def keyword_coverage(vocab: DataFrame, keywords: DataFrame, token_col: str = "token",
                      keyword_col: str = "keyword") -> DataFrame:
     """``keyword, found``: exact membership of every keyword in the vocabulary."""

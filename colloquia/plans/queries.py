@@ -15,11 +15,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquia.functions.register import STANDIN_LEXICON
+from colloquia.operators import bpe as B
+from colloquia.operators import chat as C
 from colloquia.operators import clean
+from colloquia.operators import split as SP
+from colloquia.operators import synth as S
+from colloquia.operators import vocab as V
 from colloquia.operators.order import dense_index
 from colloquia.operators.register import marker_counts, register_rate, score_texts
 from colloquia.plans import fixtures as fx
 from colloquia.plans import oracle as O
+from colloquia.session import scratch_path
+from colloquia.sources import registry as R
+from colloquia.sources import seed as seed_src
+from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl
+from colloquia.sources.pairs import FLAT_SCHEMA
+from colloquia.sources.pairs import pairs_scan_flat, pairs_scan_nested, to_nested
+from colloquia.sources.songs import MAX_PAGES, MAX_SONGS, song_listing
+from colloquia.sources.textfile import vocab_scan, write_token_lines, write_vocab
+from colloquia.streaming import pipelines as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,11 +170,6 @@ def q_corpus_peek(spark, sf):
 
 # --- seed files, titles, flavor corpus ------------------------------------------------
 
-from colloquia.sources import seed as seed_src  # noqa: E402
-from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl  # noqa: E402
-from colloquia.sources.pairs import pairs_scan_flat, pairs_scan_nested, to_nested  # noqa: E402
-from colloquia.session import scratch_path  # noqa: E402
-
 
 def write_seed_fixture(spark, sf) -> str:
     """Write the documents' seed view as one ``artist_<source>.txt`` per source."""
@@ -317,7 +326,6 @@ def q_jsonl_sink(spark, sf):
 
 # --- 2.4 vocabularies ------------------------------------------------------------------------
 
-from colloquia.operators import vocab as V  # noqa: E402
 
 O.cte("words", f"""
 SELECT doc_id, CAST(unnest(generate_series(0, len(ts) - 1)) AS BIGINT) AS tok_pos,
@@ -406,7 +414,6 @@ def q_raw_token_count(spark, sf):
 
 # --- 2.4 synthesis ------------------------------------------------------------------------
 
-from colloquia.operators import synth as S  # noqa: E402
 
 SYNTH_MODEL = "stand-in-mirror"
 RUN1_LIMIT = 500   # an earlier, smaller run whose output the next run resumes from
@@ -505,9 +512,6 @@ def q_reply_tidy(spark, sf):
 
 # --- 2.4 splits, composition, chat rows -----------------------------------------------------
 
-from colloquia.operators import chat as C  # noqa: E402
-from colloquia.operators import split as SP  # noqa: E402
-
 
 def _synth_pairs_lazy(spark, sf) -> DataFrame:
     src = _synth_source(spark, sf)
@@ -584,7 +588,10 @@ SELECT id, CAST(row_number() OVER (ORDER BY {O.hash_key('id')}, id) - 1 AS BIGIN
 FROM composed WHERE split = 'train'""", "composed"))
 def q_epoch_shards(spark, sf):
     train = _composed(spark, sf).where(F.col("split") == "train").select("id")
-    return SP.epoch_shards(train, "id", C.BATCH_SIZE).select("id", "position", "batch_id")
+    shards = SP.epoch_shards(train, "id", C.BATCH_SIZE).select("id", "position", "batch_id")
+    path = scratch_path(spark, "epoch-shards")
+    SP.write_shards(shards, path, rows_per_file=C.BATCH_SIZE * 1000)
+    return spark.read.parquet(path)
 
 
 @query("chat_rows_pairs", O.sql("""
@@ -665,7 +672,6 @@ def q_fixed_length_rows(spark, sf):
 
 # --- 2.4 pre-tokeniser, BPE, segmentation --------------------------------------------------
 
-from colloquia.operators import bpe as B  # noqa: E402
 
 BPE_DEMO_MERGES = 50   # merges learned by the registered query (one Spark job each)
 _PRE_W = "[\\p{L}\\p{Nl}\\p{M}\\p{Nd}\\p{Pc}\\x{200c}\\x{200d}]"
@@ -725,9 +731,6 @@ def q_vocab_segment(spark, sf):
 
 # --- 2.1 remaining scans and sinks ---------------------------------------------------------
 
-from colloquia.sources import registry as R  # noqa: E402
-from colloquia.sources.songs import MAX_PAGES, MAX_SONGS, song_listing  # noqa: E402
-from colloquia.sources.textfile import vocab_scan, write_token_lines, write_vocab  # noqa: E402
 
 SONG_PAGE_DOCS = 50   # documents per search-reply page in the derived replies
 
@@ -829,9 +832,6 @@ def q_fi_text_union(spark, sf):
 
 # --- 2.4b streaming -------------------------------------------------------------------------
 
-from colloquia.sources.pairs import FLAT_SCHEMA  # noqa: E402
-from colloquia.streaming import pipelines as ST  # noqa: E402
-
 
 @query("stream_pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
 def q_stream_pair_clean(spark, sf):
