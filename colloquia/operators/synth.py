@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
-from colloquia.session import reliable_checkpoint, ship_package
+from colloquia.session import path_exists, reliable_checkpoint, ship_package
 
 # The reference's back-translation request settings.
 SYSTEM_PROMPT = (
@@ -181,11 +181,8 @@ def run_synthesis(spark: SparkSession, source: DataFrame, out_path: str,
     from colloquia.sources.jsonl import PAIR_SCHEMA, read_jsonl
 
     existing = None
-    try:
+    if path_exists(out_path):   # first run: nothing written yet
         existing = read_jsonl(spark, out_path, existing_schema or PAIR_SCHEMA)
-        existing.limit(1).count()
-    except Exception:  # noqa: BLE001 -- first run: nothing written yet
-        existing = None
     todo = plan_batch(source, existing, limit)
     new = pairs_from_translations(backtranslate(todo, factory, model))
     new = reliable_checkpoint(new)   # call the translator once, then write

@@ -94,6 +94,19 @@ def spread(df):
     return df
 
 
+def path_exists(path: str) -> bool:
+    """Whether a (local or remote) folder or file exists, without a Spark job."""
+    if path.startswith("file:") or "://" not in path:
+        return os.path.exists(local_path(path))
+    try:
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(path)
+        return fs.get_file_info(base).type != pafs.FileType.NotFound
+    except Exception:  # noqa: BLE001 -- unknown scheme: let the reader decide
+        return True
+
+
 _SHIPPED: set[int] = set()
 
 

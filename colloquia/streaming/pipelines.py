@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from colloquia.operators.clean import pair_clean
 from colloquia.operators import synth as S
+from colloquia.session import path_exists
 from colloquia.sources.jsonl import PAIR_SCHEMA
 
 
@@ -54,13 +55,11 @@ def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
     rows = reader.json(in_path)
 
     def done_ids(batch_id: int) -> DataFrame | None:
-        try:
-            prev = spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*"))
-            prev = prev.where(~F.input_file_name().contains(f"batch={batch_id}/"))
-            prev.limit(1).count()
-            return prev
-        except Exception:  # noqa: BLE001 -- nothing written yet
+        if not path_exists(out_path):   # nothing written yet
             return None
+        prev = spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*"))
+        # rows of this very batch id (a replay) are rewritten, not skipped
+        return prev.where(~F.input_file_name().contains(f"batch={batch_id}/"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         todo = S.plan_batch(batch, done_ids(batch_id), None)   # no limit: every arriving row
