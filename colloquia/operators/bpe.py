@@ -37,6 +37,7 @@ MIN_FREQUENCY = 2
 # Pre-tokeniser: runs of word characters, or runs of other non-space characters.
 PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
 CHECKPOINT_EVERY = 10
+ALPHABET_BROADCAST = 200_000   # alphabets up to this size are broadcast / kept on the driver
 _DEBUG = False
 CANDIDATES = 1_000   # pairs returned per round; exactness never depends on it
 
@@ -132,8 +133,9 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
     alpha = chars.select("ch", (F.row_number().over(Window.orderBy("ch")) - 1 + k)
                          .cast("int").alias("id"))
     alpha = reliable_checkpoint(alpha)
-    # the alphabet is bounded by the number of distinct code points (< 1.2M)
-    alpha_map = F.broadcast(alpha)
+    n_alpha = alpha.count()
+    # one row per distinct character: broadcast under a checked bound
+    alpha_map = F.broadcast(alpha) if n_alpha <= ALPHABET_BROADCAST else alpha
     exploded = words.select("word", "cnt", F.posexplode(_chars(F.col("word"))).alias("i", "ch"))
     table = (exploded.join(alpha_map, "ch")
              .groupBy("word", "cnt")
@@ -141,13 +143,13 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
              .select("word", "cnt", F.col("s.id").alias("syms")))
     table = reliable_checkpoint(table.where(F.size("syms") >= 2))
 
-    n_alpha = alpha.count()
     tokens: dict[int, str] = {}
     merges: list[tuple[int, str, str]] = []
     next_id = k + n_alpha
     # the token strings of merged ids are needed only for the result; track
     # them on the driver as the merges are decided (one pair per round)
-    alpha_rows = {r["id"]: r["ch"] for r in alpha.collect()} if n_alpha <= 200_000 else None
+    alpha_rows = ({r["id"]: r["ch"] for r in alpha.collect()}
+                  if n_alpha <= ALPHABET_BROADCAST else None)
 
     def tok(i: int) -> str:
         if i in tokens:

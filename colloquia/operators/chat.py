@@ -92,7 +92,9 @@ def token_ids(df: DataFrame, text_col: str, key_cols: Sequence[str], vocab: Data
     lookup), ``unk_id`` when missing, in token order."""
     toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
     voc = vocab.groupBy(F.col("token").alias("_vt")).agg(F.min("token_id").alias("_vid"))
-    if vocab_bound is not None and vocab_bound <= MAX_TOPK_ROWS:
+    if vocab_bound is None:
+        vocab_bound = voc.count()   # size check before choosing a broadcast
+    if vocab_bound <= MAX_TOPK_ROWS:
         voc = F.broadcast(voc)
     joined = toks.join(voc, F.lower(F.col("t")) == F.col("_vt"), "left")
     ided = joined.select(*key_cols, "p", F.coalesce(F.col("_vid"), F.lit(unk_id))

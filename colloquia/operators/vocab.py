@@ -124,10 +124,14 @@ def keyword_coverage(vocab: DataFrame, keywords: DataFrame, token_col: str = "to
 
 
 def _vocab_side(vocab: DataFrame, token_col: str, n_bound: int | None) -> DataFrame:
+    """Distinct vocabulary tokens, broadcast only under a known size bound:
+    the caller's (a vocabulary-size parameter) or, without one, a count."""
     toks = vocab.select(F.col(token_col).alias("_vtok")).distinct()
-    if n_bound is not None and n_bound <= MAX_TOPK_ROWS:
-        return F.broadcast(toks)   # bounded by the vocabulary size parameter
-    return toks
+    if n_bound is None:
+        n_bound = toks.count()
+    if n_bound <= MAX_TOPK_ROWS:
+        return F.broadcast(toks)
+    return toks   # large vocabularies: a shuffle join (AQE may still broadcast)
 
 
 def whitespace_tokenize(df: DataFrame, text_col: str, key_cols: Sequence[str],
