@@ -123,8 +123,11 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
               max_merges: int | None = None) -> BpeModel:
     spark: SparkSession = texts.sparkSession
     checkpoint_root(spark)
+    # distinct words are read by two branches (alphabet, symbol table): keep
+    # them instead of running the pre-tokeniser over the corpus twice
     words = (texts.select(F.explode(pretokenize(F.col(text_col))).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+             .groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     # alphabet: distinct code points of all words, ids after the specials
     chars = words.select(F.explode(_chars(F.col("word"))).alias("ch")).distinct()
     k = len(specials)
@@ -142,6 +145,7 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
              .agg(F.sort_array(F.collect_list(F.struct("i", "id"))).alias("s"))
              .select("word", "cnt", F.col("s.id").alias("syms")))
     table = reliable_checkpoint(table.where(F.size("syms") >= 2))
+    words.unpersist()
 
     tokens: dict[int, str] = {}
     merges: list[tuple[int, str, str]] = []
