@@ -26,9 +26,10 @@ def hash_bucket(c: Column, seed: int = SEED, buckets: int = BUCKETS) -> Column:
 def split_exact(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
                 seed: int = SEED) -> DataFrame:
     """Exactly ``int(share*n)`` rows to train, chosen by a seeded hash order."""
-    n = df.select(F.count(F.lit(1))).scalar()
     keyed = df.withColumn("_split_key", hash_key(F.col(id_col), seed))
     ranked = dense_index(keyed, ["_split_key", id_col], "_split_idx")
+    # counted on the checkpointed ranking: the input is not evaluated again
+    n = ranked.select(F.count(F.lit(1))).scalar()
     cut = F.floor(F.lit(float(share)) * n)
     return ranked.withColumn("split", F.when(F.col("_split_idx") < cut, F.lit("train"))
                              .otherwise(F.lit("valid"))).drop("_split_key", "_split_idx")

@@ -145,9 +145,13 @@ def plan_batch(source: DataFrame, existing: DataFrame | None, limit: int | None,
 def synthesize(source: DataFrame, existing: DataFrame | None, factory: TranslatorFactory,
                model: str, limit: int | None = DEFAULT_LIMIT,
                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """One run: ``(all_pairs, raw)``; all_pairs = existing rows then new rows."""
+    """One run: ``(all_pairs, raw)``; all_pairs = existing rows then new rows.
+
+    The translations are materialised once (reliable checkpoint): every later
+    action reads them back instead of calling the translator again.
+    """
     todo = plan_batch(source, existing, limit)
-    raw = backtranslate(todo, factory, model, num_partitions=num_partitions)
+    raw = reliable_checkpoint(backtranslate(todo, factory, model, num_partitions=num_partitions))
     new = pairs_from_translations(raw)
     out = new if existing is None else existing.select(
         "source", "id", "en", "fi", "register").unionByName(new)
@@ -163,8 +167,10 @@ def synth_progress(source: DataFrame, existing: DataFrame | None, raw: DataFrame
     status = (F.when(F.col("error").isNotNull(), F.lit("failed"))
               .when(F.col("en_raw").isNull() | (F.length(en) < 2), F.lit("dropped"))
               .otherwise(F.lit("added")))
-    counted = raw.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    n_raw = raw.select(F.count(F.lit(1))).scalar()
+    # a few rows; materialised so the translations are read once
+    counted = reliable_checkpoint(raw.groupBy(status.alias("status")).agg(
+        F.count(F.lit(1)).alias("n")))
+    n_raw = counted.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     skipped = source.sparkSession.range(1).select(F.lit("skipped").alias("status"),
                                                   (n_batch - n_raw).alias("n"))
     return counted.unionByName(skipped)

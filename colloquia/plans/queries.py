@@ -468,8 +468,8 @@ SELECT 'skipped', CAST((SELECT count(*) FROM stub WHERE idx < 6000)
 def q_synth_progress(spark, sf):
     src = _synth_source(spark, sf)
     existing = _run1(spark, sf)
-    todo = S.plan_batch(src, existing, S.DRIVER_LIMIT)
-    raw = S.backtranslate(todo, S.mirror_translator_factory, SYNTH_MODEL)
+    _, raw = S.synthesize(src, existing, S.mirror_translator_factory, SYNTH_MODEL,
+                          S.DRIVER_LIMIT)
     return S.synth_progress(src, existing, raw, S.DRIVER_LIMIT)
 
 
