@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquia.functions.text import ws_split  # noqa: F401  (re-exported)
+from colloquia.session import reliable_checkpoint
 
 # Special tokens appended by the reference's word vocabulary
 # (``<EOS>`` appears twice there).
@@ -65,7 +66,13 @@ def level_threshold(counts: DataFrame, n: int) -> DataFrame:
 
 
 def vocab_level_order(counts: DataFrame, n: int = WORD_VOCAB_SIZE) -> DataFrame:
-    """``rank, word, level``: the reference's vocabulary loop output (a multiset)."""
+    """``rank, word, level``: the reference's vocabulary loop output (a multiset).
+
+    The word counts are read twice (threshold, expansion) and the result is
+    read twice by ``vocab_final``, so both are materialised once; the result
+    holds at most ``n`` rows.
+    """
+    counts = reliable_checkpoint(counts)
     lstar = level_threshold(counts, n).select("lstar").scalar()
     expanded = (counts.where(F.col("cnt") >= lstar)
                 .select("word", "first",
@@ -73,7 +80,8 @@ def vocab_level_order(counts: DataFrame, n: int = WORD_VOCAB_SIZE) -> DataFrame:
     top = expanded.orderBy(F.col("level").desc(), F.col("first")).limit(n)
     # at most n rows: one ordered partition is bounded by the parameter
     w = Window.orderBy(F.col("level").desc(), F.col("first"))
-    return top.select((F.row_number().over(w) - 1).cast("long").alias("rank"), "word", "level")
+    return reliable_checkpoint(
+        top.select((F.row_number().over(w) - 1).cast("long").alias("rank"), "word", "level"))
 
 
 def vocab_final(level_order: DataFrame, n: int = WORD_VOCAB_SIZE,

@@ -361,9 +361,18 @@ def _doc_word_counts(spark, sf):
     return V.word_counts(fx.documents(spark, sf), "text", ["doc_id"])
 
 
+_VOCAB_MEMO: dict[tuple[int, str], DataFrame] = {}
+
+
 def reference_word_vocab(spark, sf) -> DataFrame:
-    counts = _doc_word_counts(spark, sf)
-    return V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE), V.WORD_VOCAB_SIZE)
+    """The documents' word vocabulary (reference mode), built once per session
+    like the reference's saved vocabulary file (its level order is checkpointed)."""
+    key = (id(spark), sf)
+    if key not in _VOCAB_MEMO:
+        counts = _doc_word_counts(spark, sf)
+        _VOCAB_MEMO[key] = V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE),
+                                         V.WORD_VOCAB_SIZE)
+    return _VOCAB_MEMO[key]
 
 
 @query("word_counts", O.sql("SELECT word, cnt FROM wcounts", "wcounts"))
