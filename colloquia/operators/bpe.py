@@ -38,7 +38,6 @@ MIN_FREQUENCY = 2
 PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
 CHECKPOINT_EVERY = 10
 ALPHABET_BROADCAST = 200_000   # alphabets up to this size are broadcast / kept on the driver
-_DEBUG = False
 CANDIDATES = 1_000   # pairs returned per round; exactness never depends on it
 
 
@@ -195,9 +194,6 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
         nxt = (current.select("word", "cnt", _apply_merges(F.col("syms"), batch).alias("syms"))
                .where(F.size("syms") >= 2))
         rounds += 1
-        if _DEBUG:
-            import time as _t
-            print("bpe round", rounds, len(batch), round(_t.time(), 2), flush=True)
         if rounds % CHECKPOINT_EVERY == 0:
             nxt = reliable_checkpoint(nxt)
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)

@@ -47,7 +47,8 @@ def marker_counts(df: DataFrame, text_col: str, lexicon: Lexicon = DEFAULT_LEXIC
     toks = df.select(F.explode(word_tokens(F.col(text_col))).alias("word"))
     hits = toks.join(F.broadcast(lex), "word").groupBy("word", "side", "weight").agg(
         F.count(F.lit(1)).alias("hits"))
-    out = lex.join(hits.select("word", "side", "hits"), ["word", "side"], "left")
+    # at most one row per marker on either side: both are bounded by the lexicon
+    out = lex.join(F.broadcast(hits.select("word", "side", "hits")), ["word", "side"], "left")
     hits_col = F.coalesce(F.col("hits"), F.lit(0)).cast("long")
     return out.select("word", "side", "weight", hits_col.alias("hits"),
                       (hits_col * F.col("weight")).alias("weighted"))

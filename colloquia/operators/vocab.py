@@ -118,19 +118,6 @@ def vocab_topk(counts: DataFrame, n: int) -> DataFrame:
     return top.select((F.row_number().over(w) - 1).cast("long").alias("token_id"), "word", "cnt")
 
 
-def keyword_table(spark, words=KEYWORD_TARGETS) -> DataFrame:
-    """``keyword``: the words to look for (the reference's list by default)."""
-    return spark.createDataFrame([(w,) for w in words], "keyword string")
-
-
-def keyword_coverage(vocab: DataFrame, keywords: DataFrame, token_col: str = "token",
-                     keyword_col: str = "keyword") -> DataFrame:
-    """``keyword, found``: exact membership of every keyword in the vocabulary."""
-    toks = vocab.select(F.col(token_col).alias("_tok")).distinct()
-    hit = keywords.join(toks, F.col(keyword_col) == F.col("_tok"), "left")
-    return hit.select(keyword_col, F.col("_tok").isNotNull().alias("found"))
-
-
 def _vocab_side(vocab: DataFrame, token_col: str, n_bound: int | None) -> DataFrame:
     """Distinct vocabulary tokens, broadcast only under a known size bound:
     the caller's (a vocabulary-size parameter) or, without one, a count."""
@@ -142,6 +129,20 @@ def _vocab_side(vocab: DataFrame, token_col: str, n_bound: int | None) -> DataFr
     return toks   # large vocabularies: a shuffle join (AQE may still broadcast)
 
 
+def keyword_table(spark, words=KEYWORD_TARGETS) -> DataFrame:
+    """``keyword``: the words to look for (the reference's list by default)."""
+    return spark.createDataFrame([(w,) for w in words], "keyword string")
+
+
+def keyword_coverage(vocab: DataFrame, keywords: DataFrame, token_col: str = "token",
+                     keyword_col: str = "keyword",
+                     vocab_bound: int | None = WORD_VOCAB_SIZE) -> DataFrame:
+    """``keyword, found``: exact membership of every keyword in the vocabulary."""
+    toks = _vocab_side(vocab, token_col, vocab_bound)
+    hit = keywords.join(toks, F.col(keyword_col) == F.col("_vtok"), "left")
+    return hit.select(keyword_col, F.col("_vtok").isNotNull().alias("found"))
+
+
 def whitespace_tokenize(df: DataFrame, text_col: str, key_cols: Sequence[str],
                         vocab: DataFrame, token_col: str = "token",
                         vocab_bound: int | None = WORD_VOCAB_SIZE) -> DataFrame:
