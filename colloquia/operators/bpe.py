@@ -1,7 +1,9 @@
 """Byte-pair-encoding training over a distributed word table, and segmentation.
 
 Training keeps one row per distinct pre-tokenised word: ``word, cnt, syms``
-(integer symbol ids).  A round counts adjacent symbol pairs weighted by word
+where ``syms`` spells the word's symbols with one code point per symbol id
+(plane-15 private use area), so merges and pair counts are built-in string
+functions rather than interpreted array lambdas.  A round counts adjacent symbol pairs weighted by word
 count (overlapping pairs count, as in the ``tokenizers`` trainer) and ranks
 them (highest count, then lowest (left id, right id)).  The best pair is the
 next merge; further pairs of the same ranking are merged in the same round
@@ -38,6 +40,9 @@ MIN_FREQUENCY = 2
 PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
 CHECKPOINT_EVERY = 10
 ALPHABET_BROADCAST = 200_000   # alphabets up to this size are broadcast / kept on the driver
+SYMBOL_BASE = 0xF0000   # symbol ids are encoded as code points from here
+MAX_SYMBOLS = 0x10FFFF - SYMBOL_BASE
+MERGES_PER_ROUND = 64   # keeps the chained replacement expression small
 CANDIDATES = 1_000   # pairs returned per round; exactness never depends on it
 
 
@@ -56,25 +61,23 @@ class BpeModel:
     merges: DataFrame   # rank, left, right
 
 
+def _code(i: int) -> str:
+    """The one-character code of symbol id ``i`` (plane-15 private use area)."""
+    return chr(SYMBOL_BASE + i)
+
+
 def _apply_merges(syms: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Apply symbol-disjoint merges ``(a, b) -> new`` in one left-to-right pass.
+    """Replace each pair ``(a, b)`` by ``new``, left to right, non-overlapping.
 
-    The merges of one round share no symbol, so their occurrences cannot
-    overlap and one pass equals applying them one after another.
+    Symbols are single code points, so a merge is a literal two-character
+    replacement (which scans left to right without overlaps, exactly the BPE
+    rule).  The merges of one round share no symbol, so applying them one
+    after another equals applying them together.
     """
-    keys = [a * (1 << 32) + b for a, b, _ in merges]
-    table = F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in keys]),
-                              F.array(*[F.lit(n).cast("int") for _, _, n in merges]))
-    lefts = F.array(*[F.lit(a).cast("int") for a, _, _ in merges])
-
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        new = F.try_element_at(table, last.cast("long") * F.lit(1 << 32) + x.cast("long"))
-        hit = (F.size(acc) > 0) & new.isNotNull()
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(new))) \
-            .otherwise(F.concat(acc, F.array(x)))
-    merged = F.aggregate(syms, F.array().cast("array<int>"), step)
-    return F.when(F.arrays_overlap(syms, lefts), merged).otherwise(syms)
+    out = syms
+    for a, b, new in merges:
+        out = F.regexp_replace(out, _code(a) + _code(b), _code(new))
+    return out
 
 
 def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency: int,
@@ -107,14 +110,17 @@ def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency
 
 
 def _pair_counts(words: DataFrame) -> DataFrame:
-    """``l, r, n``: adjacent symbol pairs weighted by word count (one long key)."""
-    n = F.size("syms")
-    keys = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.element_at("syms", i).cast("long")
-                       * F.lit(1 << 32) + F.element_at("syms", i + 1).cast("long"))
-    pairs = words.where(n >= 2).select("cnt", F.explode(keys).alias("k"))
-    agg = pairs.groupBy("k").agg(F.sum("cnt").alias("n"))
-    return agg.select(F.shiftright("k", 32).cast("int").alias("l"),
-                      (F.col("k") % F.lit(1 << 32)).cast("int").alias("r"), "n")
+    """``pair, n``: adjacent symbol pairs weighted by word count.
+
+    Pairs at even and at odd offsets are two non-overlapping extractions (a
+    zero-width look-ahead could restart inside a surrogate pair).  A pair is
+    two code points, and code-point order of pairs is (left id, right id) order.
+    """
+    two = F.lit("(?s)..")   # whole code points, never half a surrogate pair
+    both = F.concat(F.regexp_extract_all("syms", two, 0),
+                    F.regexp_extract_all(F.substring("syms", 2, 1 << 30), two, 0))
+    pairs = words.select("cnt", F.explode(both).alias("pair"))
+    return pairs.groupBy("pair").agg(F.sum("cnt").alias("n"))
 
 
 def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
@@ -136,30 +142,30 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
                          .cast("int").alias("id"))
     alpha = reliable_checkpoint(alpha)
     n_alpha = alpha.count()
-    # one row per distinct character: broadcast under a checked bound
-    alpha_map = F.broadcast(alpha) if n_alpha <= ALPHABET_BROADCAST else alpha
+    top_id = vocab_size if max_merges is None else min(vocab_size, k + n_alpha + max_merges)
+    if top_id > MAX_SYMBOLS or n_alpha > ALPHABET_BROADCAST:
+        raise ValueError("alphabet or vocabulary too large for one code point per symbol")
+    # one row per distinct character (a checked bound): kept on the driver,
+    # broadcast with the code point that stands for its symbol id
+    alpha_rows = {r["id"]: r["ch"] for r in alpha.collect()}
+    codes = F.broadcast(spark.createDataFrame(
+        [(ch, i, _code(i)) for i, ch in alpha_rows.items()], "ch string, id int, code string"))
     exploded = words.select("word", "cnt", F.posexplode(_chars(F.col("word"))).alias("i", "ch"))
-    table = (exploded.join(alpha_map, "ch")
+    table = (exploded.join(codes, "ch")
              .groupBy("word", "cnt")
-             .agg(F.sort_array(F.collect_list(F.struct("i", "id"))).alias("s"))
-             .select("word", "cnt", F.col("s.id").alias("syms")))
-    table = reliable_checkpoint(table.where(F.size("syms") >= 2))
+             .agg(F.sort_array(F.collect_list(F.struct("i", "code"))).alias("s"))
+             .select("word", "cnt", F.concat_ws("", F.col("s.code")).alias("syms")))
+    table = reliable_checkpoint(table.where(F.length("syms") >= 2))
     words.unpersist()
 
     tokens: dict[int, str] = {}
     merges: list[tuple[int, str, str]] = []
     next_id = k + n_alpha
-    # the token strings of merged ids are needed only for the result; track
-    # them on the driver as the merges are decided (one pair per round)
-    alpha_rows = ({r["id"]: r["ch"] for r in alpha.collect()}
-                  if n_alpha <= ALPHABET_BROADCAST else None)
 
     def tok(i: int) -> str:
         if i in tokens:
             return tokens[i]
-        if alpha_rows is not None:
-            return alpha_rows[i]
-        return alpha.where(F.col("id") == i).first()["ch"]
+        return alpha_rows[i]
 
     current = table.persist(StorageLevel.MEMORY_AND_DISK)
     rounds = 0
@@ -174,14 +180,16 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
     while len(merges) < limit:
         # one job: pair counts, the best candidates come back to the driver;
         # it also materialises ``current`` from its still-cached parent
-        top_rows = (_pair_counts(current).orderBy(F.col("n").desc(), "l", "r")
+        top_rows = (_pair_counts(current).orderBy(F.col("n").desc(), "pair")
                     .limit(CANDIDATES + 1).collect())
         if parent is not None:
             parent.unpersist()
             parent = None
         complete = len(top_rows) <= CANDIDATES
-        top = [(int(r["n"]), int(r["l"]), int(r["r"])) for r in top_rows[:CANDIDATES]]
-        chosen = choose_merges(top, complete, min_frequency, limit - len(merges))
+        top = [(int(r["n"]), ord(r["pair"][0]) - SYMBOL_BASE, ord(r["pair"][1]) - SYMBOL_BASE)
+               for r in top_rows[:CANDIDATES]]
+        chosen = choose_merges(top, complete, min_frequency,
+                               min(limit - len(merges), MERGES_PER_ROUND))
         if not chosen:
             break
         batch = []
@@ -192,7 +200,7 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
             next_id += 1
         # a word reduced to one symbol can never form a pair again: drop it
         nxt = (current.select("word", "cnt", _apply_merges(F.col("syms"), batch).alias("syms"))
-               .where(F.size("syms") >= 2))
+               .where(F.length("syms") >= 2))
         rounds += 1
         if rounds % CHECKPOINT_EVERY == 0:
             nxt = reliable_checkpoint(nxt)
