@@ -35,13 +35,13 @@ def doc_lines(docs: DataFrame) -> DataFrame:
     return explode_lines(docs, "text", ["doc_id", "source", "lang"])
 
 
-_LP_MEMO: dict[tuple[int, str], DataFrame] = {}
+_LP_MEMO: dict[tuple[str, str], DataFrame] = {}
 
 
 def line_pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line_pairs`` of a table folder, numbered once per session (the dense
     index is checkpointed, so later queries reuse the written rows)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LP_MEMO:
         _LP_MEMO[key] = line_pairs(documents(spark, sf_dir))
     return _LP_MEMO[key]

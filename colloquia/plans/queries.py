@@ -188,7 +188,7 @@ def _flavor_from_files(spark, sf) -> DataFrame:
     return clean.flavor_corpus(lines, chunk_bound=seed_src.seed_chunk_bound(spark, path))
 
 
-_FLAVOR_MEMO: dict[tuple[int, str], DataFrame] = {}
+_FLAVOR_MEMO: dict[tuple[str, str], DataFrame] = {}
 
 
 def flavor_from_documents(spark, sf) -> DataFrame:
@@ -197,7 +197,7 @@ def flavor_from_documents(spark, sf) -> DataFrame:
     Its numbering is checkpointed (reliable, shared folder), so queries of one
     session that build on it reuse the written rows instead of recomputing.
     """
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _FLAVOR_MEMO:
         docs = fx.documents(spark, sf)
         _FLAVOR_MEMO[key] = clean.flavor_corpus(fx.seed_view(docs))
@@ -361,13 +361,13 @@ def _doc_word_counts(spark, sf):
     return V.word_counts(fx.documents(spark, sf), "text", ["doc_id"])
 
 
-_VOCAB_MEMO: dict[tuple[int, str], DataFrame] = {}
+_VOCAB_MEMO: dict[tuple[str, str], DataFrame] = {}
 
 
 def reference_word_vocab(spark, sf) -> DataFrame:
     """The documents' word vocabulary (reference mode), built once per session
     like the reference's saved vocabulary file (its level order is checkpointed)."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _VOCAB_MEMO:
         counts = _doc_word_counts(spark, sf)
         _VOCAB_MEMO[key] = V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE),
@@ -699,11 +699,11 @@ def q_pretokenize(spark, sf):
                        F.concat_ws(" ", ps).alias("pieces"))
 
 
-_BPE_MEMO: dict[tuple[int, str], B.BpeModel] = {}
+_BPE_MEMO: dict[tuple[str, str], B.BpeModel] = {}
 
 
 def bpe_model(spark, sf) -> B.BpeModel:
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _BPE_MEMO:
         _BPE_MEMO[key] = B.bpe_train(fx.documents(spark, sf), "text",
                                      max_merges=BPE_DEMO_MERGES)

@@ -107,7 +107,7 @@ def path_exists(path: str) -> bool:
         return True
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -124,7 +124,7 @@ def ship_package(spark: SparkSession) -> None:
     import colloquia
 
     sc = spark.sparkContext
-    key = id(sc._jsc) if hasattr(sc, "_jsc") else id(sc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(colloquia.__file__))
