@@ -25,13 +25,14 @@ from colloquia.operators.order import dense_index
 from colloquia.operators.register import marker_counts, register_rate, score_texts
 from colloquia.plans import fixtures as fx
 from colloquia.plans import oracle as O
-from colloquia.session import scratch_path
+from colloquia.session import reliable_checkpoint, scratch_path
 from colloquia.sources import registry as R
 from colloquia.sources import seed as seed_src
 from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl
 from colloquia.sources.pairs import FLAT_SCHEMA
 from colloquia.sources.pairs import pairs_scan_flat, pairs_scan_nested, to_nested
-from colloquia.sources.songs import MAX_PAGES, MAX_SONGS, song_listing
+from colloquia.sources.songs import (MAX_PAGES, MAX_SONGS, read_song_lists, song_listing,
+                                     write_song_lists)
 from colloquia.sources.textfile import vocab_scan, write_token_lines, write_vocab
 from colloquia.streaming import pipelines as ST
 
@@ -357,8 +358,16 @@ SELECT d.doc_id, coalesce(x.line, '') AS line FROM documents d LEFT JOIN (
   GROUP BY doc_id) x ON x.doc_id = d.doc_id""", ("vfinal",))
 
 
+_COUNTS_MEMO: dict[tuple[str, str], DataFrame] = {}
+
+
 def _doc_word_counts(spark, sf):
-    return V.word_counts(fx.documents(spark, sf), "text", ["doc_id"])
+    """Word counts with first occurrences, counted once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _COUNTS_MEMO:
+        _COUNTS_MEMO[key] = reliable_checkpoint(
+            V.word_counts(fx.documents(spark, sf), "text", ["doc_id"]))
+    return _COUNTS_MEMO[key]
 
 
 _VOCAB_MEMO: dict[tuple[str, str], DataFrame] = {}
@@ -377,7 +386,7 @@ def reference_word_vocab(spark, sf) -> DataFrame:
 
 @query("word_counts", O.sql("SELECT word, cnt FROM wcounts", "wcounts"))
 def q_word_counts(spark, sf):
-    return V.word_counts(fx.documents(spark, sf), "text")
+    return V.word_counts(fx.documents(spark, sf), "text")   # counted here, not reused
 
 
 @query("vocab_level_order", O.sql("SELECT rank, word, level FROM lorder", "lorder"))
@@ -394,7 +403,7 @@ def q_vocab_final(spark, sf):
 SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 AS BIGINT) AS token_id, word, cnt
 FROM wcounts ORDER BY cnt DESC, word LIMIT {V.WORD_VOCAB_SIZE}""", "wcounts"))
 def q_vocab_topk(spark, sf):
-    return V.vocab_topk(V.word_counts(fx.documents(spark, sf), "text"), V.WORD_VOCAB_SIZE)
+    return V.vocab_topk(_doc_word_counts(spark, sf), V.WORD_VOCAB_SIZE)
 
 
 @query("keyword_coverage", O.sql(f"""
@@ -668,7 +677,7 @@ FROM documents d LEFT JOIN (
   GROUP BY doc_id) x ON x.doc_id = d.doc_id""", "vdistinct"))
 def q_fixed_length_rows(spark, sf):
     docs = fx.documents(spark, sf)
-    counts = V.word_counts(docs, "text")
+    counts = _doc_word_counts(spark, sf)
     vocab = V.vocab_final(counts, V.WORD_VOCAB_SIZE, mode="distinct", counts=counts)
     ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK, V.WORD_VOCAB_SIZE)
     rows = ids.select("doc_id", C.fixed_length_rows(F.col("ids"), _EOS).alias("r"))
@@ -788,7 +797,10 @@ SELECT artist, song_no, title, url, id FROM (
   WHERE lower(h.name) = lower(h.artist))
 WHERE song_no < {MAX_SONGS}""", "song_hits"))
 def q_song_listing(spark, sf):
-    return song_listing(search_replies(fx.documents(spark, sf)))
+    """Listing from the replies, written as one list per artist, read back."""
+    path = scratch_path(spark, "song-lists")
+    write_song_lists(song_listing(search_replies(fx.documents(spark, sf))), path)
+    return read_song_lists(spark, path).select("artist", "song_no", "title", "url", "id")
 
 
 @query("vocab_scan", O.sql("SELECT token_id, token FROM vfinal", "vfinal"))

@@ -48,8 +48,23 @@ def song_listing(replies: DataFrame, max_songs: int = MAX_SONGS,
         F.col("h.result.url").alias("url"), F.col("h.result.id").alias("id"))
 
 
+SONG = T.StructType([T.StructField("song_no", T.LongType()), T.StructField("title", T.StringType()),
+                     T.StructField("url", T.StringType()), T.StructField("id", T.LongType())])
+LIST_SCHEMA = T.StructType([T.StructField("songs", T.ArrayType(SONG)),
+                            T.StructField("artist", T.StringType())])
+
+
 def write_song_lists(listing: DataFrame, path: str) -> None:
-    """One JSON list per artist (``artist, songs``), partitioned by artist."""
+    """One JSON list per artist (``songs``), in folders partitioned by artist.
+
+    A list holds at most ``MAX_SONGS`` entries, so gathering it is bounded.
+    """
     per_artist = listing.groupBy("artist").agg(
         F.sort_array(F.collect_list(F.struct("song_no", "title", "url", "id"))).alias("songs"))
     per_artist.write.mode("overwrite").partitionBy("artist").json(path)
+
+
+def read_song_lists(spark, path: str) -> DataFrame:
+    """``artist, song_no, title, url, id`` from written lists (artist stays a string)."""
+    lists = spark.read.schema(LIST_SCHEMA).json(path)
+    return lists.select("artist", F.inline("songs"))
