@@ -7,6 +7,7 @@ the case for local tests.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -115,9 +116,8 @@ def ship_package(spark: SparkSession) -> None:
 
     Arrow functions pickle references to this package; executors (and local
     workers started outside the repository) need the package on their path.
-    Done once per SparkContext; the zip lands in the shared checkpoint folder
-    when that is a plain path, else in the driver's temp folder, and Spark's
-    file server hands it to every executor.
+    Done once per SparkContext; the zip is written to the shared checkpoint
+    folder and Spark hands it to every executor.
     """
     import zipfile
 
@@ -128,17 +128,26 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(colloquia.__file__))
-    root = checkpoint_root(spark)
-    folder = local_path(root) if (root.startswith("file:") or "://" not in root) \
-        else tempfile.gettempdir()
-    os.makedirs(folder, exist_ok=True)
-    zpath = os.path.join(folder, f"colloquia-{uuid.uuid4().hex[:8]}.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    root = checkpoint_root(spark)
+    name = f"colloquia-{uuid.uuid4().hex[:8]}.zip"
+    if root.startswith("file:") or "://" not in root:
+        zpath = os.path.join(local_path(root), name)
+        with open(zpath, "wb") as fh:
+            fh.write(buf.getvalue())
+    else:   # the shared folder of the cluster
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        with fs.open_output_stream(f"{base}/{name}") as out:
+            out.write(buf.getvalue())
+        zpath = f"{root.rstrip('/')}/{name}"
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
 
