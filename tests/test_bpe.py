@@ -55,3 +55,29 @@ def test_segment_leftmost_longest(spark):
     got = [r["s"] for r in df.select(seg("t").alias("s")).collect()]
     assert got[0] == ["abc", "<UNK>", "<UNK>"]   # 'd' uncovered, space dropped, 'x' uncovered
     assert got[1] == ["ab", "ab"]
+
+
+def test_bpe_matches_library_on_random_corpora(spark):
+    """Small alphabets make ties and shared symbols frequent: the batching of
+    merges per round must still give the library's exact vocabulary."""
+    pytest.importorskip("tokenizers")
+    import random
+
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    rnd = random.Random(11)
+    for trial in range(4):
+        words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7)))
+                 for _ in range(rnd.randint(20, 80))]
+        texts = [" ".join(words[i:i + 5]) for i in range(0, len(words), 5)]
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        got = [r["token"] for r in B.bpe_train(df, "text", vocab_size=40,
+                                                specials=("<PAD>", "<UNK>"))
+               .vocab.orderBy("token_id").collect()]
+        tok = Tokenizer(models.BPE(unk_token="<UNK>"))
+        tok.pre_tokenizer = pre_tokenizers.Whitespace()
+        tr = trainers.BpeTrainer(vocab_size=40, special_tokens=["<PAD>", "<UNK>"],
+                                 min_frequency=2, show_progress=False)
+        tok.train_from_iterator(texts, trainer=tr)
+        want = [t for t, _ in sorted(tok.get_vocab().items(), key=lambda kv: kv[1])]
+        assert got == want, (trial, texts)
