@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquia.functions.text import ws_split  # noqa: F401  (re-exported)
+from colloquia.operators.clean import first_n
 from colloquia.session import reliable_checkpoint
 
 # Special tokens appended by the reference's word vocabulary
@@ -77,7 +78,8 @@ def vocab_level_order(counts: DataFrame, n: int = WORD_VOCAB_SIZE) -> DataFrame:
     expanded = (counts.where(F.col("cnt") >= lstar)
                 .select("word", "first",
                         F.explode(F.sequence(lstar, F.col("cnt").cast("long"))).alias("level")))
-    top = expanded.orderBy(F.col("level").desc(), F.col("first")).limit(n)
+    # (level, first occurrence) is unique; large n ranks instead of a top-k
+    top = first_n(expanded, n, [F.col("level").desc(), F.col("first")])
     # at most n rows: one ordered partition is bounded by the parameter
     w = Window.orderBy(F.col("level").desc(), F.col("first"))
     return reliable_checkpoint(
@@ -113,7 +115,7 @@ def vocab_final(level_order: DataFrame, n: int = WORD_VOCAB_SIZE,
 
 def vocab_topk(counts: DataFrame, n: int) -> DataFrame:
     """``token_id, word, cnt``: distinct top-``n`` words by count (ties by word)."""
-    top = counts.select("word", "cnt").orderBy(F.col("cnt").desc(), "word").limit(n)
+    top = first_n(counts.select("word", "cnt"), n, [F.col("cnt").desc(), F.col("word")])
     w = Window.orderBy(F.col("cnt").desc(), "word")
     return top.select((F.row_number().over(w) - 1).cast("long").alias("token_id"), "word", "cnt")
 
