@@ -57,36 +57,34 @@ DEFAULT_LEXICON = Lexicon()
 STANDIN_LEXICON = Lexicon(STANDIN_SPOKEN, STANDIN_FORMAL)
 
 
-def _weight(t: Column, weights: Counter) -> Column:
-    by_weight: dict[int, list[str]] = {}
-    for w, n in weights.items():
-        by_weight.setdefault(n, []).append(w)
-    expr = F.lit(0)
-    for n in sorted(by_weight):
-        expr = F.when(t.isin(*sorted(by_weight[n])), F.lit(n)).otherwise(expr)
-    return expr
-
-
-def marker_hits(text: Column, weights: Counter) -> Column:
-    toks = word_tokens(text)
-    return F.aggregate(toks, F.lit(0), lambda acc, t: acc + _weight(t, weights))
-
-
 def score_of(spoken: Column, formal: Column) -> Column:
     total = spoken + formal
     return F.when(total == 0, F.lit(0.0)).otherwise(
         F.bround((spoken - formal) / F.nullif(total, F.lit(0)), 3))
 
 
+def _member_of(words: list[str]):
+    """A one-argument predicate for ``filter`` (PySpark reads a second
+    parameter as the element index)."""
+    return lambda t: t.isin(*words)
+
+
+def _weighted_count(toks: Column, weights: Counter) -> Column:
+    """Sum of marker weights over the tokens: one ``filter`` per weight class
+    (membership through ``IN``, which becomes a hash set for >10 words)."""
+    by_weight: dict[int, list[str]] = {}
+    for w, n in weights.items():
+        by_weight.setdefault(n, []).append(w)
+    total = F.lit(0)
+    for n in sorted(by_weight):
+        hits = F.size(F.filter(toks, _member_of(sorted(by_weight[n]))))
+        total = total + (hits if n == 1 else hits * F.lit(n))
+    return total
+
+
 def register_score(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """``struct<puhe:int, kirja:int, score:double>`` for one text column."""
     toks = word_tokens(text)
-    return F.aggregate(
-        toks,
-        F.struct(F.lit(0).alias("puhe"), F.lit(0).alias("kirja")),
-        lambda acc, t: F.struct(
-            (acc["puhe"] + _weight(t, lexicon.spoken)).alias("puhe"),
-            (acc["kirja"] + _weight(t, lexicon.formal)).alias("kirja")),
-        lambda acc: F.struct(acc["puhe"].alias("puhe"), acc["kirja"].alias("kirja"),
-                             score_of(acc["puhe"], acc["kirja"]).alias("score")),
-    )
+    puhe = _weighted_count(toks, lexicon.spoken)
+    kirja = _weighted_count(toks, lexicon.formal)
+    return F.struct(puhe.alias("puhe"), kirja.alias("kirja"), score_of(puhe, kirja).alias("score"))
