@@ -18,7 +18,10 @@ a null doc_id too.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import base64
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,49 +37,52 @@ END_ID = 1
 STEP_GROUPS = 8
 #: Remainders held back per tier before they are packed.
 POOL = 64
-#: Chunks whose ids a worker remembers; the memory is cleared when it is full.
-MEMORY = 400_000
+#: Longest text for the ranked encoder.
+PLAIN_CHARS = 1 << 18
+# Fixed value: the vocabulary's pre-tokeniser.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, padded_length long, step_group int")
 
 
-class ChunkTokenizer:
-    """Ids of whole texts, remembering chunks between blanks.
+class TextTokenizer:
+    """Ids of whole texts under the vocabulary of the tokenizers file ``path``.
 
-    The vocabulary's pre-tokeniser never joins a character that is not white space to
-    white space after it, and a blank joins the letters, digits or marks behind it.
-    So a text may be cut before a blank that is followed by a letter, digit or ASCII
-    mark, and its chunks encoded apart with the same ids.  Other blanks are not cut.
+    ``ranks`` names the same vocabulary as ranked byte pairs.  If it is given, texts of
+    Latin-1 characters up to ``PLAIN_CHARS`` go through the ranked encoder, which gives
+    the same ids in a third of the time (tests compare both over that alphabet); all
+    other texts go through the tokenizers library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        for c, e in zip(chunks, self.tok.encode_batch_fast(chunks, add_special_tokens=False)):
-            self.known[c] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        self.ranked = None
+        if ranks:
+            import tiktoken
+
+            with open(ranks, "rb") as f:
+                pairs = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
+            self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=pairs, special_tokens={})
+
+    def _plain(self, text: str) -> bool:
+        if self.ranked is None or len(text) > PLAIN_CHARS:
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        first, *rest = text.split(" ")
-        chunks = [first]
-        for p in rest:
-            if p and (p[0].isalnum() or "!" <= p[0] <= "~"):
-                chunks.append(" " + p)
-            else:
-                chunks[-1] += " " + p
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known.clear()
-                new = list(dict.fromkeys(chunks))
-            self._learn(new)
-        return b"".join(map(self.known.__getitem__, chunks))
+        if self._plain(text):
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class Piece:
@@ -172,7 +178,7 @@ class Packer:
             need -= size
 
 
-def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID,
+def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID,
          step_groups: int = STEP_GROUPS) -> DataFrame:
     """One row per piece (see SCHEMA).  sequence_id is unique over all partitions:
     the partition number in the upper bits, as in monotonically_increasing_id."""
@@ -180,7 +186,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, e
     end = end_id.to_bytes(4, "little")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = ChunkTokenizer(tokenizer_path)
+        tok = TextTokenizer(tokenizer_path, ranks_path)
         out: list[list] = [[] for _ in range(9)]
         first = TaskContext.get().partitionId() << 33
         done = 0

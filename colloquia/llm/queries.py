@@ -51,16 +51,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat_ws("/", "source", "lang"), F.col("source"))
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the public byte-level BPE that packing counts with."""
+def tokenizer_paths() -> tuple[str, str]:
+    """The public byte-level BPE that packing counts with, and the same as ranks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @query("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(read_table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
 @query("op7_licenses")

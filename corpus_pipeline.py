@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from colloquia.llm import decontaminate, packing, pii, quality, simhash
 from colloquia.llm.common import read_table, saved
-from colloquia.llm.queries import tokenizer_path
+from colloquia.llm.queries import tokenizer_paths
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def pii_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, as pieces of training sequences."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, *tokenizer_paths())
 
 
 STAGES = [
