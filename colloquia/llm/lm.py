@@ -309,26 +309,17 @@ class Model:
     def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base score, model score (log10)."""
         ctxs, words, begins = contexts(texts, self.order)
-        spread = _bucket(mix(words, np.uint64(0)), self.bits)
-        at, rows = _find(self.folder, "level-0", spread, words)
-        cont = np.zeros(len(words))
-        raw = np.zeros(len(words))
-        cont[at], raw[at] = _counts(self.folder, "level-0", spread[at], rows), _values(
-            self.folder, "level-0", "raws", spread[at], rows)
+        _, cont, raw = _lookup(self.folder, "level-0", ("counts", "raws"), _bucket(mix(words, np.uint64(0)), self.bits),
+                               words)
         p = np.full(len(words), self.rest / (self.words + 1))
         if self.total:
             p += (cont - self.discounts[0][np.minimum(cont, 3).astype(int)]) / self.total
         for k, ctx in enumerate(ctxs, 1):
-            own = _bucket(mix(ctx, np.uint64(0)), self.bits)
-            at, rows = _find(self.folder, f"contexts-{k}", own, ctx)
-            total, n1, n2, n3 = _values(self.folder, f"contexts-{k}", "stats", own[at], rows)
+            at, stats = _lookup(self.folder, f"contexts-{k}", ("stats",), _bucket(mix(ctx, np.uint64(0)), self.bits), ctx)
             key = mix(ctx, words)
-            bucket = place(ctx, ctxs[0], key, self.hot, self.bits)
-            count = np.zeros(len(words))
-            seen, where = _find(self.folder, f"level-{k}", bucket, key)
-            count[seen] = _counts(self.folder, f"level-{k}", bucket[seen], where)
-            d = self.discounts[k]
-            c = count[at]
+            _, count = _lookup(self.folder, f"level-{k}", ("counts",), place(ctx, ctxs[0], key, self.hot, self.bits), key)
+            total, n1, n2, n3 = stats[:, at]
+            d, c = self.discounts[k], count[at]
             p[at] = (c - d[np.minimum(c, 3).astype(int)] + (d[1] * n1 + d[2] * n2 + d[3] * n3) * p[at]) / total
         base = np.log10((raw + ALPHA) / (self.tokens + ALPHA * (self.words + 1)))
         return (np.add.reduceat((raw > 0).astype(np.int64), begins), np.add.reduceat(base, begins),
@@ -354,45 +345,29 @@ def _mapped(path: str) -> np.ndarray | None:
     return np.load(path, mmap_mode="r") if os.path.exists(path) else None
 
 
-def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(bucket, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
-        yield int(bucket[part[0]]), part
-
-
-def _find(folder: str, what: str, bucket: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which queries are there, and their rows in the bucket's arrays."""
-    row = np.full(len(key), -1)
-    order = np.lexsort((key, bucket))
+def _lookup(folder: str, what: str, names: tuple[str, ...], bucket: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """Which keys are there, and their values (zero where they are not)."""
+    there = np.zeros(len(key), bool)
+    out = [np.zeros((4, len(key)) if n == "stats" else len(key)) for n in names]
+    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, cuts) if len(order) else ():
-        keys = _mapped(os.path.join(folder, what, f"{bucket[part[0]]}-keys.npy"))
+        number = int(bucket[part[0]])
+        get = lambda name: _mapped(os.path.join(folder, what, f"{number}-{name}.npy"))  # noqa: B023, E731
+        keys, want = get("keys"), key[part]
         if keys is None or not len(keys):
             continue
-        at = np.minimum(np.searchsorted(keys, key[part]), len(keys) - 1)
-        row[part] = np.where(keys[at] == key[part], at, -1)
-    there = np.flatnonzero(row >= 0)
-    return there, row[there]
-
-
-def _values(folder: str, what: str, name: str, bucket: np.ndarray, row: np.ndarray) -> np.ndarray:
-    out = None
-    for b, part in _by_bucket(bucket):
-        got = _mapped(os.path.join(folder, what, f"{b}-{name}.npy"))[..., row[part]]
-        if out is None:
-            out = np.zeros((*got.shape[:-1], len(row)))
-        out[..., part] = got
-    return out if out is not None else np.zeros((4, 0) if name == "stats" else 0)
-
-
-def _counts(folder: str, what: str, bucket: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Counts, the large ones from their own array."""
-    out = _values(folder, what, "counts", bucket, row)
-    large = np.flatnonzero(out == 255)
-    for b, part in _by_bucket(bucket[large]):
-        rows, counts = _mapped(os.path.join(folder, what, f"{b}-big.npy"))
-        out[large[part]] = counts[np.searchsorted(rows, row[large[part]].astype(np.uint64))]
-    return out
+        row = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        same = keys[row] == want
+        part, row = part[same], row[same]
+        there[part] = True
+        for values, name in zip(out, names):
+            values[..., part] = get(name)[..., row]
+            if name == "counts" and len(get("big")[0]):
+                rows, counts = get("big")
+                large = np.flatnonzero(values[part] == 255)
+                values[part[large]] = counts[np.searchsorted(rows, row[large].astype(np.uint64))]
+    return [there, *out]
 
 
 # --- the operator -----------------------------------------------------------------------
@@ -408,10 +383,10 @@ def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
     texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
     hot, _ = hot_words(texts)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (2 * n - 1).bit_length())
+    bits = max(4, (n - 1).bit_length())
     rows = _count(texts, order, hot, bits)
     for level in range(order - 1, -1, -1):
-        rows = (rows.repartition(n, "kind", "bucket").sortWithinPartitions("kind", "bucket")
+        rows = (rows.repartitionById(1 << bits, "bucket").sortWithinPartitions("kind", "bucket")
                 .mapInArrow(_reduce(level, order, folder, hot, bits), _BLOB))
     stats: dict[int, list[int]] = {}
     for r in rows.where("kind = 's'").select("level", "cells").toLocalIterator():  # one short row per bucket
