@@ -23,14 +23,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquia.session import checkpoint_root, reliable_checkpoint, ship_package
+from colloquia.session import checkpoint_root, reliable_checkpoint
 
 # The reference's BPE training settings.
 BPE_SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>")
@@ -38,6 +36,9 @@ BPE_VOCAB_SIZE = 20_000
 MIN_FREQUENCY = 2
 # Pre-tokeniser: runs of word characters, or runs of other non-space characters.
 PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
+UNK = "<UNK>"
+# Unicode white space, as the pre-tokeniser's \\s.
+SPACES = "\\t-\\r\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 CHECKPOINT_EVERY = 10
 ALPHABET_BROADCAST = 200_000   # alphabets up to this size are broadcast / kept on the driver
 SYMBOL_BASE = 0xF0000   # symbol ids are encoded as code points from here
@@ -89,7 +90,9 @@ def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency
     next merge.  A later pair is too when it shares no symbol with the pairs
     chosen so far and its count is strictly above every count those merges
     can have changed: pairs touching a merged symbol (their counts only
-    shrink) and the new pairs they create (each bounded by such a pair).
+    shrink) and the new pairs they create (each bounded by such a pair).  A
+    pair of one symbol with itself creates pairs of the new symbol that only
+    its own count bounds, so nothing of a lower rank can follow it.
     Pairs outside ``top`` have at most the last listed count.
     """
     chosen: list[tuple[int, int]] = []
@@ -106,6 +109,8 @@ def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency
             break
         chosen.append((a, b))
         touched.update((a, b))
+        if a == b:
+            bound = max(bound, n)
     return chosen
 
 
@@ -145,16 +150,11 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
     top_id = vocab_size if max_merges is None else min(vocab_size, k + n_alpha + max_merges)
     if top_id > MAX_SYMBOLS or n_alpha > ALPHABET_BROADCAST:
         raise ValueError("alphabet or vocabulary too large for one code point per symbol")
-    # one row per distinct character (a checked bound): kept on the driver,
-    # broadcast with the code point that stands for its symbol id
+    # one row per distinct character (a checked bound): kept on the driver
     alpha_rows = {r["id"]: r["ch"] for r in alpha.collect()}
-    codes = F.broadcast(spark.createDataFrame(
-        [(ch, i, _code(i)) for i, ch in alpha_rows.items()], "ch string, id int, code string"))
-    exploded = words.select("word", "cnt", F.posexplode(_chars(F.col("word"))).alias("i", "ch"))
-    table = (exploded.join(codes, "ch")
-             .groupBy("word", "cnt")
-             .agg(F.sort_array(F.collect_list(F.struct("i", "code"))).alias("s"))
-             .select("word", "cnt", F.concat_ws("", F.col("s.code")).alias("syms")))
+    # every character becomes the code point of its symbol id, in one pass
+    letters, codes = "".join(alpha_rows.values()), "".join(_code(i) for i in alpha_rows)
+    table = words.select("word", "cnt", F.translate("word", letters, codes).alias("syms"))
     table = reliable_checkpoint(table.where(F.length("syms") >= 2))
     words.unpersist()
 
@@ -169,10 +169,6 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
 
     current = table.persist(StorageLevel.MEMORY_AND_DISK)
     rounds = 0
-    # each round is one small aggregation over the word table: runtime
-    # re-planning costs more than it saves here, so plan it once statically
-    prev_aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     limit = vocab_size - next_id
     if max_merges is not None:
         limit = min(limit, max_merges)
@@ -209,7 +205,6 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
     for held in (parent, current):
         if held is not None:
             held.unpersist()
-    spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
 
     sp = spark.createDataFrame([(i, t) for i, t in enumerate(specials)],
                                "token_id int, token string")
@@ -228,53 +223,36 @@ def bpe_vocab_filter(vocab: DataFrame) -> DataFrame:
     return vocab.where(F.length("token") > 1).select("token").orderBy("token")
 
 
-def segment_udf(vocab_tokens: list[str], unk: str = "<UNK>"):
-    """Arrow UDF: leftmost-longest matches of vocabulary entries over raw text.
+def trie_pattern(tokens: list[str]) -> str:
+    """A regex that matches the longest of ``tokens`` at a place.
+
+    Tokens are merged into a prefix tree; a node that ends a token has optional
+    children, which a match tries first, so longer tokens win."""
+    tree: dict = {}
+    for t in tokens:
+        node = tree
+        for ch in t:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def render(node: dict) -> str:
+        parts = [f"\\x{{{ord(ch):x}}}" + render(child) for ch, child in sorted(node.items()) if ch]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 and "" not in node else "(?:" + "|".join(parts) + ")"
+        return body + "?" if "" in node else body
+
+    return render(tree)
+
+
+def segment(text: Column, tokens: list[str], unk: str = UNK) -> Column:
+    """Leftmost-longest matches of vocabulary entries over raw text.
 
-    Uncovered runs are split like the pre-tokeniser, and each of their
-    characters becomes ``unk`` (the reference's empty BPE model cannot encode
-    them).  The automaton is built once per executor from a broadcast list
-    whose size is bounded by the vocabulary file cap.
+    White space outside matches is dropped; each other uncovered character becomes
+    ``unk`` (the reference's empty BPE model cannot encode them).  ``tokens`` are a
+    vocabulary file's, so their number is bounded by its cap.
     """
-    spark = SparkSession.getActiveSession()
-    ship_package(spark)
-    bc = spark.sparkContext.broadcast(sorted(set(vocab_tokens)))
-    state: dict = {}
-
-    def automaton():
-        if "a" not in state:
-            import ahocorasick
-            a = ahocorasick.Automaton()
-            for t in bc.value:
-                a.add_word(t, t)
-            if len(a):
-                a.make_automaton()
-            state["a"] = a
-        return state["a"]
-
-    def uncovered(piece: str) -> list[str]:
-        import regex
-        return [unk for w in regex.findall(r"\w+|[^\w\s]+", piece) for _ in w]
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def segment(texts: pd.Series) -> pd.Series:
-        a = automaton()
-        out = []
-        for text in texts:
-            if text is None:
-                out.append(None)
-                continue
-            toks, pos = [], 0
-            if len(a):
-                for end, tok in a.iter_long(text):
-                    start = end - len(tok) + 1
-                    if start > pos:
-                        toks.extend(uncovered(text[pos:start]))
-                    toks.append(tok)
-                    pos = end + 1
-            if pos < len(text):
-                toks.extend(uncovered(text[pos:]))
-            out.append(toks)
-        return pd.Series(out)
-
-    return segment
+    known = trie_pattern(sorted({t for t in tokens if t}))
+    pattern = f"(?s)({known})|[^{SPACES}]" if known else f"(?!)()|[^{SPACES}]"
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda t: F.when(t == "", F.lit(unk)).otherwise(t))

@@ -1,6 +1,7 @@
 """BPE training against the ``tokenizers`` library (test-only dependency)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from colloquia.operators import bpe as B
 
@@ -9,6 +10,7 @@ CASES = [
     (["zz yy zz yy"], "<PAD> <UNK> y z yy zz"),
     (["yz yz az az bz bz"], "<PAD> <UNK> a b y z az bz yz"),
     (["aaaa aaaa"], "<PAD> <UNK> a aa aaaa"),
+    (["aaaa "] * 10 + ["cd "] * 5, "<PAD> <UNK> a c d aa aaaa cd"),
 ]
 
 
@@ -45,16 +47,41 @@ def test_choose_merges_is_conservative():
     assert B.choose_merges(top, True, 2, 10) == [(1, 2)]
     top = [(10, 1, 2), (9, 4, 5), (3, 2, 3), (2, 6, 7)]
     assert B.choose_merges(top, True, 2, 10) == [(1, 2), (4, 5)]
+    # a pair of one symbol with itself can create pairs of nearly its own count
+    assert B.choose_merges([(30, 1, 1), (5, 2, 3)], True, 2, 10) == [(1, 1)]
     # incomplete list: pairs outside it may have the last count
     assert B.choose_merges([(10, 1, 2), (5, 3, 4)], False, 2, 10) == [(1, 2)]
 
 
+def _segment(spark, texts, vocab):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r["s"] for r in df.select("i", B.segment(F.col("t"), vocab).alias("s")).orderBy("i").collect()]
+
+
 def test_segment_leftmost_longest(spark):
-    seg = B.segment_udf(["ab", "abc", "cd"])
-    df = spark.createDataFrame([("abcd x",), ("abab",)], "t string")
-    got = [r["s"] for r in df.select(seg("t").alias("s")).collect()]
+    got = _segment(spark, ["abcd x", "abab", "", None], ["ab", "abc", "cd"])
     assert got[0] == ["abc", "<UNK>", "<UNK>"]   # 'd' uncovered, space dropped, 'x' uncovered
-    assert got[1] == ["ab", "ab"]
+    assert got[1] == ["ab", "ab"] and got[2] == [] and got[3] is None
+    assert _segment(spark, ["aacbc"], ["bc", "cbcaa"]) == [["<UNK>"] * 3 + ["bc"]]
+    assert _segment(spark, ["a b"], []) == [["<UNK>", "<UNK>"]]
+
+
+def test_segment_random(spark):
+    import random
+
+    rnd = random.Random(4)
+    vocab = sorted({"".join(rnd.choice("ab.\U0001F600") for _ in range(rnd.randint(1, 5))) for _ in range(25)})
+    texts = ["".join(rnd.choice("ab.c \U0001F600") for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+
+    def plain(t):
+        out, i = [], 0
+        while i < len(t):
+            hit = max((v for v in vocab if t.startswith(v, i)), key=len, default="")
+            if hit or t[i] != " ":
+                out.append(hit or "<UNK>")
+            i += len(hit) or 1
+        return out
+    assert _segment(spark, texts, vocab) == [plain(t) for t in texts]
 
 
 def test_bpe_matches_library_on_random_corpora(spark):
@@ -66,8 +93,9 @@ def test_bpe_matches_library_on_random_corpora(spark):
     from tokenizers import Tokenizer, models, pre_tokenizers, trainers
 
     rnd = random.Random(11)
-    for trial in range(4):
-        words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7)))
+    for trial in range(6):
+        letters = "abcde" if trial < 4 else "aab"   # runs of one letter: pairs of a symbol with itself
+        words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 7)))
                  for _ in range(rnd.randint(20, 80))]
         texts = [" ".join(words[i:i + 5]) for i in range(0, len(words), 5)]
         df = spark.createDataFrame([(t,) for t in texts], "text string")
