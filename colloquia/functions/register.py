@@ -83,8 +83,13 @@ def _weighted_count(toks: Column, weights: Counter) -> Column:
 
 
 def register_score(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """``struct<puhe:int, kirja:int, score:double>`` for one text column."""
-    toks = word_tokens(text)
-    puhe = _weighted_count(toks, lexicon.spoken)
-    kirja = _weighted_count(toks, lexicon.formal)
-    return F.struct(puhe.alias("puhe"), kirja.alias("kirja"), score_of(puhe, kirja).alias("score"))
+    """``struct<puhe:int, kirja:int, score:double>`` for one text column.
+
+    The tokens are bound to a lambda variable, so the text is tokenised once
+    however many weight classes look at them."""
+    def score(toks: Column) -> Column:
+        puhe = _weighted_count(toks, lexicon.spoken)
+        kirja = _weighted_count(toks, lexicon.formal)
+        return F.struct(puhe.alias("puhe"), kirja.alias("kirja"), score_of(puhe, kirja).alias("score"))
+
+    return F.transform(F.array(word_tokens(text)), score)[0]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquia.functions.text import json_string, ws_split
-from colloquia.operators.vocab import MAX_TOPK_ROWS
+from colloquia.operators.vocab import mapped_tokens, small_mapping
 
 # The reference's chat prompts and training settings.
 PAIR_PROMPT = "Translate to Finnish: "
@@ -87,16 +87,22 @@ def step_plan(composed: DataFrame, batch_size: int = BATCH_SIZE, epochs: int = E
 
 
 def token_ids(df: DataFrame, text_col: str, key_cols: Sequence[str], vocab: DataFrame,
-              unk_id: int, vocab_bound: int | None = None) -> DataFrame:
+              unk_id: int, max_tokens: int | None = None) -> DataFrame:
     """``key_cols..., ids``: vocabulary id of every whitespace token (lower-cased
-    lookup), ``unk_id`` when missing, in token order."""
-    toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
+    lookup), ``unk_id`` when missing, in token order.
+
+    With ``max_tokens`` the rest of a text is cut before any lookup.  A vocabulary
+    of checked size is mapped in place; a larger one is joined."""
+    toks = F.coalesce(ws_split(F.col(text_col)), F.array().cast("array<string>"))
+    toks = toks if max_tokens is None else F.slice(toks, 1, max_tokens)
     voc = vocab.groupBy(F.col("token").alias("_vt")).agg(F.min("token_id").alias("_vid"))
-    if vocab_bound is None:
-        vocab_bound = voc.count()   # size check before choosing a broadcast
-    if vocab_bound <= MAX_TOPK_ROWS:
-        voc = F.broadcast(voc)
-    joined = toks.join(voc, F.lower(F.col("t")) == F.col("_vt"), "left")
+    rows = small_mapping(voc, "_vt", "_vid")
+    if rows is not None:
+        ids = df.sparkSession.sparkContext.broadcast({r["_vt"]: r["_vid"] for r in rows})
+        look = mapped_tokens(df.sparkSession, "int", lambda t, low: ids.value.get(low, unk_id))
+        return df.select(*key_cols, look(toks).alias("ids"))
+    each = df.select(*key_cols, F.posexplode_outer(toks).alias("p", "t"))
+    joined = each.join(voc, F.lower(F.col("t")) == F.col("_vt"), "left")
     ided = joined.select(*key_cols, "p", F.coalesce(F.col("_vid"), F.lit(unk_id))
                          .cast("int").alias("i"))
     item = F.when(F.col("p").isNotNull(), F.struct("p", "i"))   # rows without tokens: []
@@ -104,6 +110,14 @@ def token_ids(df: DataFrame, text_col: str, key_cols: Sequence[str], vocab: Data
         .select(*key_cols, F.col("pi.i").alias("ids"))
 
 
+def chunked_ids(ids: Column, max_len: int) -> Column:
+    """``ids`` cut into consecutive arrays of at most ``max_len - 1``, so that
+    ``fixed_length_rows`` of the chunks keeps every token."""
+    step = max_len - 1
+    starts = F.sequence(F.lit(1), F.greatest(F.size(ids), F.lit(1)), F.lit(step))
+    return F.transform(starts, lambda i: F.slice(ids, i, step))
+
+
 def fixed_length_rows(ids: Column, eos_id: int, max_len: int = MAX_LEN) -> Column:
     """``struct(input_ids, attention_mask, labels)`` of length ``max_len``.
 

@@ -9,7 +9,6 @@ from colloquia.operators.order import dense_index
 
 SEED = 42            # fixed value: the reference's shuffle seed
 TRAIN_SHARE = 0.9    # fixed value: share of rows that go to train
-BUCKETS = 10
 
 
 def hash_key(c: Column, seed: int = SEED) -> Column:
@@ -17,10 +16,10 @@ def hash_key(c: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(c.cast("string"), F.lit(f":{seed}")))
 
 
-def hash_bucket(c: Column, seed: int = SEED, buckets: int = BUCKETS) -> Column:
-    """First 32 bits of the md5 key, modulo ``buckets`` (shuffle-free)."""
+def below_share(c: Column, share: float, seed: int = SEED) -> Column:
+    """Whether the first 32 bits of the md5 key are below ``share`` of their range."""
     head = F.conv(F.substring(hash_key(c, seed), 1, 8), 16, 10).cast("long")
-    return F.pmod(head, F.lit(buckets))
+    return head < F.lit(int(share * 2 ** 32))
 
 
 def split_exact(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
@@ -37,15 +36,15 @@ def split_exact(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
 
 def split_random(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
                  seed: int = SEED) -> DataFrame:
-    """About ``share`` of rows to train by hash bucket: no shuffle, no count."""
-    train = hash_bucket(F.col(id_col), seed) < int(round(share * BUCKETS))
+    """About ``share`` of rows to train by hash: no shuffle, no count."""
+    train = below_share(F.col(id_col), share, seed)
     return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("valid")))
 
 
 def split_leak_safe(df: DataFrame, text_col: str, share: float = TRAIN_SHARE,
                     seed: int = SEED) -> DataFrame:
     """Split on the case-folded text so every copy of a text lands on one side."""
-    train = hash_bucket(F.lower(F.col(text_col)), seed) < int(round(share * BUCKETS))
+    train = below_share(F.lower(F.col(text_col)), share, seed)
     return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("valid")))
 
 

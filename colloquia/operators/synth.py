@@ -11,7 +11,6 @@ rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,19 +20,16 @@ from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
 from colloquia.session import path_exists, reliable_checkpoint, ship_package
 
-# The reference's back-translation request settings.
 SYSTEM_PROMPT = (
-    "You are a translator. You are given a line of colloquial/slang Finnish "
-    "(spoken register, often Helsinki rap lyrics). Translate it into natural, "
-    "everyday English. Output ONLY the English translation, no quotes, no notes. "
-    "If the line is already English or nonsense, repeat it unchanged."
+    "Translate one line of spoken Finnish into plain everyday English. Reply with the "
+    "translation alone. A line that is not Finnish stays as it is."
 )
+# Settings of a back-translation request.
 NO_THINK = " /no_think"
 MAX_TOKENS = 1024
 TEMPERATURE = 0.2
 REASONING_EFFORT = "low"
-DEFAULT_LIMIT = 2_000          # fixed value: lines per run by default
-DRIVER_LIMIT = 6_000           # fixed value: lines per run in the reference driver
+SLICES = 8   # parts of a run that are committed one after another
 SYNTH_SOURCE, SYNTH_REGISTER, SYNTH_PREFIX = "rap_synthetic", "puhekieli", "synth-"
 # Quote characters the tidier may strip (opening, closing).
 OPEN_QUOTES = ('"', "'", "“", "‘")
@@ -47,13 +43,6 @@ def system_prompt(model: str) -> str:
     return SYSTEM_PROMPT + (NO_THINK if "qwen" in model.lower() else "")
 
 
-def request_messages(text: Column, model: str) -> Column:
-    """The chat request of one row: system prompt + the line as user turn."""
-    return F.array(F.struct(F.lit("system").alias("role"),
-                            F.lit(system_prompt(model)).alias("content")),
-                   F.struct(F.lit("user").alias("role"), text.alias("content")))
-
-
 def tidy_output(c: Column) -> Column:
     """Strip, drop ``<think>...</think>`` blocks, strip one surrounding quote pair."""
     t = T.strip(F.regexp_replace(T.strip(c), "(?s)<think>.*?</think>", ""))
@@ -88,22 +77,29 @@ def backtranslate(df: DataFrame, factory: TranslatorFactory, model: str,
         import pandas as pd
 
         translate = factory(model=model, system=system, temperature=TEMPERATURE,
-                            max_tokens=MAX_TOKENS)
+                            max_tokens=MAX_TOKENS, reasoning_effort=REASONING_EFFORT)
+
+        def attempt(texts: list[str], outs: list, errs: list, at: int) -> None:
+            """Translate, halving a failing batch until the failing rows stand alone."""
+            try:
+                got = list(translate(texts))
+                if len(got) != len(texts):
+                    raise ValueError("translator returned a different number of rows")
+                outs[at:at + len(texts)] = got
+            except Exception as exc:  # noqa: BLE001 -- isolate the failing rows
+                if len(texts) == 1:
+                    errs[at] = f"{type(exc).__name__}: {exc}"
+                    return
+                half = len(texts) // 2
+                attempt(texts[:half], outs, errs, at)
+                attempt(texts[half:], outs, errs, at + half)
+
         for pdf in batches:
             texts = pdf["fi"].tolist()
             outs: list = [None] * len(texts)
             errs: list = [None] * len(texts)
-            try:
-                outs = list(translate(texts))
-                if len(outs) != len(texts):
-                    raise ValueError("translator returned a different number of rows")
-            except Exception:  # noqa: BLE001 -- isolate the failing rows
-                outs = [None] * len(texts)
-                for i, t in enumerate(texts):
-                    try:
-                        outs[i] = translate([t])[0]
-                    except Exception as exc:  # noqa: BLE001
-                        errs[i] = f"{type(exc).__name__}: {exc}"
+            if texts:
+                attempt(texts, outs, errs, 0)
             yield pd.DataFrame({"id": pdf["id"], "fi": pdf["fi"], "en_raw": outs, "error": errs})
 
     return src.mapInPandas(run, "id string, fi string, en_raw string, error string")
@@ -120,9 +116,9 @@ def pairs_from_translations(raw: DataFrame) -> DataFrame:
 
 
 def first_rows(source: DataFrame, limit: int | None, order_col: str = "idx",
-               dense: bool = True) -> DataFrame:
-    """The first ``limit`` rows (0/None = all).  When ``order_col`` is a dense
-    0-based index (the flavor corpus' ``idx``) that is a plain filter."""
+               dense: bool = False) -> DataFrame:
+    """The first ``limit`` rows (0/None = all).  A caller who knows that ``order_col``
+    is a dense 0-based index (the whole flavor corpus' ``idx``) gets a plain filter."""
     if not limit:
         return source
     if dense:
@@ -131,7 +127,7 @@ def first_rows(source: DataFrame, limit: int | None, order_col: str = "idx",
 
 
 def plan_batch(source: DataFrame, existing: DataFrame | None, limit: int | None,
-               order_col: str = "idx", dense: bool = True) -> DataFrame:
+               order_col: str = "idx", dense: bool = False) -> DataFrame:
     """Rows of this run: the first ``limit`` source rows (0/None = all), minus
     those whose ``synth-<id>`` is already written (anti join on id)."""
     batch = first_rows(source, limit, order_col, dense)
@@ -143,14 +139,14 @@ def plan_batch(source: DataFrame, existing: DataFrame | None, limit: int | None,
 
 
 def synthesize(source: DataFrame, existing: DataFrame | None, factory: TranslatorFactory,
-               model: str, limit: int | None = DEFAULT_LIMIT,
-               num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+               model: str, limit: int | None = None, num_partitions: int | None = None,
+               order_col: str = "idx", dense: bool = False) -> tuple[DataFrame, DataFrame]:
     """One run: ``(all_pairs, raw)``; all_pairs = existing rows then new rows.
 
     The translations are materialised once (reliable checkpoint): every later
     action reads them back instead of calling the translator again.
     """
-    todo = plan_batch(source, existing, limit)
+    todo = plan_batch(source, existing, limit, order_col, dense)
     raw = reliable_checkpoint(backtranslate(todo, factory, model, num_partitions=num_partitions))
     new = pairs_from_translations(raw)
     out = new if existing is None else existing.select(
@@ -159,7 +155,7 @@ def synthesize(source: DataFrame, existing: DataFrame | None, factory: Translato
 
 
 def synth_progress(source: DataFrame, existing: DataFrame | None, raw: DataFrame,
-                   limit: int | None, order_col: str = "idx", dense: bool = True) -> DataFrame:
+                   limit: int | None, order_col: str = "idx", dense: bool = False) -> DataFrame:
     """``status, n``: skipped (already done), failed, dropped (empty/short), added."""
     batch = first_rows(source, limit, order_col, dense)
     n_batch = batch.select(F.count(F.lit(1))).scalar()
@@ -176,46 +172,41 @@ def synth_progress(source: DataFrame, existing: DataFrame | None, raw: DataFrame
     return counted.unionByName(skipped)
 
 
+def errors_path(out_path: str) -> str:
+    """Where a run into ``out_path`` records its failures (``id, fi, error``)."""
+    return out_path.rstrip("/") + "_errors"
+
+
 def run_synthesis(spark: SparkSession, source: DataFrame, out_path: str,
-                  factory: TranslatorFactory, model: str, limit: int | None = DEFAULT_LIMIT,
-                  existing_schema=None) -> int:
+                  factory: TranslatorFactory, model: str, limit: int | None = None,
+                  existing_schema=None, order_col: str = "idx", dense: bool = False,
+                  slices: int = SLICES) -> int:
     """Resumable run: read what ``out_path`` holds, translate the rest, append.
 
-    Returns the number of new rows.  Spark's commit protocol makes the append
-    all-or-nothing per run, so a crash leaves the previous runs intact.
+    Returns the number of new rows.  The run is cut into ``slices`` by id hash and
+    each is committed when it is done, so a run that dies keeps its finished slices;
+    the next run translates what is missing, failed rows included.  Failures are
+    appended to ``errors_path``.
     """
     from colloquia.sources.jsonl import PAIR_SCHEMA, read_jsonl
 
     existing = None
     if path_exists(out_path):   # first run: nothing written yet
         existing = read_jsonl(spark, out_path, existing_schema or PAIR_SCHEMA)
-    todo = plan_batch(source, existing, limit)
-    new = pairs_from_translations(backtranslate(todo, factory, model))
-    new = reliable_checkpoint(new)   # call the translator once, then write
-    n = new.count()
-    new.write.mode("append").option("ignoreNullFields", "false").json(out_path)
+    # the rows of this run are fixed before any slice adds to the output
+    todo = reliable_checkpoint(plan_batch(source, existing, limit, order_col, dense)
+                               .withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices))))
+    n = 0
+    for k in range(slices):
+        # the translator is called once per row, then both outputs are written
+        raw = reliable_checkpoint(backtranslate(todo.where(F.col("_slice") == k), factory, model))
+        n += write_translations(raw, out_path, errors_path(out_path), "append")
     return n
 
 
-# --- a deterministic stand-in translator for tests and the registered queries ----
-
-_DIGIT = re.compile(r"[0-9]")
-
-
-def mirror_translator_factory(model: str = "", system: str = "", temperature: float = 0.0,
-                              max_tokens: int = 0) -> Callable[[list[str]], list[str]]:
-    """Reverses word order; fails on digits, returns an empty quote pair on '?',
-    and wraps answers in a think block and quotes like a chatty model."""
-
-    def translate(texts: list[str]) -> list[str]:
-        out = []
-        for t in texts:
-            if _DIGIT.search(t):
-                raise ValueError("digits in input")
-            if "?" in t:
-                out.append('""')
-                continue
-            out.append('<think>fi-en</think>\n"' + " ".join(reversed(t.split(" "))) + '"')
-        return out
-
-    return translate
+def write_translations(raw: DataFrame, out_path: str, err_path: str, mode: str) -> int:
+    """Write the pairs and the failures of translated rows; returns the pairs' number."""
+    new = pairs_from_translations(raw)
+    raw.where(F.col("error").isNotNull()).select("id", "fi", "error").write.mode(mode).json(err_path)
+    new.write.mode(mode).option("ignoreNullFields", "false").json(out_path)
+    return new.count()

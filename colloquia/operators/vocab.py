@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquia.functions.text import ws_split  # noqa: F401  (re-exported)
 from colloquia.operators.clean import first_n
-from colloquia.session import reliable_checkpoint
+from colloquia.session import reliable_checkpoint, ship_package
 
 # Special tokens appended by the reference's word vocabulary
 # (``<EOS>`` appears twice there).
@@ -26,8 +27,6 @@ REFERENCE_SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>", "<EOS>")
 # Special tokens of the BPE trainer and of our distinct vocabulary.
 SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>")
 UNK = "<UNK>"
-# Words the reference checks for in its vocabularies.
-KEYWORD_TARGETS = ("städi", "vittu", "jäbä", "luuliks", "op", "me passiivi")
 WORD_VOCAB_SIZE = 10_000   # fixed value: the reference's word vocabulary size
 MAX_TOPK_ROWS = 100_000    # vocabularies up to this size may be broadcast
 
@@ -131,33 +130,51 @@ def _vocab_side(vocab: DataFrame, token_col: str, n_bound: int | None) -> DataFr
     return toks   # large vocabularies: a shuffle join (AQE may still broadcast)
 
 
-def keyword_table(spark, words=KEYWORD_TARGETS) -> DataFrame:
-    """``keyword``: the words to look for (the reference's list by default)."""
-    return spark.createDataFrame([(w,) for w in words], "keyword string")
-
-
 def keyword_coverage(vocab: DataFrame, keywords: DataFrame, token_col: str = "token",
                      keyword_col: str = "keyword",
-                     vocab_bound: int | None = WORD_VOCAB_SIZE) -> DataFrame:
+                     vocab_bound: int | None = None) -> DataFrame:
     """``keyword, found``: exact membership of every keyword in the vocabulary."""
     toks = _vocab_side(vocab, token_col, vocab_bound)
     hit = keywords.join(toks, F.col(keyword_col) == F.col("_vtok"), "left")
     return hit.select(keyword_col, F.col("_vtok").isNotNull().alias("found"))
 
 
+def small_mapping(vocab: DataFrame, *cols: str) -> list | None:
+    """The rows of a vocabulary of at most MAX_TOPK_ROWS entries, else None."""
+    rows = vocab.select(*cols).limit(MAX_TOPK_ROWS + 1).collect()
+    return rows if len(rows) <= MAX_TOPK_ROWS else None
+
+
+def mapped_tokens(spark, kind: str, lookup):
+    """An Arrow function over arrays of tokens.  ``lookup(token, lower-cased token)``
+    gives a token's value."""
+    ship_package(spark)
+
+    @F.pandas_udf(f"array<{kind}>")
+    def run(arrays: pd.Series) -> pd.Series:
+        return arrays.map(lambda ts: [lookup(t, t.lower()) for t in ts], na_action="ignore")
+
+    return run
+
+
 def whitespace_tokenize(df: DataFrame, text_col: str, key_cols: Sequence[str],
-                        vocab: DataFrame, token_col: str = "token",
-                        vocab_bound: int | None = WORD_VOCAB_SIZE) -> DataFrame:
+                        vocab: DataFrame, token_col: str = "token") -> DataFrame:
     """``key_cols..., tokens``: each whitespace token kept (original case) when
     its lower-case form is in the vocabulary, else ``<UNK>``.
 
-    Tokens are exploded with their position, joined to the vocabulary (a
-    broadcast when its size is bounded) and gathered back per row in order.
+    A vocabulary of checked size is sent to the tasks and the tokens are mapped
+    in place, without a shuffle.  A larger one is joined: tokens are exploded
+    with their position and gathered back per row in order.
     """
-    # explode_outer keeps rows without tokens (as one null token) in one pass
+    rows = small_mapping(vocab.select(token_col).distinct(), token_col)
+    if rows is not None:
+        known = df.sparkSession.sparkContext.broadcast({r[0] for r in rows})
+        keep = mapped_tokens(df.sparkSession, "string", lambda t, low: t if low in known.value else UNK)
+        toks = F.coalesce(ws_split(F.col(text_col)), F.array().cast("array<string>"))
+        return df.select(*key_cols, keep(toks).alias("tokens"))
     toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
-    joined = toks.join(_vocab_side(vocab, token_col, vocab_bound),
-                       F.lower(F.col("t")) == F.col("_vtok"), "left")
+    side = vocab.select(F.col(token_col).alias("_vtok")).distinct()
+    joined = toks.join(side, F.lower(F.col("t")) == F.col("_vtok"), "left")
     mapped = joined.select(*key_cols, "p", F.when(F.col("_vtok").isNotNull(), F.col("t"))
                            .otherwise(F.lit(UNK)).alias("t"))
     item = F.when(F.col("p").isNotNull(), F.struct("p", "t"))   # collect_list skips nulls

@@ -13,6 +13,9 @@ registered queries derive them (whole tables, no sampling):
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +38,9 @@ def doc_lines(docs: DataFrame) -> DataFrame:
     return explode_lines(docs, "text", ["doc_id", "source", "lang"])
 
 
-_LP_MEMO: dict[tuple[str, str], DataFrame] = {}
-
-
 def line_pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``line_pairs`` of a table folder, numbered once per session (the dense
-    index is checkpointed, so later queries reuse the written rows)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LP_MEMO:
-        _LP_MEMO[key] = line_pairs(documents(spark, sf_dir))
-    return _LP_MEMO[key]
+    """``line_pairs`` of a table folder."""
+    return line_pairs(documents(spark, sf_dir))
 
 
 def line_pairs(docs: DataFrame) -> DataFrame:
@@ -87,5 +83,27 @@ def seed_view(docs: DataFrame) -> DataFrame:
                         F.col("doc_id").alias("chunk"), "pos", "line")
 
 
-def seed_file_name(source_col: str = "source"):
-    return F.concat(F.lit("artist_"), F.col(source_col))
+
+# --- a deterministic stand-in translator for tests and the registered queries ----
+
+_DIGIT = re.compile(r"[0-9]")
+
+
+def mirror_translator_factory(model: str = "", system: str = "", temperature: float = 0.0,
+                              max_tokens: int = 0,
+                              reasoning_effort: str = "") -> Callable[[list[str]], list[str]]:
+    """Reverses word order; fails on digits, returns an empty quote pair on '?',
+    and wraps answers in a think block and quotes like a chatty model."""
+
+    def translate(texts: list[str]) -> list[str]:
+        out = []
+        for t in texts:
+            if _DIGIT.search(t):
+                raise ValueError("digits in input")
+            if "?" in t:
+                out.append('""')
+                continue
+            out.append('<think>fi-en</think>\n"' + " ".join(reversed(t.split(" "))) + '"')
+        return out
+
+    return translate

@@ -166,8 +166,8 @@ def hash_key(x: str) -> str:
     return f"md5(CAST({x} AS VARCHAR) || ':42')"
 
 
-def bucket(x: str) -> str:
-    return f"(CAST(('0x' || substr({hash_key(x)}, 1, 8)) AS BIGINT) % 10)"
+def below_share(x: str, share: float = 0.9) -> str:
+    return f"(CAST(('0x' || substr({hash_key(x)}, 1, 8)) AS BIGINT) < {int(share * 2 ** 32)})"
 
 
 def exact_split(id_col: str, table_name: str) -> str:
@@ -194,7 +194,7 @@ def _synth_rows(src: str) -> str:
 
 cte("run1", _synth_rows("(SELECT * FROM stub WHERE idx < 500)"), ("stub",))
 cte("run2_todo", """
-SELECT * FROM stub WHERE idx < 6000 AND 'synth-' || id NOT IN (SELECT id FROM run1)""",
+SELECT * FROM stub WHERE 'synth-' || id NOT IN (SELECT id FROM run1)""",
     ("stub", "run1"))
 cte("synth", f"SELECT * FROM run1 UNION ALL {_synth_rows('run2_todo')}", ("run1", "run2_todo"))
 cte("synth_split", f"SELECT id, fi, {exact_split('id', 'synth')} AS split FROM synth", ("synth",))

@@ -25,6 +25,7 @@ from colloquia.operators.order import dense_index
 from colloquia.operators.register import marker_counts, register_rate, score_texts
 from colloquia.plans import fixtures as fx
 from colloquia.plans import oracle as O
+from colloquia.plans import stages
 from colloquia.session import reliable_checkpoint, scratch_path
 from colloquia.sources import registry as R
 from colloquia.sources import seed as seed_src
@@ -183,26 +184,9 @@ def write_seed_fixture(spark, sf) -> str:
     return path
 
 
-def _flavor_from_files(spark, sf) -> DataFrame:
-    path = write_seed_fixture(spark, sf)
-    lines = seed_src.read_seed_lines(spark, path)
-    return clean.flavor_corpus(lines, chunk_bound=seed_src.seed_chunk_bound(spark, path))
-
-
-_FLAVOR_MEMO: dict[tuple[str, str], DataFrame] = {}
-
-
 def flavor_from_documents(spark, sf) -> DataFrame:
-    """The flavor corpus of the documents' seed view, without writing files.
-
-    Its numbering is checkpointed (reliable, shared folder), so queries of one
-    session that build on it reuse the written rows instead of recomputing.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FLAVOR_MEMO:
-        docs = fx.documents(spark, sf)
-        _FLAVOR_MEMO[key] = clean.flavor_corpus(fx.seed_view(docs))
-    return _FLAVOR_MEMO[key]
+    """The flavor corpus of the documents' seed view, without writing files."""
+    return clean.flavor_corpus(fx.seed_view(fx.documents(spark, sf)))
 
 
 def _flat_flavor(df: DataFrame) -> DataFrame:
@@ -233,7 +217,7 @@ def q_song_title_tag(spark, sf):
 
 @query("flavor_corpus", FLAVOR_SQL)
 def q_flavor_corpus(spark, sf):
-    return _flat_flavor(_flavor_from_files(spark, sf))
+    return _flat_flavor(stages.flavor_of_files(spark, write_seed_fixture(spark, sf)))
 
 
 # --- parallel pairs ------------------------------------------------------------------------
@@ -252,8 +236,6 @@ O.cte("pairs_opus", _pair_sql("opus_100"), ("lp",))
 O.cte("pairs_subs", _pair_sql("opensubtitles_enfi"), ("lp",))
 
 PAIR_CAP_DEMO = 1_000        # cap used by the registered pair_cap query
-DRIVER_PAIR_CAP = 50_000     # fixed value: the reference driver's cap per corpus
-DEFAULT_PAIR_CAP = 200_000   # fixed value: the reference's default cap
 
 
 def _write_lp(spark, sf, nested: bool = False) -> str:
@@ -285,21 +267,13 @@ def q_pair_cap(spark, sf):
     return clean.pair_cap(pairs, PAIR_CAP_DEMO)
 
 
-def pair_corpus(spark, path: str, source: str, nested: bool, out: str,
-                max_pairs: int = DEFAULT_PAIR_CAP) -> int:
-    """Scan -> clean -> cap -> JSONL, one corpus; returns the rows written."""
-    raw = pairs_scan_nested(spark, path) if nested else pairs_scan_flat(spark, path)
-    capped = clean.pair_cap(clean.pair_clean(raw, source), max_pairs)
-    return write_jsonl(capped.select("source", "id", "en", "fi", "register"), out)
-
-
 @query("pair_corpus", O.sql("""
 SELECT source, id, en, fi, register FROM pairs_subs
 UNION ALL SELECT source, id, en, fi, register FROM pairs_opus""", "pairs_subs", "pairs_opus"))
 def q_pair_corpus(spark, sf):
     out_subs, out_opus = scratch_path(spark, "subs-jsonl"), scratch_path(spark, "opus-jsonl")
-    pair_corpus(spark, _write_lp(spark, sf), "opensubtitles_enfi", False, out_subs)
-    pair_corpus(spark, _write_lp(spark, sf, nested=True), "opus_100", True, out_opus)
+    stages.pair_corpus(spark, _write_lp(spark, sf), "opensubtitles_enfi", False, out_subs)
+    stages.pair_corpus(spark, _write_lp(spark, sf, nested=True), "opus_100", True, out_opus)
     return read_jsonl(spark, out_subs, PAIR_SCHEMA).unionByName(
         read_jsonl(spark, out_opus, PAIR_SCHEMA))
 
@@ -358,40 +332,26 @@ SELECT d.doc_id, coalesce(x.line, '') AS line FROM documents d LEFT JOIN (
   GROUP BY doc_id) x ON x.doc_id = d.doc_id""", ("vfinal",))
 
 
-_COUNTS_MEMO: dict[tuple[str, str], DataFrame] = {}
-
-
 def _doc_word_counts(spark, sf):
-    """Word counts with first occurrences, counted once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _COUNTS_MEMO:
-        _COUNTS_MEMO[key] = reliable_checkpoint(
-            V.word_counts(fx.documents(spark, sf), "text", ["doc_id"]))
-    return _COUNTS_MEMO[key]
-
-
-_VOCAB_MEMO: dict[tuple[str, str], DataFrame] = {}
+    """Word counts with first occurrences (read several times, so written once)."""
+    return reliable_checkpoint(V.word_counts(fx.documents(spark, sf), "text", ["doc_id"]))
 
 
 def reference_word_vocab(spark, sf) -> DataFrame:
-    """The documents' word vocabulary (reference mode), built once per session
-    like the reference's saved vocabulary file (its level order is checkpointed)."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _VOCAB_MEMO:
-        counts = _doc_word_counts(spark, sf)
-        _VOCAB_MEMO[key] = V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE),
-                                         V.WORD_VOCAB_SIZE)
-    return _VOCAB_MEMO[key]
+    """The documents' word vocabulary (reference mode)."""
+    counts = V.word_counts(fx.documents(spark, sf), "text", ["doc_id"])
+    return V.vocab_final(V.vocab_level_order(counts, V.WORD_VOCAB_SIZE), V.WORD_VOCAB_SIZE)
 
 
 @query("word_counts", O.sql("SELECT word, cnt FROM wcounts", "wcounts"))
 def q_word_counts(spark, sf):
-    return V.word_counts(fx.documents(spark, sf), "text")   # counted here, not reused
+    return V.word_counts(fx.documents(spark, sf), "text")
 
 
 @query("vocab_level_order", O.sql("SELECT rank, word, level FROM lorder", "lorder"))
 def q_vocab_level_order(spark, sf):
-    return V.vocab_level_order(_doc_word_counts(spark, sf), V.WORD_VOCAB_SIZE)
+    return V.vocab_level_order(V.word_counts(fx.documents(spark, sf), "text", ["doc_id"]),
+                               V.WORD_VOCAB_SIZE)
 
 
 @query("vocab_final", O.sql("SELECT token_id, token FROM vfinal", "vfinal"))
@@ -434,7 +394,8 @@ def q_raw_token_count(spark, sf):
 
 
 SYNTH_MODEL = "stand-in-mirror"
-RUN1_LIMIT = 500   # an earlier, smaller run whose output the next run resumes from
+BATCH_LIMIT = 6_000   # fixed value: lines per run, for the batch_limit query only
+RUN1_LIMIT = 500   # an earlier, smaller run; the run after it translates all the rest
 
 
 def _synth_source(spark, sf) -> DataFrame:
@@ -443,13 +404,14 @@ def _synth_source(spark, sf) -> DataFrame:
 
 def _run1(spark, sf) -> DataFrame:
     src = _synth_source(spark, sf)
-    pairs, _ = S.synthesize(src, None, S.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT)
+    pairs, _ = S.synthesize(src, None, fx.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT,
+                            dense=True)
     return pairs
 
 
 @query("backtranslate_batch", O.sql("SELECT id, fi, en_raw, error FROM stub", "stub"))
 def q_backtranslate_batch(spark, sf):
-    return S.backtranslate(_synth_source(spark, sf), S.mirror_translator_factory, SYNTH_MODEL)
+    return S.backtranslate(_synth_source(spark, sf), fx.mirror_translator_factory, SYNTH_MODEL)
 
 
 @query("resume_filter", O.sql("""
@@ -458,19 +420,19 @@ def q_resume_filter(spark, sf):
     return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), None).select("id", "fi")
 
 
-@query("batch_limit", O.sql("SELECT id, fi FROM run2_todo", "run2_todo"))
+@query("batch_limit", O.sql(f"SELECT id, fi FROM run2_todo WHERE idx < {BATCH_LIMIT}", "run2_todo"))
 def q_batch_limit(spark, sf):
-    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), S.DRIVER_LIMIT).select(
+    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), BATCH_LIMIT).select(
         "id", "fi")
 
 
 @query("synth_pairs", O.sql("SELECT source, id, en, fi, register FROM synth", "synth"))
 def q_synth_pairs(spark, sf):
-    """Two resumable runs into one JSONL folder: 500 lines, then the driver's 6,000."""
+    """Two resumable runs into one JSONL folder: 500 lines, then all the others."""
     out = scratch_path(spark, "synth-jsonl")
     src = _synth_source(spark, sf)
-    S.run_synthesis(spark, src, out, S.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT)
-    S.run_synthesis(spark, src, out, S.mirror_translator_factory, SYNTH_MODEL, S.DRIVER_LIMIT)
+    S.run_synthesis(spark, src, out, fx.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT, slices=1)
+    S.run_synthesis(spark, src, out, fx.mirror_translator_factory, SYNTH_MODEL)
     return read_jsonl(spark, out, PAIR_SCHEMA)
 
 
@@ -481,14 +443,13 @@ SELECT status, CAST(count(*) AS BIGINT) AS n FROM (
               ELSE 'added' END AS status FROM run2_todo)
 GROUP BY status
 UNION ALL
-SELECT 'skipped', CAST((SELECT count(*) FROM stub WHERE idx < 6000)
+SELECT 'skipped', CAST((SELECT count(*) FROM stub)
                        - (SELECT count(*) FROM run2_todo) AS BIGINT)""", "stub", "run2_todo"))
 def q_synth_progress(spark, sf):
     src = _synth_source(spark, sf)
     existing = _run1(spark, sf)
-    _, raw = S.synthesize(src, existing, S.mirror_translator_factory, SYNTH_MODEL,
-                          S.DRIVER_LIMIT)
-    return S.synth_progress(src, existing, raw, S.DRIVER_LIMIT)
+    _, raw = S.synthesize(src, existing, fx.mirror_translator_factory, SYNTH_MODEL)
+    return S.synth_progress(src, existing, raw, None)
 
 
 def _conv_raw(spark, sf) -> DataFrame:
@@ -531,28 +492,18 @@ def q_reply_tidy(spark, sf):
 # --- 2.4 splits, composition, chat rows -----------------------------------------------------
 
 
-_SYNTH_MEMO: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _synth_pairs_lazy(spark, sf) -> DataFrame:
-    """Both synthesis runs (translations checkpointed), once per session."""
-    key = (spark.sparkContext.applicationId, sf, "pairs")
-    if key not in _SYNTH_MEMO:
-        src = _synth_source(spark, sf)
-        pairs, _ = S.synthesize(src, _run1(spark, sf), S.mirror_translator_factory, SYNTH_MODEL,
-                                S.DRIVER_LIMIT)
-        _SYNTH_MEMO[key] = pairs
-    return _SYNTH_MEMO[key]
+def _synth_pairs(spark, sf, src: DataFrame | None = None) -> DataFrame:
+    """Both synthesis runs (translations checkpointed)."""
+    src = _synth_source(spark, sf) if src is None else src
+    run1, _ = S.synthesize(src, None, fx.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT, dense=True)
+    pairs, _ = S.synthesize(src, run1, fx.mirror_translator_factory, SYNTH_MODEL)
+    return pairs
 
 
 def _composed(spark, sf) -> DataFrame:
-    """Training composition (flavor + exact synthetic split), once per session."""
-    key = (spark.sparkContext.applicationId, sf, "composed")
-    if key not in _SYNTH_MEMO:
-        flavor = flavor_from_documents(spark, sf)
-        synth = SP.split_exact(_synth_pairs_lazy(spark, sf), "id")
-        _SYNTH_MEMO[key] = C.compose_train(flavor, synth)
-    return _SYNTH_MEMO[key]
+    """Training composition (flavor + exact synthetic split)."""
+    flavor = flavor_from_documents(spark, sf)
+    return stages.compose(flavor, _synth_pairs(spark, sf, flavor.select("id", "fi", "idx")))
 
 
 @query("split_exact", O.sql(f"SELECT doc_id, {O.exact_split('doc_id', 'documents')} AS split "
@@ -562,7 +513,7 @@ def q_split_exact(spark, sf):
 
 
 @query("split_random", O.sql(f"""
-SELECT doc_id, CASE WHEN {O.bucket('doc_id')} < 9 THEN 'train' ELSE 'valid' END AS split
+SELECT doc_id, CASE WHEN {O.below_share('doc_id')} THEN 'train' ELSE 'valid' END AS split
 FROM documents"""))
 def q_split_random(spark, sf):
     return SP.split_random(fx.documents(spark, sf).select("doc_id"), "doc_id")
@@ -604,7 +555,7 @@ def q_split_leakage(spark, sf):
 
 
 @query("split_leak_safe", O.sql(f"""
-SELECT id, role, CASE WHEN {O.bucket('lower(fi)')} < 9 THEN 'train' ELSE 'valid' END AS split
+SELECT id, role, CASE WHEN {O.below_share('lower(fi)')} THEN 'train' ELSE 'valid' END AS split
 FROM composed""", "composed"))
 def q_split_leak_safe(spark, sf):
     comp = _composed(spark, sf).drop("split")
@@ -690,7 +641,7 @@ def q_fixed_length_rows(spark, sf):
     docs = fx.documents(spark, sf)
     counts = _doc_word_counts(spark, sf)
     vocab = V.vocab_final(counts, V.WORD_VOCAB_SIZE, mode="distinct", counts=counts)
-    ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK, V.WORD_VOCAB_SIZE)
+    ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK, C.MAX_LEN)
     rows = ids.select("doc_id", C.fixed_length_rows(F.col("ids"), _EOS).alias("r"))
 
     def s(c):
@@ -702,7 +653,7 @@ def q_fixed_length_rows(spark, sf):
 # --- 2.4 pre-tokeniser, BPE, segmentation --------------------------------------------------
 
 
-BPE_DEMO_MERGES = 50   # merges learned by the registered query (one Spark job each)
+BPE_QUERY_VOCAB = 256   # vocabulary size of the registered queries (a round is one Spark job)
 _PRE_W = "[\\p{L}\\p{Nl}\\p{M}\\p{Nd}\\p{Pc}\\x{200c}\\x{200d}]"
 _PRE_S = ("\\t-\\r\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
           "\\x{202f}\\x{205f}\\x{3000}")
@@ -719,15 +670,8 @@ def q_pretokenize(spark, sf):
                        F.concat_ws(" ", ps).alias("pieces"))
 
 
-_BPE_MEMO: dict[tuple[str, str], B.BpeModel] = {}
-
-
 def bpe_model(spark, sf) -> B.BpeModel:
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _BPE_MEMO:
-        _BPE_MEMO[key] = B.bpe_train(fx.documents(spark, sf), "text",
-                                     max_merges=BPE_DEMO_MERGES)
-    return _BPE_MEMO[key]
+    return B.bpe_train(fx.documents(spark, sf), "text", vocab_size=BPE_QUERY_VOCAB)
 
 
 @query("bpe_train")
@@ -742,44 +686,44 @@ def q_bpe_vocab_filter(spark, sf):
 
 @query("vocab_segment")
 def q_vocab_segment(spark, sf):
-    """Segment every document with the filtered BPE vocabulary read back from a
-    vocabulary file (+ the special tokens), leftmost-longest."""
-    from colloquia.sources.textfile import vocab_scan, write_vocab
-
-    path = scratch_path(spark, "bpe-vocab")
-    filtered = B.bpe_vocab_filter(bpe_model(spark, sf).vocab)
-    write_vocab(filtered.withColumn("token_id", F.monotonically_increasing_id()), path,
-                order_col="token")
+    """Every document in leftmost-longest entries of its corpus' word vocabulary, read
+    back from a vocabulary file."""
+    path = scratch_path(spark, "segment-vocab")
+    counts = V.word_counts(fx.documents(spark, sf), "text")
+    words = V.vocab_topk(counts, V.WORD_VOCAB_SIZE).withColumnRenamed("word", "token")
+    write_vocab(words, path)
     vocab = [r["token"] for r in vocab_scan(spark, path).collect()]  # capped at 20,000 entries
-    seg = B.segment_udf(vocab + list(B.BPE_SPECIALS))
-    docs = fx.documents(spark, sf)
-    toks = docs.select("doc_id", seg(F.col("text")).alias("tokens"))
+    toks = fx.documents(spark, sf).select("doc_id", B.segment(F.col("text"), vocab).alias("tokens"))
     return toks.select("doc_id", F.size("tokens").alias("n_tokens"),
-                       F.size(F.filter("tokens", lambda t: t == "<UNK>")).alias("n_unk"))
+                       F.size(F.filter("tokens", lambda t: t == "<UNK>")).alias("n_unk"),
+                       F.concat_ws(" ", "tokens").alias("tokens"))
 
 
 # --- 2.1 remaining scans and sinks ---------------------------------------------------------
 
 
 SONG_PAGE_DOCS = 50   # documents per search-reply page in the derived replies
+SONG_ARTIST_DOCS = SONG_PAGE_DOCS * MAX_PAGES
 
 
 def search_replies(docs: DataFrame) -> DataFrame:
     """``artist, page, payload``: one search reply per (source, page) of documents.
 
-    A document is a hit of its source; English and French ones name the source
-    (upper case) as primary artist, the others a different artist.  Pages hold
-    ``SONG_PAGE_DOCS`` consecutive document ids, so some sources miss pages.
+    Each source is one artist per ``MAX_PAGES`` pages of document ids, so that the
+    listing's page limit leaves no document out.  English and French documents name
+    the artist (upper case) as primary artist, the others a different one.  Pages hold
+    ``SONG_PAGE_DOCS`` consecutive document ids, so some artists miss pages.
     """
+    artist = F.concat_ws("-", "source", F.floor(F.col("doc_id") / SONG_ARTIST_DOCS).cast("string"))
     hit = F.struct(F.struct(
         F.try_element_at(fx.T.split_lines("text"), F.lit(1)).alias("title"),
         F.concat(F.lit("https://songs.invalid/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("doc_id").alias("id"),
-        F.struct(F.when(F.col("lang").isin("en", "fr"), F.upper("source"))
+        F.struct(F.when(F.col("lang").isin("en", "fr"), F.upper(artist))
                  .otherwise(F.lit("Various Artists")).alias("name")).alias("primary_artist"))
         .alias("result"))
-    paged = docs.select(F.col("source").alias("artist"),
-                        (F.floor(F.col("doc_id") / SONG_PAGE_DOCS) + 1).cast("int").alias("page"),
+    page = F.floor(F.pmod("doc_id", F.lit(SONG_ARTIST_DOCS)) / SONG_PAGE_DOCS) + 1
+    paged = docs.select(artist.alias("artist"), page.cast("int").alias("page"),
                         "doc_id", hit.alias("hit"))
     # at most SONG_PAGE_DOCS hits per (artist, page) group
     pages = paged.groupBy("artist", "page").agg(
@@ -789,10 +733,11 @@ def search_replies(docs: DataFrame) -> DataFrame:
 
 
 O.cte("song_hits", f"""
-SELECT source AS artist, CAST(doc_id // {SONG_PAGE_DOCS} + 1 AS INTEGER) AS page, doc_id,
-       {O.split_lines('text')}[1] AS title, 'https://songs.invalid/' || CAST(doc_id AS VARCHAR) AS url,
-       CASE WHEN lang IN ('en', 'fr') THEN upper(source) ELSE 'Various Artists' END AS name
-FROM documents""")
+SELECT *, CASE WHEN lang IN ('en', 'fr') THEN upper(artist) ELSE 'Various Artists' END AS name FROM (
+SELECT source || '-' || CAST(doc_id // {SONG_ARTIST_DOCS} AS VARCHAR) AS artist, lang,
+       CAST(doc_id % {SONG_ARTIST_DOCS} // {SONG_PAGE_DOCS} + 1 AS INTEGER) AS page, doc_id,
+       {O.split_lines('text')}[1] AS title, 'https://songs.invalid/' || CAST(doc_id AS VARCHAR) AS url
+FROM documents)""")
 
 
 @query("song_listing", O.sql(f"""
@@ -841,12 +786,11 @@ LEFT JOIN (SELECT source, count(*) AS n FROM (
 WHERE r.status = 'active'""", "flavor", "pairs_subs", "pairs_opus", "synth"))
 def q_source_registry(spark, sf):
     lp = fx.line_pairs_of(spark, sf)
-    corpus = (flavor_from_documents(spark, sf).select("source")
-              .unionByName(clean.pair_cap(clean.pair_clean(lp, "opensubtitles_enfi"),
-                                          DEFAULT_PAIR_CAP).select("source"))
-              .unionByName(clean.pair_cap(clean.pair_clean(lp, "opus_100"),
-                                          DEFAULT_PAIR_CAP).select("source"))
-              .unionByName(_synth_pairs_lazy(spark, sf).select("source")))
+    flavor = flavor_from_documents(spark, sf)
+    corpus = (flavor.select("source")
+              .unionByName(clean.pair_clean(lp, "opensubtitles_enfi").select("source"))
+              .unionByName(clean.pair_clean(lp, "opus_100").select("source"))
+              .unionByName(_synth_pairs(spark, sf, flavor.select("id", "fi", "idx")).select("source")))
     counts = corpus.groupBy("source").agg(F.count(F.lit(1)).alias("n_records"))
     reg = R.active_sources(R.source_registry(spark))
     # the registry is a handful of hand-written rows: broadcast it
@@ -858,8 +802,8 @@ def q_source_registry(spark, sf):
 @query("fi_text_union", O.sql("SELECT id, fi FROM flavor UNION ALL SELECT id, fi FROM synth",
                               "flavor", "synth"))
 def q_fi_text_union(spark, sf):
-    return flavor_from_documents(spark, sf).select("id", "fi").unionByName(
-        _synth_pairs_lazy(spark, sf).select("id", "fi"))
+    flavor = flavor_from_documents(spark, sf)
+    return stages.fi_text_union(flavor, _synth_pairs(spark, sf, flavor.select("id", "fi", "idx")))
 
 
 # --- 2.4b streaming -------------------------------------------------------------------------
@@ -889,7 +833,7 @@ def q_stream_synth_resume(spark, sf):
                            T.StructField("fi", T.StringType()),
                            T.StructField("idx", T.LongType())])
     return ST.stream_synth_resume(spark, src, schema, out, scratch_path(spark, "stream-synth-ckpt"),
-                                  S.mirror_translator_factory, SYNTH_MODEL, max_files=1)
+                                  fx.mirror_translator_factory, SYNTH_MODEL, max_files=1)
 
 
 @query("stream_dedup", O.sql("SELECT DISTINCT lower(line) AS key FROM dl", "dl"))

@@ -46,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="colloquia-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -82,30 +84,25 @@ def local_path(path: str) -> str:
 
 
 def spread(df):
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Round-robin a scan of a single split over the cluster's cores.
 
-    A small table stored as one file with one row group is read by a single
-    task; everything downstream would then run on one core.  Large inputs
-    already have at least that many splits and pass through untouched (the
-    partition count is known from planning, no job runs).
+    A table stored as one file with one row group is read by a single task;
+    everything downstream would then run on one core.  Any table of two splits
+    or more passes through untouched (the partition count is known from
+    planning, no job runs).
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if want > 1 and df.rdd.getNumPartitions() == 1:
         return df.repartition(want)
     return df
 
 
 def path_exists(path: str) -> bool:
-    """Whether a (local or remote) folder or file exists, without a Spark job."""
-    if path.startswith("file:") or "://" not in path:
-        return os.path.exists(local_path(path))
-    try:
-        import pyarrow.fs as pafs
-
-        fs, base = pafs.FileSystem.from_uri(path)
-        return fs.get_file_info(base).type != pafs.FileType.NotFound
-    except Exception:  # noqa: BLE001 -- unknown scheme: let the reader decide
-        return True
+    """Whether a folder or file exists, in whatever store Hadoop's clients reach."""
+    spark = SparkSession.getActiveSession()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return where.getFileSystem(conf).exists(where)
 
 
 _SHIPPED: set[str] = set()

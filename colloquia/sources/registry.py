@@ -30,15 +30,3 @@ def source_registry(spark: SparkSession, rows=SOURCES) -> DataFrame:
 
 def active_sources(registry: DataFrame) -> DataFrame:
     return registry.where(F.col("status") == "active")
-
-
-def tag_with_registry(corpus: DataFrame, registry: DataFrame,
-                      source_col: str = "source") -> DataFrame:
-    """Attach role/register/status to each corpus row.
-
-    The registry is a hand-written list of sources (a handful of rows), so it
-    is broadcast; the corpus is never shuffled for this join.
-    """
-    reg = registry.select(F.col("name").alias(source_col), F.col("role"),
-                          F.col("register").alias("source_register"), "status")
-    return corpus.join(F.broadcast(reg), source_col, "left")

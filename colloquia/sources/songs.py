@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 MAX_SONGS = 40   # fixed value: songs listed per artist
 MAX_PAGES = 5    # fixed value: search pages read per artist
-PER_PAGE = 20    # fixed value: hits requested per page
 
 RESULT = T.StructType([
     T.StructField("title", T.StringType()), T.StructField("url", T.StringType()),

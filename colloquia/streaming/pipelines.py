@@ -14,6 +14,7 @@ schemas, checkpointed progress and idempotent sinks:
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from colloquia.operators.clean import pair_clean
 from colloquia.operators import synth as S
-from colloquia.session import path_exists
+from colloquia.session import path_exists, reliable_checkpoint
 from colloquia.sources.jsonl import PAIR_SCHEMA
 
 
@@ -48,41 +49,66 @@ def stream_pair_clean(spark: SparkSession, in_path: str, schema: T.StructType, o
 def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
                         out_path: str, checkpoint: str, factory: S.TranslatorFactory,
                         model: str, max_files: int | None = None) -> DataFrame:
-    """Back-translate arriving rows, skipping ids already in ``out_path``."""
+    """Back-translate arriving rows, skipping ids already in ``out_path``.
+
+    Each batch writes its pairs, its failures (``S.errors_path``) and the ids of its
+    pairs; only the short id table is read to find what is done.  The failures of
+    earlier runs are translated again when a run starts."""
+    ids_path, err_path = out_path.rstrip("/") + "_ids", S.errors_path(out_path)
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.json(in_path)
 
-    def done_ids(batch_id: int) -> DataFrame | None:
-        if not path_exists(out_path):   # nothing written yet
+    def done_ids(batch: str) -> DataFrame | None:
+        if not path_exists(ids_path):   # nothing written yet
             return None
-        prev = spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*"))
-        # rows of this very batch id (a replay) are rewritten, not skipped
-        return prev.where(~F.input_file_name().contains(f"batch={batch_id}/"))
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        todo = S.plan_batch(batch, done_ids(batch_id), None)   # no limit: every arriving row
-        new = S.pairs_from_translations(S.backtranslate(todo, factory, model))
-        (new.write.mode("overwrite").option("ignoreNullFields", "false")
-         .json(os.path.join(out_path, f"batch={batch_id}")))
-
-    q = (rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+        # rows of this very batch (a replay) are rewritten, not skipped
+        return (spark.read.schema("id string").parquet(os.path.join(ids_path, "*"))
+                .where(~F.input_file_name().contains(f"/{batch}/")))
+
+    def handle(batch: DataFrame, name: str) -> None:
+        todo = S.plan_batch(batch, done_ids(name), None)   # no limit: every arriving row
+        raw = reliable_checkpoint(S.backtranslate(todo, factory, model))
+        here = os.path.join(out_path, name)
+        S.write_translations(raw, here, os.path.join(err_path, name), "overwrite")
+        spark.read.schema(PAIR_SCHEMA).json(here).select("id").write.mode("overwrite").parquet(
+            os.path.join(ids_path, name))
+
+    if path_exists(out_path) and not path_exists(ids_path):   # output of a batch run
+        spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*")).select("id").write.parquet(
+            os.path.join(ids_path, "batch=earlier"))
+    if path_exists(err_path):
+        failed = spark.read.schema("id string, fi string, error string").json(os.path.join(err_path, "*"))
+        handle(failed.select("id", "fi").distinct(), f"batch=retry-{uuid.uuid4().hex[:12]}")
+    q = (rows.writeStream.foreachBatch(lambda batch, n: handle(batch, f"batch={n}"))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
     return spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*"))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_dedup(spark: SparkSession, in_path: str, schema: T.StructType, text_col: str,
                  out_path: str, checkpoint: str, max_files: int | None = None) -> DataFrame:
-    """Keep the first arriving row of every case-folded text; returns the keys."""
+    """Keep the first arriving row of every case-folded text; returns the keys.
+
+    The state holds a 128-bit digest per text, not the text, in RocksDB (on the
+    executors' disks), as there is no event time by which it could expire."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(in_path).withColumn("key", F.lower(F.col(text_col)))
-    firsts = rows.dropDuplicates(["key"])
-    q = (firsts.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    _run(q)
+    firsts = rows.withColumn("_digest", F.unhex(F.md5("key"))).dropDuplicates(["_digest"]).drop("_digest")
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, ROCKSDB)
+    try:
+        q = (firsts.writeStream.format("parquet").option("path", out_path)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+        _run(q)
+    finally:
+        spark.conf.set(conf, before)
     return spark.read.parquet(out_path)

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from colloquia.operators import synth as S
+from colloquia.plans import fixtures as fx
 from colloquia.plans import queries as Q
 from colloquia.session import scratch_path
 from colloquia.sources import seed
@@ -67,9 +68,9 @@ def test_stream_synth_replay_is_idempotent(spark):
 
     st = _parse_datatype_string(schema)
     out, ckpt = scratch_path(spark, "replay-out"), scratch_path(spark, "replay-ckpt")
-    first = ST.stream_synth_resume(spark, src, st, out, ckpt, S.mirror_translator_factory, "m",
+    first = ST.stream_synth_resume(spark, src, st, out, ckpt, fx.mirror_translator_factory, "m",
                                    max_files=1).collect()
-    again = ST.stream_synth_resume(spark, src, st, out, ckpt, S.mirror_translator_factory, "m",
+    again = ST.stream_synth_resume(spark, src, st, out, ckpt, fx.mirror_translator_factory, "m",
                                    max_files=1).collect()
     assert len(first) == 30 and sorted(first) == sorted(again)
     assert os.path.exists(out.replace("file:", ""))
