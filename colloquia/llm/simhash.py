@@ -192,6 +192,8 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED,
     """``docs`` without near duplicates: the document with the smallest doc_id of each
     component stays.  Rows that share a doc_id (or have none) are one document."""
     keep = near_duplicates(docs, k, seed, max_bits).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__kept"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
+    # a plain key joins and drops duplicates in one shuffle of the texts
+    named = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("__kept"), "left_semi")
+    nameless = docs.where("doc_id IS NULL").join(keep, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    return named.dropDuplicates(["doc_id"]).unionByName(nameless.dropDuplicates(["doc_id"]))
