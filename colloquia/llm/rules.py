@@ -63,22 +63,28 @@ def split_words(blanked: Column) -> Column:
     return F.array_remove(F.split(blanked, " ", -1), "")
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line is removed.  ``line`` must be a plain value (a lambda's)."""
-    def judged(words: Column) -> Column:
-        n = F.size(words)
-        unpunctuated = (n >= UNPUNCTUATED_WORDS) & ~line.rlike("[.,;:!?…]")
-        shouted = _count(line, "!?") >= F.lit(SHOUTS)
-        navigation = _count(line, "|") >= NAVIGATION_MARKS
-        symbols = _count(line, SYMBOLS) * 100 > F.length(line) * LINE_SYMBOL_PERCENT
-        repeated = (n >= REPEAT_LINE_WORDS) & (
-            F.size(F.array_distinct(words)) * 100 < n * REPEAT_LINE_PERCENT)
-        low = F.lower(line)
-        phrase = F.lit(False)
+def line_fails(line: Column, words: Column, n_symbols: Column, n_shouts: Column, phrased: Column) -> Column:
+    """Whether a line is removed.
+
+    ``n_symbols``, ``n_shouts`` and ``phrased`` are the whole document's: what the
+    document does not have, no line of it needs to be searched for."""
+    n = F.size(words)
+    unpunctuated = (n >= UNPUNCTUATED_WORDS) & ~line.rlike("[.,;:!?…]")
+    shouted = (n_shouts >= SHOUTS) & (_count(line, "!?") >= SHOUTS)
+    navigation = (n_symbols >= NAVIGATION_MARKS) & (_count(line, "|") >= NAVIGATION_MARKS)
+    symbols = (n_symbols > 0) & (_count(line, SYMBOLS) * 100 > F.length(line) * LINE_SYMBOL_PERCENT)
+    repeated = (n >= REPEAT_LINE_WORDS) & (
+        F.size(F.array_distinct(words)) * 100 < n * REPEAT_LINE_PERCENT)
+    return unpunctuated | shouted | navigation | symbols | repeated | (phrased & has_phrase(line))
+
+
+def has_phrase(text: Column) -> Column:
+    def search(low: Column) -> Column:
+        found = F.lit(False)
         for p in BOILERPLATE:
-            phrase = phrase | F.contains(low, F.lit(p))
-        return unpunctuated | shouted | navigation | symbols | repeated | phrase
-    return let(split_words(flat(line)), judged)
+            found = found | F.contains(low, F.lit(p))
+        return found
+    return let(F.lower(text), search)
 
 
 def repeat_words(words: Column) -> Column:
@@ -106,7 +112,7 @@ def repeat_words(words: Column) -> Column:
     def counted(zipped: Column) -> Column:
         hashes = F.transform(zipped, lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(zipped), F.lit(0)).otherwise(
-            let(F.sort_array(F.transform(zipped, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["c"].alias("c"), x["i"].alias("i")))), covered))
+            let(F.sort_array(zipped), covered))
 
     return F.when(n < 4, F.lit(0)).otherwise(let(windows(words), counted))
 
@@ -117,22 +123,27 @@ def evaluate(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     ``clean_text`` holds the lines that passed, joined by newlines."""
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-    rows = compute_once(rows, [*keep, "__text"], __flat=flat(F.col("__text")), __lines=F.split("__text", "\n", -1))
-    rows = compute_once(rows, [*keep, "__text", "__flat", "__lines"],
-                        __words=split_words(F.col("__flat")),
-                        __good=F.filter("__lines", lambda x: ~line_fails(x)))
-    worded = F.filter("__lines", lambda x: F.length(F.trim(flat(x))) > 0)
+    text = F.col("__text")
+    rows = compute_once(rows, [*keep, "__text"], __lines=F.split(text, "\n", -1), __symbols=_count(text, SYMBOLS),
+                        __shouts=_count(text, "!?"), __phrased=has_phrase(text))
+    rows = compute_once(rows, [*keep, "__text", "__lines", "__symbols", "__shouts", "__phrased"],
+                        __of_line=F.transform("__lines", lambda x: split_words(flat(x))))
+    good = F.filter("__lines", lambda x, i: ~line_fails(
+        x, F.get("__of_line", i), F.col("__symbols"), F.col("__shouts"), F.col("__phrased")))
+    rows = compute_once(rows, [*keep, "__text", "__lines", "__symbols", "__of_line"],
+                        __words=F.flatten("__of_line"), __good=good)
+    worded = F.filter("__lines", lambda x, i: F.size(F.get("__of_line", i)) > 0)
     rows = compute_once(
         rows, [*keep, "__lines", "__good"],
         n_words=F.size("__words").cast("long"),
-        word_chars=F.length(_without(F.col("__flat"), " ")).cast("long"),
-        n_symbols=_count(F.col("__text"), SYMBOLS).cast("long"),
+        word_chars=(F.length(text) - _count(text, " " + SPACES)).cast("long"),
+        n_symbols=F.col("__symbols").cast("long"),
         n_dup_lines=let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         n_repeat_words=repeat_words(F.col("__words")).cast("long"),
         clean_text=F.array_join("__good", "\n"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
-    left = F.length(_without(flat(F.col("clean_text")), " "))
+    left = F.length("clean_text") - _count(F.col("clean_text"), " " + SPACES)
     return rows.select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
