@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
 from colloquia.functions import text as T
 from colloquia.operators.order import chunked_scan, dense_index
@@ -18,7 +17,6 @@ BRACKET_TAG = "(?s)^[\\[(].*[\\])]$"
 MIN_FLAVOR_LEN = 8          # fixed value: lines shorter than this are dropped
 PAIR_MIN_LEN, PAIR_MAX_LEN = 2, 200   # fixed values: pair side length bounds
 TOPK_LIMIT = 5_000          # caps up to this use a top-k; larger ones a dense index
-QUANTILE_ACCURACY = 100_000 # quantile sketch accuracy used to pre-select large caps
 
 
 def explode_lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (),
@@ -62,9 +60,9 @@ def lyric_line_clean(df: DataFrame, text_col: str = "text", keep: Sequence[str]
 def dedup_first(df: DataFrame, text_col: str, order_by: Sequence[str]) -> DataFrame:
     """Keep the first row (in ``order_by``, unique) of every case-insensitive text.
 
-    ``min`` over a struct led by the order keys picks that row in an object
-    hash aggregate with a map-side partial step, so a chorus repeated in a
-    third of all rows collapses before the shuffle.
+    ``min`` over a struct led by the order keys picks that row, with a map-side
+    partial step, so a chorus repeated in a third of all rows collapses before the
+    shuffle.  (A struct is no fixed-width buffer: Spark sorts for this aggregate.)
     """
     rest = [c for c in df.columns if c not in order_by]
     rec = F.struct(*[F.col(c) for c in [*order_by, *rest]])
@@ -135,38 +133,17 @@ def pair_clean(df: DataFrame, source: str, pos_col: str = "pos", en_col: str = "
 
 
 def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_by`` (unique) order, exactly.
+    """The first ``n`` rows in ``order_by`` (unique, ascending) order, exactly.
 
-    Small caps use Spark's top-k (``TakeOrderedAndProject``).  Large caps rank
-    with ``dense_index`` so no single task merges every partition's top-n; on
-    a single integer key only the rows below an approximate-quantile threshold
-    (widened by the sketch's error bound, and checked) are ranked.
+    Caps up to ``TOPK_LIMIT`` use Spark's top-k (``TakeOrderedAndProject``); above it
+    a single task would merge every partition's top-n, so the key ranges that hold the
+    first ``n`` rows are shuffled and numbered.
     """
     if n <= 0:
         return df.limit(0)
     if n <= TOPK_LIMIT:
         return df.orderBy(*order_by).limit(n)
-    # a cap above the row count keeps everything: one counting job instead
-    # of a range shuffle (the common case for large default caps)
-    total = df.count()
-    if total <= n:
-        return df
-    source = df
-    key = order_by[0] if len(order_by) == 1 else None
-    numeric = key is not None and isinstance(key, str) and isinstance(
-        df.schema[key].dataType, (T_.IntegerType, T_.LongType, T_.ShortType))
-    if numeric:
-        # exact selection without sorting everything: an approximate quantile
-        # (rank error at most total / QUANTILE_ACCURACY) plus that error as a
-        # margin gives a threshold whose candidate set holds the first n rows
-        margin = 2 * (total // QUANTILE_ACCURACY + 1)
-        q = min(1.0, (n + margin) / total)
-        thr = df.agg(F.percentile_approx(key, q, QUANTILE_ACCURACY)).first()[0]
-        candidates = df.where(F.col(key) <= thr)
-        if thr is not None and candidates.count() >= n:
-            source = candidates
-    ranked = dense_index(source, order_by, "_cap_idx")
-    return ranked.where(F.col("_cap_idx") < n).drop("_cap_idx")
+    return dense_index(df, order_by, "_cap_idx", first=n).drop("_cap_idx")
 
 
 def pair_cap(df: DataFrame, max_pairs: int, order_col: str = "pos") -> DataFrame:

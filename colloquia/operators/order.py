@@ -3,10 +3,10 @@
 Row order decides ids, caps and titles in the reference, but a DataFrame has
 no order, so every input carries explicit keys.  Two building blocks:
 
-* ``dense_index`` -- 0-based consecutive ids in a global key order, via a
-  range shuffle (checkpointed once), per-partition counts and broadcast
-  offsets (one row per shuffle partition, so bounded by construction).
-  Never a window without ``partitionBy``.
+* ``dense_index`` -- 0-based consecutive ids in a global key order: key ranges
+  from one pass over the keys, the range of a row as an expression of its key,
+  one shuffle of the rows and a number per partition.  No checkpoint, and never a
+  window without ``partitionBy``.
 * ``chunked_scan`` -- per-group line numbers and "last value seen" (the title
   state machine) for data whose order is (group, chunk, in-chunk position),
   e.g. (file, split start, row) of a text scan or (source, doc, line) of a
@@ -18,48 +18,114 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from colloquia.session import reliable_checkpoint
+from pyspark.sql import types as T
 
 # Above this many rows a summary table is left to AQE's runtime join choice.
 BROADCAST_ROW_BOUND = 200_000
 
 
+BYTES_PER_PARTITION = 128 << 20
+MAX_RANGES = 20_000
+
+
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _key(order_by: Sequence[str | Column]) -> Column:
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_cols(order_by))])
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    """A collected key as a literal of its own type."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.lit(value).cast(kind)
+
+
+def range_count(df: DataFrame) -> int:
+    """Partitions for a range shuffle of ``df``, from the bytes of its inputs (at least
+    spark.sql.shuffle.partitions)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)   # a checkpointed table has no known size
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, least, min(MAX_RANGES, known // BYTES_PER_PARTITION))
+
+
+class KeyRanges:
+    """Consecutive ranges of the order key with their exact numbers of rows.
+
+    Only the keys are shuffled to find them.  A row's range is then an expression of
+    its key, so every later pass and every retried task puts it into the same range.
+    """
+
+    def __init__(self, df: DataFrame, order_by: Sequence[str | Column], n: int | None = None):
+        self.order_by = order_by
+        # held while the range bounds are sampled and the keys are dealt
+        keys = df.select(_key(order_by).alias("_k")).persist(StorageLevel.MEMORY_AND_DISK)
+        kind = keys.schema["_k"].dataType
+        found = (keys.repartitionByRange(n or range_count(df), "_k")
+                 .groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.min("_k").alias("low"), F.count(F.lit(1)).alias("n")).collect())
+        keys.unpersist()
+        found.sort(key=lambda r: r["p"])   # one row per range
+        self.kind, self.lows, self.sizes = kind, [r["low"] for r in found], [r["n"] for r in found]
+        self.total = sum(self.sizes)
+        self.offsets = [sum(self.sizes[:i]) for i in range(len(self.sizes))]
+
+    def number(self) -> Column:
+        """The number of the row's range: a binary search among the lower bounds."""
+        key = _key(self.order_by)
+
+        def search(lo: int, hi: int) -> Column:
+            if hi - lo <= 1:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(key < _literal(self.lows[mid], self.kind), search(lo, mid)).otherwise(search(mid, hi))
+        return search(0, max(1, len(self.lows)))
+
+    def holding(self, position: int) -> int:
+        """The range that holds the row at a 0-based position."""
+        return max(i for i, off in enumerate(self.offsets) if off <= position)
+
+
+def before_position(df: DataFrame, order_by: Sequence[str | Column], position: int,
+                    ranges: KeyRanges) -> Column:
+    """Whether a row stands before a 0-based position of the order.
+
+    The key at the position is looked up inside its range; no row is shuffled but
+    that range's keys."""
+    if position >= ranges.total:
+        return F.lit(True)
+    at = ranges.holding(position)
+    cut = (df.where(ranges.number() == at).select(_key(order_by).alias("_k")).orderBy("_k")
+           .offset(position - ranges.offsets[at]).limit(1).first()["_k"])
+    return _key(order_by) < _literal(cut, ranges.kind)
+
+
 def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str = "idx",
-                num_partitions: int | None = None) -> DataFrame:
-    """Append a 0-based consecutive ``index_col`` following ``order_by``.
+                num_partitions: int | None = None, first: int | None = None) -> DataFrame:
+    """Append a 0-based consecutive ``index_col`` following ``order_by`` (ascending).
 
-    ``order_by`` must be unique per row (add tie-breakers), which makes every
-    recomputation of a lost partition produce the same ids.
+    ``order_by`` must be unique per row (add tie-breakers) and ``df`` must give the
+    same rows whenever it is read.  One pass over the keys finds the ranges; the rows
+    are then shuffled once, to their range, and numbered where they are.  With
+    ``first`` only the ranges that hold the first rows are shuffled.
     """
-    spark = df.sparkSession
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = _cols(order_by)
-    # The counts pass and the numbering pass must see the very same partitions.
-    # Range bounds come from a sample seeded by RDD id, and column pruning keeps
-    # the two passes from sharing one exchange, so materialise the partitioned,
-    # sorted rows once (reliable checkpoint in the shared folder: it also cuts
-    # lineage, so a lost executor re-reads instead of re-sampling).
-    ranged = reliable_checkpoint(df.repartitionByRange(n, *keys)
-                                 .sortWithinPartitions(*keys)
-                                 .withColumn("_ix_p", F.spark_partition_id())
-                                 .withColumn("_ix_m", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_ix_p").agg(F.count(F.lit(1)).alias("_ix_n"),
-                                         F.min("_ix_m").alias("_ix_m0"))
-    before = Window.orderBy("_ix_p").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per shuffle partition: a proven, tiny broadcast
-    offsets = counts.select("_ix_p", "_ix_m0",
-                            F.coalesce(F.sum("_ix_n").over(before), F.lit(0)).alias("_ix_off"))
-    out = ranged.join(F.broadcast(offsets), "_ix_p")
-    return (out.withColumn(index_col, (F.col("_ix_off") + F.col("_ix_m") - F.col("_ix_m0"))
-                           .cast("long"))
-            .drop("_ix_p", "_ix_m", "_ix_m0", "_ix_off"))
+    ranges = KeyRanges(df, order_by, num_partitions)
+    rows = df.withColumn("_ix_p", ranges.number())
+    if first is not None:
+        rows = rows.where(F.col("_ix_p") <= (ranges.holding(first - 1) if first and ranges.total else -1))
+    n = max(1, len(ranges.lows))
+    sorted_rows = rows.repartitionById(n, "_ix_p").sortWithinPartitions(*_cols(order_by))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    offset = F.get(F.array(*[F.lit(x).cast("long") for x in ranges.offsets or [0]]), F.col("_ix_p"))
+    out = sorted_rows.withColumn(index_col, (offset + place).cast("long")).drop("_ix_p")
+    return out if first is None else out.where(F.col(index_col) < first)
 
 
 def chunked_scan(df: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_col: str,

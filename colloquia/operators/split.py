@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquia.operators.order import dense_index
+from colloquia.operators.order import KeyRanges, before_position, dense_index
 
 SEED = 42            # fixed value: the reference's shuffle seed
 TRAIN_SHARE = 0.9    # fixed value: share of rows that go to train
@@ -25,13 +25,11 @@ def below_share(c: Column, share: float, seed: int = SEED) -> Column:
 def split_exact(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
                 seed: int = SEED) -> DataFrame:
     """Exactly ``int(share*n)`` rows to train, chosen by a seeded hash order."""
-    keyed = df.withColumn("_split_key", hash_key(F.col(id_col), seed))
-    ranked = dense_index(keyed, ["_split_key", id_col], "_split_idx")
-    # counted on the checkpointed ranking: the input is not evaluated again
-    n = ranked.select(F.count(F.lit(1))).scalar()
-    cut = F.floor(F.lit(float(share)) * n)
-    return ranked.withColumn("split", F.when(F.col("_split_idx") < cut, F.lit("train"))
-                             .otherwise(F.lit("valid"))).drop("_split_key", "_split_idx")
+    order = [hash_key(F.col(id_col), seed), F.col(id_col)]
+    ids = df.select(id_col)
+    ranges = KeyRanges(ids, order)   # only the ids are ranked, and no row is moved
+    train = before_position(ids, order, int(share * ranges.total), ranges)
+    return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("valid")))
 
 
 def split_random(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
@@ -65,8 +63,6 @@ def epoch_shards(df: DataFrame, id_col: str, batch_size: int = 4,
 
 def write_shards(shards: DataFrame, path: str, rows_per_file: int,
                  order_col: str = "position") -> None:
-    """Export shuffled batches in order: range-partitioned on the position,
-    sorted within partitions, at most ``rows_per_file`` rows per file."""
-    n = max(1, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (shards.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path))
+    """Export the batches of ``epoch_shards`` in order, at most ``rows_per_file`` rows
+    per file.  They already lie in position order, partition by partition."""
+    (shards.sortWithinPartitions(order_col).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path))

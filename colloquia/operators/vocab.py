@@ -78,7 +78,7 @@ def vocab_level_order(counts: DataFrame, n: int = WORD_VOCAB_SIZE) -> DataFrame:
                 .select("word", "first",
                         F.explode(F.sequence(lstar, F.col("cnt").cast("long"))).alias("level")))
     # (level, first occurrence) is unique; large n ranks instead of a top-k
-    top = first_n(expanded, n, [F.col("level").desc(), F.col("first")])
+    top = first_n(expanded, n, [-F.col("level"), F.col("first")])
     # at most n rows: one ordered partition is bounded by the parameter
     w = Window.orderBy(F.col("level").desc(), F.col("first"))
     return reliable_checkpoint(
@@ -114,7 +114,7 @@ def vocab_final(level_order: DataFrame, n: int = WORD_VOCAB_SIZE,
 
 def vocab_topk(counts: DataFrame, n: int) -> DataFrame:
     """``token_id, word, cnt``: distinct top-``n`` words by count (ties by word)."""
-    top = first_n(counts.select("word", "cnt"), n, [F.col("cnt").desc(), F.col("word")])
+    top = first_n(counts.select("word", "cnt"), n, [-F.col("cnt"), F.col("word")])
     w = Window.orderBy(F.col("cnt").desc(), "word")
     return top.select((F.row_number().over(w) - 1).cast("long").alias("token_id"), "word", "cnt")
 

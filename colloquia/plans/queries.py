@@ -189,6 +189,11 @@ def flavor_from_documents(spark, sf) -> DataFrame:
     return clean.flavor_corpus(fx.seed_view(fx.documents(spark, sf)))
 
 
+def written_flavor(spark, sf) -> DataFrame:
+    """The flavor corpus as a later stage finds it: written once, read several times."""
+    return reliable_checkpoint(flavor_from_documents(spark, sf))
+
+
 def _flat_flavor(df: DataFrame) -> DataFrame:
     return df.select("id", "fi", "source", "register", F.col("meta.artist").alias("artist"),
                      F.col("meta.title").alias("title"))
@@ -399,11 +404,10 @@ RUN1_LIMIT = 500   # an earlier, smaller run; the run after it translates all th
 
 
 def _synth_source(spark, sf) -> DataFrame:
-    return flavor_from_documents(spark, sf).select("id", "fi", "idx")
+    return written_flavor(spark, sf).select("id", "fi", "idx")
 
 
-def _run1(spark, sf) -> DataFrame:
-    src = _synth_source(spark, sf)
+def _run1(src: DataFrame) -> DataFrame:
     pairs, _ = S.synthesize(src, None, fx.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT,
                             dense=True)
     return pairs
@@ -417,13 +421,14 @@ def q_backtranslate_batch(spark, sf):
 @query("resume_filter", O.sql("""
 SELECT id, fi FROM flavor WHERE 'synth-' || id NOT IN (SELECT id FROM run1)""", "flavor", "run1"))
 def q_resume_filter(spark, sf):
-    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), None).select("id", "fi")
+    src = _synth_source(spark, sf)
+    return S.plan_batch(src, _run1(src), None).select("id", "fi")
 
 
 @query("batch_limit", O.sql(f"SELECT id, fi FROM run2_todo WHERE idx < {BATCH_LIMIT}", "run2_todo"))
 def q_batch_limit(spark, sf):
-    return S.plan_batch(_synth_source(spark, sf), _run1(spark, sf), BATCH_LIMIT).select(
-        "id", "fi")
+    src = _synth_source(spark, sf)
+    return S.plan_batch(src, _run1(src), BATCH_LIMIT).select("id", "fi")
 
 
 @query("synth_pairs", O.sql("SELECT source, id, en, fi, register FROM synth", "synth"))
@@ -447,7 +452,7 @@ SELECT 'skipped', CAST((SELECT count(*) FROM stub)
                        - (SELECT count(*) FROM run2_todo) AS BIGINT)""", "stub", "run2_todo"))
 def q_synth_progress(spark, sf):
     src = _synth_source(spark, sf)
-    existing = _run1(spark, sf)
+    existing = _run1(src)
     _, raw = S.synthesize(src, existing, fx.mirror_translator_factory, SYNTH_MODEL)
     return S.synth_progress(src, existing, raw, None)
 
@@ -492,18 +497,17 @@ def q_reply_tidy(spark, sf):
 # --- 2.4 splits, composition, chat rows -----------------------------------------------------
 
 
-def _synth_pairs(spark, sf, src: DataFrame | None = None) -> DataFrame:
-    """Both synthesis runs (translations checkpointed)."""
-    src = _synth_source(spark, sf) if src is None else src
-    run1, _ = S.synthesize(src, None, fx.mirror_translator_factory, SYNTH_MODEL, RUN1_LIMIT, dense=True)
-    pairs, _ = S.synthesize(src, run1, fx.mirror_translator_factory, SYNTH_MODEL)
+def _synth_pairs(flavor: DataFrame) -> DataFrame:
+    """Both synthesis runs over the flavor lines (translations checkpointed)."""
+    src = flavor.select("id", "fi", "idx")
+    pairs, _ = S.synthesize(src, _run1(src), fx.mirror_translator_factory, SYNTH_MODEL)
     return pairs
 
 
 def _composed(spark, sf) -> DataFrame:
     """Training composition (flavor + exact synthetic split)."""
-    flavor = flavor_from_documents(spark, sf)
-    return stages.compose(flavor, _synth_pairs(spark, sf, flavor.select("id", "fi", "idx")))
+    flavor = written_flavor(spark, sf)
+    return stages.compose(flavor, _synth_pairs(flavor))
 
 
 @query("split_exact", O.sql(f"SELECT doc_id, {O.exact_split('doc_id', 'documents')} AS split "
@@ -786,11 +790,11 @@ LEFT JOIN (SELECT source, count(*) AS n FROM (
 WHERE r.status = 'active'""", "flavor", "pairs_subs", "pairs_opus", "synth"))
 def q_source_registry(spark, sf):
     lp = fx.line_pairs_of(spark, sf)
-    flavor = flavor_from_documents(spark, sf)
+    flavor = written_flavor(spark, sf)
     corpus = (flavor.select("source")
               .unionByName(clean.pair_clean(lp, "opensubtitles_enfi").select("source"))
               .unionByName(clean.pair_clean(lp, "opus_100").select("source"))
-              .unionByName(_synth_pairs(spark, sf, flavor.select("id", "fi", "idx")).select("source")))
+              .unionByName(_synth_pairs(flavor).select("source")))
     counts = corpus.groupBy("source").agg(F.count(F.lit(1)).alias("n_records"))
     reg = R.active_sources(R.source_registry(spark))
     # the registry is a handful of hand-written rows: broadcast it
@@ -802,8 +806,8 @@ def q_source_registry(spark, sf):
 @query("fi_text_union", O.sql("SELECT id, fi FROM flavor UNION ALL SELECT id, fi FROM synth",
                               "flavor", "synth"))
 def q_fi_text_union(spark, sf):
-    flavor = flavor_from_documents(spark, sf)
-    return stages.fi_text_union(flavor, _synth_pairs(spark, sf, flavor.select("id", "fi", "idx")))
+    flavor = written_flavor(spark, sf)
+    return stages.fi_text_union(flavor, _synth_pairs(flavor))
 
 
 # --- 2.4b streaming -------------------------------------------------------------------------
@@ -825,10 +829,10 @@ SELECT * FROM run1 UNION ALL
 def q_stream_synth_resume(spark, sf):
     """Earlier output (run of 500 lines) exists; the stream covers every line."""
     out = scratch_path(spark, "stream-synth-out")
-    _run1(spark, sf).write.option("ignoreNullFields", "false").json(
-        os.path.join(out, "batch=-1"))
+    lines = _synth_source(spark, sf)
+    _run1(lines).write.option("ignoreNullFields", "false").json(os.path.join(out, "batch=-1"))
     src = scratch_path(spark, "stream-synth-in")
-    _synth_source(spark, sf).repartition(2).write.json(src)
+    lines.repartition(2).write.json(src)
     schema = T.StructType([T.StructField("id", T.StringType()),
                            T.StructField("fi", T.StringType()),
                            T.StructField("idx", T.LongType())])
