@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquia.llm import decontaminate, langid, licenses, lm, packing, pii, quality, rules, secrets, simhash
+from colloquia.llm import decontaminate, langid, licenses, lm, oracle, packing, pii, quality, rules, secrets, simhash
 from colloquia.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,7 +44,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.evaluate(read_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
-@query("op5_secrets")
+@query("op5_secrets", oracle.secret_scan("source || '/' || lang", "source"))
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a source owns its documents and has one repository per language
     return secrets.scan(read_table(spark, sf_dir, "documents"),
@@ -63,12 +63,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
-@query("op7_licenses")
+@query("op7_licenses", oracle.licence_scan())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
-@query("op8_decontamination")
+@query("op8_decontamination", oracle.decontamination())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
