@@ -72,7 +72,7 @@ def dedup_first(df: DataFrame, text_col: str, order_by: Sequence[str]) -> DataFr
 
 
 def tag_titles(lines: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_col: str,
-               chunk_bound: int | None = None) -> DataFrame:
+               chunk_bound: int | None = None, chunk_block: int | None = None) -> DataFrame:
     """Seed-file title state: ``#`` lines set the title of the lines after them.
 
     Input ``line`` is raw; output adds ``s`` (stripped line), ``is_title`` and
@@ -85,17 +85,18 @@ def tag_titles(lines: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_
                   F.col("is_title"), T.strip(F.regexp_replace("s", "^#+", "")))))
     return chunked_scan(marked, group_cols, chunk_col, pos_col, fill_col="_title_set",
                         fill_out="title", fill_default=F.lit(""),
-                        chunk_bound=chunk_bound).drop("_title_set")
+                        chunk_bound=chunk_bound, chunk_block=chunk_block).drop("_title_set")
 
 
 def flavor_corpus(seed_lines: DataFrame, source: str = "genius_rap",
-                  register: str = "puhekieli", chunk_bound: int | None = None) -> DataFrame:
+                  register: str = "puhekieli", chunk_bound: int | None = None,
+                  chunk_block: int | None = None) -> DataFrame:
     """Seed lines -> titled, cleaned, length-filtered, deduplicated, numbered.
 
     ``seed_lines``: ``file, artist, chunk, pos, line`` where (file, chunk, pos)
     is the reading order and files are taken in name order.
     """
-    titled = tag_titles(seed_lines, ["file"], "chunk", "pos", chunk_bound)
+    titled = tag_titles(seed_lines, ["file"], "chunk", "pos", chunk_bound, chunk_block)
     body = (T.compute_once(titled.where(~F.col("is_title")),
                            ["file", "chunk", "pos", "artist", "title"], fi=clean_chain(F.col("s")))
             .where(kept_line(F.col("fi")) & (F.length("fi") >= MIN_FLAVOR_LEN)))

@@ -128,16 +128,29 @@ def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str
     return out if first is None else out.where(F.col(index_col) < first)
 
 
+def _carried(summary: DataFrame, group: list[str], order: str, fill: bool) -> DataFrame:
+    """Rows and last value before each summary row of its group."""
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sel = [*group, order, F.coalesce(F.sum("_cs_n").over(before), F.lit(0)).alias("_cs_off")]
+    if fill:
+        sel.append(F.last("_cs_last", ignorenulls=True).over(before).alias("_cs_carry"))
+    return summary.select(*sel)
+
+
 def chunked_scan(df: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_col: str,
                  index_col: str | None = None, fill_col: str | None = None,
                  fill_out: str | None = None, fill_default: Column | None = None,
-                 chunk_bound: int | None = None) -> DataFrame:
+                 chunk_bound: int | None = None, chunk_block: int | None = None) -> DataFrame:
     """Per-group running index and forward fill over (chunk, pos) order.
 
     ``index_col`` gets the 0-based position of the row inside its group;
     ``fill_out`` gets the last non-null ``fill_col`` at or before the row
     (``fill_default`` when none).  ``chunk_bound`` is a caller-proven upper
     bound on the number of chunks; the summary is broadcast only under it.
+
+    A group of very many chunks (a source holding a third of all documents) must not
+    be carried through in one task: with ``chunk_block``, integer chunks are carried
+    inside blocks of that many numbers, and only one row per block along the group.
     """
     g = list(group_cols)
     local = Window.partitionBy(*g, chunk_col).orderBy(pos_col)
@@ -153,11 +166,18 @@ def chunked_scan(df: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_c
         aggs.append(F.max_by(F.col(fill_col), F.when(F.col(fill_col).isNotNull(),
                                                       F.col(pos_col))).alias("_cs_last"))
     summary = df.groupBy(*g, chunk_col).agg(*aggs)
-    before = Window.partitionBy(*g).orderBy(chunk_col).rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*g, chunk_col, F.coalesce(F.sum("_cs_n").over(before), F.lit(0)).alias("_cs_off")]
-    if fill_col:
-        sel.append(F.last("_cs_last", ignorenulls=True).over(before).alias("_cs_carry"))
-    summary = summary.select(*sel)
+    if chunk_block is None:
+        summary = _carried(summary, g, chunk_col, bool(fill_col))
+    else:
+        blocked = summary.withColumn("_cs_b", F.floor(F.col(chunk_col) / F.lit(chunk_block)))
+        sums = [F.sum("_cs_n").alias("_cs_n")]
+        if fill_col:
+            sums.append(F.max_by("_cs_last", F.when(F.col("_cs_last").isNotNull(), F.col(chunk_col))).alias("_cs_last"))
+        blocks = _carried(blocked.groupBy(*g, "_cs_b").agg(*sums), g, "_cs_b", bool(fill_col))
+        blocks = blocks.withColumnsRenamed({"_cs_off": "_cs_off0", "_cs_carry": "_cs_carry0"})
+        inner = _carried(blocked, [*g, "_cs_b"], chunk_col, bool(fill_col)).join(blocks, [*g, "_cs_b"])
+        summary = inner.select(*g, chunk_col, (F.col("_cs_off") + F.col("_cs_off0")).alias("_cs_off"), *(
+            [F.coalesce("_cs_carry", "_cs_carry0").alias("_cs_carry")] if fill_col else []))
     if chunk_bound is not None and chunk_bound <= BROADCAST_ROW_BOUND:
         summary = F.broadcast(summary)
 

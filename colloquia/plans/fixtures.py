@@ -61,6 +61,9 @@ def line_pairs(docs: DataFrame) -> DataFrame:
     return dense_index(flat, ["doc_id", "line_no"], "pos").select("pos", "english", "non_english")
 
 
+DOC_BLOCK = 4_096   # document ids whose titles are carried together
+
+
 def seed_view(docs: DataFrame) -> DataFrame:
     """``file, artist, chunk, pos, line``: the seed-file view of the documents."""
     title = F.when(F.col("lang") == "de", F.lit("#")).otherwise(

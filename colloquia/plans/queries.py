@@ -186,7 +186,7 @@ def write_seed_fixture(spark, sf) -> str:
 
 def flavor_from_documents(spark, sf) -> DataFrame:
     """The flavor corpus of the documents' seed view, without writing files."""
-    return clean.flavor_corpus(fx.seed_view(fx.documents(spark, sf)))
+    return clean.flavor_corpus(fx.seed_view(fx.documents(spark, sf)), chunk_block=fx.DOC_BLOCK)
 
 
 def written_flavor(spark, sf) -> DataFrame:
@@ -215,7 +215,8 @@ def q_seed_text_scan(spark, sf):
 SELECT file, artist, chunk, pos, title, s AS line FROM seed_titled WHERE NOT is_title""",
                                "seed_titled"))
 def q_song_title_tag(spark, sf):
-    titled = clean.tag_titles(fx.seed_view(fx.documents(spark, sf)), ["file"], "chunk", "pos")
+    titled = clean.tag_titles(fx.seed_view(fx.documents(spark, sf)), ["file"], "chunk", "pos",
+                              chunk_block=fx.DOC_BLOCK)
     return titled.where(~F.col("is_title")).select(
         "file", "artist", "chunk", "pos", "title", F.col("s").alias("line"))
 

@@ -33,16 +33,17 @@ def test_dense_index_invariant_under_repartition(spark):
 
 def test_chunked_scan_matches_window(spark):
     df = spark.createDataFrame(
-        [("f", c, p, (f"t{c}{p}" if (c + p) % 3 == 0 else None)) for c in range(4) for p in range(5)],
+        [("f", c, p, (f"t{c}{p}" if (c + p) % 3 == 0 else None)) for c in range(9) for p in range(5)],
         "g string, chunk int, pos int, v string")
-    out = chunked_scan(df, ["g"], "chunk", "pos", index_col="i", fill_col="v", fill_out="filled",
-                       fill_default=F.lit(""))
-    rows = sorted(out.collect(), key=lambda r: (r["chunk"], r["pos"]))
-    last = ""
-    for k, r in enumerate(rows):
-        if r["v"] is not None:
-            last = r["v"]
-        assert r["i"] == k and r["filled"] == last
+    for block in (None, 1, 3):
+        out = chunked_scan(df, ["g"], "chunk", "pos", index_col="i", fill_col="v", fill_out="filled",
+                           fill_default=F.lit(""), chunk_block=block)
+        rows = sorted(out.collect(), key=lambda r: (r["chunk"], r["pos"]))
+        last = ""
+        for k, r in enumerate(rows):
+            if r["v"] is not None:
+                last = r["v"]
+            assert r["i"] == k and r["filled"] == last
 
 
 def test_split_exact_disjoint_complete(spark):
