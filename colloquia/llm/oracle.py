@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from colloquia.llm import decontaminate, licenses, secrets
+from colloquia.llm import decontaminate, licenses, pii, secrets
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -98,3 +98,51 @@ r AS (SELECT doc_id, {per_kind}, {per_verdict}, {listed} FILTER (kind < {secrets
       FROM s JOIN v USING (value) GROUP BY doc_id)
 SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN r USING (doc_id)"""
+
+
+def personal_data() -> str:
+    """Spans from the lengths of matches and of the pieces between them, checked in SQL."""
+    digits = "regexp_extract_all(value, '[0-9]')"
+    luhn = (f"list_sum(list_transform(list_reverse({digits}), lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INTEGER) "
+            "WHEN CAST(x AS INTEGER) > 4 THEN 2 * CAST(x AS INTEGER) - 9 ELSE 2 * CAST(x AS INTEGER) END)) % 10 = 0")
+    bare = "replace(value, ' ', '')"
+    turned = (f"list_transform(string_split({bare}[5:] || {bare}[1:4], ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' "
+              "THEN CAST(c AS BIGINT) ELSE CAST(ascii(c) - 55 AS BIGINT) END)")
+    mod97 = (f"len({bare}) BETWEEN 15 AND 34 AND list_reduce({turned}, "
+             "lambda a, x: (CASE WHEN x > 9 THEN a * 100 + x ELSE a * 10 + x END) % 97) % 97 = 1")
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_bool_and(list_transform(string_split(value, '.'), lambda p: "
+               "len(ltrim(p, '0')) <= 3 AND CAST('0' || ltrim(p, '0')[1:3] AS INTEGER) <= 255))"),
+        "card": (r"[0-9](?:[\x20-]?[0-9])+", f"len({digits}) BETWEEN 14 AND 19 AND {luhn}"),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"len({digits}) BETWEEN 10 AND 15"),
+        "iban": (pii.IBAN, mod97),
+        "ssn": (pii.SSN, "value[1:3] NOT IN ('000', '666') AND value[1] <> '9' AND value[5:6] <> '00' AND value[8:] <> '0000'"),
+    }
+    found = [f"""
+SELECT doc_id, t, {k} AS kind, '{name}' AS name, unnest(m) AS value, unnest(list_transform(range(1, len(m) + 1),
+         lambda i: list_sum(list_transform(g[1:i], lambda x: len(x)))
+                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0))) AS start
+FROM (SELECT doc_id, t, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g
+      FROM d WHERE regexp_matches(t, '{p}'))""" for k, (name, (p, _)) in enumerate(kinds.items())]
+    passes = " ".join(f"WHEN '{n}' THEN {check}" for n, (_, check) in kinds.items())
+    prior = " ".join(f"WHEN '{n}' THEN {v}" for n, v in pii.PRIOR.items())
+    near = (f"translate(t[greatest(start - {pii.CONTEXT_CHARS} + 1, 1):start] || ' ' || "
+            f"t[start + len(value) + 1:start + len(value) + {pii.CONTEXT_CHARS}], '{_UPPER}', '{_LOWER}')")
+    context = " ".join(f"WHEN '{n}' THEN regexp_matches({near}, '{p}')" for n, p in pii.NEAR.items())
+    base = len(pii.BASE_KINDS)
+    one = "name || ':' || start || ':' || (start + len(value))"
+    counts = ", ".join(f"count(*) FILTER (kind = {i}) AS n_{k}" for i, k in enumerate(pii.BASE_KINDS))
+    shown = ", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in pii.BASE_KINDS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce("text", '') AS t FROM documents),
+s AS (SELECT *, least(1.0, CASE name {prior} END + CASE WHEN CASE name {context} END
+                THEN {pii.CONTEXT_BONUS} ELSE 0 END) AS score
+      FROM ({' UNION ALL '.join(found)}) WHERE CASE name {passes} END),
+r AS (SELECT doc_id, {counts}, string_agg({one}, ',' ORDER BY start, kind) FILTER (kind < {base}) AS base,
+             string_agg({one}, ',' ORDER BY start, kind) AS spans,
+             string_agg(printf('%.2f', CAST(score AS DOUBLE)), ',' ORDER BY start, kind) AS scores
+      FROM s WHERE kind < {base} OR score >= {pii.THRESHOLD} GROUP BY doc_id)
+SELECT doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(scores, '') AS scores
+FROM d LEFT JOIN r USING (doc_id)"""

@@ -33,8 +33,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IBAN = r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
+SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
+_IBAN, _SSN = re.compile(IBAN, re.ASCII), re.compile(SSN, re.ASCII)
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 #: Score of a confirmed span, and words nearby that raise it.
@@ -47,7 +48,10 @@ CONTEXT = {
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social security", "tax id"),
 }
-_NEAR = {k: re.compile(r"(?<![a-z])(?:" + "|".join(map(re.escape, w)) + r")(?![a-z])") for k, w in CONTEXT.items()}
+NEAR = {k: r"\b(?:" + "|".join(w) + r")\b" for k, w in CONTEXT.items()}
+CONTEXT_BONUS = 0.3
+_NEAR = {k: re.compile(p, re.ASCII) for k, p in NEAR.items()}
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 class Span(NamedTuple):
@@ -122,7 +126,7 @@ def find_spans(text: str) -> list[Span]:
     for kind, s, e in _confirmed(text):
         name = KINDS[kind]
         near = text[max(0, s - CONTEXT_CHARS):s] + " " + text[e:e + CONTEXT_CHARS]
-        score = min(1.0, PRIOR[name] + (0.3 if _NEAR[name].search(near.lower()) else 0.0))
+        score = min(1.0, PRIOR[name] + (CONTEXT_BONUS if _NEAR[name].search(near.translate(_LOWER)) else 0.0))
         if kind < len(BASE_KINDS) or score >= THRESHOLD:
             out.append(Span(s, kind, e, score))
     out.sort()

@@ -28,7 +28,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-@query("op2_pii")
+@query("op2_pii", oracle.personal_data())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
