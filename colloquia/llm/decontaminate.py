@@ -6,8 +6,11 @@ do, so its prefix under the order "rarest first" (document frequency over the wh
 corpus) is one word: the rarest.  Document words are looked up among the windows'
 prefix words; a pair survives the positional bound (the window's place in the
 document follows from the prefix word's place in the window) and the length bound
-(it must end inside the document), and is then verified word for word over the
-item-sized window.
+(it must end inside the document), and is then verified over all the words of the
+item-sized window.  Windows that share a prefix word are grouped by its place and
+their length, and one look-up of the document's words verifies a whole group: a word
+costs at most one look-up per place and length, however many windows it is the
+prefix of.
 
 The benchmark is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, so
 a benchmark of any size is searched exactly, one scan of the documents per block.
@@ -31,7 +34,8 @@ from colloquia.llm.common import batches, prepare, raw_text, saved
 from colloquia.llm.licenses import words_of
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+#: Text of one benchmark block; building its index takes some 70 times as much memory.
+BLOCK_BYTES = 8 << 20
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
 
@@ -62,30 +66,35 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
 
 
 class PrefixIndex:
-    """Prefix word -> windows as (place of the word in the window, words, items)."""
+    """Prefix word -> (place of the word in the window, length) -> window -> items."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], df: dict[bytes, int], size: int = WINDOW):
         owners: dict[tuple, set[str]] = defaultdict(set)
         for item, words in items:
             for w in item_windows(words, size):
                 owners[w].add(item)
-        self.by_word: dict[bytes, list] = defaultdict(list)
-        for w, own in sorted(owners.items()):
+        by_word: dict[bytes, dict] = defaultdict(lambda: defaultdict(dict))
+        shared: dict[tuple, tuple] = {}  # equal owner lists are kept once
+        for w, found in owners.items():
             i = min(range(len(w)), key=lambda k: (df.get(w[k], 0), w[k], k))
-            self.by_word[w[i]].append((i, list(w), sorted(own)))
-        self.by_word = dict(self.by_word)
+            own = tuple(sorted(found))
+            # words hold no blank, so the joined words stand for the window
+            by_word[w[i]][i, len(w)][b" ".join(w)] = shared.setdefault(own, own)
+        self.by_word = {word: dict(groups) for word, groups in by_word.items()}
 
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged hit intervals of word places, and the items with occurring windows."""
         by_word, n = self.by_word, len(words)
-        spans, items = set(), set()
+        spans, found = set(), {}
         for p in [i for i, w in enumerate(words) if w in by_word]:
-            for at, window, own in by_word[words[p]]:
+            for (at, size), windows in by_word[words[p]].items():
                 s = p - at
-                if s >= 0 and s + len(window) <= n and words[s:s + len(window)] == window:
-                    spans.add((s, s + len(window)))
-                    items.update(own)
-        return merged(sorted(spans)), items
+                if s >= 0 and s + size <= n:
+                    own = windows.get(b" ".join(words[s:s + size]))
+                    if own is not None:
+                        spans.add((s, s + size))
+                        found[id(own)] = own
+        return merged(sorted(spans)), set().union(*found.values())
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -43,6 +43,8 @@ ORDER = 2
 ALPHA = 0.1
 HOT = 512
 CHUNK_TOKENS = 1 << 22
+#: Tokens of one bucket, which one task merges in memory (24 bytes a distinct n-gram).
+BUCKET_TOKENS = 1 << 24
 END = xxhash.xxh64_intdigest(b"\n</s>")
 START = xxhash.xxh64_intdigest(b"\n<s>")
 
@@ -381,9 +383,10 @@ def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
         raise ValueError("the model's arrays are memory-mapped: spark.checkpoint.dir must be a mounted shared folder")
     folder = local_path(folder)
     texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
-    hot, _ = hot_words(texts)
+    hot, tokens = hot_words(texts)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (n - 1).bit_length())
+    # as many buckets as shuffle partitions, more if the corpus needs them
+    bits = max(4, (n - 1).bit_length(), (tokens // BUCKET_TOKENS).bit_length())
     rows = _count(texts, order, hot, bits)
     for level in range(order - 1, -1, -1):
         rows = (rows.repartitionById(1 << bits, "bucket").sortWithinPartitions("kind", "bucket")

@@ -205,6 +205,19 @@ def test_decontamination(spark, make_docs, rows):
     assert decontaminate.drop_contaminated(docs, none).count() == len(rows)
 
 
+def test_decontamination_windows_of_one_rare_word(spark, make_docs):
+    """Many windows with the same prefix word, at every place and of several lengths."""
+    common = [f"c{i}" for i in range(40)]
+    items = [(k, " ".join([*common[k:k + 6], "zz", *common[k + 6:k + 6 + k % 9]])) for k in range(30)]
+    texts = [(i, " ".join([*common, "zz"] * 3 + common[i:i + 6] + ["zz"] + common[i + 6:])) for i in range(20)]
+    texts += [(100, " ".join(common * 4)), (101, "zz " * 50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = brute.windows(items)
+    docs = make_docs(texts)
+    assert by_row(decontaminate.digest(docs, bench), "doc_id", "n_words", "n_hit", "n_items", "items_sha256",
+                  "contaminated") == expect(texts, lambda i, t: brute.contamination(t, found))
+
+
 def test_packing(make_docs, rows):
     import zlib
 
@@ -288,6 +301,16 @@ def test_language_model_deals_hot_contexts(make_docs, rows, monkeypatch):
     assert sorted((repr(r["doc_id"]), round(r["score"], 6)) for r in lm.score(docs, lm.train(docs)).collect()) == want
 
 
+def test_language_model_takes_buckets_by_corpus_size(make_docs, rows, monkeypatch):
+    docs = make_docs(rows)
+    few = lm.train(docs)
+    want = sorted((repr(r["doc_id"]), round(r["score"], 6)) for r in lm.score(docs, few).collect())
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 1 << 9)
+    many = lm.train(docs)
+    assert many.bits > few.bits
+    assert sorted((repr(r["doc_id"]), round(r["score"], 6)) for r in lm.score(docs, many).collect()) == want
+
+
 def test_empty_tables(spark, make_docs):
     docs = make_docs([])
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
