@@ -16,6 +16,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from colloquia.functions.text import ws_split  # noqa: F401  (re-exported)
 from colloquia.operators.clean import first_n
@@ -32,10 +33,20 @@ MAX_TOPK_ROWS = 100_000    # vocabularies up to this size may be broadcast
 
 
 def word_occurrences(df: DataFrame, text_col: str, order_cols: Sequence[str]) -> DataFrame:
-    """``word, first`` per lower-cased whitespace token; ``first`` orders the corpus."""
+    """``word, first`` per lower-cased whitespace token; ``first`` orders the corpus.
+
+    One integer order column and the token's position make one decimal (null first), a
+    fixed-width buffer on which Spark hash-aggregates ``min``; any other order is a
+    struct, for which it sorts."""
     toks = df.select(*order_cols, F.posexplode(ws_split(F.lower(F.col(text_col))))
                      .alias("tok_pos", "word"))
-    return toks.select("word", F.struct(*order_cols, "tok_pos").alias("first"))
+    if len(order_cols) == 1 and isinstance(df.schema[order_cols[0]].dataType, IntegralType):
+        before_all = F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)")
+        row = F.coalesce(F.col(order_cols[0]).cast("decimal(20,0)"), before_all)
+        first = (row * F.lit(1 << 31).cast("decimal(10,0)") + F.col("tok_pos")).cast("decimal(38,0)")
+    else:
+        first = F.struct(*order_cols, "tok_pos")
+    return toks.select("word", first.alias("first"))
 
 
 def word_counts(df: DataFrame, text_col: str, order_cols: Sequence[str] = ()) -> DataFrame:

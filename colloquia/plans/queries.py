@@ -339,8 +339,8 @@ SELECT d.doc_id, coalesce(x.line, '') AS line FROM documents d LEFT JOIN (
 
 
 def _doc_word_counts(spark, sf):
-    """Word counts with first occurrences (read several times, so written once)."""
-    return reliable_checkpoint(V.word_counts(fx.documents(spark, sf), "text", ["doc_id"]))
+    """Word counts (read several times, so written once)."""
+    return reliable_checkpoint(V.word_counts(fx.documents(spark, sf), "text"))
 
 
 def reference_word_vocab(spark, sf) -> DataFrame:

@@ -54,18 +54,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df):
-    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
+    """Materialise ``df`` as a table in the shared checkpoint folder and cut its lineage.
 
-    Persisting first lets the eager count and the checkpoint write share one
-    computation (a bare reliable checkpoint computes its input twice).
+    The input is computed once, nothing is held in memory, and later reads prune
+    columns and know the size (``checkpoint()`` gives rows of unknown size).  Row
+    order is not kept; callers order by their own keys.
     """
-    from pyspark import StorageLevel
-
-    checkpoint_root(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out
+    path = scratch_path(df.sparkSession, "checkpoint")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
