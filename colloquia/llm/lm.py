@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquia.llm.common import batches, fold_of, prepare, raw_text
+from colloquia.llm.common import batches, fold_of, prepare, raw_text, saved
 from colloquia.session import local_path, scratch_path
 
 FOLDS = 10
@@ -184,7 +184,8 @@ def hot_words(train: DataFrame) -> tuple[np.ndarray, int]:
         if size:
             yield flush()
 
-    got = train.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # written once: both questions below would read the corpus again
+    got = saved(train.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "hot-words")
     total = got.where("word IS NULL").first()
     total = total["n"] if total else 0
     found = got.where(f"word IS NOT NULL AND n * {HOT} >= {total}").select("word").collect()
