@@ -131,8 +131,9 @@ class Packer:
         return None
 
     def _pack(self, tier: int) -> None:
-        """Fill windows of ``tier`` until its pool is half empty."""
-        while len(self.pools[tier]) > self.pool_size // 2:
+        """Fill windows of ``tier`` until its pool is half empty or all the pools
+        together do not fill one more (many texts of a token or two)."""
+        while len(self.pools[tier]) > self.pool_size // 2 and self._held() >= tier:
             row, left = [], tier
             while left:
                 piece = self._take(left, tier)
@@ -144,6 +145,10 @@ class Packer:
                 left -= piece.length
             self.emit(row, tier)
 
+    def _held(self) -> int:
+        """Tokens in all the pools."""
+        return sum(p.length for pool in self.pools.values() for p in pool)
+
     def _put(self, piece: Piece) -> None:
         self.pools[next(t for t in self.tiers if piece.length <= t)].append(piece)
 

@@ -248,6 +248,27 @@ def test_packing(make_docs, rows):
     assert packing.pack(make_docs([(1, None), (None, "")]), *tokenizer_paths()).count() == 2
 
 
+def test_packing_of_blank_and_one_word_texts(make_docs):
+    """Pools of pieces that together hold less than one window, in a single partition."""
+    texts = [None] * 200 + [""] * 200 + ["a"] * 150 + ["the dog " * 400] + [None] * 300 + ["b"] * 33
+    got = packing.pack(make_docs(list(enumerate(texts))).coalesce(1), *tokenizer_paths()).collect()
+    size, seqs = {}, {}
+    for r in got:
+        size[r["doc_id"]] = size.get(r["doc_id"], 0) + r["length"]
+        seqs.setdefault((r["sequence_id"], r["padded_length"]), []).append((r["offset"], r["length"]))
+    assert len(size) == len(texts) and all(size[r["doc_id"]] == r["doc_tokens"] for r in got)
+    for (_, padded), pieces in seqs.items():
+        assert sum(n for _, n in pieces) == padded
+        assert [o for o, _ in sorted(pieces)] == [sum(n for _, n in sorted(pieces)[:i]) for i in range(len(pieces))]
+    for n in (1, 63, 64, 65, 255, 256, 257, 500):  # one end id each
+        out = []
+        packer = packing.Packer(lambda row, size: out.extend(row))
+        for i in range(n):
+            packer.add(i, b"\1\0\0\0")
+        packer.finish()
+        assert sorted(p.doc_id for p in out) == list(range(n))
+
+
 def test_ranked_encoder_gives_the_same_ids():
     both = packing.TextTokenizer(*tokenizer_paths())
     plain = packing.TextTokenizer(tokenizer_paths()[0])
