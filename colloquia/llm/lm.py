@@ -39,7 +39,7 @@ from colloquia.llm.common import batches, fold_of, prepare, raw_text, saved
 from colloquia.session import local_path, scratch_path
 
 FOLDS = 10
-ORDER = 2
+ORDER = 3
 ALPHA = 0.1
 HOT = 512
 CHUNK_TOKENS = 1 << 22

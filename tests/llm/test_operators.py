@@ -313,6 +313,16 @@ def test_language_model(make_docs, rows, order):
     assert all(r["held_out"] == (brute.crc(r["doc_id"]) % 10 == 0) for r in out)
 
 
+def test_registered_language_model_uses_more_than_one_word_of_context(make_docs, rows, monkeypatch):
+    from colloquia.llm import queries
+
+    monkeypatch.setattr(queries, "read_table", lambda *_: make_docs(rows))
+    got = sorted((repr(r["doc_id"]), r["score"]) for r in queries.op10(None, "").collect())
+    want = sorted((repr(i), v[-1]) for (i, _), v in zip(rows, brute.kneser_ney(rows, 3)))
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-9, abs=1e-9)
+
+
 def test_language_model_deals_hot_contexts(make_docs, rows, monkeypatch):
     """Many hot words, and chunks of a few tokens: the same scores."""
     docs = make_docs(rows)
