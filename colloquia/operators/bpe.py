@@ -72,12 +72,11 @@ def _apply_merges(syms: Column, merges: list[tuple[int, int, int]]) -> Column:
 
     Symbols are single code points, so a merge is a literal two-character
     replacement (which scans left to right without overlaps, exactly the BPE
-    rule).  The merges of one round share no symbol, so applying them one
-    after another equals applying them together.
+    rule).  The merges are applied one after another, in creation order.
     """
     out = syms
     for a, b, new in merges:
-        out = F.regexp_replace(out, _code(a) + _code(b), _code(new))
+        out = F.replace(out, F.lit(_code(a) + _code(b)), F.lit(_code(new)))
     return out
 
 
@@ -86,31 +85,36 @@ def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency
     """Merges that one pair count decides exactly, in creation order.
 
     ``top`` is the best pairs ``(count, left, right)`` in (count desc, left,
-    right) order; ``complete`` says it holds every pair.  The first pair is the
-    next merge.  A later pair is too when it shares no symbol with the pairs
-    chosen so far and its count is strictly above every count those merges
-    can have changed: pairs touching a merged symbol (their counts only
-    shrink) and the new pairs they create (each bounded by such a pair).  A
-    pair of one symbol with itself creates pairs of the new symbol that only
-    its own count bounds, so nothing of a lower rank can follow it.
-    Pairs outside ``top`` have at most the last listed count.
+    right) order; ``complete`` says that no pair outside it need be feared (in
+    a list cut out of the full ranking, none need: see below).  The first pair
+    is the next merge.  The merges of a round are a leading run of the ranking
+    in which no symbol is left in one pair and right in another:
+
+    * such pairs never overlap in a word, so merging one leaves the counts of
+      the others as they are;
+    * a pair ``(z, new)`` or ``(new, z)`` that merging ``(a, b)`` creates has at
+      most the count of ``(z, a)`` or ``(b, z)``.  Those would end the run, so
+      they rank behind all of it, in ``top`` or outside; and at equal counts
+      the new pair does too, as ids of new symbols are the highest.
+
+    A pair of one symbol with itself creates pairs that only its own count
+    bounds, so it is the only merge of its round.  If ``complete`` is false,
+    pairs with the last listed count are not merged behind others.
     """
     chosen: list[tuple[int, int]] = []
-    touched: set[int] = set()
-    bound = -1
+    lefts: set[int] = set()
+    rights: set[int] = set()
     tail = -1 if complete or not top else top[-1][0]
     for n, a, b in top:
         if len(chosen) >= room or n < min_frequency:
             break
-        if a in touched or b in touched:
-            bound = max(bound, n)
-            continue
-        if chosen and n <= max(bound, tail):
+        if a in rights or b in lefts or chosen and (a == b or n <= tail):
             break
         chosen.append((a, b))
-        touched.update((a, b))
+        lefts.add(a)
+        rights.add(b)
         if a == b:
-            bound = max(bound, n)
+            break
     return chosen
 
 
@@ -177,15 +181,14 @@ def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
         # one job: pair counts, the best candidates come back to the driver;
         # it also materialises ``current`` from its still-cached parent
         top_rows = (_pair_counts(current).orderBy(F.col("n").desc(), "pair")
-                    .limit(CANDIDATES + 1).collect())
+                    .limit(CANDIDATES).collect())
         if parent is not None:
             parent.unpersist()
             parent = None
-        complete = len(top_rows) <= CANDIDATES
         top = [(int(r["n"]), ord(r["pair"][0]) - SYMBOL_BASE, ord(r["pair"][1]) - SYMBOL_BASE)
-               for r in top_rows[:CANDIDATES]]
-        chosen = choose_merges(top, complete, min_frequency,
-                               min(limit - len(merges), MERGES_PER_ROUND))
+               for r in top_rows]
+        # the head of the full ranking: what is not in it ranks behind it
+        chosen = choose_merges(top, True, min_frequency, min(limit - len(merges), MERGES_PER_ROUND))
         if not chosen:
             break
         batch = []

@@ -658,7 +658,6 @@ def q_fixed_length_rows(spark, sf):
 # --- 2.4 pre-tokeniser, BPE, segmentation --------------------------------------------------
 
 
-BPE_QUERY_VOCAB = 256   # vocabulary size of the registered queries (a round is one Spark job)
 _PRE_W = "[\\p{L}\\p{Nl}\\p{M}\\p{Nd}\\p{Pc}\\x{200c}\\x{200d}]"
 _PRE_S = ("\\t-\\r\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
           "\\x{202f}\\x{205f}\\x{3000}")
@@ -676,7 +675,7 @@ def q_pretokenize(spark, sf):
 
 
 def bpe_model(spark, sf) -> B.BpeModel:
-    return B.bpe_train(fx.documents(spark, sf), "text", vocab_size=BPE_QUERY_VOCAB)
+    return B.bpe_train(fx.documents(spark, sf), "text")
 
 
 @query("bpe_train")

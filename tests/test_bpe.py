@@ -53,6 +53,38 @@ def test_choose_merges_is_conservative():
     assert B.choose_merges([(10, 1, 2), (5, 3, 4)], False, 2, 10) == [(1, 2)]
 
 
+def test_choose_merges_takes_ties_and_shared_sides():
+    # one left with two rights, and ties up to the end of the list
+    assert B.choose_merges([(5, 1, 2), (5, 1, 3), (5, 4, 2), (5, 6, 7)], True, 2, 10) == [
+        (1, 2), (1, 3), (4, 2), (6, 7)]
+    # a symbol on both sides ends the run, and so does a pair of one symbol
+    assert B.choose_merges([(5, 1, 2), (5, 3, 1), (4, 6, 7)], True, 2, 10) == [(1, 2)]
+    assert B.choose_merges([(5, 1, 2), (5, 3, 3), (4, 6, 7)], True, 2, 10) == [(1, 2)]
+
+
+def test_registered_size_matches_library(spark, monkeypatch):
+    """The registered query, on words enough for far more than 256 entries."""
+    pytest.importorskip("tokenizers")
+    import random
+
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    from colloquia.plans import queries as Q
+
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choice("aabcdeeo") for _ in range(rnd.randint(1, 7))) for _ in range(40))
+             for _ in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(Q.fx, "documents", lambda *_: df)
+    got = [r["token"] for r in Q.q_bpe_train(spark, "").orderBy("token_id").collect()]
+    tok = Tokenizer(models.BPE(unk_token="<UNK>"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    tok.train_from_iterator(texts, trainer=trainers.BpeTrainer(
+        vocab_size=B.BPE_VOCAB_SIZE, special_tokens=list(B.BPE_SPECIALS), min_frequency=2, show_progress=False))
+    want = [t for t, _ in sorted(tok.get_vocab().items(), key=lambda kv: kv[1])]
+    assert len(got) > 300 and got == want
+
+
 def _segment(spark, texts, vocab):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     return [r["s"] for r in df.select("i", B.segment(F.col("t"), vocab).alias("s")).orderBy("i").collect()]
