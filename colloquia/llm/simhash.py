@@ -28,7 +28,7 @@ from itertools import combinations, islice, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquia.llm.common import batches, prepare, raw_text, saved
@@ -61,17 +61,21 @@ def fingerprint(raw: bytes, k: int = SHINGLE_WORDS, seed: int = HASH_SEED) -> in
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED) -> DataFrame:
-    """(doc_id, fp) per row; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED,
+                 row: Column | None = None) -> DataFrame:
+    """(doc_id, row, fp) per row; ``fp`` is the fingerprint as a signed long, ``row`` the
+    given key of the row (else null)."""
     prepare(docs.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
-            fps = np.array([fingerprint(x.as_py(), k, seed) for x in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(x.as_py(), k, seed) for x in b.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
+                                             ["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw")).mapInArrow(
-        run, "doc_id long, fp long")
+    row = F.lit(None) if row is None else row
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"),
+                       raw_text().alias("raw")).mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def block_keys(max_bits: int) -> list[tuple[int, int]]:
@@ -172,15 +176,20 @@ def _with_end(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
     yield None
 
 
+def _members(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """fp, first and the root of the component, per distinct fingerprint."""
+    roots = connected_components(links(distinct, max_bits))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits) and
     component_id, the smallest doc_id reachable over links of ``max_bits`` bits."""
     rows = saved(fingerprints(docs, k, seed), "fingerprints")
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fps")
-    roots = connected_components(links(distinct, max_bits))
-    member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    member = _members(distinct, max_bits)
     component = member.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = member.join(component, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(
@@ -189,11 +198,14 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SE
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED,
                 max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without near duplicates: the document with the smallest doc_id of each
-    component stays.  Rows that share a doc_id (or have none) are one document."""
-    keep = near_duplicates(docs, k, seed, max_bits).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-    # a plain key joins and drops duplicates in one shuffle of the texts
-    named = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("__kept"), "left_semi")
-    nameless = docs.where("doc_id IS NULL").join(keep, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless.dropDuplicates(["doc_id"]))
+    """``docs`` without near duplicates: one row of each component stays, the one with the
+    smallest doc_id (a null id after all others), of several the first.  Rows that are no
+    near duplicates all stay, also without a doc_id or with the same."""
+    key = "__row"
+    # the key is written with the row, so a task that runs again finds the same one
+    rows = saved(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    distinct = saved(fingerprints(rows, k, seed, F.col(key)).groupBy("fp").agg(F.min(order).alias("first")),
+                     "distinct-fps")
+    keep = _members(distinct, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(keep.select(F.col("first.row").alias(key)), key, "left_semi").select(*docs.columns)
