@@ -41,14 +41,18 @@ DECLARED_TRUST = 0.9
 
 _SKIP = frozenset("script style nav header footer aside template noscript".split())
 _TAG = re.compile(r"<!--|<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*>")
+#: Script and style run to the end of the page if they are not closed, layout does not.
+_CLOSING = {x: re.compile(rf"</{x}(?![A-Za-z0-9])[^<>]*>", re.I | re.A) for x in _SKIP - {"script", "style"}}
 _DECLARED = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 LEVELS = ("section", "host", "domain")
 
 
 def visible_text(page: str) -> str:
-    """The text outside tags, comments and the elements in _SKIP, in one pass.  A skipped
-    element or comment that is never closed ends the text."""
+    """The text outside tags, comments and the elements in _SKIP, in one pass.  A script, a
+    style or a comment that is never closed ends the text; the tag of any other element
+    that has no closing tag behind it is passed over like other tags."""
     out, at, skip, n = [], 0, "", len(page)
+    unclosed: set[str] = set()  # no closing tag from here on: each is searched for once
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
@@ -66,8 +70,11 @@ def visible_text(page: str) -> str:
                 at += 3
         elif skip:
             skip = "" if m[1] and m[2].lower() == skip else skip
-        elif not m[1] and m[2].lower() in _SKIP:
+        elif not m[1] and m[2].lower() in _SKIP - unclosed:
             skip = m[2].lower()
+            if skip in _CLOSING and not _CLOSING[skip].search(page, at):
+                unclosed.add(skip)
+                skip = ""
     return entities.unescape("".join(out))
 
 
