@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquia.llm import decontaminate, langid, licenses, lm, oracle, packing, pii, quality, rules, secrets, simhash
+from colloquia.llm import (bytebpe, decontaminate, langid, licenses, lm, oracle, packing, pii, quality, rules,
+                           secrets, simhash)
 from colloquia.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_langid")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
+
+
+def encoded_digest(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bytebpe.decode(bytebpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query("op13_bytebpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digest(read_table(spark, sf_dir, "documents"))
