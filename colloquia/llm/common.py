@@ -28,14 +28,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     This cuts lineage like ``checkpoint()`` but computes the input once; a task
     that runs again after a lost executor commits through Spark's writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquia.llm import (bytebpe, decontaminate, langid, licenses, lm, oracle, packing, pii, quality, rules,
-                           secrets, simhash)
+from colloquia.llm import (alignment, bytebpe, decontaminate, langid, licenses, lm, oracle, packing, pii,
+                           quality, rules, secrets, simhash)
 from colloquia.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,15 @@ def encoded_digest(docs: DataFrame) -> DataFrame:
 @query("op13_bytebpe")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digest(read_table(spark, sf_dir, "documents"))
+
+
+def aligned(docs: DataFrame) -> alignment.Alignment:
+    import public_tokenizers
+
+    return alignment.Alignment(docs, alignment.Tokenizers(*tokenizer_paths(), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = aligned(read_table(spark, sf_dir, "documents")).by_document()
+    return out.withColumnRenamed("groups", "groups_sha256")
