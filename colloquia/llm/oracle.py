@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from colloquia.llm import decontaminate, licenses, pii, secrets
+from colloquia.llm import decontaminate, licenses, phrases, pii, secrets
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -146,3 +146,34 @@ r AS (SELECT doc_id, {counts}, string_agg({one}, ',' ORDER BY start, kind) FILTE
 SELECT doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
        coalesce(scores, '') AS scores
 FROM d LEFT JOIN r USING (doc_id)"""
+
+
+def collocations() -> str:
+    """Every phrase as a list of words; a candidate is compared with all longer ones."""
+    least, most = phrases.MIN_COUNT, phrases.MAX_WORDS
+    return f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+tok AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, x, CAST(count(*) AS BIGINT) AS f FROM (
+        SELECT lang, w[s:s + k - 1] AS x FROM (
+          SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s
+          FROM w, (SELECT unnest(range(1, {most} + 1)) AS k) WHERE len(w) >= k))
+      GROUP BY lang, x HAVING count(*) >= {least}),
+cut AS (SELECT lang, x, f AS a, unnest(range(1, len(x))) AS k FROM g WHERE len(x) > 1),
+s AS (SELECT cut.lang, cut.x, a, k, gl.f AS l, gr.f AS r, n,
+             CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(gl.f AS HUGEINT) * gr.f) AS BIGINT) AS score
+      FROM cut JOIN g gl ON gl.lang = cut.lang AND gl.x = cut.x[1:k]
+               JOIN g gr ON gr.lang = cut.lang AND gr.x = cut.x[k + 1:] JOIN tok ON tok.lang = cut.lang),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, x ORDER BY score, k) AS c FROM s) WHERE c = 1),
+inner_of AS (SELECT DISTINCT lang, x[i:i + k - 1] AS x, f FROM (
+               SELECT lang, x, f, k, unnest(range(1, len(x) - k + 2)) AS i
+               FROM g, (SELECT unnest(range(2, {most})) AS k) WHERE len(x) > k)),
+gone AS (SELECT DISTINCT b.lang, b.x FROM b JOIN inner_of o ON o.lang = b.lang AND o.x = b.x
+         WHERE 100 * o.f >= {phrases.COVERED_PERCENT} * b.a),
+left_over AS (SELECT b.*, array_to_string(b.x, ' ') AS phrase FROM b LEFT JOIN gone ON gone.lang = b.lang AND gone.x = b.x
+              WHERE gone.lang IS NULL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank FROM left_over)
+WHERE rank <= {phrases.TOP}"""

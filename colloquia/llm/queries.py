@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquia.llm import (alignment, bytebpe, decontaminate, langid, licenses, lm, oracle, packing, pii,
-                           quality, rules, secrets, simhash)
+from colloquia.llm import (alignment, bytebpe, decontaminate, langid, licenses, lm, oracle, packing, phrases,
+                           pii, quality, rules, secrets, simhash)
 from colloquia.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,8 @@ def aligned(docs: DataFrame) -> alignment.Alignment:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = aligned(read_table(spark, sf_dir, "documents")).by_document()
     return out.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_phrases", oracle.collocations())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
