@@ -11,7 +11,8 @@ pre-tokeniser and every pre-token is merged on its own:
 
 A pre-token of n bytes takes O(n log n) steps, however long it is.  The lowest rank goes
 first and, within a rank, the leftmost position, which is the order of the tiktoken
-library.  Short pre-tokens are remembered per task, in a bounded dictionary.
+library.  The new pre-tokens of many texts share a queue, so a bucket is opened for all of
+them at once.  Short ones are remembered, in a bounded dictionary.
 
 A null or empty text has no ids and decodes to no bytes.  Repeated rows are encoded each,
 rows with a null id too.  Bytes that are no UTF-8 are read as U+FFFD.  Texts of the
@@ -23,7 +24,8 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -35,8 +37,10 @@ from colloquia.llm.common import batches, prepare, raw_text
 
 #: Longest pre-token (characters) and number of pre-tokens that a task remembers.
 CACHED_CHARS, CACHED_PIECES = 64, 400_000
-#: Bytes of texts and ids after which a task hands on what it has.
-FLUSH_BYTES = 32 << 20
+#: Bytes of pre-tokens that share a queue (a longer one has its own).
+QUEUE_BYTES = 1 << 18
+#: Characters of texts that are encoded together, and bytes that are decoded together.
+SLICE_CHARS, FLUSH_BYTES = 1 << 21, 32 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +50,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions filed under ranks; ``pop`` gives the leftmost position of the lowest rank."""
+    """Positions filed under ranks: the leftmost position of the lowest rank comes first.
+
+    ``buckets`` has the waiting positions of a rank as a heap.  Bit ``r % 64`` of
+    ``low[r // 64]`` says that rank r has any, the bits of ``mid`` and ``top`` which words
+    of the bitmap below are not zero."""
 
     def __init__(self, size: int):
         self.buckets: dict[int, list[int]] = {}
@@ -54,32 +62,39 @@ class RankQueue:
         self.mid = [0] * ((size >> 12) + 1)
         self.top = 0   # one bit per word of ``mid``; any number of them
 
+    def open(self, rank: int, positions: list[int]) -> None:
+        """A bucket for a rank that has none; ``positions`` in order."""
+        self.buckets[rank] = positions
+        self.low[rank >> 6] |= 1 << (rank & 63)
+        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+        self.top |= 1 << (rank >> 12)
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket:
             heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
+        else:
+            self.open(rank, [position])
 
-    def pop(self) -> tuple[int, int]:
+    def lowest(self) -> int:
+        """The lowest rank that has positions, -1 if there is none."""
+        if not self.top:
+            return -1
         at = (self.top & -self.top).bit_length() - 1
         word = self.mid[at]
         at = at << 6 | (word & -word).bit_length() - 1
         word = self.low[at]
-        rank = at << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[at] = word & (word - 1)
-            if not self.low[at]:
-                self.mid[at >> 6] &= ~(1 << (at & 63))
-                if not self.mid[at >> 6]:
-                    self.top &= ~(1 << (at >> 6))
-        return rank, position
+        return at << 6 | (word & -word).bit_length() - 1
+
+    def close(self, rank: int) -> None:
+        """Forget the empty bucket of a rank."""
+        del self.buckets[rank]
+        at = rank >> 6
+        self.low[at] &= ~(1 << (rank & 63))
+        if not self.low[at]:
+            self.mid[at >> 6] &= ~(1 << (at & 63))
+            if not self.mid[at >> 6]:
+                self.top &= ~(1 << (at >> 6))
 
 
 class Encoder:
@@ -96,56 +111,101 @@ class Encoder:
             self.tokens[rank] = token
         self.known: dict[str, bytes] = {}
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, queue, n = self.ranks, self.queue, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens, all merged in one queue: no pair reaches over the end of a
+        pre-token, so each is merged in the order it would be alone."""
+        ranks, queue = self.ranks, self.queue
+        rank_of, buckets = ranks.get, queue.buckets
+        data = b"".join(pieces)
+        n = len(data)
         after = list(range(1, n + 1))      # where the run that begins here ends
         before = list(range(-1, n - 1))    # where the run before it begins
-        pair = [-1] * n                    # rank of this run with the next
-        for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while queue.top:
-            rank, i = queue.pop()
-            if pair[i] != rank:
-                continue
-            gone = after[i]
-            end = after[i] = after[gone]
-            pair[gone] = pair[i] = -1
-            if end < n:
-                before[end] = i
-                new = ranks.get(piece[i:after[end]])
-                if new is not None:
-                    pair[i] = new
-                    queue.push(new, i)
-            left = before[i]
-            if left >= 0:
-                new = ranks.get(piece[left:end], -1)
-                if new >= 0 and new != pair[left]:
-                    queue.push(new, left)
-                pair[left] = new
+        first = bytearray(n + 1)           # whether a pre-token begins here
+        # rank of this run with the next
+        pair = [rank_of(data[i:i + 2], -1) for i in range(n)]
+        at = 0
+        for piece in pieces:
+            first[at] = 1
+            before[at] = -1
+            at += len(piece)
+            pair[at - 1] = -1
+        first[n] = 1
+        for i, rank in enumerate(pair):
+            if rank in buckets:
+                buckets[rank].append(i)
+            elif rank >= 0:
+                queue.open(rank, [i])
+        while (rank := queue.lowest()) >= 0:
+            bucket = buckets[rank]
+            lower = False
+            while bucket and not lower:
+                i = heappop(bucket)
+                if pair[i] != rank:
+                    continue
+                gone = after[i]
+                end = after[i] = after[gone]
+                pair[gone] = new = -1
+                if not first[end]:
+                    before[end] = i
+                    new = rank_of(data[i:after[end]], -1)
+                    if new >= 0:
+                        queue.push(new, i)
+                        lower = new < rank
+                pair[i] = new
+                left = before[i]
+                if left >= 0:
+                    new = rank_of(data[left:end], -1)
+                    if new >= 0 and new != pair[left]:
+                        queue.push(new, left)
+                        lower = lower or new < rank
+                    pair[left] = new
+            if not bucket:
+                queue.close(rank)
         out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i:after[i]]])
-            i = after[i]
+        for piece in pieces:
+            ids, stop = [], i + len(piece)
+            while i < stop:
+                ids.append(ranks[data[i:after[i]]])
+                i = after[i]
+            out.append(ids)
         return out
 
-    def _piece(self, piece: str) -> bytes:
-        ids = np.array(self.merge(piece.encode()), np.int32).tobytes()
-        if len(piece) <= CACHED_CHARS:
-            if len(self.known) >= CACHED_PIECES:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Signed 32-bit ids of a text."""
-        known = self.known
-        return b"".join([known[p] if p in known else self._piece(p) for p in self.pieces(text)])
+    def _merged(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Pre-tokens and their signed 32-bit ids."""
+        held: dict[str, bytes] = {}
+        size = 0
+        for p in pieces:
+            raw = p.encode()
+            if raw in self.ranks:
+                yield p, self.ranks[raw].to_bytes(4, "little")
+                continue
+            held[p] = raw
+            size += len(raw)
+            if size >= QUEUE_BYTES:
+                yield from self._packed(held)
+                held, size = {}, 0
+        if held:
+            yield from self._packed(held)
+
+    def _packed(self, held: dict[str, bytes]) -> Iterator[tuple[str, bytes]]:
+        return ((p, np.array(ids, np.int32).tobytes()) for p, ids in zip(held, self.merge(list(held.values()))))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Signed 32-bit ids of texts."""
+        cut, known = [self.pieces(t) for t in texts], self.known
+        new = set().union(*cut).difference(known)
+        if len(known) + len(new) > CACHED_PIECES:
+            known.clear()
+            new = set().union(*cut)
+        known.update(self._merged(new))
+        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
+        if len(known) > CACHED_PIECES:
+            known.clear()
+        else:
+            for p in new:
+                if len(p) > CACHED_CHARS:
+                    del known[p]
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of ids; an id that the ranks do not have raises."""
@@ -153,22 +213,35 @@ class Encoder:
         return b"".join([tokens[i] for i in ids])
 
 
+@lru_cache(2)
+def loaded(ranks_path: str, pattern: str) -> Encoder:
+    """A worker's encoder, with what it remembers from earlier tasks."""
+    return Encoder(read_ranks(ranks_path), pattern)
+
+
+def in_slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a binary column in slices of bounded size, with the row that each begins at."""
+    begin, held, size = 0, [], 0
+    for i, raw in enumerate(column):
+        held.append(raw.as_py().decode("utf-8", "replace"))
+        size += len(held[-1])
+        if size >= SLICE_CHARS or i + 1 == len(column):
+            yield begin, held
+            begin, held, size = i + 1, [], 0
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every row's text."""
     prepare(docs.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(ranks_path), pattern)
+        encoder = loaded(ranks_path, pattern)
         for b in batches(parts):
-            begin, held, size = 0, [], 0
-            for i, raw in enumerate(b.column(1)):
-                held.append(encoder.encode(raw.as_py().decode("utf-8", "replace")))
-                size += len(held[-1])
-                if size >= FLUSH_BYTES or i + 1 == b.num_rows:
-                    ends = np.cumsum([0] + [len(x) // 4 for x in held]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(held), np.int32))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, len(held)), ids], ["doc_id", "ids"])
-                    begin, held, size = i + 1, [], 0
+            for begin, texts in in_slices(b.column(1)):
+                ids = encoder.encode(texts)
+                ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, len(ids)), lists], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw")).mapInArrow(
         run, "doc_id long, ids array<int>")
@@ -179,11 +252,11 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     prepare(encoded.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(ranks_path), "")
+        encoder = loaded(ranks_path, "")
         for b in batches(parts):
             begin, held, size = 0, [], 0
             for i, ids in enumerate(b.column(1)):
-                held.append(encoder.decode(ids.values.to_pylist() if ids.is_valid else []))
+                held.append(encoder.decode(ids.values.to_numpy().tolist() if ids.is_valid else []))
                 size += len(held[-1])
                 if size >= FLUSH_BYTES or i + 1 == b.num_rows:
                     part = [c.slice(begin, len(held)) for c in b.columns]
