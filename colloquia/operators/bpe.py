@@ -1,34 +1,39 @@
 """Byte-pair-encoding training over a distributed word table, and segmentation.
 
-Training keeps one row per distinct pre-tokenised word: ``word, cnt, syms``
-where ``syms`` spells the word's symbols with one code point per symbol id
-(plane-15 private use area), so merges and pair counts are built-in string
-functions rather than interpreted array lambdas.  A round counts adjacent symbol pairs weighted by word
-count (overlapping pairs count, as in the ``tokenizers`` trainer) and ranks
-them (highest count, then lowest (left id, right id)).  The best pair is the
-next merge; further pairs of the same ranking are merged in the same round
-only when no earlier merge of the round can have changed the outcome (see
-``choose_merges``), so the result equals one merge per round, with far fewer
-Spark jobs.  Only the top candidates reach the driver.  The word table is
-persisted per round and checkpointed (reliably, in the shared folder) every
-few rounds so lineage stays short.
-
-Ids follow the library: special tokens, then the alphabet by code point,
-then merges in creation order.  Training stops when the vocabulary is full,
-when the best pair is rarer than ``min_frequency``, or after ``max_merges``.
+Training counts the distinct pre-tokenised words in Spark and keeps them as a table of
+symbols.  A step finds many merges at once without looking at all words:
+
+* the pairs are counted and the best ``n`` of the ranking (highest count, then lowest left
+  and right id; overlapping pairs count, as in the ``tokenizers`` trainer) are taken;
+* words are cut wherever two neighbours are no such pair, and equal segments are summed.
+  A pair that is yet to be created reaches the count of a taken one only inside a segment,
+  so the segments decide all merges that rank before the first pair not taken, exactly;
+* the segments, at most ``SEGMENTS`` (fewer pairs are taken if there are more), are merged
+  on the driver; the merges are then applied to the words by the tasks.
+
+So one step can learn thousands of merges, the driver holds a bounded table whatever the
+corpus, and every step is a few ordinary jobs over a table in the shared folder.
+
+Ids follow the library: special tokens, then the alphabet by code point, then merges in
+creation order.  Training stops when the vocabulary is full, when the best pair is rarer
+than ``min_frequency``, or after ``max_merges``.  A merge that spells a token which another
+merge has made before gets an id of its own.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from colloquia.session import checkpoint_root, reliable_checkpoint
+from colloquia.operators import bpe_rounds as R
+from colloquia.operators.bpe_choice import choose_merges  # noqa: F401  (re-exported)
+from colloquia.session import path_exists, reliable_checkpoint, ship_package
 
 # The reference's BPE training settings.
 BPE_SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>")
@@ -39,12 +44,8 @@ PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
 UNK = "<UNK>"
 # Unicode white space, as the pre-tokeniser's \\s.
 SPACES = "\\t-\\r\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
-CHECKPOINT_EVERY = 10
-ALPHABET_BROADCAST = 200_000   # alphabets up to this size are broadcast / kept on the driver
-SYMBOL_BASE = 0xF0000   # symbol ids are encoded as code points from here
-MAX_SYMBOLS = 0x10FFFF - SYMBOL_BASE
-MERGES_PER_ROUND = 64   # keeps the chained replacement expression small
-CANDIDATES = 1_000   # pairs returned per round; exactness never depends on it
+PAIRS, MAX_PAIRS = 1 << 14, 1 << 18   # pairs taken in the first step and at most
+SEGMENTS = 1 << 20   # distinct segments that the driver merges in a step
 
 
 def pretokenize(text: Column) -> Column:
@@ -62,163 +63,119 @@ class BpeModel:
     merges: DataFrame   # rank, left, right
 
 
-def _code(i: int) -> str:
-    """The one-character code of symbol id ``i`` (plane-15 private use area)."""
-    return chr(SYMBOL_BASE + i)
+def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
+              min_frequency: int = MIN_FREQUENCY, specials: Sequence[str] = BPE_SPECIALS,
+              max_merges: int | None = None) -> BpeModel:
+    """Learn merges from a text column; see the module's docstring.
 
+    Words are written once a step, so a task that runs again starts from the same words."""
+    return _train(word_table(texts, text_col), vocab_size, min_frequency, specials, max_merges)
 
-def _apply_merges(syms: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Replace each pair ``(a, b)`` by ``new``, left to right, non-overlapping.
 
-    Symbols are single code points, so a merge is a literal two-character
-    replacement (which scans left to right without overlaps, exactly the BPE
-    rule).  The merges are applied one after another, in creation order.
-    """
-    out = syms
-    for a, b, new in merges:
-        out = F.replace(out, F.lit(_code(a) + _code(b)), F.lit(_code(new)))
-    return out
-
-
-def choose_merges(top: list[tuple[int, int, int]], complete: bool, min_frequency: int,
-                  room: int) -> list[tuple[int, int]]:
-    """Merges that one pair count decides exactly, in creation order.
-
-    ``top`` is the best pairs ``(count, left, right)`` in (count desc, left,
-    right) order; ``complete`` says that no pair outside it need be feared (in
-    a list cut out of the full ranking, none need: see below).  The first pair
-    is the next merge.  The merges of a round are a leading run of the ranking
-    in which no symbol is left in one pair and right in another:
-
-    * such pairs never overlap in a word, so merging one leaves the counts of
-      the others as they are;
-    * a pair ``(z, new)`` or ``(new, z)`` that merging ``(a, b)`` creates has at
-      most the count of ``(z, a)`` or ``(b, z)``.  Those would end the run, so
-      they rank behind all of it, in ``top`` or outside; and at equal counts
-      the new pair does too, as ids of new symbols are the highest.
-
-    A pair of one symbol with itself creates pairs that only its own count
-    bounds, so it is the only merge of its round.  If ``complete`` is false,
-    pairs with the last listed count are not merged behind others.
-    """
-    chosen: list[tuple[int, int]] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    tail = -1 if complete or not top else top[-1][0]
-    for n, a, b in top:
-        if len(chosen) >= room or n < min_frequency:
-            break
-        if a in rights or b in lefts or chosen and (a == b or n <= tail):
-            break
-        chosen.append((a, b))
-        lefts.add(a)
-        rights.add(b)
-        if a == b:
-            break
-    return chosen
-
-
-def _pair_counts(words: DataFrame) -> DataFrame:
-    """``pair, n``: adjacent symbol pairs weighted by word count.
-
-    Pairs at even and at odd offsets are two non-overlapping extractions (a
-    zero-width look-ahead could restart inside a surrogate pair).  A pair is
-    two code points, and code-point order of pairs is (left id, right id) order.
-    """
-    two = F.lit("(?s)..")   # whole code points, never half a surrogate pair
-    both = F.concat(F.regexp_extract_all("syms", two, 0),
-                    F.regexp_extract_all(F.substring("syms", 2, 1 << 30), two, 0))
-    pairs = words.select("cnt", F.explode(both).alias("pair"))
-    return pairs.groupBy("pair").agg(F.sum("cnt").alias("n"))
+def word_table(texts: DataFrame, text_col: str) -> DataFrame:
+    """``word, cnt``: distinct pre-tokenised words, written once."""
+    return reliable_checkpoint(texts.select(F.explode(pretokenize(F.col(text_col))).alias("word"))
+                               .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def bpe_train(texts: DataFrame, text_col: str, vocab_size: int = BPE_VOCAB_SIZE,
-              min_frequency: int = MIN_FREQUENCY, specials: Sequence[str] = BPE_SPECIALS,
-              max_merges: int | None = None) -> BpeModel:
-    spark: SparkSession = texts.sparkSession
-    checkpoint_root(spark)
-    # distinct words are read by two branches (alphabet, symbol table): keep
-    # them instead of running the pre-tokeniser over the corpus twice
-    words = (texts.select(F.explode(pretokenize(F.col(text_col))).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    # alphabet: distinct code points of all words, ids after the specials
-    chars = words.select(F.explode(_chars(F.col("word"))).alias("ch")).distinct()
+def _train(words: DataFrame, vocab_size: int, min_frequency: int, specials: Sequence[str],
+           max_merges: int | None) -> BpeModel:
+    spark = words.sparkSession
+    ship_package(spark)
+    # distinct characters: at most one row per code point
+    letters = sorted(r["ch"] for r in words.select(F.explode(_chars(F.col("word"))).alias("ch")).distinct().collect())
     k = len(specials)
-    # string order is UTF-8 byte order, i.e. code point order; one row per
-    # distinct character, so the single ordered window is bounded
-    alpha = chars.select("ch", (F.row_number().over(Window.orderBy("ch")) - 1 + k)
-                         .cast("int").alias("id"))
-    alpha = reliable_checkpoint(alpha)
-    n_alpha = alpha.count()
-    top_id = vocab_size if max_merges is None else min(vocab_size, k + n_alpha + max_merges)
-    if top_id > MAX_SYMBOLS or n_alpha > ALPHABET_BROADCAST:
-        raise ValueError("alphabet or vocabulary too large for one code point per symbol")
-    # one row per distinct character (a checked bound): kept on the driver
-    alpha_rows = {r["id"]: r["ch"] for r in alpha.collect()}
-    # every character becomes the code point of its symbol id, in one pass
-    letters, codes = "".join(alpha_rows.values()), "".join(_code(i) for i in alpha_rows)
-    table = words.select("word", "cnt", F.translate("word", letters, codes).alias("syms"))
-    table = reliable_checkpoint(table.where(F.length("syms") >= 2))
-    words.unpersist()
-
-    tokens: dict[int, str] = {}
-    merges: list[tuple[int, str, str]] = []
-    next_id = k + n_alpha
-
-    def tok(i: int) -> str:
-        if i in tokens:
-            return tokens[i]
-        return alpha_rows[i]
-
-    current = table.persist(StorageLevel.MEMORY_AND_DISK)
-    rounds = 0
+    next_id = k + len(letters)
     limit = vocab_size - next_id
     if max_merges is not None:
         limit = min(limit, max_merges)
-    parent = None
-    while len(merges) < limit:
-        # one job: pair counts, the best candidates come back to the driver;
-        # it also materialises ``current`` from its still-cached parent
-        top_rows = (_pair_counts(current).orderBy(F.col("n").desc(), "pair")
-                    .limit(CANDIDATES).collect())
-        if parent is not None:
-            parent.unpersist()
-            parent = None
-        top = [(int(r["n"]), ord(r["pair"][0]) - SYMBOL_BASE, ord(r["pair"][1]) - SYMBOL_BASE)
-               for r in top_rows]
-        # the head of the full ranking: what is not in it ranks behind it
-        chosen = choose_merges(top, True, min_frequency, min(limit - len(merges), MERGES_PER_ROUND))
-        if not chosen:
-            break
-        batch = []
-        for a, b in chosen:
-            tokens[next_id] = tok(a) + tok(b)
-            merges.append((len(merges), tok(a), tok(b)))
-            batch.append((a, b, next_id))
-            next_id += 1
-        # a word reduced to one symbol can never form a pair again: drop it
-        nxt = (current.select("word", "cnt", _apply_merges(F.col("syms"), batch).alias("syms"))
-               .where(F.length("syms") >= 2))
-        rounds += 1
-        if rounds % CHECKPOINT_EVERY == 0:
-            nxt = reliable_checkpoint(nxt)
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        parent, current = current, nxt
-    for held in (parent, current):
-        if held is not None:
-            held.unpersist()
-
-    sp = spark.createDataFrame([(i, t) for i, t in enumerate(specials)],
-                               "token_id int, token string")
-    merged = spark.createDataFrame([(i, t) for i, t in sorted(tokens.items())],
-                                   "token_id int, token string")
-    vocab = sp.unionByName(alpha.select(F.col("id").alias("token_id"), F.col("ch").alias("token"))
-                           ).unionByName(merged)
-    merge_df = spark.createDataFrame(merges, T.StructType([
-        T.StructField("rank", T.IntegerType()), T.StructField("left", T.StringType()),
-        T.StructField("right", T.StringType())]))
-    return BpeModel(vocab=vocab, merges=merge_df)
+    found = _merges(words, letters, k, limit, min_frequency) if limit > 0 and letters else []
+    tokens = [*specials, *letters]
+    for a, b in found:
+        tokens.append(tokens[a] + tokens[b])
+    vocab = spark.createDataFrame(list(enumerate(tokens)), "token_id int, token string")
+    merges = spark.createDataFrame([(i, tokens[a], tokens[b]) for i, (a, b) in enumerate(found)],
+                                   "rank int, left string, right string")
+    return BpeModel(vocab=vocab, merges=merges)
+
+
+def _merges(words: DataFrame, letters: list[str], first: int, limit: int, min_frequency: int) -> list[tuple[int, int]]:
+    """Merges as (left id, right id); ``first`` is the id of the first letter."""
+    spark = words.sparkSession
+    share = spark.sparkContext.broadcast
+    schema = "cells binary, cnt long"
+    long_words = words.where(F.char_length("word") > 1)
+    parts = max(spark.sparkContext.defaultParallelism, -(-long_words.count() // R.WORDS_HELD))
+    table = long_words.repartition(parts).mapInArrow(R.spelled(share((np.array([ord(c) for c in letters]), first))), schema)
+    found: list[tuple[int, int]] = []
+    n_pairs = PAIRS
+    table = reliable_checkpoint(table)
+    while True:
+        counted = table.mapInArrow(R.pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        top = [(r["n"], r["pair"]) for r in
+               counted.where(F.col("n") >= min_frequency).orderBy(F.col("n").desc(), "pair").limit(n_pairs + 1).collect()]
+        while True:
+            stop = top[n_pairs] if len(top) > n_pairs else None
+            taken = share(np.sort(np.array([p for _, p in top[:n_pairs]], np.int64)))
+            cut = reliable_checkpoint(table.mapInArrow(R.segments(taken), schema).groupBy("cells").agg(
+                F.sum("cnt").alias("cnt")))
+            n_segments = cut.count()
+            if n_segments <= SEGMENTS or n_pairs == 1:
+                break
+            n_pairs = max(1, min(n_pairs, len(top)) // 4)
+        rows = cut.toArrow()   # at most SEGMENTS rows (one pair taken: one segment for each length of its runs)
+        held = R.Words(rows.column("cells").to_pylist(), rows.column("cnt").to_numpy())
+        next_id = first + len(letters) + len(found)
+        new = R.find_merges(held, next_id, limit - len(found), min_frequency, stop)
+        found += new
+        if len(found) >= limit or stop is None:
+            return found
+        table = reliable_checkpoint(table.mapInArrow(R.merged(share((next_id, new))), schema))
+        if n_segments <= SEGMENTS // 4:
+            n_pairs = min(n_pairs * 4, MAX_PAIRS)
+
+
+def kept_model(texts: DataFrame, text_col: str, folder: str, vocab_size: int = BPE_VOCAB_SIZE,
+               min_frequency: int = MIN_FREQUENCY, specials: Sequence[str] = BPE_SPECIALS) -> BpeModel:
+    """The model of a corpus, trained once and kept below ``folder``.
+
+    It is looked up by a digest of the words with their counts and of the settings, so it
+    is found again for the same corpus however it is stored, and any change of the texts
+    gives another one.  Merges are written last: a folder without them is not taken."""
+    words = word_table(texts, text_col)
+    row = words.agg(F.count(F.lit(1)), F.sum("cnt"), F.bit_xor(F.xxhash64("word", "cnt")),
+                    F.sum(F.xxhash64("cnt", "word").cast("decimal(38,0)"))).first()
+    settings = repr((tuple(row), vocab_size, min_frequency, tuple(specials), PRETOKEN))
+    path = os.path.join(folder, f"bpe-{hashlib.sha256(settings.encode()).hexdigest()[:32]}")
+    spark = words.sparkSession
+    if not path_exists(os.path.join(path, "merges", "_SUCCESS")):
+        model = _train(words, vocab_size, min_frequency, specials, None)
+        model.vocab.write.mode("overwrite").parquet(os.path.join(path, "vocab"))
+        model.merges.write.mode("overwrite").parquet(os.path.join(path, "merges"))
+    return BpeModel(vocab=spark.read.schema("token_id int, token string").parquet(os.path.join(path, "vocab")),
+                    merges=spark.read.schema("rank int, left string, right string").parquet(os.path.join(path, "merges")))
+
+
+def bpe_encode(df: DataFrame, text_col: str, key_cols: Sequence[str], model: BpeModel,
+               specials: Sequence[str] = BPE_SPECIALS) -> DataFrame:
+    """``key_cols..., tokens``: the model's tokens of every pre-tokenised word of a text, in
+    order; a letter outside the alphabet is ``<UNK>``, a null text has null.
+
+    The model (a vocabulary's size) is broadcast; every task encodes the distinct words of
+    a batch together, by the merges in order.  Nothing is shuffled."""
+    spark = df.sparkSession
+    ship_package(spark)
+    tokens = [r["token"] for r in model.vocab.orderBy("token_id").collect()]
+    merges = model.merges.orderBy("rank").collect()
+    ids = {t: i for i, t in reversed(list(enumerate(tokens)))}
+    n_letters = len(tokens) - len(specials) - len(merges)
+    first = len(specials)
+    points = np.array([ord(c) for c in tokens[first:first + n_letters]], "<u4")
+    # a part is a letter or an earlier merge's token, by its first id
+    pairs = [(ids[r["left"]], ids[r["right"]]) for r in merges]
+    shared = spark.sparkContext.broadcast((points, first, tokens, pairs, UNK))
+    keyed = df.select(*key_cols, pretokenize(F.col(text_col)).alias("tokens"))
+    return keyed.mapInArrow(R.encoded(shared), keyed.schema)
 
 
 def bpe_vocab_filter(vocab: DataFrame) -> DataFrame:

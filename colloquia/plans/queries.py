@@ -26,7 +26,7 @@ from colloquia.operators.register import marker_counts, register_rate, score_tex
 from colloquia.plans import fixtures as fx
 from colloquia.plans import oracle as O
 from colloquia.plans import stages
-from colloquia.session import reliable_checkpoint, scratch_path
+from colloquia.session import model_folder, reliable_checkpoint, scratch_path
 from colloquia.sources import registry as R
 from colloquia.sources import seed as seed_src
 from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl
@@ -675,7 +675,8 @@ def q_pretokenize(spark, sf):
 
 
 def bpe_model(spark, sf) -> B.BpeModel:
-    return B.bpe_train(fx.documents(spark, sf), "text")
+    """The documents' model: trained once for the same texts, then read."""
+    return B.kept_model(fx.documents(spark, sf), "text", model_folder(spark))
 
 
 @query("bpe_train")
@@ -688,6 +689,21 @@ def q_bpe_vocab_filter(spark, sf):
     return B.bpe_vocab_filter(bpe_model(spark, sf).vocab)
 
 
+@query("bpe_keyword_coverage")
+def q_bpe_keyword_coverage(spark, sf):
+    """Which words of the benchmark passages are entries of the learned vocabulary."""
+    bench = fx.table(spark, sf, "benchmark")
+    keywords = bench.select(F.explode(V.ws_split(F.lower("text"))).alias("keyword")).distinct()
+    return V.keyword_coverage(bpe_model(spark, sf).vocab, keywords)
+
+
+@query("bpe_encode")
+def q_bpe_encode(spark, sf):
+    """Every document in tokens of the learned model."""
+    toks = B.bpe_encode(fx.documents(spark, sf), "text", ["doc_id"], bpe_model(spark, sf))
+    return toks.select("doc_id", F.size("tokens").alias("n_tokens"), F.concat_ws(" ", "tokens").alias("tokens"))
+
+
 @query("vocab_segment")
 def q_vocab_segment(spark, sf):
     """Every document in leftmost-longest entries of its corpus' word vocabulary, read

@@ -71,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "colloquia", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def model_folder(spark: SparkSession) -> str:
+    """The folder of trained models: shared, and the same in every session that names the
+    same ``spark.checkpoint.dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return os.path.join(named or checkpoint_root(spark), "colloquia-models")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side writers see a plain path."""
     if path.startswith("file://"):
