@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
-from colloquia.operators.order import chunked_scan, dense_index
+from colloquia.operators.order import before, chunked_scan, cut_key, dense_index
 
 # The reference's UI-cruft and bracket-tag patterns.
 CRUFT = "(?iu)\\p{Nd}*Embed$|You might also like|Lyrics$"
@@ -16,7 +16,7 @@ BRACKET_TAG = "(?s)^[\\[(].*[\\])]$"
 
 MIN_FLAVOR_LEN = 8          # fixed value: lines shorter than this are dropped
 PAIR_MIN_LEN, PAIR_MAX_LEN = 2, 200   # fixed values: pair side length bounds
-TOPK_LIMIT = 5_000          # caps up to this use a top-k; larger ones a dense index
+TOPK_LIMIT = 5_000          # caps up to this use a top-k; larger ones a cut in the order
 
 
 def explode_lines(df: DataFrame, text_col: str = "text", keep: Sequence[str] = (),
@@ -137,14 +137,14 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in ``order_by`` (unique, ascending) order, exactly.
 
     Caps up to ``TOPK_LIMIT`` use Spark's top-k (``TakeOrderedAndProject``); above it
-    a single task would merge every partition's top-n, so the key ranges that hold the
-    first ``n`` rows are shuffled and numbered.
+    a single task would merge every partition's top-n, so the n-th key is found by
+    histograms of the keys and every row is compared with it; no row is shuffled.
     """
     if n <= 0:
         return df.limit(0)
     if n <= TOPK_LIMIT:
         return df.orderBy(*order_by).limit(n)
-    return dense_index(df, order_by, "_cap_idx", first=n).drop("_cap_idx")
+    return df.where(before(df, order_by, cut_key(df, order_by, n - 1), or_at=True))
 
 
 def pair_cap(df: DataFrame, max_pairs: int, order_col: str = "pos") -> DataFrame:

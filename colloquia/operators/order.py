@@ -3,10 +3,11 @@
 Row order decides ids, caps and titles in the reference, but a DataFrame has
 no order, so every input carries explicit keys.  Two building blocks:
 
-* ``dense_index`` -- 0-based consecutive ids in a global key order: key ranges
-  from one pass over the keys, the range of a row as an expression of its key,
-  one shuffle of the rows and a number per partition.  No checkpoint, and never a
-  window without ``partitionBy``.
+* ``dense_index`` -- 0-based consecutive ids in a global key order: the rows are written
+  once by Spark's range partitioner, counted per range, and get their range's offset from
+  a map of one row per range.  Never a window without ``partitionBy``.
+* ``cut_key`` -- the key at a position of the order, by histograms refined around it; a cap
+  or an exact split is then one comparison per row, and no row is moved.
 * ``chunked_scan`` -- per-group line numbers and "last value seen" (the title
   state machine) for data whose order is (group, chunk, in-chunk position),
   e.g. (file, split start, row) of a text scan or (source, doc, line) of a
@@ -23,27 +24,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colloquia.session import reliable_checkpoint
+
 # Above this many rows a summary table is left to AQE's runtime join choice.
 BROADCAST_ROW_BOUND = 200_000
 
-
 BYTES_PER_PARTITION = 128 << 20
-MAX_RANGES = 20_000
+BUCKETS = 1_024      # buckets of a histogram over numbers
+FEW_ROWS = 10_000    # so few candidates are ordered instead of counted further
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _key(order_by: Sequence[str | Column]) -> Column:
-    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_cols(order_by))])
+def _flat(df: DataFrame, order_by: Sequence[str | Column]) -> list[Column]:
+    """The order's columns with structs replaced by their fields."""
+    def fields(c: Column, kind: T.DataType) -> list[Column]:
+        if not isinstance(kind, T.StructType):
+            return [c]
+        return [x for f in kind.fields for x in fields(c.getField(f.name), f.dataType)]
+
+    cols = _cols(order_by)
+    kinds = [f.dataType for f in df.select(*[c.alias(f"k{i}") for i, c in enumerate(cols)]).schema.fields]
+    return [x for c, kind in zip(cols, kinds) for x in fields(c, kind)]
 
 
-def _literal(value, kind: T.DataType) -> Column:
-    """A collected key as a literal of its own type."""
-    if isinstance(kind, T.StructType):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
-    return F.lit(value).cast(kind)
+def _key(cols: Sequence[Column]) -> Column:
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
 def range_count(df: DataFrame) -> int:
@@ -53,79 +61,109 @@ def range_count(df: DataFrame) -> int:
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     known = sum(x for x in sizes if x < 1 << 60)   # a checkpointed table has no known size
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, least, min(MAX_RANGES, known // BYTES_PER_PARTITION))
+    return max(1, least, known // BYTES_PER_PARTITION)
 
 
-class KeyRanges:
-    """Consecutive ranges of the order key with their exact numbers of rows.
+def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str = "idx",
+                num_partitions: int | None = None) -> DataFrame:
+    """Append a 0-based consecutive ``index_col`` following ``order_by`` (ascending).
 
-    Only the keys are shuffled to find them.  A row's range is then an expression of
-    its key, so every later pass and every retried task puts it into the same range.
+    ``order_by`` must be unique per row (add tie-breakers).  The rows are shuffled once,
+    into sorted ranges, and written with their range and place; the offsets are sums over
+    one row per range, joined back as a broadcast map.  What is written is numbered, so a
+    task that runs again finds the same ids.
     """
-
-    def __init__(self, df: DataFrame, order_by: Sequence[str | Column], n: int | None = None):
-        self.order_by = order_by
-        # held while the range bounds are sampled and the keys are dealt
-        keys = df.select(_key(order_by).alias("_k")).persist(StorageLevel.MEMORY_AND_DISK)
-        kind = keys.schema["_k"].dataType
-        found = (keys.repartitionByRange(n or range_count(df), "_k")
-                 .groupBy(F.spark_partition_id().alias("p"))
-                 .agg(F.min("_k").alias("low"), F.count(F.lit(1)).alias("n")).collect())
+    cols = _cols(order_by)
+    dealt = df.repartitionByRange(num_partitions or range_count(df), *cols).sortWithinPartitions(*cols)
+    written = reliable_checkpoint(dealt.withColumn("_ix_id", F.monotonically_increasing_id()))
+    rows = written.withColumn("_ix_p", F.shiftright("_ix_id", 33))   # the range; its places fill the low bits
+    sizes = sorted(rows.groupBy("_ix_p").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for r in sizes:
+        offsets.append((r["_ix_p"], total))
+        total += r["n"]
+    known = df.sparkSession.createDataFrame(offsets, "_ix_p long, _ix_off long")
+    place = F.col("_ix_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return (rows.join(F.broadcast(known), "_ix_p").withColumn(index_col, (F.col("_ix_off") + place).cast("long"))
+            .select(*[c for c in df.columns if c != index_col], index_col))
+
+
+def _steps(rows: DataFrame, name: str, chars: int):
+    """Buckets of a column in its order, finer and finer; the last one is a single value."""
+    kind, c = rows.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType):
+        length = 0
+        while True:
+            length += chars
+            # a string that ends here is the only one of its bucket
+            yield F.substring(c, 1, length), lambda b, n=length: b is None or len(b) < n
+    if isinstance(kind, T.BooleanType):
+        yield c, lambda b: True
+        return
+    if isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif not (isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0):
+        raise TypeError(f"cannot cut an order by {kind.simpleString()}")
+    c = c.cast("decimal(38,0)")
+    low, high = rows.agg(F.min(c), F.max(c)).first()
+    if low is None:
+        yield F.lit(None).cast("long"), lambda b: True
+        return
+    width = int(high) - int(low) + 1
+    low = int(low)
+    while width > 1:
+        width = -(-width // BUCKETS)
+        at = F.call_function("div", c - F.lit(str(low)).cast("decimal(38,0)"), F.lit(str(width)).cast("decimal(38,0)"))
+        b = yield at, lambda b, w=width: b is None or w == 1
+        low += int(b or 0) * width
+    yield c, lambda b: True
+
+
+def cut_key(df: DataFrame, order_by: Sequence[str | Column], position: int, chars: int = 1):
+    """The key at a 0-based position of the order (integers, strings, dates; nulls first), or
+    None if there are fewer rows.
+
+    Rows are counted by buckets of the first column, then again inside the bucket that
+    holds the position, and so on through the columns until ``FEW_ROWS`` may be it; those
+    are ordered.  A pass brings ``BUCKETS`` rows to the driver, or one per distinct string of
+    ``chars`` more characters."""
+    cols = _flat(df, order_by)
+    keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(cols)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rest, n = keys, keys.count()
+        if position >= n:
+            return None
+        for name in keys.columns:
+            steps, sent = None, None
+            while n > FEW_ROWS:
+                if steps is None:
+                    steps = _steps(rest, name, chars)
+                bucket, single = steps.send(sent)
+                found = rest.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+                # Spark orders strings by their UTF-8 bytes, which is the order of code points
+                for r in sorted(found, key=lambda r: (r["b"] is not None, r["b"])):
+                    if position < r["n"]:
+                        break
+                    position -= r["n"]
+                rest, n, sent = rest.where(bucket.eqNullSafe(F.lit(r["b"]))), r["n"], r["b"]
+                if single(sent):
+                    break
+        # more rows than a few here have all the same key
+        return rest.orderBy(*keys.columns).offset(position if n <= FEW_ROWS else 0).limit(1).first()
+    finally:
         keys.unpersist()
-        found.sort(key=lambda r: r["p"])   # one row per range
-        self.kind, self.lows, self.sizes = kind, [r["low"] for r in found], [r["n"] for r in found]
-        self.total = sum(self.sizes)
-        self.offsets = [sum(self.sizes[:i]) for i in range(len(self.sizes))]
-
-    def number(self) -> Column:
-        """The number of the row's range: a binary search among the lower bounds."""
-        key = _key(self.order_by)
-
-        def search(lo: int, hi: int) -> Column:
-            if hi - lo <= 1:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(key < _literal(self.lows[mid], self.kind), search(lo, mid)).otherwise(search(mid, hi))
-        return search(0, max(1, len(self.lows)))
-
-    def holding(self, position: int) -> int:
-        """The range that holds the row at a 0-based position."""
-        return max(i for i, off in enumerate(self.offsets) if off <= position)
-
-
-def before_position(df: DataFrame, order_by: Sequence[str | Column], position: int,
-                    ranges: KeyRanges) -> Column:
-    """Whether a row stands before a 0-based position of the order.
-
-    The key at the position is looked up inside its range; no row is shuffled but
-    that range's keys."""
-    if position >= ranges.total:
-        return F.lit(True)
-    at = ranges.holding(position)
-    cut = (df.where(ranges.number() == at).select(_key(order_by).alias("_k")).orderBy("_k")
-           .offset(position - ranges.offsets[at]).limit(1).first()["_k"])
-    return _key(order_by) < _literal(cut, ranges.kind)
-
 
-def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str = "idx",
-                num_partitions: int | None = None, first: int | None = None) -> DataFrame:
-    """Append a 0-based consecutive ``index_col`` following ``order_by`` (ascending).
 
-    ``order_by`` must be unique per row (add tie-breakers) and ``df`` must give the
-    same rows whenever it is read.  One pass over the keys finds the ranges; the rows
-    are then shuffled once, to their range, and numbered where they are.  With
-    ``first`` only the ranges that hold the first rows are shuffled.
-    """
-    ranges = KeyRanges(df, order_by, num_partitions)
-    rows = df.withColumn("_ix_p", ranges.number())
-    if first is not None:
-        rows = rows.where(F.col("_ix_p") <= (ranges.holding(first - 1) if first and ranges.total else -1))
-    n = max(1, len(ranges.lows))
-    sorted_rows = rows.repartitionById(n, "_ix_p").sortWithinPartitions(*_cols(order_by))
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    offset = F.get(F.array(*[F.lit(x).cast("long") for x in ranges.offsets or [0]]), F.col("_ix_p"))
-    out = sorted_rows.withColumn(index_col, (offset + place).cast("long")).drop("_ix_p")
-    return out if first is None else out.where(F.col(index_col) < first)
+def before(df: DataFrame, order_by: Sequence[str | Column], cut, or_at: bool = False) -> Column:
+    """Whether a row's key stands before ``cut`` (or at it); every row's if there is none."""
+    if cut is None:
+        return F.lit(True)
+    cols = _flat(df, order_by)
+    kinds = df.select(_key(cols).alias("k")).schema["k"].dataType
+    at = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kinds.fields)])
+    return _key(cols) <= at if or_at else _key(cols) < at
 
 
 def _carried(summary: DataFrame, group: list[str], order: str, fill: bool) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquia.operators.order import KeyRanges, before_position, dense_index
+from colloquia.operators.order import before, cut_key, dense_index
 
 SEED = 42            # fixed value: the reference's shuffle seed
 TRAIN_SHARE = 0.9    # fixed value: share of rows that go to train
+HASH_CHARS = 3       # hexadecimal digits of a hash counted in one pass (4,096 buckets)
 
 
 def hash_key(c: Column, seed: int = SEED) -> Column:
@@ -24,11 +25,14 @@ def below_share(c: Column, share: float, seed: int = SEED) -> Column:
 
 def split_exact(df: DataFrame, id_col: str, share: float = TRAIN_SHARE,
                 seed: int = SEED) -> DataFrame:
-    """Exactly ``int(share*n)`` rows to train, chosen by a seeded hash order."""
+    """Exactly ``int(share*n)`` rows to train, chosen by a seeded hash order.
+
+    The key at the cut is found by counting the ids by the leading bits of their hashes and
+    refining the one bucket that holds it; rows are compared with it where they are."""
     order = [hash_key(F.col(id_col), seed), F.col(id_col)]
     ids = df.select(id_col)
-    ranges = KeyRanges(ids, order)   # only the ids are ranked, and no row is moved
-    train = before_position(ids, order, int(share * ranges.total), ranges)
+    cut = cut_key(ids, order, int(share * ids.count()), chars=HASH_CHARS)
+    train = before(ids, order, cut)
     return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("valid")))
 
 
@@ -64,5 +68,6 @@ def epoch_shards(df: DataFrame, id_col: str, batch_size: int = 4,
 def write_shards(shards: DataFrame, path: str, rows_per_file: int,
                  order_col: str = "position") -> None:
     """Export the batches of ``epoch_shards`` in order, at most ``rows_per_file`` rows
-    per file.  They already lie in position order, partition by partition."""
-    (shards.sortWithinPartitions(order_col).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path))
+    per file."""
+    ordered = shards.repartitionByRange(order_col).sortWithinPartitions(order_col)
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
