@@ -44,6 +44,7 @@ PRETOKEN = "(?U)\\w+|[^\\w\\s]+"
 UNK = "<UNK>"
 # Unicode white space, as the pre-tokeniser's \\s.
 SPACES = "\\t-\\r\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+TRIE_DEPTH = 48   # characters of an entry that the segmenter's expression nests
 PAIRS, MAX_PAIRS = 1 << 14, 1 << 18   # pairs taken in the first step and at most
 SEGMENTS = 1 << 20   # distinct segments that the driver merges in a step
 
@@ -183,20 +184,29 @@ def bpe_vocab_filter(vocab: DataFrame) -> DataFrame:
     return vocab.where(F.length("token") > 1).select("token").orderBy("token")
 
 
-def trie_pattern(tokens: list[str]) -> str:
+def trie_pattern(tokens: list[str], depth: int = TRIE_DEPTH) -> str:
     """A regex that matches the longest of ``tokens`` at a place.
 
     Tokens are merged into a prefix tree; a node that ends a token has optional
-    children, which a match tries first, so longer tokens win."""
+    children, which a match tries first, so longer tokens win.  Below ``depth`` characters
+    the ends of tokens are plain strings, the longest first, so neither this nor the
+    matcher nests deeper than that, however long a token is."""
     tree: dict = {}
     for t in tokens:
         node = tree
-        for ch in t:
+        for ch in t[:depth]:
             node = node.setdefault(ch, {})
-        node[""] = {}
+        if len(t) > depth:
+            node.setdefault("ends", []).append(t[depth:])
+        else:
+            node[""] = {}
+
+    def plain(text: str) -> str:
+        return "".join(f"\\x{{{ord(ch):x}}}" for ch in text)
 
     def render(node: dict) -> str:
-        parts = [f"\\x{{{ord(ch):x}}}" + render(child) for ch, child in sorted(node.items()) if ch]
+        parts = [plain(end) for end in sorted(node.get("ends", ()), key=lambda t: (-len(t), t))]
+        parts += [plain(ch) + render(child) for ch, child in sorted((k, v) for k, v in node.items() if len(k) == 1)]
         if not parts:
             return ""
         body = parts[0] if len(parts) == 1 and "" not in node else "(?:" + "|".join(parts) + ")"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquia.functions.text import json_string, ws_split
-from colloquia.operators.vocab import mapped_tokens, small_mapping
+from colloquia.operators.vocab import joined_tokens, mapped_tokens, small_mapping
 
 # The reference's chat prompts and training settings.
 PAIR_PROMPT = "Translate to Finnish: "
@@ -95,19 +95,14 @@ def token_ids(df: DataFrame, text_col: str, key_cols: Sequence[str], vocab: Data
     of checked size is mapped in place; a larger one is joined."""
     toks = F.coalesce(ws_split(F.col(text_col)), F.array().cast("array<string>"))
     toks = toks if max_tokens is None else F.slice(toks, 1, max_tokens)
-    voc = vocab.groupBy(F.col("token").alias("_vt")).agg(F.min("token_id").alias("_vid"))
-    rows = small_mapping(voc, "_vt", "_vid")
+    voc = vocab.groupBy(F.col("token").alias("_vtok")).agg(F.min("token_id").alias("_vid"))
+    rows = small_mapping(voc, "_vtok", "_vid")
     if rows is not None:
-        ids = df.sparkSession.sparkContext.broadcast({r["_vt"]: r["_vid"] for r in rows})
+        ids = df.sparkSession.sparkContext.broadcast({r["_vtok"]: r["_vid"] for r in rows})
         look = mapped_tokens(df.sparkSession, "int", lambda t, low: ids.value.get(low, unk_id))
         return df.select(*key_cols, look(toks).alias("ids"))
-    each = df.select(*key_cols, F.posexplode_outer(toks).alias("p", "t"))
-    joined = each.join(voc, F.lower(F.col("t")) == F.col("_vt"), "left")
-    ided = joined.select(*key_cols, "p", F.coalesce(F.col("_vid"), F.lit(unk_id))
-                         .cast("int").alias("i"))
-    item = F.when(F.col("p").isNotNull(), F.struct("p", "i"))   # rows without tokens: []
-    return ided.groupBy(*key_cols).agg(F.sort_array(F.collect_list(item)).alias("pi")) \
-        .select(*key_cols, F.col("pi.i").alias("ids"))
+    value = F.coalesce(F.col("_vid"), F.lit(unk_id)).cast("int")
+    return joined_tokens(df, toks, key_cols, voc, value, "ids")
 
 
 def chunked_ids(ids: Column, max_len: int) -> Column:

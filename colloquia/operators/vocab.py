@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -30,6 +30,7 @@ SPECIALS = ("<PAD>", "<SOS>", "<EOS>", "<UNK>", "<BOS>")
 UNK = "<UNK>"
 WORD_VOCAB_SIZE = 10_000   # fixed value: the reference's word vocabulary size
 MAX_TOPK_ROWS = 100_000    # vocabularies up to this size may be broadcast
+HOT_WORDS = 1_024          # words above this share of all tokens are not shuffled
 
 
 def word_occurrences(df: DataFrame, text_col: str, order_cols: Sequence[str]) -> DataFrame:
@@ -174,23 +175,43 @@ def whitespace_tokenize(df: DataFrame, text_col: str, key_cols: Sequence[str],
     its lower-case form is in the vocabulary, else ``<UNK>``.
 
     A vocabulary of checked size is sent to the tasks and the tokens are mapped
-    in place, without a shuffle.  A larger one is joined: tokens are exploded
-    with their position and gathered back per row in order.
+    in place, without a shuffle; a larger one is joined (``joined_tokens``).
     """
-    rows = small_mapping(vocab.select(token_col).distinct(), token_col)
+    toks = F.coalesce(ws_split(F.col(text_col)), F.array().cast("array<string>"))
+    known = vocab.select(F.col(token_col).alias("_vtok")).distinct()
+    rows = small_mapping(known, "_vtok")
     if rows is not None:
-        known = df.sparkSession.sparkContext.broadcast({r[0] for r in rows})
-        keep = mapped_tokens(df.sparkSession, "string", lambda t, low: t if low in known.value else UNK)
-        toks = F.coalesce(ws_split(F.col(text_col)), F.array().cast("array<string>"))
+        shared = df.sparkSession.sparkContext.broadcast({r[0] for r in rows})
+        keep = mapped_tokens(df.sparkSession, "string", lambda t, low: t if low in shared.value else UNK)
         return df.select(*key_cols, keep(toks).alias("tokens"))
-    toks = df.select(*key_cols, F.posexplode_outer(ws_split(F.col(text_col))).alias("p", "t"))
-    side = vocab.select(F.col(token_col).alias("_vtok")).distinct()
-    joined = toks.join(side, F.lower(F.col("t")) == F.col("_vtok"), "left")
-    mapped = joined.select(*key_cols, "p", F.when(F.col("_vtok").isNotNull(), F.col("t"))
-                           .otherwise(F.lit(UNK)).alias("t"))
-    item = F.when(F.col("p").isNotNull(), F.struct("p", "t"))   # collect_list skips nulls
-    gathered = mapped.groupBy(*key_cols).agg(F.sort_array(F.collect_list(item)).alias("pt"))
-    return gathered.select(*key_cols, F.col("pt.t").alias("tokens"))
+    found = F.when(F.col("_vtok").isNotNull(), F.col("_t")).otherwise(F.lit(UNK))
+    return joined_tokens(df, toks, key_cols, known, found, "tokens")
+
+
+def joined_tokens(df: DataFrame, tokens: Column, key_cols: Sequence[str], vocab: DataFrame,
+                  value: Column, name: str) -> DataFrame:
+    """``key_cols..., name``: every row's tokens mapped by a join with ``vocab``, a table with
+    a distinct ``_vtok``; ``value`` says what a token ``_t`` becomes.
+
+    Rows are written with a number of their own, so rows of equal keys stay apart.  The
+    join has no hot keys: words that make up 1/HOT_WORDS of all tokens or more (so at most
+    that many) are looked up in a broadcast, all others are shuffled by their hash."""
+    rows = reliable_checkpoint(df.select(*key_cols, tokens.alias("_ts"))
+                               .withColumn("_row", F.monotonically_increasing_id()))
+    each = rows.select("_row", F.posexplode("_ts").alias("_p", "_t")).withColumn("_low", F.lower("_t"))
+    counts = reliable_checkpoint(each.groupBy("_low").agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") * HOT_WORDS >= total).select("_low")
+    hot = reliable_checkpoint(hot.join(vocab, F.col("_low") == F.col("_vtok"), "left"))
+    near = each.join(F.broadcast(hot), "_low")
+    far = each.join(F.broadcast(hot.select("_low")), "_low", "left_anti").join(
+        vocab, F.col("_low") == F.col("_vtok"), "left")
+    item = F.struct("_p", value.alias("v"))
+    both = near.select("_row", item.alias("x")).unionByName(far.select("_row", item.alias("x")))
+    gathered = both.groupBy("_row").agg(F.sort_array(F.collect_list("x")).alias("_x"))
+    mapped = F.col("_x.v")
+    none = F.array().cast(gathered.select(mapped.alias("v")).schema["v"].dataType)
+    return rows.join(gathered, "_row", "left").select(*key_cols, F.coalesce(mapped, none).alias(name))
 
 
 def raw_token_count(df: DataFrame, text_col: str) -> DataFrame:

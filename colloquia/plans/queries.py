@@ -647,12 +647,44 @@ def q_fixed_length_rows(spark, sf):
     counts = _doc_word_counts(spark, sf)
     vocab = V.vocab_final(counts, V.WORD_VOCAB_SIZE, mode="distinct", counts=counts)
     ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK, C.MAX_LEN)
-    rows = ids.select("doc_id", C.fixed_length_rows(F.col("ids"), _EOS).alias("r"))
+    return _spelled_rows(ids.select("doc_id", C.fixed_length_rows(F.col("ids"), _EOS).alias("r")), "doc_id")
 
+
+def _spelled_rows(rows: DataFrame, *keys: str) -> DataFrame:
     def s(c):
         return F.concat_ws(" ", F.transform(F.col(f"r.{c}"), lambda x: x.cast("string")))
-    return rows.select("doc_id", s("input_ids").alias("input_ids"),
-                       s("attention_mask").alias("attention_mask"), s("labels").alias("labels"))
+    return rows.select(*keys, *[s(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])
+
+
+O.cte("all_ids", f"""
+SELECT d.doc_id, coalesce(i.ids, []) AS ids FROM documents d LEFT JOIN (
+  SELECT doc_id, list(coalesce(v.token_id, {_UNK}) ORDER BY p) AS ids
+  FROM (SELECT doc_id, unnest(ts) AS t, unnest(generate_series(1, len(ts))) AS p
+        FROM (SELECT doc_id, {O.ws_split('text')} AS ts FROM documents)) w
+  LEFT JOIN (SELECT token, min(token_id) AS token_id FROM vdistinct GROUP BY token) v ON lower(w.t) = v.token
+  GROUP BY doc_id) i ON i.doc_id = d.doc_id""", ("vdistinct",))
+_STEP = C.MAX_LEN - 1
+O.cte("id_chunks", f"""
+SELECT doc_id, chunk, list_append(ids[chunk * {_STEP} + 1:(chunk + 1) * {_STEP}], {_EOS}) AS ids
+FROM (SELECT doc_id, ids, CAST(unnest(range(0, greatest(1, (len(ids) + {_STEP - 1}) // {_STEP}))) AS INTEGER) AS chunk
+      FROM all_ids)""", ("all_ids",))
+
+
+@query("chunked_length_rows", O.sql(f"""
+SELECT doc_id, chunk, array_to_string(list_resize(ids, {C.MAX_LEN}, {_EOS}), ' ') AS input_ids,
+       array_to_string(list_resize(list_transform(ids, lambda i: 1), {C.MAX_LEN}, 0), ' ') AS attention_mask,
+       array_to_string(list_transform(list_resize(ids, {C.MAX_LEN}, {_EOS}),
+           lambda i: CASE WHEN i = {_EOS} THEN {C.IGNORE_LABEL} ELSE i END), ' ') AS labels
+FROM id_chunks""", "id_chunks"))
+def q_chunked_length_rows(spark, sf):
+    """Fixed-length rows that keep every token: a text is cut into as many as it fills."""
+    docs = fx.documents(spark, sf)
+    counts = _doc_word_counts(spark, sf)
+    vocab = V.vocab_final(counts, V.WORD_VOCAB_SIZE, mode="distinct", counts=counts)
+    ids = C.token_ids(docs, "text", ["doc_id"], vocab, _UNK)
+    chunks = ids.select("doc_id", F.posexplode(C.chunked_ids(F.col("ids"), C.MAX_LEN)).alias("chunk", "ids"))
+    return _spelled_rows(chunks.select("doc_id", "chunk", C.fixed_length_rows(F.col("ids"), _EOS).alias("r")),
+                         "doc_id", "chunk")
 
 
 # --- 2.4 pre-tokeniser, BPE, segmentation --------------------------------------------------
@@ -704,7 +736,34 @@ def q_bpe_encode(spark, sf):
     return toks.select("doc_id", F.size("tokens").alias("n_tokens"), F.concat_ws(" ", "tokens").alias("tokens"))
 
 
-@query("vocab_segment")
+O.cte("seg_vocab", f"""
+SELECT word AS token FROM wcounts ORDER BY cnt DESC, word LIMIT {V.WORD_VOCAB_SIZE}""", ("wcounts",))
+O.cte("seg_doc_words", f"""
+SELECT doc_id, list_filter(regexp_split_to_array(text, '[{B.SPACES}]+'), lambda t: length(t) > 0) AS ws
+FROM documents""")
+O.cte("seg_best", """
+SELECT word, p, max_by(token, n) AS token
+FROM (SELECT word, unnest(range(0, length(word))) AS p
+      FROM (SELECT DISTINCT unnest(ws) AS word FROM seg_doc_words)) w
+JOIN (SELECT DISTINCT length(token) AS n FROM seg_vocab) l ON p + n <= length(word)
+JOIN seg_vocab v ON v.token = substr(word, p + 1, n)
+GROUP BY word, p""", ("seg_vocab", "seg_doc_words"))
+
+
+@query("vocab_segment", O.sql("""
+SELECT d.doc_id, CAST(coalesce(x.n_tokens, 0) AS INTEGER) AS n_tokens,
+       CAST(coalesce(x.n_unk, 0) AS INTEGER) AS n_unk, coalesce(x.tokens, '') AS tokens
+FROM documents d LEFT JOIN (
+  SELECT doc_id, sum(len(toks)) AS n_tokens, sum(len(list_filter(toks, lambda t: t = '<UNK>'))) AS n_unk,
+         string_agg(array_to_string(toks, ' '), ' ' ORDER BY k) AS tokens
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS k FROM seg_doc_words)
+  JOIN (WITH RECURSIVE r(word, p, toks) AS (
+          SELECT DISTINCT word, CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) FROM (SELECT unnest(ws) AS word FROM seg_doc_words)
+          UNION ALL
+          SELECT r.word, r.p + coalesce(length(b.token), 1), list_append(r.toks, coalesce(b.token, '<UNK>'))
+          FROM r LEFT JOIN seg_best b ON b.word = r.word AND b.p = r.p WHERE r.p < length(r.word))
+        SELECT word, toks FROM r WHERE p >= length(word)) s USING (word)
+  GROUP BY doc_id) x ON x.doc_id = d.doc_id""", "seg_best"))
 def q_vocab_segment(spark, sf):
     """Every document in leftmost-longest entries of its corpus' word vocabulary, read
     back from a vocabulary file."""

@@ -49,21 +49,37 @@ def song_listing(replies: DataFrame, max_songs: int = MAX_SONGS,
 
 SONG = T.StructType([T.StructField("song_no", T.LongType()), T.StructField("title", T.StringType()),
                      T.StructField("url", T.StringType()), T.StructField("id", T.LongType())])
-LIST_SCHEMA = T.StructType([T.StructField("songs", T.ArrayType(SONG)),
-                            T.StructField("artist", T.StringType())])
+LIST_SCHEMA = T.StructType([T.StructField("artist", T.StringType()),
+                            T.StructField("songs", T.ArrayType(SONG))])
 
 
 def write_song_lists(listing: DataFrame, path: str) -> None:
-    """One JSON list per artist (``songs``), in folders partitioned by artist.
+    """One JSON list per artist (``songs``), many artists to a file in artist order.
 
-    A list holds at most ``MAX_SONGS`` entries, so gathering it is bounded.
+    A list holds at most ``MAX_SONGS`` entries, so gathering it is bounded.  The number of
+    files follows the bytes (Spark joins small ranges), not the artists.  An index of one
+    row per file, its first and last artist, is written to ``<path>_index``.
     """
     per_artist = listing.groupBy("artist").agg(
         F.sort_array(F.collect_list(F.struct("song_no", "title", "url", "id"))).alias("songs"))
-    per_artist.write.mode("overwrite").partitionBy("artist").json(path)
+    ordered = per_artist.repartitionByRange("artist").sortWithinPartitions("artist")
+    ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    written = listing.sparkSession.read.schema(LIST_SCHEMA).json(path)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    index = written.groupBy(name.alias("file")).agg(F.min("artist").alias("first"), F.max("artist").alias("last"))
+    index.write.mode("overwrite").parquet(path.rstrip("/") + "_index")
 
 
-def read_song_lists(spark, path: str) -> DataFrame:
-    """``artist, song_no, title, url, id`` from written lists (artist stays a string)."""
-    lists = spark.read.schema(LIST_SCHEMA).json(path)
-    return lists.select("artist", F.inline("songs"))
+def read_song_lists(spark, path: str, artist: str | None = None) -> DataFrame:
+    """``artist, song_no, title, url, id`` from written lists (artist stays a string).
+
+    With ``artist`` only the files whose range holds it are read."""
+    lists = spark.read.schema(LIST_SCHEMA)
+    if artist is None:
+        return lists.json(path).select("artist", F.inline("songs"))
+    index = spark.read.schema("file string, first string, last string").parquet(path.rstrip("/") + "_index")
+    files = [r["file"] for r in index.where((F.col("first") <= artist) & (F.col("last") >= artist)).collect()]
+    if not files:
+        return lists.json(path).where(F.lit(False)).select("artist", F.inline("songs"))
+    found = lists.json([f"{path.rstrip('/')}/{f}" for f in files]).where(F.col("artist") == artist)
+    return found.select("artist", F.inline("songs"))

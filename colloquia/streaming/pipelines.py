@@ -7,8 +7,8 @@ schemas, checkpointed progress and idempotent sinks:
 * ``stream_synth_resume`` -- ``foreachBatch``: anti-join ids already written,
   translate, append; each micro-batch overwrites only its own output folder,
   so a replayed batch id rewrites the same rows instead of duplicating them.
-* ``stream_dedup`` -- stateful ``dropDuplicates`` on a case-folded key
-  ("first" is arrival order, not file order).
+* ``stream_dedup`` -- rows repeated within a task dropped, then stateful
+  ``dropDuplicates`` on a case-folded key ("first" is arrival order, not file order).
 """
 
 from __future__ import annotations
@@ -16,13 +16,14 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquia.operators.clean import pair_clean
 from colloquia.operators import synth as S
-from colloquia.session import path_exists, reliable_checkpoint
+from colloquia.session import path_exists, reliable_checkpoint, ship_package
 from colloquia.sources.jsonl import PAIR_SCHEMA
 
 
@@ -88,27 +89,44 @@ def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DIGESTS_HELD = 1 << 20   # digests that a task remembers within a batch
+
+
+def _first_in_task(parts):
+    """Arrow batches without rows whose digest (the last column) the task has seen."""
+    seen: set[bytes] = set()
+    for b in parts:
+        keep = []
+        for d in b.column(b.num_columns - 1).to_pylist():
+            keep.append(d not in seen)
+            seen.add(d)
+        if len(seen) > DIGESTS_HELD:
+            seen.clear()
+        yield b.filter(pa.array(keep, pa.bool_()))
 
 
 def stream_dedup(spark: SparkSession, in_path: str, schema: T.StructType, text_col: str,
                  out_path: str, checkpoint: str, max_files: int | None = None) -> DataFrame:
     """Keep the first arriving row of every case-folded text; returns the keys.
 
-    The state holds a 128-bit digest per text, not the text, in RocksDB (on the
-    executors' disks), as there is no event time by which it could expire."""
-    reader = spark.readStream.schema(schema)
+    Two levels: within a micro-batch every task drops the rows whose digest it has seen, so
+    a hot line reaches the state's task once per task that read it; the state behind it
+    holds a 128-bit digest per text, not the text, in RocksDB (on the executors' disks), as
+    there is no event time by which it could expire.  The query runs in a session of its
+    own, so its state store is no other query's setting."""
+    ship_package(spark)
+    own = spark.newSession()
+    for conf in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
+        own.conf.set(conf, spark.conf.get(conf))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    reader = own.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(in_path).withColumn("key", F.lower(F.col(text_col)))
-    firsts = rows.withColumn("_digest", F.unhex(F.md5("key"))).dropDuplicates(["_digest"]).drop("_digest")
-    conf = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, ROCKSDB)
-    try:
-        q = (firsts.writeStream.format("parquet").option("path", out_path)
-             .option("checkpointLocation", checkpoint).outputMode("append")
-             .trigger(availableNow=True).start())
-        _run(q)
-    finally:
-        spark.conf.set(conf, before)
+    rows = rows.withColumn("_digest", F.unhex(F.md5("key")))
+    firsts = rows.mapInArrow(_first_in_task, rows.schema).dropDuplicates(["_digest"]).drop("_digest")
+    q = (firsts.writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).outputMode("append")
+         .trigger(availableNow=True).start())
+    _run(q)
     return spark.read.parquet(out_path)
