@@ -58,7 +58,7 @@ class SideA:
     """A byte-level BPE of the tokenizers library, over a blank and the text."""
 
     def __init__(self, path: str, ranks: str | None = None):
-        self.tok = TextTokenizer(path, ranks)
+        self.tok = TextTokenizer(path, ranks, plain=True)
         spelled, vocab = byte_level(), self.tok.tok.get_vocab()
         self.tokens = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():

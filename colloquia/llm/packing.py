@@ -10,7 +10,10 @@ is shuffled and memory is bounded by the open windows, whatever a document's siz
   next remainder whole, a remainder is cut so that the window closes without padding;
 * what is left at the end of a partition goes into full windows and, last, into
   sequences of falling powers of two (at most eleven), which need no padding either;
-* sequences go to step groups: the least-filled group of their tier, by token count.
+* sequences of one length are dealt to the step groups in turn, over all partitions: a
+  partition's turn begins where the sequences of the partitions before it end, which sums
+  over one row per partition and length tell.  Sequences are full, so groups differ by at
+  most one sequence of each length.
 
 A null or empty text is the end id alone.  Repeated rows are packed each; rows with
 a null doc_id too.  Extra columns are ignored.
@@ -29,21 +32,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquia.llm.common import batches, prepare
+from colloquia.llm.common import batches, prepare, saved
 
 WINDOW = 2_048
 TIERS = (256, 512, 1_024, 2_048)
 END_ID = 1
 STEP_GROUPS = 8
-#: Remainders held back per tier before they are packed.
-POOL = 64
+#: Remainders held back per tier before they are packed, or windows that they would fill.
+POOL, POOL_WINDOWS = 64, 8
 #: Longest text for the ranked encoder.
 PLAIN_CHARS = 1 << 18
 # Fixed value: the vocabulary's pre-tokeniser.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-          "offset long, padded_length long, step_group int")
+          "offset long, padded_length long, nth long")
 
 
 class TextTokenizer:
@@ -53,14 +56,18 @@ class TextTokenizer:
     Latin-1 characters up to ``PLAIN_CHARS`` go through the ranked encoder, which gives
     the same ids in a third of the time (tests compare both over that alphabet); all
     other texts go through the tokenizers library.
+
+    The strings of added tokens in a text are those tokens, as in the library; with
+    ``plain`` they are ordinary text.
     """
 
-    def __init__(self, path: str, ranks: str | None = None):
+    def __init__(self, path: str, ranks: str | None = None, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = plain
+        self.added = [] if plain else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.ranked = None
         if ranks:
             import tiktoken
@@ -76,7 +83,7 @@ class TextTokenizer:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return False
-        return True
+        return not any(t in text for t in self.added)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -106,6 +113,7 @@ class Packer:
     def __init__(self, emit, tiers=TIERS, pool: int = POOL):
         self.emit, self.tiers, self.pool_size = emit, tiers, pool
         self.pools: dict[int, list[Piece]] = {t: [] for t in tiers}
+        self.tokens = dict.fromkeys(tiers, 0)   # of the pieces in a pool
 
     def add(self, doc_id, ids: bytes) -> None:
         whole = Piece(doc_id, 0, memoryview(ids), len(ids) // 4)
@@ -119,27 +127,37 @@ class Packer:
     def _route(self, piece: Piece) -> None:
         tier = next(t for t in self.tiers if piece.length <= t)
         self.pools[tier].append(piece)
-        if len(self.pools[tier]) >= self.pool_size:
+        self.tokens[tier] += piece.length
+        if self._many(tier, 1):
             self._pack(tier)
 
+    def _many(self, tier: int, part: int) -> bool:
+        """Whether a pool has its full number of pieces or tokens, divided by ``part``."""
+        return len(self.pools[tier]) * part >= self.pool_size or self.tokens[tier] * part >= POOL_WINDOWS * tier
+
     def _take(self, limit: int, tier: int) -> Piece | None:
         """The longest piece of ``tier`` or a shorter one that fits into ``limit``."""
         for t in reversed([t for t in self.tiers if t <= tier]):
             fits = [i for i, p in enumerate(self.pools[t]) if p.length <= limit]
             if fits:
-                return self.pools[t].pop(max(fits, key=lambda i: self.pools[t][i].length))
+                return self._pop(t, max(fits, key=lambda i: self.pools[t][i].length))
         return None
 
+    def _pop(self, tier: int, i: int = -1) -> Piece:
+        piece = self.pools[tier].pop(i)
+        self.tokens[tier] -= piece.length
+        return piece
+
     def _pack(self, tier: int) -> None:
         """Fill windows of ``tier`` until its pool is half empty or all the pools
         together do not fill one more (many texts of a token or two)."""
-        while len(self.pools[tier]) > self.pool_size // 2 and self._held() >= tier:
+        while self._many(tier, 2) and self._held() >= tier:
             row, left = [], tier
             while left:
                 piece = self._take(left, tier)
                 if piece is None:
                     other = next(t for t in self.tiers if self.pools[t])
-                    piece, rest = self.pools[other].pop().cut(left)
+                    piece, rest = self._pop(other).cut(left)
                     self._put(rest)
                 row.append(piece)
                 left -= piece.length
@@ -147,10 +165,12 @@ class Packer:
 
     def _held(self) -> int:
         """Tokens in all the pools."""
-        return sum(p.length for pool in self.pools.values() for p in pool)
+        return sum(self.tokens.values())
 
     def _put(self, piece: Piece) -> None:
-        self.pools[next(t for t in self.tiers if piece.length <= t)].append(piece)
+        tier = next(t for t in self.tiers if piece.length <= t)
+        self.pools[tier].append(piece)
+        self.tokens[tier] += piece.length
 
     def finish(self) -> None:
         """Pack what is left into the longest windows; the last is padded least."""
@@ -166,7 +186,7 @@ class Packer:
                 if not left:
                     self.emit(row, self.tiers[-1])
                     row, left = [], self.tiers[-1]
-            self.pools[t] = []
+            self.pools[t], self.tokens[t] = [], 0
         # the rest in falling powers of two, which are not padded
         need = self.tiers[-1] - left
         while row:
@@ -185,8 +205,9 @@ class Packer:
 
 def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID,
          step_groups: int = STEP_GROUPS) -> DataFrame:
-    """One row per piece (see SCHEMA).  sequence_id is unique over all partitions:
-    the partition number in the upper bits, as in monotonically_increasing_id."""
+    """One row per piece: SCHEMA with ``step_group`` for ``nth``.  sequence_id is unique over
+    all partitions: the partition number in the upper bits, as in
+    monotonically_increasing_id."""
     prepare(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
@@ -195,24 +216,22 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, ti
         out: list[list] = [[] for _ in range(9)]
         first = TaskContext.get().partitionId() << 33
         done = 0
-        load: dict[int, list[int]] = {}
+        made: dict[int, int] = {}
 
         def emit(row: list[Piece], size: int) -> None:
             nonlocal done
-            groups = load.setdefault(size, [0] * step_groups)
-            group = groups.index(min(groups))
-            groups[group] += size
+            nth = made[size] = made.get(size, -1) + 1
             offset = 0
             for p in row:
                 for col, v in zip(out, (p.doc_id, p.start, p.length, zlib.crc32(p.ids), p.total, first + done,
-                                        offset, size, group)):
+                                        offset, size, nth)):
                     col.append(v)
                 offset += p.length
             done += 1
 
         def drain() -> pa.RecordBatch:
             names = [f.split()[0] for f in SCHEMA.split(", ")]
-            kinds = [pa.int64()] * 8 + [pa.int32()]
+            kinds = [pa.int64()] * 9
             b = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
             for c in out:
                 c.clear()
@@ -228,5 +247,23 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, ti
         if out[0]:
             yield drain()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, SCHEMA)
+    pieces = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                               F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA), "packed-pieces")
+    return in_step_groups(pieces, step_groups)
+
+
+def in_step_groups(pieces: DataFrame, step_groups: int) -> DataFrame:
+    """``nth``, a sequence's number among those of its partition and length, replaced by its
+    step group."""
+    part = F.shiftright("sequence_id", 33)
+    # one row per partition and length
+    made = pieces.groupBy(part.alias("p"), F.col("padded_length").alias("size")).agg(F.max("nth").alias("last")).collect()
+    begin: dict[int, int] = {}
+    starts = []
+    for r in sorted(made):
+        starts.append((r["p"], r["size"], begin.get(r["size"], 0) % step_groups))
+        begin[r["size"]] = begin.get(r["size"], 0) + r["last"] + 1
+    known = F.broadcast(pieces.sparkSession.createDataFrame(starts, "_p long, _size long, _start long"))
+    group = ((F.col("nth") + F.col("_start")) % step_groups).cast("int")
+    joined = pieces.join(known, (part == F.col("_p")) & (F.col("padded_length") == F.col("_size")))
+    return joined.withColumn("step_group", group).drop("nth", "_p", "_size", "_start")
