@@ -35,7 +35,11 @@ BASE = 3
 NEEDS = {"access": "AKIA", "github": "gh", "slack": "xox", "google": "AIza", "pem": "-----BEGIN ", "jwt": "eyJ"}
 #: A value that more owners than this carry is a copied example.
 MAX_OWNERS = 2
-_SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+_SPAN = "array<struct<start:int,kind:int,end:int,hash:string,random:boolean>>"
+#: Matches of one kind that are placed together: a text's cost grows with their number.
+BLOCK = 128
+#: Hashes above this share of all candidates are looked up in a broadcast.
+HOT_HASHES = 1_024
 _PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]|xxxx|test|dummy|sample|^(.)\1*$"
 
 
@@ -45,22 +49,38 @@ def _spans(text: Column, number: int) -> Column:
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    # one pass: (end of the last match, spans so far)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    triples = F.arrays_zip(whole.alias("0"), value.alias("1"), F.slice(gaps, 1, F.size(whole)).alias("2"))
+    # the array is bound once; what a lambda refers to would be computed at every element
+    found = F.transform(F.array(triples), lambda t: _placed(t, number, least))[0]
+    test = F.contains(text, F.lit(NEEDS[name])) if name in NEEDS else F.lit(True)
+    return F.when(test & text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+
+
+def _placed(triples: Column, number: int, least: int) -> Column:
+    """Spans of (match, value, gap before it): the place of a match is the sum of all before
+    it, kept per block of matches, as an array that grows is copied at every step."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(triples) - 1) / BLOCK).cast("int"))
+    part = lambda b: F.slice(triples, b * BLOCK + 1, F.lit(BLOCK))
+    sizes = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda n, x: n + x["2"] + F.length(x["0"])))
+    begins = F.aggregate(
+        sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["2"]
         end = begin + F.length(x["0"])
+        # the value itself goes no further: its hash, and whether it looks random
+        looks = x["1"].rlike("[0-9]") & x["1"].rlike("[A-Za-z]") & ~x["1"].rlike(_PLACEHOLDER)
         span = F.array(F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("end"),
-                                x["1"].alias("value")))
+                                F.sha2(x["1"], 256).alias("hash"), looks.alias("random")))
         return F.struct(end.alias("at"),
-                        F.when(F.length(x["1"]) >= least, F.concat(acc["out"], span))
-                        .otherwise(acc["out"]).alias("out"))
+                        F.when(F.length(x["1"]) >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    triples = F.arrays_zip(whole.alias("0"), value.alias("1"), F.slice(gaps, 1, F.size(whole)).alias("2"))
-    found = F.aggregate(triples, start, step, lambda acc: acc["out"])
-    test = F.contains(text, F.lit(NEEDS[name])) if name in NEEDS else F.lit(True)
-    return F.when(test & text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+    def spans(b: Column, begin: Column) -> Column:
+        return F.aggregate(part(b), F.struct(begin.alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda acc: acc["out"])
+
+    return F.flatten(F.zip_with(blocks, begins, spans))
 
 
 def candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -79,17 +99,15 @@ def _listed(spans: Column) -> Column:
 def ownership(found: DataFrame) -> DataFrame:
     """Per candidate hash: distinct repositories and owners, and the verdict.
 
-    ``found`` has the columns ``hash, repo, owner, value``.  A hot value shrinks to
+    ``found`` has the columns ``hash, repo, owner, random``.  A hot value shrinks to
     one row per repository and task before it is shuffled."""
-    seen = found.groupBy("hash", "owner", "repo").agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n"))
-    seen = seen.groupBy("hash", "owner").agg(F.min("value").alias("value"), F.sum("n").alias("n"),
+    seen = found.groupBy("hash", "owner", "repo").agg(F.max("random").alias("random"), F.count(F.lit(1)).alias("n"))
+    seen = seen.groupBy("hash", "owner").agg(F.max("random").alias("random"), F.sum("n").alias("n"),
                                              F.count(F.lit(1)).alias("repos"))
-    by_hash = seen.groupBy("hash").agg(F.min("value").alias("value"), F.sum("n").alias("n_places"),
+    by_hash = seen.groupBy("hash").agg(F.max("random").alias("random"), F.sum("n").alias("n_places"),
                                        F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
-    random = (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-              & ~F.col("value").rlike(_PLACEHOLDER))
     return by_hash.select("hash", "n_places", "n_repos", "n_owners",
-                          F.when(F.col("n_owners") > MAX_OWNERS, "example").when(random, "live")
+                          F.when(F.col("n_owners") > MAX_OWNERS, "example").when(F.col("random"), "live")
                           .otherwise("weak").alias("verdict"))
 
 
@@ -100,9 +118,15 @@ def scan(docs: DataFrame, repo: Column, owner: Column) -> DataFrame:
     rows = saved(candidates(rows, ["doc_id", "repo", "owner"])
                  .withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
     each = rows.select("row", "repo", "owner", F.explode("spans").alias("s")).select(
-        "row", "repo", "owner", F.sha2(F.col("s.value"), 256).alias("hash"), F.col("s.value").alias("value"))
-    verdicts = ownership(each).select("hash", "verdict")
-    per_row = each.join(verdicts, "hash").groupBy("row").agg(
+        "row", "repo", "owner", "s.hash", "s.random")
+    verdicts = saved(ownership(each), "secret-verdicts")
+    total = verdicts.agg(F.sum("n_places")).first()[0] or 0
+    hot = F.col("n_places") * HOT_HASHES >= total   # at most HOT_HASHES rows
+    near = F.broadcast(verdicts.where(hot).select("hash", "verdict"))
+    judged = each.join(near, "hash").select("row", "verdict").unionByName(
+        each.join(F.broadcast(verdicts.where(hot).select("hash")), "hash", "left_anti")
+        .join(verdicts.where(~hot).select("hash", "verdict"), "hash").select("row", "verdict"))
+    per_row = judged.groupBy("row").agg(
         *[F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in ("live", "example", "weak")])
     base = F.filter("spans", lambda s: s["kind"] < BASE)
     n_of = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
