@@ -16,7 +16,9 @@ The benchmark is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text,
 a benchmark of any size is searched exactly, one scan of the documents per block.
 
 A null text has no words: it is never hit; a benchmark item without words has no
-window.  Repeated rows each get a row; items that share an item_id count once.  A null item_id is ignored.  Extra columns are ignored.
+window.  Repeated rows each get a row; items that share an item_id count once.  The
+windows of an item with a null item_id are searched like any other and count for hits and
+verdict; it has no place in the list of items.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,11 +70,11 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
 class PrefixIndex:
     """Prefix word -> (place of the word in the window, length) -> window -> items."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], df: dict[bytes, int], size: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], df: dict[bytes, int], size: int = WINDOW):
         owners: dict[tuple, set[str]] = defaultdict(set)
         for item, words in items:
             for w in item_windows(words, size):
-                owners[w].add(item)
+                owners[w].update(() if item is None else (item,))
         by_word: dict[bytes, dict] = defaultdict(lambda: defaultdict(dict))
         shared: dict[tuple, tuple] = {}  # equal owner lists are kept once
         for w, found in owners.items():
@@ -107,10 +109,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The benchmark's items in blocks of bounded size, one partition at a time."""
-    rows = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item"),
-                                                         raw_text().alias("raw"))
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), raw_text().alias("raw"))
     block, size = [], 0
     for r in rows.toLocalIterator():
         raw = bytes(r["raw"])

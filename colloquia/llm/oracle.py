@@ -16,7 +16,7 @@ def _words(text: str) -> str:
 def decontamination() -> str:
     n, share = decontaminate.WINDOW, decontaminate.SHARE
     return f"""
-WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words('text')} AS w FROM benchmark),
 iw AS (SELECT DISTINCT item, len(x) AS size, array_to_string(x, ' ') AS win FROM (
          SELECT item, w[s:s + {n} - 1] AS x
          FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {n} + 1, 1) + 1)) AS s FROM i WHERE len(w) > 0))),
@@ -28,7 +28,7 @@ h AS (SELECT doc_id, s, dw.size AS size, item FROM dw JOIN iw USING (win)),
 p AS (SELECT doc_id, count(DISTINCT k) AS n_hit
       FROM (SELECT DISTINCT doc_id, unnest(range(s, s + size)) AS k FROM h) GROUP BY doc_id),
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+      FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= len(w) AS contaminated

@@ -115,7 +115,7 @@ def windows(items):
     for i, t in items:
         w = letter_words(t)
         for k in range(max(1, len(w) - 12) if w else 0):
-            out.setdefault(tuple(w[k:k + 13]), set()).add(str(i))
+            out.setdefault(tuple(w[k:k + 13]), set()).update(() if i is None else (str(i),))
     return out
 
 
@@ -123,7 +123,7 @@ def contamination(text, found):
     w, hit, items = letter_words(text), set(), set()
     for size in {len(x) for x in found}:
         for k in range(len(w) - size + 1):
-            if own := found.get(tuple(w[k:k + size])):
+            if (own := found.get(tuple(w[k:k + size]))) is not None:
                 hit.update(range(k, k + size))
                 items |= own
     return (len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(),
