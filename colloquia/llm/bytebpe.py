@@ -24,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -116,11 +117,13 @@ class Encoder:
         pre-token, so each is merged in the order it would be alone."""
         ranks, queue = self.ranks, self.queue
         rank_of, buckets = ranks.get, queue.buckets
+        halves: set[int] = set()
         data = b"".join(pieces)
         n = len(data)
         after = list(range(1, n + 1))      # where the run that begins here ends
         before = list(range(-1, n - 1))    # where the run before it begins
         first = bytearray(n + 1)           # whether a pre-token begins here
+        token = [ranks[data[i:i + 1]] for i in range(n)]   # of the run that begins here, -1 inside
         # rank of this run with the next
         pair = [rank_of(data[i:i + 2], -1) for i in range(n)]
         at = 0
@@ -137,37 +140,48 @@ class Encoder:
                 queue.open(rank, [i])
         while (rank := queue.lowest()) >= 0:
             bucket = buckets[rank]
-            lower = False
+            # in order at once; a bucket left half done for a lower rank goes on as a heap
+            fresh, lower = rank not in halves, False
+            if fresh:
+                bucket.sort(reverse=True)
             while bucket and not lower:
-                i = heappop(bucket)
+                i = bucket.pop() if fresh else heappop(bucket)
                 if pair[i] != rank:
                     continue
                 gone = after[i]
                 end = after[i] = after[gone]
-                pair[gone] = new = -1
+                token[i] = rank   # a token's id is its rank
+                pair[gone] = token[gone] = new = -1
                 if not first[end]:
                     before[end] = i
                     new = rank_of(data[i:after[end]], -1)
-                    if new >= 0:
-                        queue.push(new, i)
-                        lower = new < rank
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    elif new >= 0:
+                        queue.open(new, [i])
+                    lower = -1 < new < rank
                 pair[i] = new
                 left = before[i]
                 if left >= 0:
                     new = rank_of(data[left:end], -1)
-                    if new >= 0 and new != pair[left]:
-                        queue.push(new, left)
-                        lower = lower or new < rank
-                    pair[left] = new
+                    if new != pair[left]:
+                        pair[left] = new
+                        if new in buckets:
+                            heappush(buckets[new], left)
+                        elif new >= 0:
+                            queue.open(new, [left])
+                        lower = lower or -1 < new < rank
             if not bucket:
                 queue.close(rank)
-        out, i = [], 0
+                halves.discard(rank)
+            elif fresh:
+                bucket.reverse()
+                halves.add(rank)
+        out, at = [], 0
         for piece in pieces:
-            ids, stop = [], i + len(piece)
-            while i < stop:
-                ids.append(ranks[data[i:after[i]]])
-                i = after[i]
-            out.append(ids)
+            stop = at + len(piece)
+            out.append([t for t in token[at:stop] if t >= 0])
+            at = stop
         return out
 
     def _merged(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
@@ -188,7 +202,7 @@ class Encoder:
             yield from self._packed(held)
 
     def _packed(self, held: dict[str, bytes]) -> Iterator[tuple[str, bytes]]:
-        return ((p, np.array(ids, np.int32).tobytes()) for p, ids in zip(held, self.merge(list(held.values()))))
+        return ((p, array("i", ids).tobytes()) for p, ids in zip(held, self.merge(list(held.values()))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Signed 32-bit ids of texts."""
