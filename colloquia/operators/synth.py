@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
-from colloquia.session import path_exists, reliable_checkpoint, ship_package
+from colloquia.session import path_exists, reliable_checkpoint, scratch_path, ship_package
 
 SYSTEM_PROMPT = (
     "Translate one line of spoken Finnish into plain everyday English. Reply with the "
@@ -194,8 +194,11 @@ def run_synthesis(spark: SparkSession, source: DataFrame, out_path: str,
     if path_exists(out_path):   # first run: nothing written yet
         existing = read_jsonl(spark, out_path, existing_schema or PAIR_SCHEMA)
     # the rows of this run are fixed before any slice adds to the output
-    todo = reliable_checkpoint(plan_batch(source, existing, limit, order_col, dense)
-                               .withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices))))
+    path = scratch_path(spark, "synthesis-todo")
+    todo = plan_batch(source, existing, limit, order_col, dense).withColumn(
+        "_slice", F.pmod(F.xxhash64("id"), F.lit(slices)))
+    todo.write.partitionBy("_slice").parquet(path)   # a slice reads its own files only
+    todo = spark.read.schema(todo.schema).parquet(path)
     n = 0
     for k in range(slices):
         # the translator is called once per row, then both outputs are written

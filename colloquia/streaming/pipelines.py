@@ -4,8 +4,8 @@ The batch logic is reused unchanged; streams add file sources with explicit
 schemas, checkpointed progress and idempotent sinks:
 
 * ``stream_pair_clean`` -- stateless: raw pairs -> ``pair_clean`` -> parquet.
-* ``stream_synth_resume`` -- ``foreachBatch``: anti-join ids already written,
-  translate, append; each micro-batch overwrites only its own output folder,
+* ``stream_synth_resume`` -- ids seen before dropped by state, then ``foreachBatch``:
+  translate, write; each micro-batch overwrites only its own output folder,
   so a replayed batch id rewrites the same rows instead of duplicating them.
 * ``stream_dedup`` -- rows repeated within a task dropped, then stateful
   ``dropDuplicates`` on a case-folded key ("first" is arrival order, not file order).
@@ -47,51 +47,64 @@ def stream_pair_clean(spark: SparkSession, in_path: str, schema: T.StructType, o
     return spark.read.parquet(out_path)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DIGESTS_HELD = 1 << 20   # digests that a task remembers within a batch
+
+
+def _stateful_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a query with state, so that its store is no other's setting."""
+    own = spark.newSession()
+    for conf in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
+        own.conf.set(conf, spark.conf.get(conf))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return own
+
+
 def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
                         out_path: str, checkpoint: str, factory: S.TranslatorFactory,
                         model: str, max_files: int | None = None) -> DataFrame:
-    """Back-translate arriving rows, skipping ids already in ``out_path``.
-
-    Each batch writes its pairs, its failures (``S.errors_path``) and the ids of its
-    pairs; only the short id table is read to find what is done.  The failures of
-    earlier runs are translated again when a run starts."""
+    """Back-translate arriving rows, skipping ids that were handled before.
+
+    Ids that arrived earlier in this stream are in the query's state (RocksDB on the
+    executors), so a batch costs what it brings, however long the history is.  Ids written
+    by others, a batch run before the stream began and the retries of failed rows, are in
+    a short table that does not grow with the batches.  Each batch writes its pairs and
+    its failures (``S.errors_path``); failures of earlier runs are translated again when a
+    run starts.  Rows of a null id are one id."""
     ids_path, err_path = out_path.rstrip("/") + "_ids", S.errors_path(out_path)
-    reader = spark.readStream.schema(schema)
+    own = _stateful_session(spark)
+    reader = own.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.json(in_path)
+    rows = reader.json(in_path).dropDuplicates(["id"])
 
-    def done_ids(batch: str) -> DataFrame | None:
-        if not path_exists(ids_path):   # nothing written yet
+    def done_ids() -> DataFrame | None:
+        if not path_exists(ids_path):   # no other has written anything
             return None
-        # rows of this very batch (a replay) are rewritten, not skipped
-        return (spark.read.schema("id string").parquet(os.path.join(ids_path, "*"))
-                .where(~F.input_file_name().contains(f"/{batch}/")))
+        return spark.read.schema("id string").parquet(os.path.join(ids_path, "*"))
 
     def handle(batch: DataFrame, name: str) -> None:
-        todo = S.plan_batch(batch, done_ids(name), None)   # no limit: every arriving row
+        todo = S.plan_batch(batch, done_ids(), None)   # no limit: every arriving row
         raw = reliable_checkpoint(S.backtranslate(todo, factory, model))
-        here = os.path.join(out_path, name)
-        S.write_translations(raw, here, os.path.join(err_path, name), "overwrite")
-        spark.read.schema(PAIR_SCHEMA).json(here).select("id").write.mode("overwrite").parquet(
-            os.path.join(ids_path, name))
+        S.write_translations(raw, os.path.join(out_path, name), os.path.join(err_path, name), "overwrite")
 
-    if path_exists(out_path) and not path_exists(ids_path):   # output of a batch run
-        spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*")).select("id").write.parquet(
+    if path_exists(out_path) and not path_exists(checkpoint):   # output of a batch run
+        spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*")).select("id").write.mode("overwrite").parquet(
             os.path.join(ids_path, "batch=earlier"))
     if path_exists(err_path):
         failed = spark.read.schema("id string, fi string, error string").json(os.path.join(err_path, "*"))
-        handle(failed.select("id", "fi").distinct(), f"batch=retry-{uuid.uuid4().hex[:12]}")
+        failed = reliable_checkpoint(S.plan_batch(failed.select("id", "fi").distinct(), done_ids(), None))
+        if not failed.isEmpty():
+            name = f"batch=retry-{uuid.uuid4().hex[:12]}"
+            handle(failed, name)
+            done = spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, name))
+            done.select("id").write.parquet(os.path.join(ids_path, name))
     q = (rows.writeStream.foreachBatch(lambda batch, n: handle(batch, f"batch={n}"))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
     return spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*"))
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-DIGESTS_HELD = 1 << 20   # digests that a task remembers within a batch
-
-
 def _first_in_task(parts):
     """Arrow batches without rows whose digest (the last column) the task has seen."""
     seen: set[bytes] = set()
@@ -115,10 +128,7 @@ def stream_dedup(spark: SparkSession, in_path: str, schema: T.StructType, text_c
     there is no event time by which it could expire.  The query runs in a session of its
     own, so its state store is no other query's setting."""
     ship_package(spark)
-    own = spark.newSession()
-    for conf in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
-        own.conf.set(conf, spark.conf.get(conf))
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own = _stateful_session(spark)
     reader = own.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
