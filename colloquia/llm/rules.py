@@ -31,9 +31,17 @@ NAVIGATION_MARKS = 3
 LINE_SYMBOL_PERCENT = 10
 REPEAT_LINE_WORDS = 10
 REPEAT_LINE_PERCENT = 30
+# Marks that end or part sentences, by script: Latin, Greek and Cyrillic;
+# Arabic; Devanagari; Chinese and Japanese; full-width; Armenian; Ethiopic; Khmer; Burmese;
+# Tibetan.
+PUNCTUATION = ".,;:!?…" "،؛؟۔" "।॥" "。、" "！，．：；？" "։՞՜" "።፣፤፥፧" "។៕" "၊။" "།༎"
+# Phrases of English, German, French and Spanish pages.
 BOILERPLATE = ("cookie policy", "accept cookies", "enable javascript", "privacy policy", "terms of use",
                "terms of service", "sign up for our newsletter", "subscribe to our newsletter", "click here to",
-               "all rights reserved", "lorem ipsum", "page not found")
+               "all rights reserved", "lorem ipsum", "page not found",
+               "alle rechte vorbehalten", "nutzungsbedingungen", "seite nicht gefunden",
+               "tous droits réservés", "politique de confidentialité", "page introuvable",
+               "todos los derechos reservados", "política de privacidad", "página no encontrada")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -69,7 +77,7 @@ def line_fails(line: Column, words: Column, n_symbols: Column, n_shouts: Column,
     ``n_symbols``, ``n_shouts`` and ``phrased`` are the whole document's: what the
     document does not have, no line of it needs to be searched for."""
     n = F.size(words)
-    unpunctuated = (n >= UNPUNCTUATED_WORDS) & ~line.rlike("[.,;:!?…]")
+    unpunctuated = (n >= UNPUNCTUATED_WORDS) & ~line.rlike(f"[{PUNCTUATION}]")
     shouted = (n_shouts >= SHOUTS) & (_count(line, "!?") >= SHOUTS)
     navigation = (n_symbols >= NAVIGATION_MARKS) & (_count(line, "|") >= NAVIGATION_MARKS)
     symbols = (n_symbols > 0) & (_count(line, SYMBOLS) * 100 > F.length(line) * LINE_SYMBOL_PERCENT)
@@ -180,7 +188,7 @@ l AS (SELECT doc_id, unnest(lines) AS l FROM w),
 x AS (SELECT doc_id, l, len(list_filter(regexp_split_to_array(l, '{ws}+'), lambda x: x <> '')) AS n,
              len(list_distinct(list_filter(regexp_split_to_array(l, '{ws}+'), lambda x: x <> ''))) AS u,
              len(regexp_replace(l, '{ws}', '', 'g')) AS chars FROM l),
-y AS (SELECT *, (n >= {UNPUNCTUATED_WORDS} AND NOT regexp_matches(l, '[.,;:!?…]'))
+y AS (SELECT *, (n >= {UNPUNCTUATED_WORDS} AND NOT regexp_matches(l, '[{PUNCTUATION}]'))
              OR len(l) - len(regexp_replace(l, '[!?]', '', 'g')) >= {SHOUTS}
              OR len(l) - len(replace(l, '|', '')) >= {NAVIGATION_MARKS}
              OR (len(l) - len(regexp_replace(l, '[#*$%&|<>]', '', 'g'))) * 100 > len(l) * {LINE_SYMBOL_PERCENT}
