@@ -146,7 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, fo
     """Fit on labelled rows outside fold 0.
 
     ``max_rows`` bounds the sample that the driver holds: the rows with the smallest
-    hash of their id, all of them if there are fewer."""
+    hash of their id, all of them if there are fewer.  Rows that repeat a labelled id with
+    the same statistics count once, so a document copied into a third of all rows weighs
+    as much as another; ids with several texts are bounded by ``max_rows``, too."""
     spark = docs.sparkSession
     prepare(spark)
     sample = (labels.where(fold_of(folds) != 0).where(F.col("quality").isin(0, 1))
@@ -154,16 +156,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, fo
               .where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text().alias("raw"))
     # at most max_rows short rows: bounded, so broadcast
-    labelled = texts.join(F.broadcast(sample), "doc_id").select("y", "raw")
-    names = ", ".join(f"f{i} double" for i in range(len(FEATURES)))
+    labelled = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "raw")
+    columns = [f"f{i}" for i in range(len(FEATURES))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
-            x = _matrix(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c) for c in x.T)],
-                                             ["y", *(f"f{i}" for i in range(x.shape[1]))])
+            x = _matrix(b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in x.T)], ["doc_id", "y", *columns])
 
-    got = labelled.mapInArrow(run, f"y int, {names}").toPandas().to_numpy(np.float64)
+    rows = labelled.mapInArrow(run, "doc_id long, y int, " + ", ".join(f"{c} double" for c in columns)).distinct()
+    first = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", *columns).limit(max_rows).drop("doc_id")
+    got = first.toPandas().to_numpy(np.float64)
     got = got[np.lexsort(got.T)]  # the same sums in whatever order the tasks end
     return fit(got[:, 1:], got[:, 0])
 
