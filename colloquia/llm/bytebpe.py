@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from colloquia.llm.common import batches, prepare, raw_text
 
 #: Longest pre-token (characters) and number of pre-tokens that a task remembers.
-CACHED_CHARS, CACHED_PIECES = 64, 400_000
+CACHED_CHARS, CACHED_PIECES = 64, 1_000_000
 #: Bytes of pre-tokens that share a queue (a longer one has its own).
 QUEUE_BYTES = 1 << 18
 #: Characters of texts that are encoded together, and bytes that are decoded together.
@@ -110,12 +110,17 @@ class Encoder:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
+        # ranks of single bytes and of two bytes, -1 for none
+        self.one = np.array([ranks.get(bytes([a]), -1) for a in range(256)])
+        self.two = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
         self.known: dict[str, bytes] = {}
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of pre-tokens, all merged in one queue: no pair reaches over the end of a
         pre-token, so each is merged in the order it would be alone."""
         ranks, queue = self.ranks, self.queue
+        if not pieces:
+            return []
         rank_of, buckets = ranks.get, queue.buckets
         halves: set[int] = set()
         data = b"".join(pieces)
@@ -123,21 +128,24 @@ class Encoder:
         after = list(range(1, n + 1))      # where the run that begins here ends
         before = list(range(-1, n - 1))    # where the run before it begins
         first = bytearray(n + 1)           # whether a pre-token begins here
-        token = [ranks[data[i:i + 1]] for i in range(n)]   # of the run that begins here, -1 inside
-        # rank of this run with the next
-        pair = [rank_of(data[i:i + 2], -1) for i in range(n)]
-        at = 0
-        for piece in pieces:
+        points = np.frombuffer(data, np.uint8).astype(np.int64)
+        token = self.one[points].tolist()   # of the run that begins here, -1 inside
+        if -1 in token:
+            raise ValueError("the ranks have no token for some byte of the text")
+        ends = np.cumsum([len(p) for p in pieces])
+        near = np.full(n, -1)              # rank of this run with the next
+        near[:-1] = self.two[points[:-1] << 8 | points[1:]]
+        near[ends - 1] = -1
+        pair = near.tolist()
+        for at in (0, *ends[:-1].tolist()):
             first[at] = 1
             before[at] = -1
-            at += len(piece)
-            pair[at - 1] = -1
         first[n] = 1
-        for i, rank in enumerate(pair):
-            if rank in buckets:
-                buckets[rank].append(i)
-            elif rank >= 0:
-                queue.open(rank, [i])
+        order = np.argsort(near, kind="stable")
+        order = order[np.searchsorted(near[order], 0):]
+        cuts = np.flatnonzero(np.diff(near[order])) + 1
+        for places in np.split(order, cuts) if len(order) else ():
+            queue.open(int(near[places[0]]), places.tolist())
         while (rank := queue.lowest()) >= 0:
             bucket = buckets[rank]
             # in order at once; a bucket left half done for a lower rank goes on as a heap
