@@ -41,6 +41,8 @@ HOT_TEXTS = 1_024
 PAIR_CHUNK = 1 << 21
 #: A group with more links than this is aligned by its distinct ids.
 WIDE_GROUP = 1 << 14
+#: Above the number of any id pair; a slice has at most PAIR_CHUNK texts.
+SPAN = 1 << 40
 FLUSH_BYTES = 32 << 20
 
 _TOKENS = "key binary, copies long, a binary, b binary"
@@ -64,8 +66,8 @@ class SideA:
         for token, i in vocab.items():
             self.tokens[i] = bytes(spelled[c] for c in token) if all(c in spelled for c in token) else token.encode()
 
-    def ids(self, text: str) -> list[int]:
-        return np.frombuffer(self.tok.ids(" " + text), np.uint32).tolist()
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.tok.ids(" " + text), np.uint32)
 
 
 class SideB:
@@ -79,8 +81,8 @@ class SideB:
         self.tokens = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                        for i, p in enumerate(pieces)]
 
-    def ids(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.uint32)
 
 
 @dataclass
@@ -94,15 +96,29 @@ class Tokenizers:
         return SideA(self.a_path, self.a_ranks), SideB(self.b_path)
 
 
-def tokens_of(text: str, a: SideA, b: SideB) -> tuple[list[int], list[int]]:
+def tokens_of(text: str, a: SideA, b: SideB) -> tuple[np.ndarray, np.ndarray]:
     """The ids of both sides, none if either does not spell a blank and the text."""
     want = b" " + text.encode()
     left, right = a.ids(text), b.ids(text)
-    if b"".join([a.tokens[i] for i in left]) != want or b"".join([b.tokens[i] for i in right]) != want:
-        return [], []
+    if any(b"".join([side.tokens[i] for i in ids.tolist()]) != want for side, ids in ((a, left), (b, right))):
+        return left[:0], right[:0]
     return left, right
 
 
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+
+
+def _by_text(text: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of values by text number; texts are in order."""
+    out = np.zeros(n, np.int64)
+    at = _begins(text)
+    if len(at):
+        out[text[at]] = np.add.reduceat(values, at)
+    return out
+
+
 class Aligned:
     """The groups of a batch of texts, whose tokens follow one another.
 
@@ -120,8 +136,7 @@ class Aligned:
         text_of_a = np.repeat(np.arange(len(a)), self.n_a)
         self.text = text_of_a[np.cumsum(self.size_a) - 1] if len(common) else np.zeros(0, np.int64)
         self.n_groups = np.bincount(self.text, minlength=len(a))
-        self.n_links = np.zeros(len(a), np.int64)
-        np.add.at(self.n_links, self.text, self.size_a * self.size_b)
+        self.n_links = _by_text(self.text, self.size_a * self.size_b, len(a))
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """text, A id * width + B id and number of links, one row per distinct pair of a text."""
@@ -140,12 +155,19 @@ class Aligned:
             times.append((n_left[:, None] * n_right).ravel())
             texts.append(np.full(len(found[-1]), self.text[g]))
         text, pair, n = (np.concatenate(x) for x in (texts, found, times))
-        order = np.lexsort((pair, text))
-        text, pair, n = text[order], pair[order], n[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])
-        at = np.flatnonzero(new)
-        return text[at], pair[at], np.add.reduceat(n, at) if len(at) else n
+        # pair numbers are below 2^40 and texts of a slice few, so both fit one number to sort
+        key = text * SPAN + pair
+        if len(texts) == 1:   # every link once
+            key.sort()
+            at = _begins(key)
+            n = np.diff(np.append(at, len(key)))
+        else:
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            at = _begins(key)
+            n = np.add.reduceat(n[order], at) if len(at) else n
+        key = key[at]
+        return key // SPAN, key % SPAN, n
 
     def spelled(self, a_words: list[str], b_words: list[str]) -> list[str]:
         """Per text: its groups as ``a1,a2|b1;a3|b2,b3``.  ``a_words`` holds every A id
@@ -261,9 +283,8 @@ class Alignment:
                     text, pair, times = x.pairs(width)
                     at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
                     there = known[at] == pair if len(known) else np.zeros(len(pair), bool)
-                    sums = np.zeros((2, end - begin), np.int64)
-                    np.add.at(sums[0], text[there], times[there] * best[at[there]])
-                    np.add.at(sums[1], text[there], times[there] * n_docs[at[there]])
+                    of, m, at = text[there], times[there], at[there]
+                    sums = [_by_text(of, m * v[at], end - begin) for v in (best, n_docs)]
                     rest = ~there
                     cold = pa.ListArray.from_arrays(
                         np.concatenate(([0], np.cumsum(np.bincount(text[rest], minlength=end - begin)))).astype(np.int32),
@@ -310,7 +331,7 @@ def _tokenise(names: Tokenizers, narrow: bool):
             begin, held, size = 0, ([], []), 0
             for i, text in enumerate(batch.column(2)):
                 for side, ids in zip(held, tokens_of(text.as_py(), a, b)):
-                    side.append(np.array(ids, kind).tobytes())
+                    side.append(ids.astype(kind).tobytes())
                     size += len(side[-1])
                 if size >= FLUSH_BYTES or i + 1 == batch.num_rows:
                     part = [batch.column(c).slice(begin, i + 1 - begin) for c in (0, 1)]
