@@ -39,9 +39,11 @@ HOT_PAIRS = 1 << 18
 HOT_TEXTS = 1_024
 #: Pairs that a task sums before it hands them on.
 PAIR_CHUNK = 1 << 21
+#: Tokens of the texts that are aligned together.
+SLICE_TOKENS = 1 << 18
 #: A group with more links than this is aligned by its distinct ids.
 WIDE_GROUP = 1 << 14
-#: Above the number of any id pair; a slice has at most PAIR_CHUNK texts.
+#: Above the number of any id pair; a slice has at most SLICE_TOKENS texts with tokens.
 SPAN = 1 << 40
 FLUSH_BYTES = 32 << 20
 
@@ -196,7 +198,7 @@ def _read(b: pa.RecordBatch, a_len: np.ndarray, b_len: np.ndarray) -> Iterator[t
         for side, cell in zip(held, (left, right)):
             side.append(np.frombuffer(cell.as_py(), np.uint16 if max(len(a_len), len(b_len)) <= 1 << 16 else np.uint32))
             size += len(side[-1])
-        if size >= PAIR_CHUNK or i + 1 == b.num_rows:
+        if size >= SLICE_TOKENS or i + 1 == b.num_rows:
             yield begin, i + 1, Aligned(*held, a_len, b_len)
             begin, held, size = i + 1, ([], []), 0
 
