@@ -1,19 +1,28 @@
 """Licence scan with a positional index of rare words.
 
-Templates are indexed by word position.  A word's rarity is its inverse document
-frequency over the whole corpus (counted for template words only, so the counts are
-bounded by the templates).  In each file the rarest words of the templates' key phrases
-are looked up; their postings vote for a relative position (place in the file minus
-place in the template); positions where every mandatory key phrase then stands word
-for word are matches.  The score is the share of the template found at that position.
+Templates are short mentions, file headers and whole licence texts (``license_texts``).
+A word's rarity is its inverse document frequency over the whole corpus (counted for the
+words of key phrases only, so the counts are bounded by the templates).
+
+* Index: postings (template, key phrase, place in the template) of every key-phrase word
+  that at most 1/``RARE`` of all documents hold, and of each phrase's rarest word.
+* A file's indexed words are looked up, the rarest first; each posting turns the word's
+  places into places where the template would begin, and the lists of one phrase are
+  intersected.  What is left is verified word for word.
+* A template matches where its first key phrase stands and all others stand at most
+  ``SLACK`` words off their relative position (names and years that were put in).
+* The score of a match is the share of the template's words that stand at most ``SLACK``
+  words off their place; a base phrase scores a half.  A row has its best match's score.
 
 Words are runs of letters and digits (and any non-ASCII), A-Z lower-cased.  A null
-text is empty.  Repeated rows each get a row; extra columns are ignored.
+text is empty.  Ties in rarity go to the longer word, then the earlier place, and change
+no result.  Repeated rows each get a row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -22,35 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquia.llm.common import batches, prepare, raw_text
+from colloquia.llm.license_texts import TEMPLATES
 
 # Base phrases and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: label, template text, mandatory key phrases (all must stand at the same relative position).
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3",
-     ("general public license", "version 3")),
-    ("gpl-2.0", "licensed under the gnu general public license version 2", ("general public license", "version 2")),
-    ("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
-    ("agpl-3.0", "licensed under the gnu affero general public license version 3", ("affero general public license",)),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software",
-     ("permission is hereby granted", "free of charge")),
-    ("mit", "licensed under the mit license", ("mit license",)),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
-     ("redistribution and use in source and binary forms",)),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", 
-     ("permission to use copy modify and or distribute",)),
-    ("unlicense", "this is free and unencumbered software released into the public domain",
-     ("free and unencumbered software",)),
-    ("cc-by-4.0", "licensed under cc by 4 0", ("cc by 4 0",)),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa 4 0",)),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
-    ("cc-by-nd-4.0", "licensed under cc by nd 4 0", ("cc by nd 4 0",)),
-    ("cc0", "dedicated to the public domain under cc0 1 0 universal", ("cc0 1 0",)),
-    ("proprietary", "all rights reserved", ("all rights reserved",)),
-)
+#: A key-phrase word in at most this share of the documents has postings.
+RARE = 16
+#: Words that a key phrase or a scored word may be off its relative position.
+SLACK = 8
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                for c in range(256))
@@ -60,64 +49,104 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_WORDS).split()
 
 
-class Phrase:
-    """A phrase at a place of a template."""
-
-    def __init__(self, words: list[bytes], at: int):
-        self.words, self.at = words, at
+def key_phrases(text: str, phrases: tuple[str, ...]) -> tuple[list[bytes], list[tuple[int, list[bytes]]]]:
+    """A template's words, and place and words of each of its key phrases."""
+    words = words_of(text.encode())
+    keys = []
+    for p in phrases:
+        own = words_of(p.encode())
+        at = next((i for i in range(len(words)) if words[i:i + len(own)] == own), None)
+        if at is None or not own:
+            raise ValueError(f"key phrase not in its template: {p!r}")
+        keys.append((at, own))
+    return words, keys
 
 
 class Index:
     def __init__(self, templates=TEMPLATES, base=BASE, rarity: dict[bytes, float] | None = None):
-        rarity = rarity or {}
-        rare = lambda w: (rarity.get(w, math.inf), -len(w), w)  # noqa: E731  highest first when reversed
-        self.templates = []
-        # anchor word -> (template number, place in the template)
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for label, text, phrases in [*((None, t, (t,)) for t, _ in base), *templates]:
-            words = text.encode().split()
-            keys = []
-            for p in phrases:
-                pw = p.encode().split()
-                at = next(i for i in range(len(words)) if words[i:i + len(pw)] == pw)
-                keys.append(Phrase(pw, at))
-            # each key phrase's rarest word is looked up: a match needs them all, so
-            # the rarest of these finds every match and the others confirm its position
-            anchors = []
-            for k in keys:
-                i = max(range(len(k.words)), key=lambda i: (rare(k.words[i])[0], len(k.words[i]), -i))
-                anchors.append((k.words[i], k.at + i))
-            anchors.sort(key=lambda a: (-rare(a[0])[0] if rare(a[0])[0] < math.inf else -1e9, a))
-            number = len(self.templates)
-            self.templates.append((label, words, keys, anchors[1:]))
-            self.postings[anchors[0][0]].append((number, anchors[0][1]))
+        self.rarity = rarity or {}
+        #: label (none: a base phrase), words, key phrases
+        self.templates = [(label, *key_phrases(text, phrases))
+                          for label, text, phrases in (*((None, t, (t,)) for t, _ in base), *templates)]
         self.base = [label for _, label in base]
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], dict[str, float]]:
-        """(place, base number) of every base phrase, and label -> score of the templates."""
-        places, labels = [], {}
-        n = len(words)
+        #: word -> (template, phrase, place in the template)
+        self.postings: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)
+        #: (template, phrase) -> how many postings it has
+        self.need: dict[tuple[int, int], int] = {}
+        for number, (_, _, keys) in enumerate(self.templates):
+            for j, (at, own) in enumerate(keys):
+                rarest = max(range(len(own)), key=lambda i: (self._rare(own[i]), len(own[i]), -i))
+                held = [i for i, w in enumerate(own) if i == rarest or self._rare(w) >= math.log(RARE)]
+                self.need[number, j] = len(held)
+                for i in held:
+                    self.postings[own[i]].append((number, j, at + i))
+
+    def _rare(self, word: bytes) -> float:
+        return self.rarity.get(word, math.inf)
+
+    def _starts(self, words: list[bytes]) -> dict[tuple[int, int], list[int]]:
+        """Where each key phrase stands, as sorted places at which its template would begin."""
+        at: dict[bytes, list[int]] = defaultdict(list)
         postings = self.postings
-        for p in [i for i, w in enumerate(words) if w in postings]:
-            for number, q in postings[words[p]]:
-                start = p - q
-                label, template, keys, others = self.templates[number]
-                if any(not 0 <= start + a < n or words[start + a] != w for w, a in others):
-                    continue  # the postings disagree on the relative position
-                if not all(start + k.at >= 0 and words[start + k.at:start + k.at + len(k.words)] == k.words
-                           for k in keys):
-                    continue
-                if label is None:
-                    places.append((start, number))
-                else:
-                    same = sum(0 <= start + i < n and words[start + i] == w for i, w in enumerate(template))
-                    labels[label] = max(labels.get(label, 0.0), same / len(template))
-        return places, labels
+        for p, w in enumerate(words):
+            if w in postings:
+                at[w].append(p)
+        agreed: dict[tuple[int, int], set[int]] = {}
+        seen: Counter = Counter()
+        for w in sorted(at, key=self._rare, reverse=True):  # the file's rarest words first
+            for number, j, q in postings[w]:
+                here = agreed.get((number, j))
+                if here is None:
+                    agreed[number, j] = {p - q for p in at[w]}
+                elif here:
+                    here.intersection_update([p - q for p in at[w]])
+                seen[number, j] += 1
+        out = {}
+        for phrase, starts in agreed.items():
+            if starts and seen[phrase] == self.need[phrase]:
+                place, own = self.templates[phrase[0]][2][phrase[1]]
+                found = sorted(s for s in starts if s + place >= 0 and words[s + place:s + place + len(own)] == own)
+                if found:
+                    out[phrase] = found
+        return out
+
+    def scan(self, words: list[bytes]) -> tuple[list[int], set[str], set[str], float]:
+        """Places of base phrases, labels of these, labels of templates, best score."""
+        places, base, labels, score = [], set(), set(), 0.0
+        starts = self._starts(words)
+        for number, first in ((k, s) for (k, j), s in starts.items() if j == 0):
+            label, template, keys = self.templates[number]
+            if label is None:
+                places += first
+                base.add(self.base[number])
+                score = max(score, 0.5)
+                continue
+            others = [starts.get((number, j), ()) for j in range(1, len(keys))]
+            matches = [s for s in first if all(_near(s, o) for o in others)]
+            if matches:
+                labels.add(label)
+            for s in matches:
+                if score == 1.0:
+                    break
+                score = max(score, share(words, template, s))
+        return places, base, labels, score
+
+
+def _near(start: int, others: list[int]) -> bool:
+    i = bisect_left(others, start - SLACK)
+    return i < len(others) and others[i] <= start + SLACK
+
+
+def share(words: list[bytes], template: list[bytes], start: int) -> float:
+    """The share of the template's words that stand at most SLACK off their place."""
+    found = sum(w in words[max(start + i - SLACK, 0):max(start + i + SLACK + 1, 0)] for i, w in enumerate(template))
+    return found / len(template)
 
 
 def vocabulary(templates=TEMPLATES, base=BASE) -> frozenset[bytes]:
-    texts = [t for t, _ in base] + [t for _, t, _ in templates]
-    return frozenset(w for t in texts for w in t.encode().split())
+    """The words of all key phrases."""
+    phrases = [t for t, _ in base] + [p for _, _, ps in templates for p in ps]
+    return frozenset(w for p in phrases for w in words_of(p.encode()))
 
 
 def rarity(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, float]:
@@ -152,12 +181,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
             cols: list[list] = [[] for _ in range(7)]
             for t in b.column(1):
                 words = words_of(t.as_py())
-                places, labels = index.scan(words)
-                own = sorted({index.base[k] for _, k in places})
-                starts = [s for s, _ in places]
-                row = (len(words), len(places), min(starts, default=None), max(starts, default=None),
-                       ",".join(own), ",".join(sorted({*own, *labels})),
-                       max([*labels.values(), *([0.5] if own else [])], default=0.0))
+                places, base_labels, labels, score = index.scan(words)
+                row = (len(words), len(places), min(places, default=None), max(places, default=None),
+                       ",".join(sorted(base_labels)), ",".join(sorted(base_labels | labels)), score)
                 for c, v in zip(cols, row):
                     c.append(v)
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]

@@ -36,32 +36,36 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
 def licence_scan() -> str:
-    """Every alignment of a template at which its key phrases stand word for word."""
+    """Places of all key phrases, then templates whose phrases stand near their relative places."""
     ts = [*((label, text, (text,), True) for text, label in licenses.BASE),
           *((label, text, keys, False) for label, text, keys in licenses.TEMPLATES)]
-    rows, keys = [], []
-    for k, (label, text, phrases, base) in enumerate(ts):
-        words = text.split()
-        rows += [f"({k}, {i}, '{w}')" for i, w in enumerate(words)]
-        for p in phrases:
-            at = next(i for i in range(len(words)) if words[i:i + len(p.split())] == p.split())
-            keys += [f"({k}, {at + i})" for i in range(len(p.split()))]
-    names = ", ".join(f"({k}, '{t[0]}', {str(t[3]).lower()}, {len(t[1].split())})" for k, t in enumerate(ts))
+    texts, phrases = [], []
+    for k, (label, text, own, base) in enumerate(ts):
+        words, keys = licenses.key_phrases(text, own)
+        texts.append(f"({k}, '{label}', {str(base).lower()}, {len(keys)}, '{b' '.join(words).decode()}')")
+        phrases += [f"({k}, {j}, {at}, '{b' '.join(p).decode()}')" for j, (at, p) in enumerate(keys)]
     return f"""
-WITH t(k, i, word) AS (VALUES {', '.join(rows)}),
-m(k, i) AS (SELECT DISTINCT * FROM (VALUES {', '.join(keys)})),
-names(k, label, base, size) AS (VALUES {names}),
+WITH names(k, label, base, n_phrases, text) AS (VALUES {', '.join(texts)}),
+t AS (SELECT k, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS i FROM names),
+phrases(k, j, place, phrase) AS (VALUES {', '.join(phrases)}),
+m AS (SELECT k, j, len(string_split(phrase, ' ')) AS size, unnest(string_split(phrase, ' ')) AS word,
+             place + unnest(range(0, len(string_split(phrase, ' ')))) AS i FROM phrases),
 d AS (SELECT doc_id, {_words('text')} AS w FROM documents),
 w AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM d),
-a AS (SELECT w.doc_id, t.k, w.p - t.i AS start, count(*) AS same, count(m.i) AS must
-      FROM w JOIN t USING (word) LEFT JOIN m ON m.k = t.k AND m.i = t.i GROUP BY ALL),
-f AS (SELECT doc_id, start, same, label, base, size FROM a JOIN names USING (k)
-      WHERE must = (SELECT count(*) FROM m WHERE m.k = a.k)),
+o AS (SELECT doc_id, k, j, p - i AS start FROM w JOIN m USING (word)
+      GROUP BY doc_id, k, j, size, p - i HAVING count(*) = size),
+f AS (SELECT a.doc_id, a.k, a.start FROM o a JOIN o b ON a.doc_id = b.doc_id AND a.k = b.k JOIN names ON names.k = a.k
+      WHERE a.j = 0 AND abs(a.start - b.start) <= {licenses.SLACK}
+      GROUP BY a.doc_id, a.k, a.start, n_phrases HAVING count(DISTINCT b.j) = n_phrases),
+h AS (SELECT f.doc_id, f.k, f.start, count(DISTINCT t.i) AS same
+      FROM f JOIN t ON t.k = f.k JOIN w ON w.doc_id = f.doc_id AND w.word = t.word
+      WHERE abs(w.p - t.i - f.start) <= {licenses.SLACK} GROUP BY f.doc_id, f.k, f.start),
 g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
              max(start) FILTER (base) AS last_word,
              array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
              array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
-             max(CASE WHEN base THEN 0.5 ELSE same / CAST(size AS DOUBLE) END) AS score FROM f GROUP BY doc_id)
+             max(CASE WHEN base THEN 0.5 ELSE same / CAST(len(string_split(text, ' ')) AS DOUBLE) END) AS score
+      FROM h JOIN names USING (k) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
