@@ -1,21 +1,26 @@
 """Interpolated modified Kneser-Ney model of order n, counted in Spark and stored as
 sorted hash arrays that the scoring tasks memory-map.
 
-Training (documents outside fold 0), one Spark job with n shuffles:
-* tasks hash their tokens, count distinct n-grams of a few million tokens at a time,
-  and send them as arrays to the bucket of their context.  The n-grams of a hot context
-  (its last word has ``1/HOT`` of all tokens or more) are dealt over all buckets by
-  their own hash, so no context lands in one task whole;
-* each bucket merges its counts, writes its sorted keys and counts to the shared
-  folder, and sends on the context statistics and the continuation counts of the next
-  lower order; the last stage does the same for words;
-* the driver gets counts of counts per order only, for the discounts.
+Training (documents outside fold 0):
+* Words.  Tasks count distinct words of a few million tokens at a time and send them to
+  the bucket of their hash.  A bucket writes its sorted hashes and gives every word an
+  integer id; frequent words of a bucket get small ids.
+* N-grams.  Tasks send distinct n-grams of a few million tokens as compressed columns of
+  ids, in sorted order, to the bucket of the last context word.  So the task of a bucket
+  has all n-grams and contexts of these words, of every length: it writes their sorted
+  hashes and counts, the statistics of the contexts, and the continuation counts of all
+  lower orders without another shuffle.
+* A hot word (1/``HOT`` of all tokens or more) as last context word is no such key: its
+  n-grams are dealt over all buckets by their own hash, and the statistics of its contexts
+  and its lower-order n-grams are sent on, one order a stage.  The last stage sums the
+  continuation counts of words.
+* The driver gets counts of counts per order only, for the discounts.
 
 Scoring: for each order, keys are looked up by binary search in the bucket's mapped
 arrays.  A retried task writes the same files under the same names (rename is atomic).
 
 The shared folder must be mounted on every executor (``file:`` scheme): only then can
-it be mapped.
+it be mapped.  More than 2^32 - 2 word ids are refused.
 
 Tokens are words outside ASCII white space, A-Z lower-cased, then one end token.  A null
 or empty text is the end token alone.  Repeated rows each get a row and count as often.
@@ -25,7 +30,8 @@ An empty training set scores every text uniformly.  Extra columns are ignored.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
@@ -43,16 +49,20 @@ ORDER = 3
 ALPHA = 0.1
 HOT = 512
 CHUNK_TOKENS = 1 << 22
-#: Tokens of one bucket, which one task merges in memory (24 bytes a distinct n-gram).
-BUCKET_TOKENS = 1 << 24
+#: Tokens of one bucket (at eight bytes of text), which one task merges in memory.
+BUCKET_TOKENS = 1 << 23
+#: Arrays of so many keys or more store their keys without the leading 16 bits.
+INDEXED_KEYS = 1 << 17
 END = xxhash.xxh64_intdigest(b"\n</s>")
-START = xxhash.xxh64_intdigest(b"\n<s>")
+#: Ids of the place before a text and of words outside the vocabulary.
+START, UNKNOWN = 0, (1 << 32) - 1
 
-_BLOB = "kind string, level int, bucket int, cells binary, size long"
+_BLOB = "kind string, level int, bucket int, cells binary"
+_BLOB_NAMES = ["kind", "level", "bucket", "cells"]
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of two 64-bit hashes."""
+    """A 64-bit hash of two 64-bit numbers."""
     with np.errstate(over="ignore"):
         x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0xD1B54A32D192ED03))
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -67,73 +77,161 @@ def token_hashes(raw: bytes) -> np.ndarray:
     return out
 
 
-def contexts(texts: list[np.ndarray], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """For all tokens of the texts: context hashes of 1 to order-1 words, the tokens,
-    and the place where each text begins."""
+def joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts and the place where each text begins."""
     sizes = np.array([len(t) for t in texts])
-    begins = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-    words = np.concatenate(texts)
-    at = np.arange(len(words)) - np.repeat(begins, sizes)
-    out: list[np.ndarray] = []
+    return np.concatenate(texts), np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+
+
+def backs(ids: np.ndarray, begins: np.ndarray, order: int) -> list[np.ndarray]:
+    """For every token the ids of the 1 to order-1 words before it, the nearest first."""
+    at = np.arange(len(ids)) - np.repeat(begins, np.diff(np.append(begins, len(ids))))
+    out = []
     for k in range(1, order):
-        back = np.full(len(words), START, np.uint64)
-        back[k:] = words[:-k] if k < len(words) else words[:0]
+        back = np.zeros(len(ids), ids.dtype)
+        back[k:] = ids[:-k] if k < len(ids) else ids[:0]
         back[at < k] = START
-        out.append(mix(out[-1], back) if out else back)
-    return out, words, begins
+        out.append(back)
+    return out
+
+
+def context_hash(words: list[np.ndarray]) -> np.ndarray:
+    """The hash of a context, its nearest word first."""
+    h = mix(words[0].astype(np.uint64), np.uint64(1))
+    for w in words[1:]:
+        h = mix(h, w.astype(np.uint64))
+    return h
 
 
 def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def place(ctx: np.ndarray, last: np.ndarray, key: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
-    """The bucket of an n-gram: its context's, or its own if the context is hot."""
-    own = np.isin(last, hot) if len(hot) else np.zeros(len(last), bool)
-    spread = mix(ctx, np.uint64(0))  # word hashes start the contexts of one word
-    return _bucket(np.where(own, key, spread), bits)
+def _of_word(ids: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of the n-grams whose last context word has these ids."""
+    return _bucket(mix(ids.astype(np.uint64), np.uint64(0)), bits)
 
 
-# --- arrays as rows ---------------------------------------------------------------------
+class Hot:
+    """Membership in the hot words, at most HOT ids."""
 
+    def __init__(self, ids: np.ndarray):
+        self.table = np.zeros(int(ids.max(initial=0)) + 2, bool)
+        self.table[ids] = True
 
-def _rows(kind: str, level: int, bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[tuple]:
-    """One row per bucket; every column is stored whole behind the other."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts) if len(order) else ():
-        cells = b"".join(_narrow(c[part]) for c in cols)
-        yield kind, level, int(bucket[part[0]]), cells, len(part)
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        return self.table[np.minimum(ids, len(self.table) - 1)]
+
+
+# --- columns as bytes -------------------------------------------------------------------
 
 
-def _narrow(c: np.ndarray) -> bytes:
-    """A column's width in bytes (1, 2, 4 or 8) and its values at that width."""
-    top = int(c.max()) if len(c) else 0
-    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
-    return bytes([width]) + c.astype(f"<u{width}").tobytes()
+def pack(cols: list[np.ndarray]) -> bytes:
+    """Columns of equal length, the first one ascending, compressed by byte planes."""
+    out = [len(cols[0]).to_bytes(8, "little")]
+    for i, c in enumerate(cols):
+        if i == 0 and len(c):
+            c = np.diff(c, prepend=c.dtype.type(0))
+        top = int(c.max(initial=0))
+        width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
+        planes = np.ascontiguousarray(c.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+        out += [bytes([width]), planes.tobytes()]
+    whole = b"".join(out)
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd").compress(whole, asbytes=True)
 
 
-def _columns(cells: bytes, size: int, n: int) -> list[np.ndarray]:
-    out, at = [], 0
-    for _ in range(n):
-        width = cells[at]
-        out.append(np.frombuffer(cells, f"<u{width}", size, at + 1).astype(np.uint64))
+def unpack(cells: bytes, kinds: list[type]) -> list[np.ndarray]:
+    whole = pa.Codec("zstd").decompress(cells[8:], int.from_bytes(cells[:8], "little"), asbytes=True)
+    size, at, out = int.from_bytes(whole[:8], "little"), 8, []
+    for i, kind in enumerate(kinds):
+        width = whole[at]
+        planes = np.frombuffer(whole, np.uint8, width * size, at + 1).reshape(width, size)
+        c = np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(kind)
+        out.append(np.cumsum(c, dtype=kind) if i == 0 else c)
         at += 1 + width * size
     return out
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      ["kind", "level", "bucket", "cells", "size"])
+def _dealt(bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The columns of each bucket, in the order they had."""
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for part in np.split(order, cuts) if len(order) else ():
+        yield int(bucket[part[0]]), [c[part] for c in cols]
+
+
+def _blobs(kind: str, level: int, bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for k, own in _dealt(bucket, cols):
+        yield _row(kind, level, k, pack(own))
+
+
+def _row(kind: str, level: int, bucket: int, cells: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([level], pa.int32()), pa.array([bucket], pa.int32()),
+                                       pa.array([cells], pa.binary())], _BLOB_NAMES)
+
+
+# --- distinct rows ----------------------------------------------------------------------
+
+
+def _runs(*cols: np.ndarray) -> np.ndarray:
+    """Where the runs of equal rows begin in sorted columns."""
+    new = np.zeros(len(cols[0]), bool)
+    new[:1] = True
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _dense(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as numbers without gaps, in the same order, and the ids of these numbers."""
+    top = int(c.max(initial=0))
+    if top < 1 << 25:
+        held = np.zeros(top + 1, bool)
+        held[c] = True
+        return (np.cumsum(held, dtype=np.uint32) - np.uint32(1))[c], np.flatnonzero(held).astype(c.dtype)
+    ids, at = np.unique(c, return_inverse=True)
+    return at, ids
+
+
+def distinct(cols: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of ids in ascending order, with their numbers or sums."""
+    own = [_dense(c) for c in cols]
+    bits = [max(len(ids) - 1, 0).bit_length() for _, ids in own]
+    if sum(bits) <= 64:
+        key = np.zeros(len(cols[0]), np.uint64)
+        for (c, _), b in zip(own, bits):
+            key = (key << np.uint64(b)) | c.astype(np.uint64)
+        if counts is None:
+            key.sort()
+        else:
+            order = np.argsort(key)
+            key, counts = key[order], counts[order]
+        begins = _runs(key)
+        key, out = key[begins], []
+        for (_, ids), b in zip(reversed(own), reversed(bits)):
+            out.append(ids[(key & np.uint64((1 << b) - 1)).astype(np.int64)])
+            key = key >> np.uint64(b)
+        out.reverse()
+    else:
+        order = np.lexsort(cols[::-1])
+        out = [c[order] for c in cols]
+        begins = _runs(*out)
+        out = [c[begins] for c in out]
+        counts = None if counts is None else counts[order]
+    if counts is None:
+        return out, np.diff(np.append(begins, len(cols[0]))).astype(np.uint64)
+    return out, np.add.reduceat(counts, begins) if len(begins) else counts
 
 
 def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For sorted-out distinct keys: the place of one row of each, and the sums of the values."""
+    """Distinct keys in ascending order and the sums of their values."""
     order = np.argsort(key, kind="stable")
     s = key[order]
-    begins = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, int)
-    return order[begins], *(np.add.reduceat(v[order], begins) if len(s) else v for v in values)
+    begins = _runs(s)
+    return s[begins], *(np.add.reduceat(v[order], begins) if len(s) else v for v in values)
+
+
+# --- sorted hash arrays -----------------------------------------------------------------
 
 
 def _write(folder: str, name: str, array: np.ndarray) -> None:
@@ -144,164 +242,300 @@ def _write(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(tmp, os.path.join(folder, name + ".npy"))
 
 
-# --- counting ---------------------------------------------------------------------------
+def _narrow(c: np.ndarray) -> np.ndarray:
+    return c.astype(np.min_scalar_type(int(c.max(initial=0))))
 
 
-def _entries(level: int, ctxs: list[np.ndarray], words: np.ndarray, counts: np.ndarray, raws: np.ndarray,
-             hot: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Rows of one level: contexts from the longest (``level`` words) to one word, word, counts."""
-    if level:
-        bucket = place(ctxs[0], ctxs[-1], mix(ctxs[0], words), hot, bits)
-    else:
-        bucket = _bucket(mix(words, np.uint64(0)), bits)
-    yield from _rows("n", level, bucket, [*ctxs, words, counts, raws])
+def write_keys(folder: str, name: str, keys: np.ndarray) -> None:
+    """Sorted keys; long arrays as the places of their 2^16 leading halves and 48 bits a key."""
+    if len(keys) < INDEXED_KEYS:
+        _write(folder, f"{name}-keys", keys)
+        return
+    first = np.searchsorted(keys, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+    _write(folder, f"{name}-first", _narrow(np.append(first, len(keys))))
+    _write(folder, f"{name}-middle", (keys >> np.uint64(16)).astype(np.uint32))
+    _write(folder, f"{name}-low", keys.astype(np.uint16))
 
 
-def hot_words(train: DataFrame) -> tuple[np.ndarray, int]:
-    """Words with 1/HOT of all tokens or more (so at most HOT), and the number of tokens.
+def write_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    _write(folder, f"{name}-counts", np.minimum(counts, 255).astype(np.uint8))
+    big = np.flatnonzero(counts >= 255)
+    _write(folder, f"{name}-big", np.stack([big.astype(np.uint64), counts[big].astype(np.uint64)]))
 
-    Every task reports the words that have half that share of its own tokens; a word
-    with the whole share has it in some task."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
 
-        def flush() -> pa.RecordBatch:
-            w, c = np.unique(np.concatenate(held), return_counts=True)
-            top = c * 2 * HOT >= size
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*w[top].view(np.int64).tolist(), None], pa.int64()), pa.array([*c[top].tolist(), size], pa.int64())],
-                ["word", "n"])
+def write_stats(folder: str, name: str, stats: list[np.ndarray]) -> None:
+    """Statistics of contexts as codes of their distinct values."""
+    total, n1, n2, n3 = (s.astype(np.uint64) for s in stats)
+    _, at, codes = np.unique(mix(mix(mix(total, n1), n2), n3), return_index=True, return_inverse=True)
+    _write(folder, f"{name}-codes", _narrow(codes))
+    _write(folder, f"{name}-stats", np.stack([s[at] for s in (total, n1, n2, n3)]))
 
-        for b in batches(parts):
-            for t in b.column(0):
-                held.append(token_hashes(t.as_py()))
-                size += len(held[-1])
-                if size >= CHUNK_TOKENS:
-                    yield flush()
-                    size = 0
-        if size:
-            yield flush()
-
-    # written once: both questions below would read the corpus again
-    got = saved(train.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "hot-words")
-    total = got.where("word IS NULL").first()
-    total = total["n"] if total else 0
-    found = got.where(f"word IS NOT NULL AND n * {HOT} >= {total}").select("word").collect()
-    return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64)), total
-
-
-def _count(train: DataFrame, order: int, hot: np.ndarray, bits: int) -> DataFrame:
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            ctxs, words, _ = contexts(held, order)
-            held.clear()
-            at, counts = _sums(mix(ctxs[-1], words) if ctxs else words, np.ones(len(words), np.uint64))
-            rows = _entries(order - 1, [c[at] for c in reversed(ctxs)], words[at], counts, counts * 0, hot, bits)
-            for r in rows:
-                yield _table([r])
+@lru_cache(16_384)
+def _mapped(path: str) -> np.ndarray | None:
+    return np.load(path, mmap_mode="r") if os.path.exists(path) else None
 
-        for b in batches(parts):
-            for t in b.column(0):
-                held.append(token_hashes(t.as_py()))
-                size += len(held[-1])
-                if size >= CHUNK_TOKENS:
-                    yield from flush()
-                    size = 0
-        if size:
-            yield from flush()
-
-    return train.mapInArrow(run, _BLOB)
-
-
-def _merge(level: int, cols: list[np.ndarray], top: bool, folder: str, bucket: int) -> tuple:
-    """Merge one bucket of n-grams, write it, return its statistics and what goes on."""
-    *ctxs, words, counts, raws = cols
-    key = mix(ctxs[0], words) if level else words
-    at, counts, raws = _sums(key, counts, raws)
-    raws = counts if top else raws
-    words, ctxs = words[at], [c[at] for c in ctxs]
-    here = os.path.join(folder, f"level-{level}")
-    _write(here, f"{bucket}-keys", key[at])
-    small = np.minimum(counts, 255).astype(np.uint8)
-    _write(here, f"{bucket}-counts", small)
-    big = np.flatnonzero(counts >= 255)
-    _write(here, f"{bucket}-big", np.stack([big.astype(np.uint64), counts[big]]))
-    if not level:
-        _write(here, f"{bucket}-raws", raws.astype(np.uint32 if not len(raws) or raws.max() < 1 << 32 else np.uint64))
-    stat = [int((counts == 1).sum()), int((counts == 2).sum()), int((counts == 3).sum()), int((counts == 4).sum()),
-            int((counts >= 3).sum()), int(counts.sum()), int(raws.sum()), int((raws > 0).sum())]
-    return stat, ctxs, words, counts, raws
 
+def _find(get: Callable[[str], np.ndarray | None], want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the keys in a sorted array and which of them are there."""
+    first = get("first")
+    if first is None:
+        keys = get("keys")
+        if keys is None or not len(keys):
+            return np.zeros(len(want), np.int64), np.zeros(len(want), bool)
+        row = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        return row, keys[row] == want
+    middle, low = get("middle"), get("low")
+    lead = (want >> np.uint64(48)).astype(np.int64)
+    lo, end = first[lead].astype(np.int64), first[lead + 1].astype(np.int64)
+    rest, hi, last = want & np.uint64((1 << 48) - 1), end, len(middle) - 1
+
+    def key(row: np.ndarray) -> np.ndarray:
+        return (middle[row].astype(np.uint64) << np.uint64(16)) | low[row]
+
+    for _ in range(int((end - lo).max(initial=0)).bit_length()):
+        mid = (lo + hi) >> 1
+        up = (lo < hi) & (key(np.minimum(mid, last)) < rest)
+        lo, hi = np.where(up, mid + 1, lo), np.where(up, hi, np.minimum(mid, hi))
+    row = np.minimum(lo, last)
+    return row, (lo < end) & (key(row) == rest)
+
+
+def _lookup(folder: str, bucket: np.ndarray, key: np.ndarray) -> Iterator[tuple[Callable, np.ndarray, np.ndarray]]:
+    """Per bucket: its arrays, which of the keys are there, and their rows."""
+    for number, (part, want) in _dealt(bucket, [np.arange(len(key)), key]):
+        def get(name: str, number: int = number) -> np.ndarray | None:
+            return _mapped(os.path.join(folder, f"{number}-{name}.npy"))
+
+        row, there = _find(get, want)
+        yield get, part[there], row[there]
+
+
+def find_words(folder: str, hashes: np.ndarray, bits: int, *names: str) -> tuple[np.ndarray, ...]:
+    """Ids of words and their values in arrays by rank; unknown words have none."""
+    ids = np.full(len(hashes), UNKNOWN, np.uint32)
+    out = [np.zeros(len(hashes)) for _ in names]
+    bucket = _bucket(hashes, bits)
+    for get, at, row in _lookup(os.path.join(folder, "words"), bucket, hashes):
+        if len(at):
+            rank = get("ranks")[row].astype(np.int64)
+            ids[at] = 1 + (rank << bits) + bucket[at]
+            for values, name in zip(out, names):
+                values[at] = get(name)[rank]
+    return ids, *out
+
+
+# --- training ---------------------------------------------------------------------------
+
+
+def _chunks(parts: Iterator[pa.RecordBatch], tokens: int) -> Iterator[list[np.ndarray]]:
+    """Token hashes of whole texts, some ``tokens`` at a time."""
+    held, size = [], 0
+    for b in batches(parts):
+        for t in b.column(0):
+            held.append(token_hashes(t.as_py()))
+            size += len(held[-1])
+            if size >= tokens:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _by_bucket(rows: DataFrame, bits: int) -> DataFrame:
+    return rows.repartitionById(1 << bits, "bucket").sortWithinPartitions("bucket", "kind")
+
+
+def _held(parts: Iterator[pa.RecordBatch], kinds: dict[str, list[type]]) -> Iterator[tuple[int, dict, list]]:
+    """Per bucket: the columns of each kind of row, and the rows of other kinds as they are."""
+    now, cols, others = None, defaultdict(list), []
+    for b in batches(parts):
+        for kind, level, bucket, cells in zip(*(c.to_pylist() for c in b.columns)):
+            if bucket != now:
+                if now is not None:
+                    yield now, {k: [np.concatenate(c) for c in zip(*v)] for k, v in cols.items()}, others
+                now, cols, others = bucket, defaultdict(list), []
+            if kind in kinds:
+                cols[kind].append(unpack(cells, kinds[kind]))
+            else:
+                others.append((kind, level, bucket, cells))
+    if now is not None:
+        yield now, {k: [np.concatenate(c) for c in zip(*v)] for k, v in cols.items()}, others
+
+
+def _stat(counts: np.ndarray, *more: int) -> bytes:
+    each = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)
+    return b"".join(int(v).to_bytes(8, "little") for v in (*each[1:5], each[3:].sum(), counts.sum(), *more))
+
+
+def words(texts: DataFrame, folder: str, bits: int) -> tuple[np.ndarray, int]:
+    """Write the vocabulary; the ids of hot words, and the number of tokens."""
+    chunk, share = CHUNK_TOKENS, HOT
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _chunks(parts, chunk):
+            found, counts = np.unique(np.concatenate(held), return_counts=True)
+            yield from _blobs("w", 0, _bucket(found, bits), [found, counts.astype(np.uint64)])
+
+    def number(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = os.path.join(folder, "words")
+        for bucket, cols, _ in _held(parts, {"w": [np.uint64, np.uint64]}):
+            keys, counts = _sums(*cols["w"])
+            order = np.argsort(counts.max() - counts, kind="stable")  # ties by hash
+            if 1 + (len(keys) << bits) >= UNKNOWN:
+                raise ValueError("more words than 32-bit ids")
+            ranks = np.empty(len(keys), np.uint32)
+            ranks[order] = np.arange(len(keys), dtype=np.uint32)
+            write_keys(here, str(bucket), keys)
+            _write(here, f"{bucket}-ranks", _narrow(ranks))
+            _write(here, f"{bucket}-raws", _narrow(counts[order]))
+            # a hot word has that share of its bucket's tokens as well
+            top = counts[order][: int((counts * share >= counts.sum()).sum())].astype(np.int64)
+            ids = 1 + (np.arange(len(top)) << bits) + bucket
+            yield pa.RecordBatch.from_arrays([pa.array([*ids.tolist(), None], pa.int64()),
+                                              pa.array([*top.tolist(), int(counts.sum())], pa.int64())], ["id", "n"])
+
+    got = saved(_by_bucket(texts.mapInArrow(count, _BLOB), bits).mapInArrow(number, "id long, n long"), "lm-words")
+    total = got.where("id IS NULL").agg(F.sum("n")).first()[0] or 0
+    hot = got.where(f"id IS NOT NULL AND n * {share} >= {total}").select("id").collect()  # at most HOT rows
+    return np.sort(np.array([r["id"] for r in hot], np.int64)), total
+
+
+def _count(texts: DataFrame, order: int, folder: str, hot: Hot, bits: int) -> DataFrame:
+    chunk = CHUNK_TOKENS
 
-def _reduce(level: int, order: int, folder: str, hot: np.ndarray, bits: int):
-    """The stage that merges the n-grams of ``level`` and the context statistics above it."""
-    n_cols = level + 3
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _chunks(parts, chunk):
+            hashes, begins = joined(held)
+            held.clear()
+            found, at = np.unique(hashes, return_inverse=True)
+            ids = find_words(folder, found, bits)[0][at]
+            cols, counts = distinct([*backs(ids, begins, order), ids])
+            yield from _ngrams(order - 1, cols, counts, hot, bits)
+
+    return texts.mapInArrow(run, _BLOB)
+
+
+def _ngrams(level: int, cols: list[np.ndarray], counts: np.ndarray, hot: Hot, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of n-grams with ``level`` context words, in ascending order."""
+    bucket = _of_word(cols[0], bits)
+    at = np.flatnonzero(hot(cols[0]))
+    if len(at):
+        own = [c[at] for c in cols]
+        bucket[at] = _bucket(mix(context_hash(own[:-1]), own[-1].astype(np.uint64)), bits)
+    yield from _blobs("n", level, bucket, [*cols, counts])
+
+
+def _reduce(level: int, order: int, folder: str, hot: Hot, bits: int):
+    """The stage that merges the n-grams of ``level`` context words: all of them at the first
+    stage, those of hot words later."""
+    def close(bucket: int, k: int, cols: list[np.ndarray], counts: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:
+        """Write distinct n-grams in ascending order; those of lower order go on."""
+        if not len(counts):
+            return
+        ctx = context_hash(cols[:-1])
+        key = mix(ctx, cols[-1].astype(np.uint64))
+        by = np.argsort(key)
+        here = os.path.join(folder, f"{name}-{k}")
+        write_keys(here, str(bucket), key[by])
+        write_counts(here, str(bucket), counts[by])
+        yield _row("s", k, bucket, _stat(counts))
+        begins = _runs(*cols[:-1])
+        stats = [np.add.reduceat(v, begins) for v in (counts, *((counts == j).astype(np.uint64) for j in (1, 2)),
+                                                       (counts >= 3).astype(np.uint64))]
+        ctx = ctx[begins]
+        by = np.argsort(ctx)
+        ctx, stats = ctx[by], [s[by] for s in stats]
+        if name == "hot":  # other buckets hold more of these contexts
+            yield from _blobs("c", k, _bucket(ctx, bits), [ctx, *stats])
+        else:
+            here = os.path.join(folder, f"own-contexts-{k}")
+            write_keys(here, str(bucket), ctx)
+            write_stats(here, str(bucket), stats)
+        lower = [*cols[:k - 1], cols[-1]]  # without the farthest word
+        del ctx, key, by, stats
+        lower, number = distinct(lower)
+        if k == 1:
+            w = lower[0].astype(np.int64) - 1
+            yield from _blobs("w", 0, (w & ((1 << bits) - 1)).astype(np.uint32), [(w >> bits).astype(np.uint32), number])
+        elif name == "hot":
+            yield from _ngrams(k - 1, lower, number, hot, bits)
+        else:
+            yield from close(bucket, k - 1, lower, number, name)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        on: list[tuple] = []
-        now = None
-
-        def close() -> Iterator[tuple]:
-            if now is None:
-                return
-            kind, bucket = now
-            if kind == "c":
-                cols = [np.concatenate(c) for c in zip(*held)]
-                at, *sums = _sums(*cols)
-                here = os.path.join(folder, f"contexts-{level + 1}")
-                _write(here, f"{bucket}-keys", cols[0][at])
-                _write(here, f"{bucket}-stats", np.stack([s.astype(np.uint64) for s in sums]).astype(
-                    np.uint32 if all(not len(s) or s.max() < 1 << 32 for s in sums) else np.uint64))
-                return
-            stat, ctxs, words, counts, raws = _merge(level, [np.concatenate(c) for c in zip(*held)],
-                                                     level == order - 1, folder, bucket)
-            yield "s", level, 0, b"".join(v.to_bytes(8, "little") for v in stat), 1
-            if level:
-                at, *sums = _sums(ctxs[0], counts, *((counts == j).astype(np.uint64) for j in (1, 2)),
-                                  (counts >= 3).astype(np.uint64))
-                yield from _rows("c", level, _bucket(mix(ctxs[0][at], np.uint64(0)), bits), [ctxs[0][at], *sums])
-                on.append((ctxs[1:], words, raws))
-
-        def pass_on() -> Iterator[tuple]:
-            if not on:
-                return
-            ctxs = [np.concatenate(c) for c in zip(*(x[0] for x in on))]
-            words, raws = (np.concatenate([x[i] for x in on]) for i in (1, 2))
-            on.clear()
-            at, counts, raws = _sums(mix(ctxs[0], words) if ctxs else words, np.ones(len(words), np.uint64), raws)
-            yield from _entries(level - 1, [c[at] for c in ctxs], words[at], counts, raws, hot, bits)
+        kinds = {"n": [np.uint32] * (level + 1) + [np.uint64], "c": [np.uint64] * 5}
+        for bucket, held, others in _held(parts, kinds):
+            for r in others:
+                yield _row(*r)
+            if "c" in held:
+                ctx, *stats = _sums(*held.pop("c"))
+                here = os.path.join(folder, f"hot-contexts-{level + 1}")
+                write_keys(here, str(bucket), ctx)
+                write_stats(here, str(bucket), stats)
+            if "n" in held:
+                *cols, counts = held.pop("n")
+                cols, counts = distinct(cols, counts)
+                own = hot(cols[0])
+                for name, some in (("own", ~own), ("hot", own)):
+                    yield from close(bucket, level, [c[some] for c in cols], counts[some], name)
+
+    return run
 
-        for b in batches(parts):
-            for kind, lv, bucket, cells, size in zip(*(c.to_pylist() for c in b.columns)):
-                if kind == "s":
-                    yield _table([(kind, lv, bucket, cells, size)])
-                    continue
-                if (kind, bucket) != now:
-                    for r in close():
-                        yield _table([r])
-                    held, now = [], (kind, bucket)
-                    if sum(len(x[1]) for x in on) >= CHUNK_TOKENS:
-                        for r in pass_on():
-                            yield _table([r])
-                held.append(_columns(cells, size, 5 if kind == "c" else n_cols))
-        for r in close():
-            yield _table([r])
-        for r in pass_on():
-            yield _table([r])
+
+def _unigrams(order: int, folder: str):
+    """The last stage: continuation counts of the words, statistics of hot contexts of one word."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = os.path.join(folder, "words")
+        for bucket, held, others in _held(parts, {"w": [np.uint32, np.uint64], "c": [np.uint64] * 5}):
+            for r in others:
+                yield _row(*r)
+            if "c" in held:
+                ctx, *stats = _sums(*held["c"])
+                write_keys(os.path.join(folder, "hot-contexts-1"), str(bucket), ctx)
+                write_stats(os.path.join(folder, "hot-contexts-1"), str(bucket), stats)
+            if "w" in held:
+                raws = np.load(os.path.join(here, f"{bucket}-raws.npy")).astype(np.uint64)
+                rank, number = _sums(*held["w"])
+                counts = np.zeros(len(raws), np.uint64)
+                counts[rank] = number
+                counts = raws if order == 1 else counts
+                _write(here, f"{bucket}-counts", _narrow(counts))
+                yield _row("s", 0, bucket, _stat(counts, int(raws.sum()), len(raws)))
 
     return run
 
 
+def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
+    spark = docs.sparkSession
+    prepare(spark)
+    folder = scratch_path(spark, "lm")
+    if "://" in folder and not folder.startswith("file:"):
+        raise ValueError("the model's arrays are memory-mapped: spark.checkpoint.dir must be a mounted shared folder")
+    folder = local_path(folder)
+    texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
+    size = texts.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many buckets as shuffle partitions, more if the corpus needs them
+    bits = max(4, (n - 1).bit_length(), (size // 8 // BUCKET_TOKENS).bit_length())
+    ids, tokens = words(texts, folder, bits)
+    hot = Hot(ids)
+    # n-grams of one word are the words themselves
+    rows = _count(texts, max(order, 2), folder, hot, bits)
+    for level in range(max(order, 2) - 1, 0, -1):
+        rows = _by_bucket(rows, bits).mapInArrow(_reduce(level, order, folder, hot, bits), _BLOB)
+    rows = saved(_by_bucket(rows, bits).mapInArrow(_unigrams(order, folder), _BLOB), "lm-stats")
+    stats: dict[int, list[int]] = {}
+    for r in rows.select("level", "cells").toLocalIterator():  # a short row per bucket and level
+        new = np.frombuffer(bytes(r["cells"]), "<u8").tolist()
+        stats[r["level"]] = [a + b for a, b in zip(stats.get(r["level"], repeat(0)), new)]
+    return Model(folder, order, bits, hot, stats)
+
+
 class Model:
     """Where the arrays lie, and the numbers that turn counts into probabilities."""
 
-    def __init__(self, folder: str, order: int, bits: int, hot: np.ndarray, stats: dict[int, list[int]]):
+    def __init__(self, folder: str, order: int, bits: int, hot: Hot, stats: dict[int, list[int]]):
         self.folder, self.order, self.bits, self.hot = folder, order, bits, hot
         zero = [0] * 8
         self.discounts = [discounts(stats.get(k, zero)[:4]) for k in range(order)]
@@ -311,23 +545,56 @@ class Model:
 
     def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base score, model score (log10)."""
-        ctxs, words, begins = contexts(texts, self.order)
-        _, cont, raw = _lookup(self.folder, "level-0", ("counts", "raws"), _bucket(mix(words, np.uint64(0)), self.bits),
-                               words)
-        p = np.full(len(words), self.rest / (self.words + 1))
+        hashes, begins = joined(texts)
+        found, at = np.unique(hashes, return_inverse=True)
+        ids, cont, raw = (x[at] for x in find_words(self.folder, found, self.bits, "counts", "raws"))
+        before = backs(ids, begins, self.order)
+        p = np.full(len(ids), self.rest / (self.words + 1))
         if self.total:
             p += (cont - self.discounts[0][np.minimum(cont, 3).astype(int)]) / self.total
-        for k, ctx in enumerate(ctxs, 1):
-            at, stats = _lookup(self.folder, f"contexts-{k}", ("stats",), _bucket(mix(ctx, np.uint64(0)), self.bits), ctx)
-            key = mix(ctx, words)
-            _, count = _lookup(self.folder, f"level-{k}", ("counts",), place(ctx, ctxs[0], key, self.hot, self.bits), key)
-            total, n1, n2, n3 = stats[:, at]
-            d, c = self.discounts[k], count[at]
-            p[at] = (c - d[np.minimum(c, 3).astype(int)] + (d[1] * n1 + d[2] * n2 + d[3] * n3) * p[at]) / total
+        at, seen = np.arange(len(ids)), cont > 0
+        for k in range(1, self.order):
+            # a context is there only if the shorter one is, an n-gram only if the shorter one is
+            ctx = context_hash([b[at] for b in before[:k]])
+            hot, own = self.hot(before[0][at]), _of_word(before[0][at], self.bits)
+            stats = np.zeros((4, len(at)))
+            for name, some in self._parts(hot):
+                bucket = own[some] if name == "own" else _bucket(ctx[some], self.bits)
+                for get, rows, row in _lookup(os.path.join(self.folder, f"{name}-contexts-{k}"), bucket, ctx[some]):
+                    if len(rows):
+                        stats[:, some[rows]] = get("stats")[:, get("codes")[row]]
+            there = np.flatnonzero(stats[0])
+            at, ctx, hot, own, stats = at[there], ctx[there], hot[there], own[there], stats[:, there]
+            key = mix(ctx, ids[at].astype(np.uint64))
+            count = np.zeros(len(at))
+            for name, some in self._parts(hot):
+                some = some[seen[at[some]]]
+                bucket = own[some] if name == "own" else _bucket(key[some], self.bits)
+                for get, rows, row in _lookup(os.path.join(self.folder, f"{name}-{k}"), bucket, key[some]):
+                    if len(rows):
+                        count[some[rows]] = _counts(get, row)
+            seen = np.zeros(len(ids), bool)
+            seen[at[count > 0]] = True
+            total, n1, n2, n3 = stats
+            d = self.discounts[k]
+            p[at] = (count - d[np.minimum(count, 3).astype(int)] + (d[1] * n1 + d[2] * n2 + d[3] * n3) * p[at]) / total
         base = np.log10((raw + ALPHA) / (self.tokens + ALPHA * (self.words + 1)))
         return (np.add.reduceat((raw > 0).astype(np.int64), begins), np.add.reduceat(base, begins),
                 np.add.reduceat(np.log10(p), begins))
 
+    @staticmethod
+    def _parts(hot: np.ndarray) -> tuple[tuple[str, np.ndarray], ...]:
+        return ("own", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))
+
+
+def _counts(get: Callable[[str], np.ndarray], row: np.ndarray) -> np.ndarray:
+    out = get("counts")[row].astype(np.uint64)
+    large = np.flatnonzero(out == 255)
+    if len(large):
+        rows, counts = get("big")
+        out[large] = counts[np.searchsorted(rows, row[large].astype(np.uint64))]
+    return out
+
 
 def discounts(n: list[int]) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more, from counts of
@@ -340,65 +607,6 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.array([0.0, *(min(max(v, 0.0), float(i)) for i, v in enumerate(d, 1))])
 
 
-# --- mapped arrays ----------------------------------------------------------------------
-
-
-@lru_cache(8_192)
-def _mapped(path: str) -> np.ndarray | None:
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else None
-
-
-def _lookup(folder: str, what: str, names: tuple[str, ...], bucket: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
-    """Which keys are there, and their values (zero where they are not)."""
-    there = np.zeros(len(key), bool)
-    out = [np.zeros((4, len(key)) if n == "stats" else len(key)) for n in names]
-    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts) if len(order) else ():
-        number = int(bucket[part[0]])
-        get = lambda name: _mapped(os.path.join(folder, what, f"{number}-{name}.npy"))  # noqa: B023, E731
-        keys, want = get("keys"), key[part]
-        if keys is None or not len(keys):
-            continue
-        row = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-        same = keys[row] == want
-        part, row = part[same], row[same]
-        there[part] = True
-        for values, name in zip(out, names):
-            values[..., part] = get(name)[..., row]
-            if name == "counts" and len(get("big")[0]):
-                rows, counts = get("big")
-                large = np.flatnonzero(values[part] == 255)
-                values[part[large]] = counts[np.searchsorted(rows, row[large].astype(np.uint64))]
-    return [there, *out]
-
-
-# --- the operator -----------------------------------------------------------------------
-
-
-def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
-    spark = docs.sparkSession
-    prepare(spark)
-    folder = scratch_path(spark, "lm")
-    if "://" in folder and not folder.startswith("file:"):
-        raise ValueError("the model's arrays are memory-mapped: spark.checkpoint.dir must be a mounted shared folder")
-    folder = local_path(folder)
-    texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
-    hot, tokens = hot_words(texts)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # as many buckets as shuffle partitions, more if the corpus needs them
-    bits = max(4, (n - 1).bit_length(), (tokens // BUCKET_TOKENS).bit_length())
-    rows = _count(texts, order, hot, bits)
-    for level in range(order - 1, -1, -1):
-        rows = (rows.repartitionById(1 << bits, "bucket").sortWithinPartitions("kind", "bucket")
-                .mapInArrow(_reduce(level, order, folder, hot, bits), _BLOB))
-    stats: dict[int, list[int]] = {}
-    for r in rows.where("kind = 's'").select("level", "cells").toLocalIterator():  # one short row per bucket
-        new = np.frombuffer(bytes(r["cells"]), "<u8").tolist()
-        stats[r["level"]] = [a + b for a, b in zip(stats.get(r["level"], repeat(0)), new)]
-    return Model(folder, order, bits, hot, stats)
-
-
 def score(docs: DataFrame, model: Model, folds: int = FOLDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
     prepare(docs.sparkSession)
