@@ -223,6 +223,17 @@ def distinct(cols: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[
     return out, np.add.reduceat(counts, begins) if len(begins) else counts
 
 
+def _once(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of every distinct key, in ascending order of keys, and each key's number there."""
+    order = np.argsort(key)
+    s = key[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    at = np.empty(len(s), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return order[new], at
+
+
 def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in ascending order and the sums of their values."""
     order = np.argsort(key, kind="stable")
@@ -408,8 +419,8 @@ def _count(texts: DataFrame, order: int, folder: str, hot: Hot, bits: int) -> Da
         for held in _chunks(parts, chunk):
             hashes, begins = joined(held)
             held.clear()
-            found, at = np.unique(hashes, return_inverse=True)
-            ids = find_words(folder, found, bits)[0][at]
+            one, at = _once(hashes)
+            ids = find_words(folder, hashes[one], bits)[0][at]
             cols, counts = distinct([*backs(ids, begins, order), ids])
             yield from _ngrams(order - 1, cols, counts, hot, bits)
 
@@ -546,8 +557,8 @@ class Model:
     def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base score, model score (log10)."""
         hashes, begins = joined(texts)
-        found, at = np.unique(hashes, return_inverse=True)
-        ids, cont, raw = (x[at] for x in find_words(self.folder, found, self.bits, "counts", "raws"))
+        one, at = _once(hashes)  # every distinct key is looked up once, in ascending order
+        ids, cont, raw = (x[at] for x in find_words(self.folder, hashes[one], self.bits, "counts", "raws"))
         before = backs(ids, begins, self.order)
         p = np.full(len(ids), self.rest / (self.words + 1))
         if self.total:
@@ -556,23 +567,15 @@ class Model:
         for k in range(1, self.order):
             # a context is there only if the shorter one is, an n-gram only if the shorter one is
             ctx = context_hash([b[at] for b in before[:k]])
-            hot, own = self.hot(before[0][at]), _of_word(before[0][at], self.bits)
-            stats = np.zeros((4, len(at)))
-            for name, some in self._parts(hot):
-                bucket = own[some] if name == "own" else _bucket(ctx[some], self.bits)
-                for get, rows, row in _lookup(os.path.join(self.folder, f"{name}-contexts-{k}"), bucket, ctx[some]):
-                    if len(rows):
-                        stats[:, some[rows]] = get("stats")[:, get("codes")[row]]
+            one, same = _once(ctx)
+            stats = self._stats(k, before[0][at[one]], ctx[one])[:, same]
             there = np.flatnonzero(stats[0])
-            at, ctx, hot, own, stats = at[there], ctx[there], hot[there], own[there], stats[:, there]
-            key = mix(ctx, ids[at].astype(np.uint64))
+            at, ctx, stats = at[there], ctx[there], stats[:, there]
+            some = np.flatnonzero(seen[at])
+            key = mix(ctx[some], ids[at[some]].astype(np.uint64))
+            one, same = _once(key)
             count = np.zeros(len(at))
-            for name, some in self._parts(hot):
-                some = some[seen[at[some]]]
-                bucket = own[some] if name == "own" else _bucket(key[some], self.bits)
-                for get, rows, row in _lookup(os.path.join(self.folder, f"{name}-{k}"), bucket, key[some]):
-                    if len(rows):
-                        count[some[rows]] = _counts(get, row)
+            count[some] = self._numbers(k, before[0][at[some[one]]], key[one])[same]
             seen = np.zeros(len(ids), bool)
             seen[at[count > 0]] = True
             total, n1, n2, n3 = stats
@@ -582,9 +585,26 @@ class Model:
         return (np.add.reduceat((raw > 0).astype(np.int64), begins), np.add.reduceat(base, begins),
                 np.add.reduceat(np.log10(p), begins))
 
-    @staticmethod
-    def _parts(hot: np.ndarray) -> tuple[tuple[str, np.ndarray], ...]:
-        return ("own", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))
+    def _found(self, what: str, last: np.ndarray, key: np.ndarray) -> Iterator[tuple[Callable, np.ndarray, np.ndarray]]:
+        """Arrays, places among the keys and rows; ``last`` is the last context word."""
+        hot = self.hot(last)
+        for name, some in (("own", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))):
+            bucket = _of_word(last[some], self.bits) if name == "own" else _bucket(key[some], self.bits)
+            for get, at, row in _lookup(os.path.join(self.folder, f"{name}{what}"), bucket, key[some]):
+                if len(at):
+                    yield get, some[at], row
+
+    def _stats(self, k: int, last: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+        out = np.zeros((4, len(ctx)))
+        for get, at, row in self._found(f"-contexts-{k}", last, ctx):
+            out[:, at] = get("stats")[:, get("codes")[row]]
+        return out
+
+    def _numbers(self, k: int, last: np.ndarray, key: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(key))
+        for get, at, row in self._found(f"-{k}", last, key):
+            out[at] = _counts(get, row)
+        return out
 
 
 def _counts(get: Callable[[str], np.ndarray], row: np.ndarray) -> np.ndarray:
