@@ -284,7 +284,7 @@ def write_stats(folder: str, name: str, stats: list[np.ndarray]) -> None:
 
 @lru_cache(16_384)
 def _mapped(path: str) -> np.ndarray | None:
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else None
+    return np.load(path, mmap_mode="r").view(np.ndarray) if os.path.exists(path) else None
 
 
 def _find(get: Callable[[str], np.ndarray | None], want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -526,9 +526,8 @@ def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
     folder = local_path(folder)
     texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
     size = texts.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # as many buckets as shuffle partitions, more if the corpus needs them
-    bits = max(4, (n - 1).bit_length(), (size // 8 // BUCKET_TOKENS).bit_length())
+    # every task sends each bucket a row, so their number follows the corpus alone
+    bits = max(4, (size // 8 // BUCKET_TOKENS).bit_length())
     ids, tokens = words(texts, folder, bits)
     hot = Hot(ids)
     # n-grams of one word are the words themselves
