@@ -50,7 +50,7 @@ ALPHA = 0.1
 HOT = 512
 CHUNK_TOKENS = 1 << 22
 #: Tokens of one bucket (at eight bytes of text), which one task merges in memory.
-BUCKET_TOKENS = 1 << 23
+BUCKET_TOKENS = 1 << 21
 #: Arrays of so many keys or more store their keys without the leading 16 bits.
 INDEXED_KEYS = 1 << 17
 END = xxhash.xxh64_intdigest(b"\n</s>")
@@ -298,18 +298,25 @@ def _find(get: Callable[[str], np.ndarray | None], want: np.ndarray) -> tuple[np
         return row, keys[row] == want
     middle, low = get("middle"), get("low")
     lead = (want >> np.uint64(48)).astype(np.int64)
-    lo, end = first[lead].astype(np.int64), first[lead + 1].astype(np.int64)
-    rest, hi, last = want & np.uint64((1 << 48) - 1), end, len(middle) - 1
-
-    def key(row: np.ndarray) -> np.ndarray:
-        return (middle[row].astype(np.uint64) << np.uint64(16)) | low[row]
-
-    for _ in range(int((end - lo).max(initial=0)).bit_length()):
-        mid = (lo + hi) >> 1
-        up = (lo < hi) & (key(np.minimum(mid, last)) < rest)
-        lo, hi = np.where(up, mid + 1, lo), np.where(up, hi, np.minimum(mid, hi))
-    row = np.minimum(lo, last)
-    return row, (lo < end) & (key(row) == rest)
+    row, end, last = first[lead].astype(np.int64), first[lead + 1].astype(np.int64), len(middle) - 1
+    rest, tail = (want >> np.uint64(16)).astype(np.uint32), want.astype(np.uint16)
+    # forward by falling powers of two while the middle before is smaller
+    for step in reversed(range(int((end - row).max(initial=0)).bit_length())):
+        on = row + (1 << step)
+        less = middle[np.minimum(on - 1, last)] < rest
+        less &= on <= end
+        row = np.where(less, on, row)
+    row = np.minimum(row, last)
+    there = (middle[row] == rest) & (row < end)
+    there_low = low[row]
+    # keys of equal 48 leading bits stand side by side
+    while len(more := np.flatnonzero(there & (there_low < tail))):
+        row[more] += 1
+        inside = row[more] < end[more]
+        row[more] = np.minimum(row[more], last)
+        there[more] = inside & (middle[row[more]] == rest[more])
+        there_low[more] = low[row[more]]
+    return row, there & (there_low == tail)
 
 
 def _lookup(folder: str, bucket: np.ndarray, key: np.ndarray) -> Iterator[tuple[Callable, np.ndarray, np.ndarray]]:
@@ -557,19 +564,24 @@ class Model:
         """Per text: known tokens, base score, model score (log10)."""
         hashes, begins = joined(texts)
         one, at = _once(hashes)  # every distinct key is looked up once, in ascending order
-        ids, cont, raw = (x[at] for x in find_words(self.folder, hashes[one], self.bits, "counts", "raws"))
-        before = backs(ids, begins, self.order)
+        ids, cont, raw = find_words(self.folder, hashes[one], self.bits, "counts", "raws")
         p = np.full(len(ids), self.rest / (self.words + 1))
         if self.total:
             p += (cont - self.discounts[0][np.minimum(cont, 3).astype(int)]) / self.total
-        at, seen = np.arange(len(ids)), cont > 0
+        base = np.log10((raw + ALPHA) / (self.tokens + ALPHA * (self.words + 1)))
+        ids, p, base, known = ids[at], p[at], base[at], (raw > 0)[at]
+        before = backs(ids, begins, self.order)
+        at, seen = np.arange(len(ids)), known
         for k in range(1, self.order):
             # a context is there only if the shorter one is, an n-gram only if the shorter one is
             ctx = context_hash([b[at] for b in before[:k]])
             one, same = _once(ctx)
-            stats = self._stats(k, before[0][at[one]], ctx[one])[:, same]
-            there = np.flatnonzero(stats[0])
-            at, ctx, stats = at[there], ctx[there], stats[:, there]
+            total, n1, n2, n3 = self._stats(k, before[0][at[one]], ctx[one])
+            d = self.discounts[k]
+            left = (d[1] * n1 + d[2] * n2 + d[3] * n3) / np.maximum(total, 1)
+            there = np.flatnonzero((total > 0)[same])
+            at, ctx, same = at[there], ctx[there], same[there]
+            total, left = total[same], left[same]
             some = np.flatnonzero(seen[at])
             key = mix(ctx[some], ids[at[some]].astype(np.uint64))
             one, same = _once(key)
@@ -577,11 +589,8 @@ class Model:
             count[some] = self._numbers(k, before[0][at[some[one]]], key[one])[same]
             seen = np.zeros(len(ids), bool)
             seen[at[count > 0]] = True
-            total, n1, n2, n3 = stats
-            d = self.discounts[k]
-            p[at] = (count - d[np.minimum(count, 3).astype(int)] + (d[1] * n1 + d[2] * n2 + d[3] * n3) * p[at]) / total
-        base = np.log10((raw + ALPHA) / (self.tokens + ALPHA * (self.words + 1)))
-        return (np.add.reduceat((raw > 0).astype(np.int64), begins), np.add.reduceat(base, begins),
+            p[at] = (count - d[np.minimum(count, 3).astype(int)]) / total + left * p[at]
+        return (np.add.reduceat(known.astype(np.int64), begins), np.add.reduceat(base, begins),
                 np.add.reduceat(np.log10(p), begins))
 
     def _found(self, what: str, last: np.ndarray, key: np.ndarray) -> Iterator[tuple[Callable, np.ndarray, np.ndarray]]:

@@ -45,7 +45,8 @@ def test_keys_are_found_in_mapped_arrays(rng, tmp_path, monkeypatch, bound):
     monkeypatch.setattr(lm, "INDEXED_KEYS", bound)
     keys = np.unique(np.concatenate([
         rng.integers(0, 1 << 64, 20_000, dtype=np.uint64), np.array([0, 1, (1 << 64) - 1, 1 << 48], np.uint64),
-        np.uint64(7 << 48) + np.arange(300, dtype=np.uint64)]))  # many keys of one leading half
+        # many keys of one leading half, with equal and different middles
+        np.uint64(7 << 48) + np.arange(300, dtype=np.uint64), np.uint64(9 << 48) + np.arange(0, 5 << 18, 999, np.uint64)]))
     counts = rng.integers(1, 400, len(keys)).astype(np.uint64)
     lm.write_keys(str(tmp_path), "3", keys)
     lm.write_counts(str(tmp_path), "3", counts)
