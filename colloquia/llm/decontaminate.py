@@ -1,19 +1,21 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 The windows of an item are all runs of 13 consecutive words (an item of fewer words,
-but not none, is one window).  A window stands in a document only if all its words
-do, so its prefix under the order "rarest first" (document frequency over the whole
-corpus) is one word: the rarest.  Document words are looked up among the windows'
-prefix words; a pair survives the positional bound (the window's place in the
-document follows from the prefix word's place in the window) and the length bound
-(it must end inside the document), and is then verified over all the words of the
-item-sized window.  Windows that share a prefix word are grouped by its place and
-their length, and one look-up of the document's words verifies a whole group: a word
-costs at most one look-up per place and length, however many windows it is the
-prefix of.
-
-The benchmark is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, so
-a benchmark of any size is searched exactly, one scan of the documents per block.
+but not none, is one window).  Words are ordered by rarity: document frequencies over the
+whole corpus, of the benchmark's words (a bitmap of their hashes leaves out others).  The
+words with at least 1/2^18 of all counts keep their rank (at most 2^18 of them); the others
+are rarer and go by length and bytes.  A window stands in a document only if all its words
+do, so its two rarest words, at their places, are a sufficient prefix (any choice of two
+would be: the order decides costs, never results).
+
+Every place of a document where a window's rarest word and, at the right distance, its
+second one stand (bitmaps again) is a candidate and is sent with its surroundings of 12
+words to each side.  Candidates and windows are joined by the pair; the positional bound
+(the window's place follows from the rarest word's), the length bound and all the words are
+verified by the join.  Bitmaps have at most 2^27 bits: beyond that they let more candidates
+through and lose none.  Documents are written once, with their candidates as rows beside
+them, however large the benchmark is; keys of 1/1,024 of all candidates or more are dealt
+over several tasks.  Windows with the same items share one list of them.
 
 A null text has no words: it is never hit; a benchmark item without words has no
 window.  Repeated rows each get a row; items that share an item_id count once.  The
@@ -23,12 +25,14 @@ verdict; it has no place in the list of items.  Extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,127 +40,233 @@ from colloquia.llm.common import batches, prepare, raw_text, saved
 from colloquia.llm.licenses import words_of
 
 WINDOW = 13
-#: Text of one benchmark block; building its index takes some 70 times as much memory.
+#: Text that a task works on at once (a longer text is taken alone).
 BLOCK_BYTES = 8 << 20
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
+#: A word with this share of all document frequencies keeps its exact rank.
+RANKED = 1 << 18
+#: Bits of a bitmap: 64 a key, at least and at most two to these powers.
+MIN_BITS, MAX_BITS = 16, 27
+#: A join key with this share of all rows (and at least so many) is dealt over tasks.
+HOT_SHARE, HOT_ROWS, SHARES = 1_024, 4_096, 32
+#: Rows of one batch that a task hands out.
+ROWS_OUT = 4_096
 
 
-def item_windows(words: list[bytes], size: int = WINDOW) -> set[tuple[bytes, ...]]:
-    if not words:
-        return set()
-    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
+class WordHashes(dict):
+    """Word -> 64-bit hash, remembering a million words."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 20:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray, distance: np.ndarray | int) -> np.ndarray:
+    """One 64-bit key for two words (hashes) and the distance between their places."""
+    d = np.asarray(distance, np.int64).astype(np.uint64)
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F) + d * np.uint64(0x165667B19E3779F9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+class Bitmap:
+    """A set of 64-bit hashes by their leading bits: false positives, no false negatives."""
+
+    def __init__(self, power: int, slots: np.ndarray, bits: np.ndarray):
+        self.shift = np.uint64(64 - power)
+        self.words = np.zeros(1 << (power - 6), np.uint64)
+        self.words[slots] = bits.astype(np.uint64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> self.shift
+        return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def bitmap(hashes: DataFrame) -> Bitmap:
+    """The bitmap of a one-column table of hashes, put together by Spark."""
+    h = F.col(hashes.columns[0])
+    n = hashes.agg(F.approx_count_distinct(h)).first()[0]
+    power = min(MAX_BITS, max(MIN_BITS, (64 * n).bit_length()))
+    place = F.shiftrightunsigned(h, 64 - power)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    got = (hashes.select(F.shiftright(place, 6).alias("slot"), bit.alias("bit"))
+           .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
+    return Bitmap(power, got.column("slot").to_numpy(), got.column("bits").to_numpy())
+
+
+def _benchmark_words(benchmark: DataFrame) -> DataFrame:
+    """Hashes of the words of each benchmark text."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(parts):
+            for t in b.column(0):
+                h = WordHashes().of(list(set(words_of(t.as_py()))))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    return benchmark.select(raw_text().alias("raw")).mapInArrow(run, "h long")
 
-def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """Document frequency of each word of one benchmark block over all documents."""
-    prepare(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+def frequencies(docs: DataFrame, known: Bitmap) -> dict[bytes, int]:
+    """Document frequencies over all documents of the words in ``known`` that have 1/RANKED
+    of their sum or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def counted(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
+                                           pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = sent.value, Counter()
+        here, hashes, seen = sent.value, WordHashes(), Counter()
         for b in batches(parts):
+            every: Counter = Counter()
             for t in b.column(0):
-                seen.update(words.intersection(words_of(t.as_py())))
+                every.update(set(words_of(t.as_py())))
+            words = list(every)
+            for i in np.flatnonzero(here.has(hashes.of(words))):
+                seen[words[i]] += every[words[i]]
+            if len(seen) >= RANKED:
+                yield counted(seen)
+                seen.clear()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
-                                              pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-    got = (docs.select(raw_text().alias("raw")).mapInArrow(run, "word binary, n long")
-           .groupBy("word").agg(F.sum("n").alias("n")).collect())
-    return {bytes(r["word"]): r["n"] for r in got}
-
-
-class PrefixIndex:
-    """Prefix word -> (place of the word in the window, length) -> window -> items."""
-
-    def __init__(self, items: list[tuple[str | None, list[bytes]]], df: dict[bytes, int], size: int = WINDOW):
-        owners: dict[tuple, set[str]] = defaultdict(set)
-        for item, words in items:
-            for w in item_windows(words, size):
-                owners[w].update(() if item is None else (item,))
-        by_word: dict[bytes, dict] = defaultdict(lambda: defaultdict(dict))
-        shared: dict[tuple, tuple] = {}  # equal owner lists are kept once
-        for w, found in owners.items():
-            i = min(range(len(w)), key=lambda k: (df.get(w[k], 0), w[k], k))
-            own = tuple(sorted(found))
-            # words hold no blank, so the joined words stand for the window
-            by_word[w[i]][i, len(w)][b" ".join(w)] = shared.setdefault(own, own)
-        self.by_word = {word: dict(groups) for word, groups in by_word.items()}
-
-    def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Merged hit intervals of word places, and the items with occurring windows."""
-        by_word, n = self.by_word, len(words)
-        spans, found = set(), {}
-        for p in [i for i, w in enumerate(words) if w in by_word]:
-            for (at, size), windows in by_word[words[p]].items():
-                s = p - at
-                if s >= 0 and s + size <= n:
-                    own = windows.get(b" ".join(words[s:s + size]))
-                    if own is not None:
-                        spans.add((s, s + size))
-                        found[id(own)] = own
-        return merged(sorted(spans)), set().union(*found.values())
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s, e in spans:
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
-
-
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """The benchmark's items in blocks of bounded size, one partition at a time."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), raw_text().alias("raw"))
-    block, size = [], 0
-    for r in rows.toLocalIterator():
-        raw = bytes(r["raw"])
-        if block and size + len(raw) > limit:
-            yield block
-            block, size = [], 0
-        block.append((r["item"], words_of(raw)))
-        size += len(raw)
-    if block:
-        yield block
-
-
-_FOUND = "__spans array<struct<s:long,e:long>>, __items array<string>, __words long"
-
-
-def _search(rows: DataFrame, index: PrefixIndex, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``rows`` with the hits of one block joined to those so far."""
-    sent = rows.sparkSession.sparkContext.broadcast(index)
-    names = rows.columns
-    text, before = names.index("text"), "__spans" in names
-    picked = [names.index(c) for c in keep]
+            yield counted(seen)
+
+    counts = saved(docs.select(raw_text().alias("raw")).mapInArrow(run, "word binary, n long")
+                   .groupBy("word").agg(F.sum("n").alias("n")), "benchmark-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    got = counts.where(F.col("n") * RANKED >= total).toArrow()
+    return dict(zip(got.column("word").to_pylist(), got.column("n").to_pylist()))
+
+
+def prefix(words: list[bytes], ranks: dict[bytes, int]) -> tuple[int, int]:
+    """Places of the rarest and the second rarest word (of one word: the same)."""
+    order = sorted(range(len(words)), key=lambda i: (ranks.get(words[i], 0), -len(words[i]), words[i], i))
+    return order[0], order[min(1, len(order) - 1)]
+
+
+_WINDOW = "words array<binary>, key long, first long, at int, item string"
+
+
+def item_windows(benchmark: DataFrame, ranks: dict[bytes, int], size: int) -> DataFrame:
+    """Every window of every item: its words, the key of its prefix, the hash of its rarest
+    word and that word's place."""
+    sent = benchmark.sparkSession.sparkContext.broadcast(ranks)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, hashes = sent.value, WordHashes()
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            first = hashes.of([w[i] for w, i, _, _ in rows])
+            second = hashes.of([w[j] for w, _, j, _ in rows])
+            key = pair_keys(first, second, np.array([j - i for _, i, j, _ in rows]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([w for w, *_ in rows], pa.list_(pa.binary())), pa.array(key.view(np.int64)),
+                 pa.array(first.view(np.int64)), pa.array([i for _, i, _, _ in rows], pa.int32()),
+                 pa.array([x for *_, x in rows], pa.string())], ["words", "key", "first", "at", "item"])
+
+        rows: list[tuple] = []
+        for b in batches(parts):
+            for item, t in zip(b.column(0).to_pylist(), b.column(1)):
+                words = words_of(t.as_py())
+                for s in range(max(1, len(words) - size + 1) if words else 0):
+                    w = words[s:s + size]
+                    rows.append((w, *prefix(w, known), item))
+                    if len(rows) >= ROWS_OUT:
+                        yield table(rows)
+                        rows = []
+        if rows:
+            yield table(rows)
+
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), raw_text().alias("raw")).mapInArrow(run, _WINDOW)
+
+
+_CANDIDATE = "__row long, __words long, __key long, __p long, __c int, __near array<binary>"
+
+
+def candidates(docs: DataFrame, keep: list[str], firsts: Bitmap, pairs: Bitmap, size: int, block_bytes: int) -> DataFrame:
+    """For each row its ``keep`` columns with its number and count of words, and behind it a
+    row for each candidate: key of the pair, place of the rarest word in the document and in
+    the words around it."""
+    sent = docs.sparkSession.sparkContext.broadcast((firsts, pairs))
+    names = docs.columns
+    text, picked = names.index("text"), [names.index(c) for c in keep]
+    head = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep])
+    schema = T.StructType([*head.fields, *T.StructType.fromDDL(_CANDIDATE).fields])
+    reach = size - 1
+
+    def places(first: Bitmap, pair: Bitmap, h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of the candidates among the words of several texts."""
+        p = np.flatnonzero(first.has(h))
+        at, keys = [], []
+        for d in range(-reach, reach + 1):
+            q = p + d
+            ok = (q >= lo[p]) & (q < hi[p])
+            k = pair_keys(h[p[ok]], h[q[ok]], d)
+            hit = pair.has(k)
+            at.append(p[ok][hit])
+            keys.append(k[hit])
+        return np.concatenate(at), np.concatenate(keys)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sent.value
+        first, pair = sent.value
+        hashes, row = WordHashes(), TaskContext.get().partitionId() << 33
         for b in batches(parts):
             raw = b.column(text)
             raw = raw if pa.types.is_binary(raw.type) else raw.cast(pa.binary())
-            old_spans = b.column(names.index("__spans")).to_pylist() if before else [()] * b.num_rows
-            old_items = b.column(names.index("__items")).to_pylist() if before else [()] * b.num_rows
-            spans, items, n_words = [], [], []
-            for t, ss, ii in zip(raw, old_spans, old_items):
-                words = words_of(t.as_py() or b"")
-                s, own = found.hits(words)
-                s = merged(sorted([*s, *((x["s"], x["e"]) for x in ss)])) if ss else s
-                spans.append([{"s": x, "e": y} for x, y in s])
-                items.append(sorted(own.union(ii)))
-                n_words.append(len(words))
+            columns = [b.column(i) for i in picked]
+            counts, start, n = [], 0, b.num_rows
+            while start < n:
+                words, sizes, taken, end = [], [], 0, start
+                while end < n and (end == start or taken < block_bytes):
+                    t = raw[end].as_py() or b""
+                    own = words_of(t)
+                    words += own
+                    sizes.append(len(own))
+                    taken, end = taken + len(t), end + 1
+                length = np.array(sizes, np.int64)
+                high = np.cumsum(length)
+                lo, hi = np.repeat(high - length, length), np.repeat(high, length)
+                at, keys = places(first, pair, hashes.of(words), lo, hi)
+                rows = row + start + np.searchsorted(high, at, "right")
+                left, right = np.maximum(at - reach, lo[at]), np.minimum(at + reach + 1, hi[at])
+                for i in range(0, len(at), ROWS_OUT):
+                    j = slice(i, i + ROWS_OUT)
+                    m = len(at[j])
+                    near = pa.array([words[x:y] for x, y in zip(left[j].tolist(), right[j].tolist())], pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.nulls(m, c.type) for c in columns), pa.array(rows[j]), pa.nulls(m, pa.int64()),
+                         pa.array(keys[j].view(np.int64)), pa.array((at - lo[at])[j]),
+                         pa.array((at - left)[j].astype(np.int32)), near], schema.names)
+                counts += sizes
+                start = end
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in picked),
-                 pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))),
-                 pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())],
-                [*keep, "__spans", "__items", "__words"])
+                [*columns, pa.array(np.arange(row, row + n)), pa.array(counts, pa.int64()), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.binary()))], schema.names)
+            row += n
+
+    return docs.mapInArrow(run, schema)
+
+
+def _dealt_join(left: DataFrame, right: DataFrame, on: list[str], deal: Column) -> DataFrame:
+    """Inner join whose hot keys of ``left`` (at most HOT_SHARE) are dealt over SHARES tasks."""
+    total = left.count()
+    hot = F.broadcast(left.groupBy(*on).agg(F.count(F.lit(1)).alias("__times"))
+                      .where((F.col("__times") * HOT_SHARE >= total) & (F.col("__times") >= HOT_ROWS))
+                      .select(*on, F.lit(True).alias("__hot")))
+    every = F.sequence(F.lit(0), F.lit(SHARES - 1))
+    a = left.join(hot, on, "left").withColumn(
+        "__share", F.when(F.col("__hot"), F.pmod(deal, F.lit(SHARES)).cast("int")).otherwise(0)).drop("__hot")
+    b = right.join(hot, on, "left").withColumn(
+        "__share", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0))))).drop("__hot")
+    return a.join(b, [*on, "__share"]).drop("__share")
+
 
-    kept = T.StructType([rows.schema[c] for c in keep])
-    return rows.mapInArrow(run, T.StructType([*kept.fields, *T.StructType.fromDDL(_FOUND).fields]))
+_OWNERS = ["__a", "__b", "__n"]
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int = WINDOW,
@@ -164,22 +274,45 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int =
     """``keep`` columns of ``docs`` with __words, __spans (merged hit intervals), __items,
     __n_hit and __contaminated."""
     prepare(docs.sparkSession)
-    rows, blocks = docs, _blocks(benchmark, block_bytes)
-    block = next(blocks, [])
-    while True:
-        after = next(blocks, None)
-        words = frozenset(w for _, ws in block for w in ws)
-        index = PrefixIndex(block, frequencies(docs, words) if words else {}, size)
-        if after is None:
-            rows = _search(rows, index, keep)
-            break
-        # more blocks to come: the text goes along, and the lineage is cut
-        rows = saved(_search(rows, index, docs.columns), "block-hits")
-        block = after
-    hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
-    rows = rows.withColumn("__n_hit", hit)
-    return rows.withColumn("__contaminated",
-                           (F.col("__n_hit") > 0) & (F.col("__n_hit") * SHARE >= F.col("__words")))
+    ranks = frequencies(docs, bitmap(_benchmark_words(benchmark)))
+    found = saved(item_windows(benchmark, ranks, size).distinct(), "item-windows")
+    # a set of items is known by two sums of hashes and its size
+    item = F.col("item")
+    windows = saved(found.groupBy("words", "key", "first", "at").agg(
+        F.coalesce(F.bit_xor(F.when(item.isNotNull(), F.xxhash64(item))), F.lit(0)).alias("__a"),
+        F.coalesce(F.bit_xor(F.when(item.isNotNull(), F.xxhash64(F.lit("b"), item))), F.lit(0)).alias("__b"),
+        F.count(item).alias("__n")), "windows")
+    owners = (windows.where("__n > 0").groupBy(*_OWNERS).agg(F.min("words").alias("words"))
+              .join(found.where(item.isNotNull()).select("words", "item"), "words").select(*_OWNERS, "item"))
+    rows = saved(candidates(docs, keep, bitmap(windows.select("first")), bitmap(windows.select("key")), size,
+                            block_bytes), "candidates")
+
+    near = rows.where("__key IS NOT NULL").select("__row", F.col("__key").alias("key"), "__p", "__c", "__near")
+    start = F.col("__c") - F.col("at") + 1
+    here = F.slice("__near", F.greatest(start, F.lit(1)), F.size("words"))
+    s = F.col("__p") - F.col("at")
+    hits = saved(_dealt_join(near, windows.drop("first"), ["key"], F.xxhash64("__row", "__p"))
+                 .where((start >= 1) & (here == F.col("words")))
+                 .select("__row", s.alias("s"), (s + F.size("words")).alias("e"), *_OWNERS).distinct(), "hits")
+
+    in_row = Window.partitionBy("__row").orderBy("s", "e")
+    before = F.max("e").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (hits.select("__row", "s", "e").distinct()
+             .withColumn("new", F.coalesce(F.col("s") > before, F.lit(True)).cast("int"))
+             .withColumn("run", F.sum("new").over(in_row.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy("__row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+             .groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("__spans"),
+                                   F.sum(F.col("e") - F.col("s")).alias("__n_hit")))
+    sets = hits.where("__n > 0").select("__row", *_OWNERS).distinct()
+    items = (_dealt_join(sets, owners, _OWNERS, F.xxhash64("__row")).select("__row", "item").distinct()
+             .groupBy("__row").agg(F.collect_list("item").alias("__items")))
+    out = (rows.where("__key IS NULL").select(*keep, "__row", "__words")
+           .join(spans, "__row", "left").join(items, "__row", "left").drop("__row")
+           .withColumn("__n_hit", F.coalesce("__n_hit", F.lit(0).cast("long")))
+           .withColumn("__spans", F.coalesce("__spans", F.array().cast("array<struct<s:long,e:long>>")))
+           .withColumn("__items", F.coalesce("__items", F.array().cast("array<string>"))))
+    return out.withColumn("__contaminated",
+                          (F.col("__n_hit") > 0) & (F.col("__n_hit") * SHARE >= F.col("__words")))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
