@@ -46,8 +46,8 @@ BLOCK_BYTES = 8 << 20
 SHARE = 20
 #: A word with this share of all document frequencies keeps its exact rank.
 RANKED = 1 << 18
-#: Bits of a bitmap: 64 a key, at least and at most two to these powers.
-MIN_BITS, MAX_BITS = 16, 27
+#: Bits of a bitmap: so many a key, at least and at most two to these powers.
+BITS_A_KEY, MIN_BITS, MAX_BITS = 128, 16, 27
 #: A join key with this share of all rows (and at least so many) is dealt over tasks.
 HOT_SHARE, HOT_ROWS, SHARES = 1_024, 4_096, 32
 #: Rows of one batch that a task hands out.
@@ -77,27 +77,33 @@ def pair_keys(first: np.ndarray, second: np.ndarray, distance: np.ndarray | int)
 
 
 class Bitmap:
-    """A set of 64-bit hashes by their leading bits: false positives, no false negatives."""
+    """A set of 64-bit hashes by two places each: false positives, no false negatives."""
 
     def __init__(self, power: int, slots: np.ndarray, bits: np.ndarray):
-        self.shift = np.uint64(64 - power)
+        self.power = power
         self.words = np.zeros(1 << (power - 6), np.uint64)
         self.words[slots] = bits.astype(np.uint64)
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        place = hashes >> self.shift
+    def _at(self, place: np.ndarray) -> np.ndarray:
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the leading and the trailing bits of each hash are set."""
+        found = self._at(hashes >> np.uint64(64 - self.power))
+        left = np.flatnonzero(found)
+        found[left] = self._at(hashes[left] & np.uint64((1 << self.power) - 1))
+        return found
+
 
 def bitmap(hashes: DataFrame) -> Bitmap:
     """The bitmap of a one-column table of hashes, put together by Spark."""
     h = F.col(hashes.columns[0])
     n = hashes.agg(F.approx_count_distinct(h)).first()[0]
-    power = min(MAX_BITS, max(MIN_BITS, (64 * n).bit_length()))
-    place = F.shiftrightunsigned(h, 64 - power)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    got = (hashes.select(F.shiftright(place, 6).alias("slot"), bit.alias("bit"))
-           .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
+    power = min(MAX_BITS, max(MIN_BITS, (BITS_A_KEY * n).bit_length()))
+    places = F.array(F.shiftrightunsigned(h, 64 - power), h.bitwiseAND(F.lit((1 << power) - 1)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(63).cast("int"))
+    got = (hashes.select(F.explode(places).alias("place"))
+           .groupBy(F.shiftright("place", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow())
     return Bitmap(power, got.column("slot").to_numpy(), got.column("bits").to_numpy())
 
 
