@@ -259,11 +259,15 @@ def candidates(docs: DataFrame, keep: list[str], firsts: Bitmap, pairs: Bitmap,
 
 
 def _dealt_join(left: DataFrame, right: DataFrame, on: list[str], deal: Column) -> DataFrame:
-    """Inner join whose hot keys of ``left`` (at most HOT_SHARE) are dealt over SHARES tasks."""
+    """Inner join whose hot keys of ``left`` are dealt over SHARES tasks.  At most HOT_SHARE
+    keys can be hot, so they come to the driver; without any, Spark plans a plain join."""
     total = left.count()
-    hot = F.broadcast(left.groupBy(*on).agg(F.count(F.lit(1)).alias("__times"))
-                      .where((F.col("__times") * HOT_SHARE >= total) & (F.col("__times") >= HOT_ROWS))
-                      .select(*on, F.lit(True).alias("__hot")))
+    times = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__times"))
+    keys = times.where((F.col("__times") * HOT_SHARE >= total) & (F.col("__times") >= HOT_ROWS)).select(*on).collect()
+    if not keys:
+        return left.join(right, on)
+    schema = T.StructType([left.schema[c] for c in on])
+    hot = F.broadcast(left.sparkSession.createDataFrame(keys, schema).withColumn("__hot", F.lit(True)))
     every = F.sequence(F.lit(0), F.lit(SHARES - 1))
     a = left.join(hot, on, "left").withColumn(
         "__share", F.when(F.col("__hot"), F.pmod(deal, F.lit(SHARES)).cast("int")).otherwise(0)).drop("__hot")
