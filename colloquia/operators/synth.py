@@ -45,10 +45,12 @@ def system_prompt(model: str) -> str:
 
 def tidy_output(c: Column) -> Column:
     """Strip, drop ``<think>...</think>`` blocks, strip one surrounding quote pair."""
-    t = T.strip(F.regexp_replace(T.strip(c), "(?s)<think>.*?</think>", ""))
-    quoted = ((F.length(t) >= 2) & F.substring(t, 1, 1).isin(*OPEN_QUOTES)
-              & F.substring(t, -1, 1).isin(*CLOSE_QUOTES))
-    return F.when(quoted, T.strip(t.substr(F.lit(2), F.length(t) - F.lit(2)))).otherwise(t)
+    def unquoted(t: Column) -> Column:
+        quoted = ((F.length(t) >= 2) & F.substring(t, 1, 1).isin(*OPEN_QUOTES)
+                  & F.substring(t, -1, 1).isin(*CLOSE_QUOTES))
+        return F.when(quoted, T.strip(t.substr(F.lit(2), F.length(t) - F.lit(2)))).otherwise(t)
+
+    return T.bound(T.strip(F.regexp_replace(T.strip(c), "(?s)<think>.*?</think>", "")), unquoted)
 
 
 def reply_tidy(c: Column) -> Column:
@@ -107,8 +109,8 @@ def backtranslate(df: DataFrame, factory: TranslatorFactory, model: str,
 
 def pairs_from_translations(raw: DataFrame) -> DataFrame:
     """Successful, non-trivial translations as pairs (FI side is the original)."""
-    en = tidy_output(F.col("en_raw"))
-    ok = raw.where(F.col("error").isNull() & F.col("en_raw").isNotNull()).withColumn("en", en)
+    ok = raw.where(F.col("error").isNull() & F.col("en_raw").isNotNull())
+    ok = T.compute_once(ok, ["id", "fi"], en=tidy_output(F.col("en_raw")))
     return ok.where(F.length("en") >= 2).select(
         F.lit(SYNTH_SOURCE).alias("source"),
         F.concat(F.lit(SYNTH_PREFIX), F.col("id")).alias("id"),
