@@ -207,6 +207,7 @@ def chunked_scan(df: DataFrame, group_cols: Sequence[str], chunk_col: str, pos_c
     if chunk_block is None:
         summary = _carried(summary, g, chunk_col, bool(fill_col))
     else:
+        summary = reliable_checkpoint(summary)   # read twice, and each time it would scan the rows
         blocked = summary.withColumn("_cs_b", F.floor(F.col(chunk_col) / F.lit(chunk_block)))
         sums = [F.sum("_cs_n").alias("_cs_n")]
         if fill_col:
