@@ -54,14 +54,18 @@ def _key(cols: Sequence[Column]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The bytes of the files that ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)   # a checkpointed table has no known size
+
+
 def range_count(df: DataFrame) -> int:
     """Partitions for a range shuffle of ``df``, from the bytes of its inputs (at least
     spark.sql.shuffle.partitions)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = sum(x for x in sizes if x < 1 << 60)   # a checkpointed table has no known size
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, least, known // BYTES_PER_PARTITION)
+    return max(1, least, input_bytes(df) // BYTES_PER_PARTITION)
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str | Column], index_col: str = "idx",

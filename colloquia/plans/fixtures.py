@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import explode_lines
-from colloquia.operators.order import dense_index
+from colloquia.operators.order import dense_index, input_bytes
 from colloquia.session import table  # noqa: F401  (re-exported)
 
 
@@ -64,6 +64,18 @@ def line_pairs(docs: DataFrame) -> DataFrame:
 DOC_BLOCK = 4_096   # document ids whose titles are carried together
 
 
+BYTES_PER_FILE = 16 << 20   # of the tables' files behind one file of a stream's input
+
+
+def stream_input(df: DataFrame, path: str, form: str) -> int:
+    """Write a stream's input, to arrive in two batches; returns the files of a batch.
+
+    Files follow the input's size, so none is written by a task that gets half the rows."""
+    n = max(1, input_bytes(df) // (2 * BYTES_PER_FILE))
+    df.repartition(2 * n).write.format(form).save(path)
+    return n
+
+
 def seed_view(docs: DataFrame) -> DataFrame:
     """``file, artist, chunk, pos, line``: the seed-file view of the documents."""
     title = F.when(F.col("lang") == "de", F.lit("#")).otherwise(

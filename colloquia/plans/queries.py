@@ -891,10 +891,10 @@ def q_fi_text_union(spark, sf):
 @query("stream_pair_clean", O.sql("SELECT * FROM pairs_opus", "pairs_opus"))
 def q_stream_pair_clean(spark, sf):
     src = scratch_path(spark, "stream-pairs-in")
-    fx.line_pairs_of(spark, sf).repartition(2).write.parquet(src)
+    files = fx.stream_input(fx.line_pairs_of(spark, sf), src, "parquet")
     return ST.stream_pair_clean(spark, src, FLAT_SCHEMA, scratch_path(spark, "stream-pairs-out"),
                                 scratch_path(spark, "stream-pairs-ckpt"), "opus_100",
-                                max_files=1).select("source", "id", "en", "fi", "register", "pos")
+                                max_files=files).select("source", "id", "en", "fi", "register", "pos")
 
 
 @query("stream_synth_resume", O.sql(f"""
@@ -907,23 +907,23 @@ def q_stream_synth_resume(spark, sf):
     lines = _synth_source(spark, sf)
     _run1(lines).write.option("ignoreNullFields", "false").json(os.path.join(out, "batch=-1"))
     src = scratch_path(spark, "stream-synth-in")
-    lines.repartition(2).write.json(src)
+    files = fx.stream_input(lines, src, "json")
     schema = T.StructType([T.StructField("id", T.StringType()),
                            T.StructField("fi", T.StringType()),
                            T.StructField("idx", T.LongType())])
     return ST.stream_synth_resume(spark, src, schema, out, scratch_path(spark, "stream-synth-ckpt"),
-                                  fx.mirror_translator_factory, SYNTH_MODEL, max_files=1)
+                                  fx.mirror_translator_factory, SYNTH_MODEL, max_files=files)
 
 
 @query("stream_dedup", O.sql("SELECT DISTINCT lower(line) AS key FROM dl", "dl"))
 def q_stream_dedup(spark, sf):
     src = scratch_path(spark, "stream-lines-in")
-    fx.doc_lines(fx.documents(spark, sf)).repartition(2).write.parquet(src)
+    files = fx.stream_input(fx.doc_lines(fx.documents(spark, sf)), src, "parquet")
     schema = T.StructType([T.StructField("doc_id", T.LongType()),
                            T.StructField("source", T.StringType()),
                            T.StructField("lang", T.StringType()),
                            T.StructField("line_no", T.IntegerType()),
                            T.StructField("line", T.StringType())])
     out = ST.stream_dedup(spark, src, schema, "line", scratch_path(spark, "stream-dedup-out"),
-                          scratch_path(spark, "stream-dedup-ckpt"), max_files=1)
+                          scratch_path(spark, "stream-dedup-ckpt"), max_files=files)
     return out.select("key")
