@@ -24,6 +24,7 @@ import pyarrow as pa
 #: Pairs kept as candidates, and pairs looked at in one round.
 CANDIDATES, ROUND_PAIRS = 4_096, 512
 WORDS_HELD = 1 << 18   # distinct words that a task merges in memory
+PIECES_HELD = 1 << 18   # pieces of texts that a task encodes together
 SEP, GONE = -1, -2
 _LOW = (1 << 32) - 1
 
@@ -294,25 +295,49 @@ def _in_tables(parts: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]
         yield held
 
 
+def _in_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose lists (the last column) hold about PIECES_HELD items."""
+    n = batch.column(batch.num_columns - 1).value_lengths().fill_null(0).to_numpy()
+    part = np.cumsum(n) // PIECES_HELD
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 def encoded(shared):
     """(key columns, pieces) to (key columns, tokens).  ``shared`` has the alphabet's code
     points in order, the first letter's id, the tokens by id and the merges' ids."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points, first, tokens, merges, unk = shared.value
-        for b in parts:
+        spelling = pa.array([*tokens, unk])
+        known_words: dict[str, bytes] = {}
+        for b in (s for part in parts for s in _in_slices(part)):
             pieces = b.column(b.num_columns - 1)
-            words = pieces.flatten().unique().to_pylist()
+            coded = pieces.flatten().dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            if len(known_words) > WORDS_HELD:
+                known_words.clear()
+            new = [w for w in words if w not in known_words]
             cells = []
-            for w in words:
+            for w in new:
                 letters = np.frombuffer(w.encode("utf-32-le"), "<u4")
                 at, known = _among(letters, points)
                 # an unknown letter has an id beyond all tokens, which no merge has
                 cells.append(np.where(known, at + first, len(tokens)).astype(np.int32).tobytes())
             held = Words(cells, np.ones(len(cells), np.int64))
             held.merge_all(merges, first + len(points))
-            of = {w: [tokens[i] if i < len(tokens) else unk for i in np.frombuffer(c, np.int32).tolist()]
-                  for w, c in zip(words, held.cells()[0])}
-            out = [None if x is None else [t for w in x for t in of[w]] for x in pieces.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(pa.string()))], names=[*b.schema.names[:-1], "tokens"])
+            known_words.update(zip(new, held.cells()[0]))
+            cells = [known_words[w] for w in words]
+            ids = np.frombuffer(b"".join(cells), np.int32)
+            sizes = np.array([len(c) // 4 for c in cells], np.int64)
+            at = coded.indices.to_numpy()
+            n = sizes[at]   # tokens of every piece
+            ends = np.concatenate(([0], np.cumsum(n)))
+            from_word = np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], n)
+            out = spelling.take(pa.array(ids[from_word + np.arange(ends[-1])]))
+            rows = np.concatenate(([0], np.cumsum(pieces.value_lengths().fill_null(0).to_numpy())))
+            lists = pa.ListArray.from_arrays(pa.array(ends[rows], pa.int32()), out, mask=pieces.is_null())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], lists], names=[*b.schema.names[:-1], "tokens"])
 
     return run

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -162,9 +163,15 @@ def mapped_tokens(spark, kind: str, lookup):
     gives a token's value."""
     ship_package(spark)
 
-    @F.pandas_udf(f"array<{kind}>")
-    def run(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda ts: [lookup(t, t.lower()) for t in ts], na_action="ignore")
+    of_kind = {"int": pa.int32(), "string": pa.string()}[kind]
+
+    @F.arrow_udf(f"array<{kind}>")
+    def run(arrays: pa.Array) -> pa.Array:
+        # Python sees a batch's distinct tokens only; the others stay in Arrow's memory
+        coded = arrays.flatten().dictionary_encode()
+        values = pa.array([lookup(t, t.lower()) for t in coded.dictionary.to_pylist()], of_kind).take(coded.indices)
+        ends = np.cumsum(arrays.value_lengths().fill_null(0).to_numpy())
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), values, mask=arrays.is_null())
 
     return run
 
