@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquia.llm.common import batches, prepare, raw_text, saved
+from colloquia.llm.common import batches, marked_rows, prepare, raw_text, saved
 from colloquia.llm.licenses import words_of
 
 WINDOW = 13
@@ -279,10 +279,10 @@ def _dealt_join(left: DataFrame, right: DataFrame, on: list[str], deal: Column)
 _OWNERS = ["__a", "__b", "__n"]
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int = WINDOW,
-             block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``keep`` columns of ``docs`` with __words, __spans (merged hit intervals), __items,
-    __n_hit and __contaminated."""
+def _search(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int,
+            block_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """One row per row of ``docs`` (``keep`` columns, __row, __words); by __row, of rows that are
+    hit, __spans and __n_hit; the places of windows; the items by set of items."""
     prepare(docs.sparkSession)
     ranks = frequencies(docs, bitmap(_benchmark_words(benchmark)))
     found = saved(item_windows(benchmark, ranks, size).distinct(), "item-windows")
@@ -313,16 +313,26 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int =
              .groupBy("__row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
              .groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("__spans"),
                                    F.sum(F.col("e") - F.col("s")).alias("__n_hit")))
+    return rows.where("__key IS NULL").select(*keep, "__row", "__words"), spans, hits, owners
+
+
+def _contaminated() -> Column:
+    return (F.col("__n_hit") > 0) & (F.col("__n_hit") * SHARE >= F.col("__words"))
+
+
+def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int = WINDOW,
+             block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``keep`` columns of ``docs`` with __words, __spans (merged hit intervals), __items,
+    __n_hit and __contaminated."""
+    rows, spans, hits, owners = _search(docs, benchmark, keep, size, block_bytes)
     sets = hits.where("__n > 0").select("__row", *_OWNERS).distinct()
     items = (_dealt_join(sets, owners, _OWNERS, F.xxhash64("__row")).select("__row", "item").distinct()
              .groupBy("__row").agg(F.collect_list("item").alias("__items")))
-    out = (rows.where("__key IS NULL").select(*keep, "__row", "__words")
-           .join(spans, "__row", "left").join(items, "__row", "left").drop("__row")
+    out = (rows.join(spans, "__row", "left").join(items, "__row", "left").drop("__row")
            .withColumn("__n_hit", F.coalesce("__n_hit", F.lit(0).cast("long")))
            .withColumn("__spans", F.coalesce("__spans", F.array().cast("array<struct<s:long,e:long>>")))
            .withColumn("__items", F.coalesce("__items", F.array().cast("array<string>"))))
-    return out.withColumn("__contaminated",
-                          (F.col("__n_hit") > 0) & (F.col("__n_hit") * SHARE >= F.col("__words")))
+    return out.withColumn("__contaminated", _contaminated())
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -337,4 +347,7 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
-    return annotate(docs, benchmark, docs.columns).where("NOT __contaminated").select(*docs.columns)
+    rows, spans, _, _ = _search(docs, benchmark, docs.columns, WINDOW, BLOCK_BYTES)
+    # the verdicts come from narrow rows; the texts are filtered by them, not joined
+    bad = rows.select("__row", "__words").join(spans.select("__row", "__n_hit"), "__row").where(_contaminated())
+    return marked_rows(rows, "__row", bad.select("__row"), inside=False).select(*docs.columns)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquia.llm.common import batches, prepare, raw_text, saved
+from colloquia.llm.common import batches, marked_rows, prepare, raw_text, saved
 from colloquia.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -208,4 +208,4 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, seed: int = HASH_SEED,
     distinct = saved(fingerprints(rows, k, seed, F.col(key)).groupBy("fp").agg(F.min(order).alias("first")),
                      "distinct-fps")
     keep = _members(distinct, max_bits).groupBy("root").agg(F.min("first").alias("first"))
-    return rows.join(keep.select(F.col("first.row").alias(key)), key, "left_semi").select(*docs.columns)
+    return marked_rows(rows, key, keep.select(F.col("first.row").alias(key))).select(*docs.columns)
