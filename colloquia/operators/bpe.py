@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from colloquia.operators import bpe_rounds as R
 from colloquia.operators.bpe_choice import choose_merges  # noqa: F401  (re-exported)
+from colloquia.operators.order import before, cut_key
 from colloquia.session import path_exists, reliable_checkpoint, ship_package
 
 # The reference's BPE training settings.
@@ -45,8 +46,11 @@ UNK = "<UNK>"
 # Unicode white space, as the pre-tokeniser's \\s.
 SPACES = "\\t-\\r\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 TRIE_DEPTH = 48   # characters of an entry that the segmenter's expression nests
-PAIRS, MAX_PAIRS = 1 << 14, 1 << 18   # pairs taken in the first step and at most
-SEGMENTS = 1 << 20   # distinct segments that the driver merges in a step
+# Pairs taken in the first step and at most.  The first steps take few: words that are not
+# merged yet are nearly all distinct segments of the common pairs, merged ones share a few.
+PAIRS, MAX_PAIRS = 1 << 8, 1 << 18
+SEGMENTS = 1 << 18   # distinct segments that the driver merges in a step
+FEW_PAIRS = 1 << 16   # so many counted pairs are sent without looking for the cut
 
 
 def pretokenize(text: Column) -> Column:
@@ -100,6 +104,16 @@ def _train(words: DataFrame, vocab_size: int, min_frequency: int, specials: Sequ
     return BpeModel(vocab=vocab, merges=merges)
 
 
+def best_pairs(counted: DataFrame, n: int) -> list[tuple[int, int]]:
+    """The first ``n`` of the ranking as (count, pair).  Only these (or a table of FEW_PAIRS)
+    come to the driver: a top-k would send it as many from every task."""
+    if counted.count() > max(n, FEW_PAIRS):
+        order = [-F.col("n"), F.col("pair")]
+        counted = counted.where(before(counted, order, cut_key(counted, order, n - 1), or_at=True))
+    rows = counted.select("n", "pair").toArrow()
+    return sorted(zip(rows.column("n").to_pylist(), rows.column("pair").to_pylist()), key=lambda x: (-x[0], x[1]))[:n]
+
+
 def _merges(words: DataFrame, letters: list[str], first: int, limit: int, min_frequency: int) -> list[tuple[int, int]]:
     """Merges as (left id, right id); ``first`` is the id of the first letter."""
     spark = words.sparkSession
@@ -112,9 +126,9 @@ def _merges(words: DataFrame, letters: list[str], first: int, limit: int, min_fr
     n_pairs = PAIRS
     table = reliable_checkpoint(table)
     while True:
-        counted = table.mapInArrow(R.pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-        top = [(r["n"], r["pair"]) for r in
-               counted.where(F.col("n") >= min_frequency).orderBy(F.col("n").desc(), "pair").limit(n_pairs + 1).collect()]
+        counted = reliable_checkpoint(table.mapInArrow(R.pair_counts, "pair long, n long").groupBy("pair").agg(
+            F.sum("n").alias("n")).where(F.col("n") >= min_frequency))
+        top = best_pairs(counted, n_pairs + 1)
         while True:
             stop = top[n_pairs] if len(top) > n_pairs else None
             taken = share(np.sort(np.array([p for _, p in top[:n_pairs]], np.int64)))
