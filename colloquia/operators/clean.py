@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.order import before, chunked_scan, cut_key, dense_index
+from colloquia.session import drop_table, scratch_path, write_table
 
 # The reference's UI-cruft and bracket-tag patterns.
 CRUFT = "(?iu)\\p{Nd}*Embed$|You might also like|Lyrics$"
@@ -108,8 +109,12 @@ def flavor_corpus(seed_lines: DataFrame, source: str = "genius_rap",
     body = (T.compute_once(titled.where(~F.col("is_title")),
                            ["file", "chunk", "pos", "artist", "title"], fi=clean_chain(F.col("s")))
             .where(kept_line(F.col("fi")) & (F.length("fi") >= MIN_FLAVOR_LEN)))
-    first = dedup_first(body, "fi", ["file", "chunk", "pos"])
+    # written between the shuffles of the titles and of the numbering, so that they are not on
+    # disk together; what is numbered is a table of its own
+    spark, path = seed_lines.sparkSession, scratch_path(seed_lines.sparkSession, "flavor-first")
+    first = write_table(dedup_first(body, "fi", ["file", "chunk", "pos"]), path)
     numbered = dense_index(first, ["file", "chunk", "pos"], "idx")
+    drop_table(spark, path)
     return numbered.select(
         F.lit(source).alias("source"),
         F.concat(F.lit(f"{source}-"), F.col("idx").cast("string")).alias("id"),

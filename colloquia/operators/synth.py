@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from colloquia.functions import text as T
 from colloquia.operators.clean import first_n
-from colloquia.session import path_exists, reliable_checkpoint, scratch_path, ship_package
+from colloquia.session import (drop_table, path_exists, reliable_checkpoint, scratch_path, ship_package,
+                               write_table)
 
 SYSTEM_PROMPT = (
     "Translate one line of spoken Finnish into plain everyday English. Reply with the "
@@ -30,6 +31,7 @@ MAX_TOKENS = 1024
 TEMPERATURE = 0.2
 REASONING_EFFORT = "low"
 SLICES = 8   # parts of a run that are committed one after another
+FILE_ROWS = 1 << 19   # rows of one file of pairs
 SYNTH_SOURCE, SYNTH_REGISTER, SYNTH_PREFIX = "rap_synthetic", "puhekieli", "synth-"
 # Quote characters the tidier may strip (opening, closing).
 OPEN_QUOTES = ('"', "'", "“", "‘")
@@ -197,21 +199,39 @@ def run_synthesis(spark: SparkSession, source: DataFrame, out_path: str,
         existing = read_jsonl(spark, out_path, existing_schema or PAIR_SCHEMA)
     # the rows of this run are fixed before any slice adds to the output
     path = scratch_path(spark, "synthesis-todo")
-    todo = plan_batch(source, existing, limit, order_col, dense).withColumn(
-        "_slice", F.pmod(F.xxhash64("id"), F.lit(slices)))
-    todo.write.partitionBy("_slice").parquet(path)   # a slice reads its own files only
-    todo = spark.read.schema(todo.schema).parquet(path)
+    todo = plan_batch(source, existing, limit, order_col, dense).select(
+        "id", "fi", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("_slice"))
+    todo = write_table(todo, path, ["_slice"])   # a slice reads its own files only
     n = 0
     for k in range(slices):
-        # the translator is called once per row, then both outputs are written
-        raw = reliable_checkpoint(backtranslate(todo.where(F.col("_slice") == k), factory, model))
-        n += write_translations(raw, out_path, errors_path(out_path), "append")
+        n += translate_into(todo.where(F.col("_slice") == k), factory, model, out_path, errors_path(out_path), "append")
+        drop_table(spark, f"{path}/_slice={k}")   # it is committed
+    return n
+
+
+def translate_into(todo: DataFrame, factory: TranslatorFactory, model: str, out_path: str,
+                   err_path: str, mode: str) -> int:
+    """Translate rows and write their pairs and failures; returns the pairs' number.
+
+    The translator is called once per row: its answers are written, read for both outputs
+    and dropped when these are committed."""
+    path = scratch_path(todo.sparkSession, "translated")
+    n = write_translations(write_table(backtranslate(todo, factory, model), path), out_path, err_path, mode)
+    drop_table(todo.sparkSession, path)
     return n
 
 
 def write_translations(raw: DataFrame, out_path: str, err_path: str, mode: str) -> int:
     """Write the pairs and the failures of translated rows; returns the pairs' number."""
-    new = pairs_from_translations(raw)
     raw.where(F.col("error").isNotNull()).select("id", "fi", "error").write.mode(mode).json(err_path)
-    new.write.mode(mode).option("ignoreNullFields", "false").json(out_path)
-    return new.count()
+    return write_pairs(pairs_from_translations(raw), out_path, mode)
+
+
+def write_pairs(pairs: DataFrame, path: str, mode: str) -> int:
+    """Write pairs as gzipped JSON Lines, in files of bounded length (a gzipped file is read
+    by one task); returns their number."""
+    obs = Observation("pairs")
+    (pairs.observe(obs, F.count(F.lit(1)).alias("rows"))
+          .write.mode(mode).option("ignoreNullFields", "false").option("maxRecordsPerFile", FILE_ROWS)
+          .json(path, compression="gzip"))
+    return int(obs.get["rows"])

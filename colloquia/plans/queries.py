@@ -26,7 +26,7 @@ from colloquia.operators.register import marker_counts, register_rate, score_tex
 from colloquia.plans import fixtures as fx
 from colloquia.plans import oracle as O
 from colloquia.plans import stages
-from colloquia.session import model_folder, reliable_checkpoint, scratch_path
+from colloquia.session import drop_scratch, model_folder, reliable_checkpoint, scratch_path
 from colloquia.sources import registry as R
 from colloquia.sources import seed as seed_src
 from colloquia.sources.jsonl import FLAVOR_SCHEMA, PAIR_SCHEMA, read_jsonl, write_jsonl
@@ -190,8 +190,8 @@ def flavor_from_documents(spark, sf) -> DataFrame:
 
 
 def written_flavor(spark, sf) -> DataFrame:
-    """The flavor corpus as a later stage finds it: written once, read several times."""
-    return reliable_checkpoint(flavor_from_documents(spark, sf))
+    """The flavor corpus as a later stage finds it: written once (by its numbering), read several times."""
+    return flavor_from_documents(spark, sf)
 
 
 def _flat_flavor(df: DataFrame) -> DataFrame:
@@ -905,9 +905,10 @@ def q_stream_synth_resume(spark, sf):
     """Earlier output (run of 500 lines) exists; the stream covers every line."""
     out = scratch_path(spark, "stream-synth-out")
     lines = _synth_source(spark, sf)
-    _run1(lines).write.option("ignoreNullFields", "false").json(os.path.join(out, "batch=-1"))
+    S.write_pairs(_run1(lines), os.path.join(out, "batch=-1"), "errorifexists")
     src = scratch_path(spark, "stream-synth-in")
     files = fx.stream_input(lines, src, "json")
+    drop_scratch(lines)   # all of them are in the stream's input
     schema = T.StructType([T.StructField("id", T.StringType()),
                            T.StructField("fi", T.StringType()),
                            T.StructField("idx", T.LongType())])
