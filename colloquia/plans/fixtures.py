@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from colloquia.functions import text as T
 from colloquia.operators.clean import explode_lines
 from colloquia.operators.order import dense_index, input_bytes
-from colloquia.session import table  # noqa: F401  (re-exported)
+from colloquia.session import shuffles_dropped, table  # noqa: F401  (re-exported)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,8 @@ def stream_input(df: DataFrame, path: str, form: str) -> int:
 
     Files follow the input's size, so none is written by a task that gets half the rows."""
     n = max(1, input_bytes(df) // (2 * BYTES_PER_FILE))
-    df.repartition(2 * n).write.format(form).save(path)
+    with shuffles_dropped(df.sparkSession):
+        df.repartition(2 * n).write.format(form).option("compression", "gzip" if form == "json" else "zstd").save(path)
     return n
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from colloquia.operators.clean import pair_clean
 from colloquia.operators import synth as S
-from colloquia.session import path_exists, reliable_checkpoint, ship_package
+from colloquia.session import SHUFFLE_CLEANUP, path_exists, reliable_checkpoint, ship_package
 from colloquia.sources.jsonl import PAIR_SCHEMA
 
 
@@ -57,6 +57,7 @@ def _stateful_session(spark: SparkSession) -> SparkSession:
     for conf in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
         own.conf.set(conf, spark.conf.get(conf))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set(SHUFFLE_CLEANUP, "true")   # a batch's shuffle is not kept beside the next one's
     return own
 
 
@@ -85,8 +86,7 @@ def stream_synth_resume(spark: SparkSession, in_path: str, schema: T.StructType,
 
     def handle(batch: DataFrame, name: str) -> None:
         todo = S.plan_batch(batch, done_ids(), None)   # no limit: every arriving row
-        raw = reliable_checkpoint(S.backtranslate(todo, factory, model))
-        S.write_translations(raw, os.path.join(out_path, name), os.path.join(err_path, name), "overwrite")
+        S.translate_into(todo, factory, model, os.path.join(out_path, name), os.path.join(err_path, name), "overwrite")
 
     if path_exists(out_path) and not path_exists(checkpoint):   # output of a batch run
         spark.read.schema(PAIR_SCHEMA).json(os.path.join(out_path, "*")).select("id").write.mode("overwrite").parquet(
