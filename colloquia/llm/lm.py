@@ -14,10 +14,16 @@ Training (documents outside fold 0):
   n-grams are dealt over all buckets by their own hash, and the statistics of its contexts
   and its lower-order n-grams are sent on, one order a stage.  The last stage sums the
   continuation counts of words.
+* A task merges the buckets of one part (up to ``PART_BUCKETS`` each), one after another.
+  It appends their arrays to the files of the part, and sums what it has for other buckets
+  before it sends that.  So neither the rows between stages nor the files grow with the
+  square of the buckets, which follow the corpus.
 * The driver gets counts of counts per order only, for the discounts.
 
-Scoring: for each order, keys are looked up by binary search in the bucket's mapped
-arrays.  A retried task writes the same files under the same names (rename is atomic).
+Scoring: for each order, keys are looked up by binary search in the part's mapped arrays.
+The leading bits of a key are its bucket, so the keys of a part are sorted as a whole; a
+key is compared by its bucket and the other bits of its hash.  A retried task writes the
+same files under the same names (rename is atomic).
 
 The shared folder must be mounted on every executor (``file:`` scheme): only then can
 it be mapped.  More than 2^32 - 2 word ids are refused.
@@ -51,6 +57,10 @@ HOT = 512
 CHUNK_TOKENS = 1 << 22
 #: Tokens of one bucket (at eight bytes of text), which one task merges in memory.
 BUCKET_TOKENS = 1 << 21
+#: Buckets of a part at most, unless there are more cores than parts.
+PART_BUCKETS = 1 << 6
+#: Bytes of columns that a task sums before it sends them.
+SENT_BYTES = 1 << 25
 #: Arrays of so many keys or more store their keys without the leading 16 bits.
 INDEXED_KEYS = 1 << 17
 END = xxhash.xxh64_intdigest(b"\n</s>")
@@ -112,6 +122,11 @@ def _of_word(ids: np.ndarray, bits: int) -> np.ndarray:
     return _bucket(mix(ids.astype(np.uint64), np.uint64(0)), bits)
 
 
+def _placed(bucket: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
+    """Keys whose leading bits are their bucket."""
+    return (bucket.astype(np.uint64) << np.uint64(64 - bits)) | (key >> np.uint64(bits))
+
+
 class Hot:
     """Membership in the hot words, at most HOT ids."""
 
@@ -160,14 +175,27 @@ def _dealt(bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[tuple[int, li
         yield int(bucket[part[0]]), [c[part] for c in cols]
 
 
-def _blobs(kind: str, level: int, bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _blobs(kind: str, level: int, bucket: np.ndarray, cols: list[np.ndarray]) -> Iterator[tuple]:
     for k, own in _dealt(bucket, cols):
-        yield _row(kind, level, k, pack(own))
+        yield kind, level, k, pack(own)
+
+
+def _sent(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about a megabyte."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[-1])
+        if size >= 1 << 20 or len(held) == 1_000:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
 
 
-def _row(kind: str, level: int, bucket: int, cells: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([level], pa.int32()), pa.array([bucket], pa.int32()),
-                                       pa.array([cells], pa.binary())], _BLOB_NAMES)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], _BLOB_NAMES)
 
 
 # --- distinct rows ----------------------------------------------------------------------
@@ -257,29 +285,156 @@ def _narrow(c: np.ndarray) -> np.ndarray:
     return c.astype(np.min_scalar_type(int(c.max(initial=0))))
 
 
+class Growing:
+    """The file of an array that is written piece by piece."""
+
+    def __init__(self, folder: str, name: str, kind: type):
+        os.makedirs(folder, exist_ok=True)
+        self.path = os.path.join(folder, name + ".npy")
+        self.tmp = os.path.join(folder, f".{name}-{os.getpid()}-{os.urandom(4).hex()}")
+        self.kind, self.size, self.file = np.dtype(kind), 0, open(self.tmp, "wb")
+        self.file.write(bytes(128))
+
+    def add(self, values: np.ndarray) -> None:
+        self.file.write(values.astype(self.kind).tobytes())
+        self.size += len(values)
+
+    def close(self) -> None:
+        head = f"{{'descr': '{self.kind.str}', 'fortran_order': False, 'shape': ({self.size},), }}"
+        self.file.seek(0)
+        self.file.write(b"\x93NUMPY\x01\x00" + (118).to_bytes(2, "little") + head.ljust(117).encode() + b"\n")
+        self.file.close()
+        os.replace(self.tmp, self.path)
+
+
+class Column:
+    """Numbers in a narrow type; those too large for it stand in a table of rows and values."""
+
+    def __init__(self, folder: str, name: str, kind: type, big: str):
+        self.folder, self.big, self.most, self.beyond = folder, big, np.iinfo(kind).max, []
+        self.file = Growing(folder, name, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        at = np.flatnonzero(values >= self.most)
+        self.beyond.append(np.stack([(self.file.size + at).astype(np.uint64), values[at].astype(np.uint64)]))
+        self.file.add(np.minimum(values, self.most))
+
+    def close(self) -> None:
+        self.file.close()
+        _write(self.folder, self.big, np.concatenate(self.beyond, axis=1) if self.beyond else np.zeros((2, 0), np.uint64))
+
+
+class Keys:
+    """Sorted keys; long arrays as the rows where their leading bits begin and 48 bits a key.
+    The leading bits are 16 or more, and so many that some 16 keys share them."""
+
+    def __init__(self, folder: str, name: str):
+        self.folder, self.name, self.held, self.size, self.files = folder, name, [np.zeros(0, np.uint64)], 0, []
+        self.shift, self.leads, self.rows = 0, [], []
+
+    def add(self, keys: np.ndarray) -> None:
+        self.size += len(keys)
+        self.held.append(keys)
+        if self.size < INDEXED_KEYS or not self.size:
+            return
+        keys = np.concatenate(self.held)
+        self.held.clear()
+        if not self.files:
+            self.shift = min(48, (16 * (int(keys[-1]) - int(keys[0]) + 1) // len(keys)).bit_length())
+            self.files = [Growing(self.folder, f"{self.name}-{n}", k) for n, k in (("middle", np.uint32), ("low", np.uint16))]
+        lead = keys >> np.uint64(self.shift)
+        begins = _runs(lead)
+        self.leads.append(lead[begins])
+        self.rows.append(self.size - len(keys) + begins)
+        self.files[0].add(keys >> np.uint64(16))
+        self.files[1].add(keys)
+
+    def close(self) -> None:
+        if not self.files:
+            _write(self.folder, f"{self.name}-keys", np.concatenate(self.held))
+            return
+        leads, rows = np.concatenate(self.leads), np.append(np.concatenate(self.rows), self.size)
+        every = np.arange(int(leads[-1] - leads[0]) + 2).astype(np.uint64) + leads[0]
+        _write(self.folder, f"{self.name}-first", _narrow(rows[np.searchsorted(leads, every)]))
+        _write(self.folder, f"{self.name}-lead", np.array([leads[0], self.shift], np.uint64))
+        for f in self.files:
+            f.close()
+
+
+class Stats:
+    """Statistics of contexts as codes of their distinct values."""
+
+    def __init__(self, folder: str, name: str):
+        self.folder, self.name, self.known, self.codes, self.table = folder, name, np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        self.file = Column(folder, f"{name}-codes", np.uint16, f"{name}-codesbig")
+
+    def add(self, stats: list[np.ndarray]) -> None:
+        total, n1, n2, n3 = (s.astype(np.uint64) for s in stats)
+        values, at, number = np.unique(mix(mix(mix(total, n1), n2), n3), return_index=True, return_inverse=True)
+        row = np.searchsorted(self.known, values)
+        new = np.ones(len(values), bool)
+        inside = np.flatnonzero(row < len(self.known))
+        new[inside] = self.known[row[inside]] != values[inside]
+        codes = np.empty(len(values), np.int64)
+        codes[~new] = self.codes[row[~new]]
+        codes[new] = len(self.known) + np.arange(int(new.sum()))
+        self.table.append(np.stack([s[at[new]] for s in (total, n1, n2, n3)]))
+        self.known = np.concatenate([self.known, values[new]])
+        self.codes = np.concatenate([self.codes, codes[new]])
+        order = np.argsort(self.known)
+        self.known, self.codes = self.known[order], self.codes[order]
+        self.file.add(codes[number])
+
+    def close(self) -> None:
+        self.file.close()
+        _write(self.folder, f"{self.name}-stats", np.concatenate(self.table, axis=1))
+
+
+class Shelves:
+    """The arrays that a task writes: of the part whose buckets come one after another."""
+
+    def __init__(self, folder: str, bits: int, part_bits: int):
+        self.folder, self.low, self.part, self.open = folder, bits - part_bits, None, {}
+
+    def turn(self, bucket: int) -> None:
+        if bucket >> self.low != self.part:
+            self.close()
+            self.part = bucket >> self.low
+
+    def add(self, where: str, keys: np.ndarray, **cols) -> None:
+        here, name = os.path.join(self.folder, where), str(self.part)
+        if where not in self.open:
+            kinds = {"counts": lambda: Column(here, f"{name}-counts", np.uint8, f"{name}-big"),
+                     "raws": lambda: Column(here, f"{name}-raws", np.uint8, f"{name}-rawsbig"),
+                     "ranks": lambda: Growing(here, f"{name}-ranks", np.uint32), "stats": lambda: Stats(here, name)}
+            self.open[where] = {"keys": Keys(here, name)} | {c: kinds[c]() for c in cols}
+        for c, values in cols.items():
+            self.open[where][c].add(values)
+        self.open[where]["keys"].add(keys)
+
+    def close(self) -> None:
+        for cols in self.open.values():
+            for c in cols.values():
+                c.close()
+        self.open.clear()
+
+
 def write_keys(folder: str, name: str, keys: np.ndarray) -> None:
-    """Sorted keys; long arrays as the places of their 2^16 leading halves and 48 bits a key."""
-    if len(keys) < INDEXED_KEYS:
-        _write(folder, f"{name}-keys", keys)
-        return
-    first = np.searchsorted(keys, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
-    _write(folder, f"{name}-first", _narrow(np.append(first, len(keys))))
-    _write(folder, f"{name}-middle", (keys >> np.uint64(16)).astype(np.uint32))
-    _write(folder, f"{name}-low", keys.astype(np.uint16))
+    out = Keys(folder, name)
+    out.add(keys)
+    out.close()
 
 
 def write_counts(folder: str, name: str, counts: np.ndarray) -> None:
-    _write(folder, f"{name}-counts", np.minimum(counts, 255).astype(np.uint8))
-    big = np.flatnonzero(counts >= 255)
-    _write(folder, f"{name}-big", np.stack([big.astype(np.uint64), counts[big].astype(np.uint64)]))
+    out = Column(folder, f"{name}-counts", np.uint8, f"{name}-big")
+    out.add(counts)
+    out.close()
 
 
 def write_stats(folder: str, name: str, stats: list[np.ndarray]) -> None:
-    """Statistics of contexts as codes of their distinct values."""
-    total, n1, n2, n3 = (s.astype(np.uint64) for s in stats)
-    _, at, codes = np.unique(mix(mix(mix(total, n1), n2), n3), return_index=True, return_inverse=True)
-    _write(folder, f"{name}-codes", _narrow(codes))
-    _write(folder, f"{name}-stats", np.stack([s[at] for s in (total, n1, n2, n3)]))
+    out = Stats(folder, name)
+    out.add(stats)
+    out.close()
 
 
 @lru_cache(16_384)
@@ -297,8 +452,12 @@ def _find(get: Callable[[str], np.ndarray | None], want: np.ndarray) -> tuple[np
         row = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
         return row, keys[row] == want
     middle, low = get("middle"), get("low")
-    lead = (want >> np.uint64(48)).astype(np.int64)
-    row, end, last = first[lead].astype(np.int64), first[lead + 1].astype(np.int64), len(middle) - 1
+    base, shift = get("lead")
+    lead = (want >> shift) - base  # below the first key it wraps to a large number
+    there = lead < len(first) - 1
+    lead = np.where(there, lead, 0).astype(np.int64)
+    row, last = first[lead].astype(np.int64), len(middle) - 1
+    end = np.where(there, first[lead + 1].astype(np.int64), row)
     rest, tail = (want >> np.uint64(16)).astype(np.uint32), want.astype(np.uint16)
     # forward by falling powers of two while the middle before is smaller
     for step in reversed(range(int((end - row).max(initial=0)).bit_length())):
@@ -320,7 +479,7 @@ def _find(get: Callable[[str], np.ndarray | None], want: np.ndarray) -> tuple[np
 
 
 def _lookup(folder: str, bucket: np.ndarray, key: np.ndarray) -> Iterator[tuple[Callable, np.ndarray, np.ndarray]]:
-    """Per bucket: its arrays, which of the keys are there, and their rows."""
+    """Per part (or bucket): its arrays, which of the keys are there, and their rows."""
     for number, (part, want) in _dealt(bucket, [np.arange(len(key)), key]):
         def get(name: str, number: int = number) -> np.ndarray | None:
             return _mapped(os.path.join(folder, f"{number}-{name}.npy"))
@@ -329,17 +488,16 @@ def _lookup(folder: str, bucket: np.ndarray, key: np.ndarray) -> Iterator[tuple[
         yield get, part[there], row[there]
 
 
-def find_words(folder: str, hashes: np.ndarray, bits: int, *names: str) -> tuple[np.ndarray, ...]:
-    """Ids of words and their values in arrays by rank; unknown words have none."""
+def find_words(folder: str, hashes: np.ndarray, bits: int, part_bits: int, *names: str) -> tuple[np.ndarray, ...]:
+    """Ids of words and their values; unknown words have none."""
     ids = np.full(len(hashes), UNKNOWN, np.uint32)
     out = [np.zeros(len(hashes)) for _ in names]
     bucket = _bucket(hashes, bits)
-    for get, at, row in _lookup(os.path.join(folder, "words"), bucket, hashes):
+    for get, at, row in _lookup(os.path.join(folder, "words"), _bucket(hashes, part_bits), hashes):
         if len(at):
-            rank = get("ranks")[row].astype(np.int64)
-            ids[at] = 1 + (rank << bits) + bucket[at]
+            ids[at] = 1 + (get("ranks")[row].astype(np.int64) << bits) + bucket[at]
             for values, name in zip(out, names):
-                values[at] = get(name)[rank]
+                values[at] = _values(get, row, name, {"counts": "big"}.get(name, f"{name}big"))
     return ids, *out
 
 
@@ -360,8 +518,9 @@ def _chunks(parts: Iterator[pa.RecordBatch], tokens: int) -> Iterator[list[np.nd
         yield held
 
 
-def _by_bucket(rows: DataFrame, bits: int) -> DataFrame:
-    return rows.repartitionById(1 << bits, "bucket").sortWithinPartitions("bucket", "kind")
+def _by_part(rows: DataFrame, bits: int, part_bits: int) -> DataFrame:
+    return (rows.repartitionById(1 << part_bits, F.shiftright("bucket", bits - part_bits))
+            .sortWithinPartitions("bucket", "kind"))
 
 
 def _held(parts: Iterator[pa.RecordBatch], kinds: dict[str, list[type]]) -> Iterator[tuple[int, dict, list]]:
@@ -386,17 +545,55 @@ def _stat(counts: np.ndarray, *more: int) -> bytes:
     return b"".join(int(v).to_bytes(8, "little") for v in (*each[1:5], each[3:].sum(), counts.sum(), *more))
 
 
-def words(texts: DataFrame, folder: str, bits: int) -> tuple[np.ndarray, int]:
+class Outbox:
+    """What a task has for other buckets: summed over its own buckets before it is sent."""
+
+    def __init__(self, hot: Hot, bits: int):
+        self.hot, self.bits, self.held, self.bytes, self.stats, self.at = hot, bits, defaultdict(list), 0, {}, 0
+
+    def put(self, kind: str, level: int, cols: list[np.ndarray]) -> None:
+        self.held[kind, level].append(cols)
+        self.bytes += sum(c.nbytes for c in cols)
+
+    def stat(self, level: int, cells: bytes) -> None:
+        new = np.frombuffer(cells, "<u8")
+        self.stats[level] = self.stats[level] + new if level in self.stats else new
+
+    def full(self) -> Iterator[tuple]:
+        if self.bytes >= SENT_BYTES:
+            yield from self.send()
+
+    def send(self) -> Iterator[tuple]:
+        for kind, level in list(self.held):
+            cols = [np.concatenate(c) for c in zip(*self.held.pop((kind, level)))]
+            if kind == "n":
+                yield from _ngrams(level, *distinct(cols[:-1], cols[-1]), self.hot, self.bits)
+            elif kind == "c":
+                ctx, *stats = _sums(*cols)
+                yield from _blobs("c", level, _bucket(ctx, self.bits), [ctx, *stats])
+            else:
+                w, number = _sums(*cols)
+                yield from _blobs("w", 0, w & np.uint32((1 << self.bits) - 1), [w >> np.uint32(self.bits), number])
+        self.bytes = 0
+
+    def end(self) -> Iterator[tuple]:
+        yield from self.send()
+        for level, numbers in self.stats.items():
+            yield "s", level, self.at, numbers.tobytes()
+
+
+def words(texts: DataFrame, folder: str, bits: int, part_bits: int) -> tuple[np.ndarray, int]:
     """Write the vocabulary; the ids of hot words, and the number of tokens."""
     chunk, share = CHUNK_TOKENS, HOT
 
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for held in _chunks(parts, chunk):
             found, counts = np.unique(np.concatenate(held), return_counts=True)
             yield from _blobs("w", 0, _bucket(found, bits), [found, counts.astype(np.uint64)])
 
     def number(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = os.path.join(folder, "words")
+        shelves, low = Shelves(folder, bits, part_bits), bits - part_bits
+        sizes: dict[int, np.ndarray] = {}
         for bucket, cols, _ in _held(parts, {"w": [np.uint64, np.uint64]}):
             keys, counts = _sums(*cols["w"])
             order = np.argsort(counts.max() - counts, kind="stable")  # ties by hash
@@ -404,37 +601,41 @@ def words(texts: DataFrame, folder: str, bits: int) -> tuple[np.ndarray, int]:
                 raise ValueError("more words than 32-bit ids")
             ranks = np.empty(len(keys), np.uint32)
             ranks[order] = np.arange(len(keys), dtype=np.uint32)
-            write_keys(here, str(bucket), keys)
-            _write(here, f"{bucket}-ranks", _narrow(ranks))
-            _write(here, f"{bucket}-raws", _narrow(counts[order]))
+            shelves.turn(bucket)
+            shelves.add("words", keys, ranks=ranks, raws=counts)
+            sizes.setdefault(bucket >> low, np.zeros(1 << low, np.int64))[bucket & ((1 << low) - 1)] = len(keys)
             # a hot word has that share of its bucket's tokens as well
             top = counts[order][: int((counts * share >= counts.sum()).sum())].astype(np.int64)
             ids = 1 + (np.arange(len(top)) << bits) + bucket
             yield pa.RecordBatch.from_arrays([pa.array([*ids.tolist(), None], pa.int64()),
                                               pa.array([*top.tolist(), int(counts.sum())], pa.int64())], ["id", "n"])
+        shelves.close()
+        for part, each in sizes.items():
+            _write(os.path.join(folder, "words"), f"{part}-begins", np.concatenate(([0], np.cumsum(each))))
 
-    got = saved(_by_bucket(texts.mapInArrow(count, _BLOB), bits).mapInArrow(number, "id long, n long"), "lm-words")
+    rows = _by_part(texts.mapInArrow(lambda parts: _sent(count(parts)), _BLOB), bits, part_bits)
+    got = saved(rows.mapInArrow(number, "id long, n long"), "lm-words")
     total = got.where("id IS NULL").agg(F.sum("n")).first()[0] or 0
     hot = got.where(f"id IS NOT NULL AND n * {share} >= {total}").select("id").collect()  # at most HOT rows
     return np.sort(np.array([r["id"] for r in hot], np.int64)), total
 
 
-def _count(texts: DataFrame, order: int, folder: str, hot: Hot, bits: int) -> DataFrame:
+def _count(texts: DataFrame, order: int, folder: str, hot: Hot, bits: int, part_bits: int) -> DataFrame:
     chunk = CHUNK_TOKENS
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for held in _chunks(parts, chunk):
             hashes, begins = joined(held)
             held.clear()
             one, at = _once(hashes)
-            ids = find_words(folder, hashes[one], bits)[0][at]
+            ids = find_words(folder, hashes[one], bits, part_bits)[0][at]
             cols, counts = distinct([*backs(ids, begins, order), ids])
             yield from _ngrams(order - 1, cols, counts, hot, bits)
 
-    return texts.mapInArrow(run, _BLOB)
+    return texts.mapInArrow(lambda parts: _sent(run(parts)), _BLOB)
 
 
-def _ngrams(level: int, cols: list[np.ndarray], counts: np.ndarray, hot: Hot, bits: int) -> Iterator[pa.RecordBatch]:
+def _ngrams(level: int, cols: list[np.ndarray], counts: np.ndarray, hot: Hot, bits: int) -> Iterator[tuple]:
     """Rows of n-grams with ``level`` context words, in ascending order."""
     bucket = _of_word(cols[0], bits)
     at = np.flatnonzero(hot(cols[0]))
@@ -444,84 +645,107 @@ def _ngrams(level: int, cols: list[np.ndarray], counts: np.ndarray, hot: Hot, bi
     yield from _blobs("n", level, bucket, [*cols, counts])
 
 
-def _reduce(level: int, order: int, folder: str, hot: Hot, bits: int):
+def _reduce(level: int, folder: str, hot: Hot, bits: int, part_bits: int):
     """The stage that merges the n-grams of ``level`` context words: all of them at the first
     stage, those of hot words later."""
-    def close(bucket: int, k: int, cols: list[np.ndarray], counts: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:
+    def close(bucket: int, k: int, cols: list[np.ndarray], counts: np.ndarray, name: str,
+              shelves: Shelves, out: Outbox) -> None:
         """Write distinct n-grams in ascending order; those of lower order go on."""
         if not len(counts):
             return
         ctx = context_hash(cols[:-1])
         key = mix(ctx, cols[-1].astype(np.uint64))
+        if name == "own":
+            key = _placed(np.uint64(bucket), key, bits)
         by = np.argsort(key)
-        here = os.path.join(folder, f"{name}-{k}")
-        write_keys(here, str(bucket), key[by])
-        write_counts(here, str(bucket), counts[by])
-        yield _row("s", k, bucket, _stat(counts))
+        shelves.add(f"{name}-{k}", key[by], counts=counts[by])
+        out.stat(k, _stat(counts))
         begins = _runs(*cols[:-1])
         stats = [np.add.reduceat(v, begins) for v in (counts, *((counts == j).astype(np.uint64) for j in (1, 2)),
                                                        (counts >= 3).astype(np.uint64))]
         ctx = ctx[begins]
-        by = np.argsort(ctx)
-        ctx, stats = ctx[by], [s[by] for s in stats]
         if name == "hot":  # other buckets hold more of these contexts
-            yield from _blobs("c", k, _bucket(ctx, bits), [ctx, *stats])
+            out.put("c", k, [ctx, *stats])
         else:
-            here = os.path.join(folder, f"own-contexts-{k}")
-            write_keys(here, str(bucket), ctx)
-            write_stats(here, str(bucket), stats)
+            ctx = _placed(np.uint64(bucket), ctx, bits)
+            by = np.argsort(ctx)
+            shelves.add(f"own-contexts-{k}", ctx[by], stats=[s[by] for s in stats])
         lower = [*cols[:k - 1], cols[-1]]  # without the farthest word
         del ctx, key, by, stats
         lower, number = distinct(lower)
         if k == 1:
-            w = lower[0].astype(np.int64) - 1
-            yield from _blobs("w", 0, (w & ((1 << bits) - 1)).astype(np.uint32), [(w >> bits).astype(np.uint32), number])
+            out.put("w", 0, [lower[0] - np.uint32(1), number])
         elif name == "hot":
-            yield from _ngrams(k - 1, lower, number, hot, bits)
+            out.put("n", k - 1, [*lower, number])
         else:
-            yield from close(bucket, k - 1, lower, number, name)
+            close(bucket, k - 1, lower, number, name, shelves, out)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         kinds = {"n": [np.uint32] * (level + 1) + [np.uint64], "c": [np.uint64] * 5}
+        shelves, out = Shelves(folder, bits, part_bits), Outbox(hot, bits)
         for bucket, held, others in _held(parts, kinds):
+            shelves.turn(bucket)
+            out.at = bucket
             for r in others:
-                yield _row(*r)
+                if r[0] == "s":
+                    out.stat(r[1], r[3])
+                else:
+                    yield r
             if "c" in held:
                 ctx, *stats = _sums(*held.pop("c"))
-                here = os.path.join(folder, f"hot-contexts-{level + 1}")
-                write_keys(here, str(bucket), ctx)
-                write_stats(here, str(bucket), stats)
+                shelves.add(f"hot-contexts-{level + 1}", ctx, stats=stats)
             if "n" in held:
                 *cols, counts = held.pop("n")
                 cols, counts = distinct(cols, counts)
                 own = hot(cols[0])
                 for name, some in (("own", ~own), ("hot", own)):
-                    yield from close(bucket, level, [c[some] for c in cols], counts[some], name)
+                    close(bucket, level, [c[some] for c in cols], counts[some], name, shelves, out)
+                del cols, counts, own, some
+            yield from out.full()
+        shelves.close()
+        yield from out.end()
 
-    return run
+    return lambda parts: _sent(run(parts))
 
 
-def _unigrams(order: int, folder: str):
+def _unigrams(order: int, folder: str, hot: Hot, bits: int, part_bits: int):
     """The last stage: continuation counts of the words, statistics of hot contexts of one word."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = os.path.join(folder, "words")
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        here, low = os.path.join(folder, "words"), bits - part_bits
+        shelves, out, column, part = Shelves(folder, bits, part_bits), Outbox(hot, bits), None, None
         for bucket, held, others in _held(parts, {"w": [np.uint32, np.uint64], "c": [np.uint64] * 5}):
+            shelves.turn(bucket)
+            out.at = bucket
             for r in others:
-                yield _row(*r)
+                out.stat(r[1], r[3])
             if "c" in held:
                 ctx, *stats = _sums(*held["c"])
-                write_keys(os.path.join(folder, "hot-contexts-1"), str(bucket), ctx)
-                write_stats(os.path.join(folder, "hot-contexts-1"), str(bucket), stats)
+                shelves.add("hot-contexts-1", ctx, stats=stats)
             if "w" in held:
-                raws = np.load(os.path.join(here, f"{bucket}-raws.npy")).astype(np.uint64)
+                if part != bucket >> low:
+                    if column:
+                        column.close()
+                    part = bucket >> low
+                    column = Column(here, f"{part}-counts", np.uint8, f"{part}-big")
+                    begins = np.load(os.path.join(here, f"{part}-begins.npy"))
+                begin, end = begins[bucket & ((1 << low) - 1):][:2].tolist()
+
+                def get(name: str, part: int = part) -> np.ndarray | None:
+                    return _mapped(os.path.join(here, f"{part}-{name}.npy"))
+
+                raws = _values(get, np.arange(begin, end), "raws", "rawsbig")
                 rank, number = _sums(*held["w"])
-                counts = np.zeros(len(raws), np.uint64)
-                counts[rank] = number
-                counts = raws if order == 1 else counts
-                _write(here, f"{bucket}-counts", _narrow(counts))
-                yield _row("s", 0, bucket, _stat(counts, int(raws.sum()), len(raws)))
+                counts = np.zeros(end - begin, np.uint64)
+                counts[rank] = number  # every word stands after another or a beginning
+                counts = raws if order == 1 else counts[get("ranks")[begin:end]]
+                column.add(counts)
+                out.stat(0, _stat(counts, int(raws.sum()), len(raws)))
+        shelves.close()
+        if column:
+            column.close()
+        yield from out.end()
 
-    return run
+    return lambda parts: _sent(run(parts))
 
 
 def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
@@ -533,27 +757,30 @@ def train(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> Model:
     folder = local_path(folder)
     texts = docs.where(fold_of(folds) != 0).select(raw_text().alias("raw"))
     size = texts.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    # every task sends each bucket a row, so their number follows the corpus alone
+    # the chunks send each bucket a row, so their number follows the corpus alone
     bits = max(4, (size // 8 // BUCKET_TOKENS).bit_length())
-    ids, tokens = words(texts, folder, bits)
+    # a part is a task's: two a core, and no more buckets in one than a task should merge
+    part_bits = min(bits, max(4, bits - PART_BUCKETS.bit_length() + 1, (2 * spark.sparkContext.defaultParallelism - 1).bit_length()))
+    ids, tokens = words(texts, folder, bits, part_bits)
     hot = Hot(ids)
     # n-grams of one word are the words themselves
-    rows = _count(texts, max(order, 2), folder, hot, bits)
+    rows = _count(texts, max(order, 2), folder, hot, bits, part_bits)
     for level in range(max(order, 2) - 1, 0, -1):
-        rows = _by_bucket(rows, bits).mapInArrow(_reduce(level, order, folder, hot, bits), _BLOB)
-    rows = saved(_by_bucket(rows, bits).mapInArrow(_unigrams(order, folder), _BLOB), "lm-stats")
+        rows = _by_part(rows, bits, part_bits).mapInArrow(_reduce(level, folder, hot, bits, part_bits), _BLOB)
+    rows = saved(_by_part(rows, bits, part_bits).mapInArrow(_unigrams(order, folder, hot, bits, part_bits), _BLOB), "lm-stats")
     stats: dict[int, list[int]] = {}
-    for r in rows.select("level", "cells").toLocalIterator():  # a short row per bucket and level
+    for r in rows.select("level", "cells").collect():  # a short row per task and level
         new = np.frombuffer(bytes(r["cells"]), "<u8").tolist()
         stats[r["level"]] = [a + b for a, b in zip(stats.get(r["level"], repeat(0)), new)]
-    return Model(folder, order, bits, hot, stats)
+    return Model(folder, order, (bits, part_bits), hot, stats)
 
 
 class Model:
     """Where the arrays lie, and the numbers that turn counts into probabilities."""
 
-    def __init__(self, folder: str, order: int, bits: int, hot: Hot, stats: dict[int, list[int]]):
-        self.folder, self.order, self.bits, self.hot = folder, order, bits, hot
+    def __init__(self, folder: str, order: int, bits: tuple[int, int], hot: Hot, stats: dict[int, list[int]]):
+        self.folder, self.order, self.hot = folder, order, hot
+        self.bits, self.part_bits = bits
         zero = [0] * 8
         self.discounts = [discounts(stats.get(k, zero)[:4]) for k in range(order)]
         n1, n2, _, _, n3, self.total, self.tokens, self.words = stats.get(0, zero)
@@ -564,7 +791,7 @@ class Model:
         """Per text: known tokens, base score, model score (log10)."""
         hashes, begins = joined(texts)
         one, at = _once(hashes)  # every distinct key is looked up once, in ascending order
-        ids, cont, raw = find_words(self.folder, hashes[one], self.bits, "counts", "raws")
+        ids, cont, raw = find_words(self.folder, hashes[one], self.bits, self.part_bits, "counts", "raws")
         p = np.full(len(ids), self.rest / (self.words + 1))
         if self.total:
             p += (cont - self.discounts[0][np.minimum(cont, 3).astype(int)]) / self.total
@@ -597,15 +824,19 @@ class Model:
         """Arrays, places among the keys and rows; ``last`` is the last context word."""
         hot = self.hot(last)
         for name, some in (("own", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))):
-            bucket = _of_word(last[some], self.bits) if name == "own" else _bucket(key[some], self.bits)
-            for get, at, row in _lookup(os.path.join(self.folder, f"{name}{what}"), bucket, key[some]):
+            want = key[some]
+            if name == "own":  # the keys come in the order of their hashes
+                want = _placed(_of_word(last[some], self.bits), want, self.bits)
+                by = np.argsort(want)
+                want, some = want[by], some[by]
+            for get, at, row in _lookup(os.path.join(self.folder, f"{name}{what}"), _bucket(want, self.part_bits), want):
                 if len(at):
                     yield get, some[at], row
 
     def _stats(self, k: int, last: np.ndarray, ctx: np.ndarray) -> np.ndarray:
         out = np.zeros((4, len(ctx)))
         for get, at, row in self._found(f"-contexts-{k}", last, ctx):
-            out[:, at] = get("stats")[:, get("codes")[row]]
+            out[:, at] = get("stats")[:, _values(get, row, "codes", "codesbig").astype(np.int64)]
         return out
 
     def _numbers(self, k: int, last: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -615,15 +846,21 @@ class Model:
         return out
 
 
-def _counts(get: Callable[[str], np.ndarray], row: np.ndarray) -> np.ndarray:
-    out = get("counts")[row].astype(np.uint64)
-    large = np.flatnonzero(out == 255)
+def _values(get: Callable[[str], np.ndarray | None], row: np.ndarray, name: str, big: str) -> np.ndarray:
+    """The numbers of a ``Column`` in these rows."""
+    values = get(name)
+    out = values[row].astype(np.uint64)
+    large = np.flatnonzero(out == np.iinfo(values.dtype).max)
     if len(large):
-        rows, counts = get("big")
-        out[large] = counts[np.searchsorted(rows, row[large].astype(np.uint64))]
+        rows, numbers = get(big)
+        out[large] = numbers[np.searchsorted(rows, row[large].astype(np.uint64))]
     return out
 
 
+def _counts(get: Callable[[str], np.ndarray | None], row: np.ndarray) -> np.ndarray:
+    return _values(get, row, "counts", "big")
+
+
 def discounts(n: list[int]) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more, from counts of
     counts; a half (at most) where those are too few to estimate them."""
